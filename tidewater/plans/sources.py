@@ -1 +1,148 @@
-"""placeholder"""
+"""Source and sink keys: bulk append, CTAS, full overwrite,
+verified load, exactly-once change batches, named views and the table
+inventory.  Keys that write use a fresh folder under the shared scratch
+root, publish through :class:`~tidewater.sources.publish.Catalog` and return
+what a reader sees afterwards.
+"""
+
+from __future__ import annotations
+
+import uuid
+from functools import reduce
+
+from pyspark.sql import functions as F
+
+from tidewater.functions import COMPLETED, money
+from tidewater.plans.registry import register
+from tidewater.session import scratch_root
+from tidewater.sources import Tables
+from tidewater.sources.batches import BatchLedger, write_batches
+from tidewater.sources.publish import Catalog
+from tidewater.sources.tables import TABLES
+from tidewater.sources.verified import build_manifest, verified_load
+
+
+def _catalog(spark, tag: str) -> Catalog:
+    return Catalog(spark, f"{scratch_root(spark)}/{tag}-{uuid.uuid4().hex[:10]}")
+
+
+@register("append_select", """
+SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(18,2)) AS total_amount, o_orderdate
+FROM orders
+""")
+def append_select(spark, sf_dir):
+    """INSERT INTO t SELECT ... twice (two date slices) into an empty table."""
+    o = Tables(spark, sf_dir).orders.select("o_orderkey", "o_custkey", "o_orderstatus",
+                                            money("o_totalprice").alias("total_amount"), "o_orderdate")
+    cat = _catalog(spark, "append")
+    cut = F.lit("1998-01-01").cast("timestamp_ntz")
+    for part in (o.filter(F.col("o_orderdate") < cut), o.filter(F.col("o_orderdate") >= cut)):
+        # an append is a new partition of the table; existing ones are kept by reference
+        tx = cat.begin("stg_orders")
+        tx.write_partitions("rows", part.withColumn("__batch", F.lit(tx.run_id)), "__batch", replace={tx.run_id})
+        tx.commit({"op": "append"})
+    return cat.read("stg_orders", "rows").drop("__batch")
+
+
+@register("ctas", f"""
+SELECT o_orderkey, o_custkey, CAST(o_totalprice AS DECIMAL(18,2)) AS total_amount
+FROM orders WHERE o_orderstatus = '{COMPLETED}'
+""")
+def ctas(spark, sf_dir):
+    """CREATE TABLE AS SELECT: the schema comes from the query, no constraint is carried."""
+    o = Tables(spark, sf_dir).orders.filter(F.col("o_orderstatus") == COMPLETED)
+    q = o.select("o_orderkey", "o_custkey", money("o_totalprice").alias("total_amount"))
+    cat = _catalog(spark, "ctas")
+    cat.publish("perf_orders", {"rows": q})
+    return cat.read("perf_orders", "rows")
+
+
+@register("full_overwrite", """
+SELECT p.p_partkey AS product_id, p.p_type AS top_category, p.p_brand AS brand_name,
+       CAST(p.p_retailprice AS DECIMAL(18,2)) AS unit_price
+FROM part p
+""")
+def full_overwrite(spark, sf_dir):
+    """TRUNCATE + reload, twice: the second load replaces the first completely,
+    and it is written next to (never over) the version being read."""
+    p = Tables(spark, sf_dir).part
+    dim = p.select(F.col("p_partkey").alias("product_id"), F.col("p_type").alias("top_category"),
+                   F.col("p_brand").alias("brand_name"), money("p_retailprice").alias("unit_price"))
+    cat = _catalog(spark, "overwrite")
+    cat.publish("dim_product", {"rows": dim.limit(0)})
+    cat.publish("dim_product", {"rows": dim})
+    current = cat.read("dim_product", "rows")
+    cat.publish("dim_product", {"rows": current})   # reload from itself: reads the old version safely
+    return cat.read("dim_product", "rows")
+
+
+@register("verified_load", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def verified_load_q(spark, sf_dir):
+    """Digest check then load: the manifest is written by the publisher of the
+    files; the loader recomputes every digest and loads only if all match."""
+    cat = _catalog(spark, "verified")
+    manifest_path = f"{cat.root}/manifest"
+    build_manifest(spark, [f"{sf_dir}/nation.parquet"], manifest_path)
+    df, report = verified_load(spark, f"{sf_dir}/nation.parquet", manifest_path)
+    return df.select("n_nationkey", "n_name", "n_regionkey")
+
+
+@register("apply_next_batch", """
+SELECT o_orderkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(18,2)) AS total_amount,
+       CAST(CASE WHEN o_orderdate < TIMESTAMP '1998-01-01 00:00:00' THEN 0
+                 WHEN o_orderdate < TIMESTAMP '2000-01-01 00:00:00' THEN 1
+                 WHEN o_orderdate < TIMESTAMP '2001-01-01 00:00:00' THEN 2 ELSE 3 END AS INT) AS applied_step
+FROM orders
+""")
+def apply_next_batch(spark, sf_dir):
+    """Base table, then change batches step=01..03 applied exactly once each;
+    the call after the last batch is a no-op."""
+    o = Tables(spark, sf_dir).orders.select("o_orderkey", "o_orderstatus", money("o_totalprice").alias("total_amount"),
+                                            "o_orderdate")
+    root = f"{scratch_root(spark)}/batches-{uuid.uuid4().hex[:10]}"
+    d = F.col("o_orderdate")
+    ts = lambda s: F.lit(s).cast("timestamp_ntz")
+    base = o.filter(d < ts("1998-01-01")).drop("o_orderdate")
+    steps = {1: o.filter((d >= ts("1998-01-01")) & (d < ts("2000-01-01"))),
+             2: o.filter((d >= ts("2000-01-01")) & (d < ts("2001-01-01"))),
+             3: o.filter(d >= ts("2001-01-01"))}
+    write_batches({k: v.drop("o_orderdate") for k, v in steps.items()}, f"{root}/deltas")
+    ledger = BatchLedger(spark, f"{root}/warehouse", f"{root}/deltas", dataset="orders", key="o_orderkey")
+    ledger.initialise(base)
+    while ledger.apply_next() is not None:
+        pass
+    assert ledger.apply_next() is None  # exhausted: nothing applied, nothing written
+    return ledger.read()
+
+
+@register("v_order_summary", f"""
+SELECT c.c_mktsegment AS membership_tier, count(*) AS orders,
+       CAST(sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS gmv
+FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
+WHERE o.o_orderstatus = '{COMPLETED}'
+GROUP BY 1
+""")
+def v_order_summary(spark, sf_dir):
+    """A named view, recomputed on every read."""
+    t = Tables(spark, sf_dir)
+    t.orders.createOrReplaceTempView("orders")
+    t.customer.createOrReplaceTempView("customer")
+    spark.sql("""
+        CREATE OR REPLACE TEMP VIEW v_order_summary AS
+        SELECT o.o_orderkey AS order_id, o.o_orderdate AS ordered_at, o.o_orderstatus AS status,
+               CAST(o.o_totalprice AS DECIMAL(18,2)) AS total_amount,
+               c.c_name AS customer_code, c.c_mktsegment AS membership_tier
+        FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey""")
+    return spark.sql(f"""
+        SELECT membership_tier, count(*) AS orders, CAST(sum(total_amount) AS DECIMAL(38,2)) AS gmv
+        FROM v_order_summary WHERE status = '{COMPLETED}' GROUP BY membership_tier""")
+
+
+@register("table_inventory", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in TABLES))
+def table_inventory(spark, sf_dir):
+    """Exact row counts of every table side by side, in one job."""
+    t = Tables(spark, sf_dir)
+    counts = [getattr(t, n).select(F.lit(1).alias("x")).agg(F.count(F.lit(1)).alias("n_rows"))
+              .select(F.lit(n).alias("table_name"), "n_rows") for n in TABLES]
+    return reduce(lambda a, b: a.unionByName(b), counts).orderBy(F.col("n_rows").desc())
