@@ -1,0 +1,140 @@
+"""Re-runnable load jobs that publish.
+
+Every job reads its state (watermark, log, target) from the last commit of
+its dataset, computes the new state as DataFrames and publishes target, log
+and watermark in **one** commit.  A failure anywhere before the commit leaves
+the previous version current and a retry recomputes from it; an immediate
+re-run finds nothing new and logs 0 / 0.
+
+Targets of upserting jobs are stored in hash buckets of the key (one
+partition per bucket): a run reads and rewrites only the buckets its delta
+touches and carries the others over by reference.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidewater.operators.loads import change_counts, upsert, watermark_slice
+from tidewater.operators.scd2 import empty_dimension, scd2_merge
+from tidewater.sources.publish import Catalog
+
+EPOCH = "1970-01-01 00:00:00"
+LOG_SCHEMA = ("load_id bigint, table_name string, wm_from timestamp_ntz, wm_to timestamp_ntz, "
+              "rows_new bigint, rows_changed bigint, run_id string")
+WM_SCHEMA = "table_name string, watermark_value timestamp_ntz"
+
+
+def bucket_of(key_col: str, n_buckets: int):
+    return F.pmod(F.xxhash64(F.col(key_col)), F.lit(n_buckets)).cast("int")
+
+
+class WatermarkLoad:
+    """``(wm_from - lookback, wm_to]`` slice of a mutable source, upserted.
+
+    ``wm_to`` is the source maximum frozen before the load starts (rows that
+    land during the load belong to the next run).  ``rows_changed`` counts
+    only rows whose values differ from the target, so a lookback that re-reads
+    loaded rows reports 0.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, table: str, key: str, ts_col: str,
+                 update_cols: list[str], lookback: str | None = None, n_buckets: int = 16):
+        self.spark = spark
+        self.catalog = Catalog(spark, root)
+        self.table, self.key, self.ts_col = table, key, ts_col
+        self.update_cols = update_cols
+        self.lookback = lookback
+        self.n_buckets = n_buckets
+
+    def run(self, source: DataFrame) -> dict:
+        tx = self.catalog.begin(self.table)
+        snap = tx.base
+        wm = self.catalog.read(self.table, "watermark", snap)
+        wm_from = wm.first()["watermark_value"] if wm is not None else dt.datetime(1970, 1, 1)
+        wm_to = source.agg(F.max(self.ts_col)).first()[0]          # frozen upper bound
+        if wm_to is None:                                             # empty source: keep the mark
+            return {"skipped": True}
+        delta = watermark_slice(source, self.ts_col, wm_from, wm_to, self.lookback)
+        delta = delta.withColumn("__bucket", bucket_of(self.key, self.n_buckets))
+        target = self.catalog.read(self.table, "rows", snap)
+        if target is None:
+            target = self.spark.createDataFrame([], delta.schema)
+        # one scalar per bucket: bounded by n_buckets, not by rows
+        touched = [r[0] for r in delta.select("__bucket").distinct().collect()]
+        old = self.catalog.read(self.table, "rows", snap, partitions=touched) if snap else target
+        counts = change_counts(old, delta, self.key, self.update_cols).first()
+        merged = upsert(old.select(*delta.columns), delta, self.key, self.update_cols)
+        log_old = self.catalog.read(self.table, "log", snap)
+        load_id = (snap["meta"].get("load_id", 0) if snap else 0) + 1
+        row = [(load_id, self.table, wm_from, wm_to, counts["rows_new"], counts["rows_changed"], tx.run_id)]
+        log_new = self.spark.createDataFrame(row, LOG_SCHEMA)
+        log = log_new if log_old is None else log_old.unionByName(log_new)
+        tx.write_partitions("rows", merged, "__bucket", replace=set(map(str, touched)))
+        tx.write("log", log)
+        tx.write("watermark", self.spark.createDataFrame([(self.table, wm_to)], WM_SCHEMA))
+        tx.commit({"op": "watermark_load", "load_id": load_id})
+        return {"load_id": load_id, "wm_from": wm_from, "wm_to": wm_to,
+                "rows_new": counts["rows_new"], "rows_changed": counts["rows_changed"]}
+
+    def target(self) -> DataFrame:
+        return self.catalog.read(self.table, "rows").drop("__bucket")
+
+    def log(self) -> DataFrame:
+        return self.catalog.read(self.table, "log")
+
+
+class RangeReload:
+    """Delete a closed date range and insert the recomputed rows, as
+    one commit.  The fact is partitioned by date: only the days of the range
+    are rewritten, and days of the range with no new rows are dropped."""
+
+    def __init__(self, spark: SparkSession, root: str, table: str, date_col: str):
+        self.catalog = Catalog(spark, root)
+        self.table, self.date_col = table, date_col
+
+    def run(self, fresh: DataFrame, date_from: str | None = None, date_to: str | None = None) -> dict:
+        tx = self.catalog.begin(self.table)
+        if date_from is None:                        # initial / full load
+            rows = fresh
+            hit = lambda v: True
+        else:
+            lo, hi = dt.date.fromisoformat(date_from), dt.date.fromisoformat(date_to)
+            rows = fresh.filter(F.col(self.date_col).between(F.lit(lo), F.lit(hi)))
+            hit = lambda v: lo <= dt.date.fromisoformat(v) <= hi
+        tx.write_partitions("rows", rows, self.date_col, replace=hit)
+        return tx.commit({"op": "range_reload", "from": date_from, "to": date_to})
+
+    def read(self) -> DataFrame:
+        return self.catalog.read(self.table, "rows")
+
+
+class Scd2Load:
+    """P9/P10 as a published job: dimension and load log in one commit."""
+
+    def __init__(self, spark: SparkSession, root: str, table: str, key: str, tracked: list[str],
+                 attrs: list[str] | None = None, change_time_col: str | None = None,
+                 first_time_col: str | None = None):
+        self.spark = spark
+        self.catalog = Catalog(spark, root)
+        self.table, self.key, self.tracked = table, key, tracked
+        self.attrs = attrs or tracked
+        self.change_time_col, self.first_time_col = change_time_col, first_time_col
+
+    def run(self, snapshot: DataFrame, load_time=None) -> dict:
+        tx = self.catalog.begin(self.table)
+        dim = self.catalog.read(self.table, "dim", tx.base)
+        if dim is None:
+            dim = empty_dimension(self.spark, snapshot, self.key, self.attrs, "sk")
+        new = scd2_merge(dim, snapshot, self.key, self.tracked, sk="sk", attrs=self.attrs,
+                         load_time=load_time if self.change_time_col is None else None,
+                         change_time_col=self.change_time_col, first_time_col=self.first_time_col)
+        # the merge is a union of four branches; lay it out by key again
+        tx.write("dim", new.repartition(self.key))
+        return tx.commit({"op": "scd2", "load_time": str(load_time)})
+
+    def read(self) -> DataFrame:
+        return self.catalog.read(self.table, "dim")

@@ -90,6 +90,7 @@ def change_counts(target: DataFrame, source: DataFrame, key: str | list[str], co
 
 def watermark_slice(source: DataFrame, ts_col: str, wm_from, wm_to, lookback: str | None = None) -> DataFrame:
     """Rows with ``wm_from [- lookback] < ts <= wm_to`` on the bare column."""
+    wm_from, wm_to = _ts_text(wm_from), _ts_text(wm_to)
     lo = F.lit(wm_from).cast("timestamp_ntz")
     if lookback:
         lo = lo - F.expr(f"INTERVAL {lookback}")
@@ -97,6 +98,11 @@ def watermark_slice(source: DataFrame, ts_col: str, wm_from, wm_to, lookback: st
     return source.filter((F.col(ts_col) > lo) & (F.col(ts_col) <= hi))
 
 
+def _ts_text(v):
+    """Timestamps travel as ISO text so no driver time zone is applied."""
+    return v.isoformat(sep=" ") if hasattr(v, "isoformat") else v
+
+
 def latest_per_key(df: DataFrame, key: str | list[str], order_cols: list[str]) -> DataFrame:
     """Keep the whole latest row per key by ``order_cols`` (then the other columns).
 

@@ -1 +1,194 @@
-"""placeholder"""
+"""Data-quality keys on the loaded tables.
+
+The target is the user table produced by the incremental upserts
+(``plans.loads``), the source its final snapshot; the SCD2 checks run on the
+source-time dimension.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidewater.functions import COMPLETED
+from tidewater.operators import quality as Q
+from tidewater.operators.scd2 import check_contiguous, check_matches_source, check_one_current
+from tidewater.plans.loads import (FINAL_TARGET_SQL, SCD2_SOURCE_SQL, SNAPS_SQL, scd2_dimension,
+                                   upsert_q, user_state)
+from tidewater.plans.registry import register
+from tidewater.sources import Tables
+
+RUN_AT = "2024-02-01 06:00:00"
+# The tiers the source may hold.
+ACCEPTED_TIERS = ("view", "purchase", "error", "signup", "click")
+_ACC_SQL = ", ".join(f"'{v}'" for v in ACCEPTED_TIERS)
+
+
+def _frames(spark, sf_dir):
+    stg = upsert_q(spark, sf_dir)
+    src = user_state(Tables(spark, sf_dir).events)
+    wm = stg.agg(F.max("src_updated_at").alias("__wm"))
+    src_upto = src.crossJoin(F.broadcast(wm)).filter(F.col("updated_at") <= F.col("__wm")).drop("__wm")
+    return stg, src, src_upto
+
+
+_STG_CTE = ("stg AS (SELECT s3.user_id, s3.tier, s3.amount, s3.updated_at AS src_updated_at "
+            "FROM s3)")
+
+CHECK_SQL = {
+    "dq_row_count": "SELECT 'row_count_matches_source' AS check_name, CAST(abs((SELECT count(*) FROM s3 "
+                    "WHERE updated_at <= (SELECT max(src_updated_at) FROM stg)) - (SELECT count(*) FROM stg)) AS BIGINT) AS violations",
+    "dq_sum_match": "SELECT 'amount_matches_source', CAST((SELECT sum(amount) FROM s3 WHERE updated_at <= "
+                    "(SELECT max(src_updated_at) FROM stg)) IS DISTINCT FROM (SELECT sum(amount) FROM stg) AS BIGINT)",
+    "dq_unique": "SELECT 'user_id_unique', CAST(count(*) - count(DISTINCT user_id) AS BIGINT) FROM stg",
+    "dq_not_null": "SELECT 'tier_not_null', CAST(count(*) FILTER (WHERE tier IS NULL) AS BIGINT) FROM stg",
+    "dq_referential": "SELECT 'users_have_customer', CAST(count(*) AS BIGINT) FROM stg "
+                      "WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = stg.user_id)",
+    "dq_accepted": f"SELECT 'tier_accepted_values', CAST(count(*) FILTER (WHERE tier NOT IN ({_ACC_SQL})) AS BIGINT) FROM stg",
+    "dq_freshness": "SELECT 'fresh_within_2_days', CAST(date_diff('hour', (SELECT max(src_updated_at) FROM stg), "
+                    "(SELECT max(updated_at) FROM s3)) > 48 AS BIGINT)",
+}
+
+SCD_CHECK_SQL = {
+    "dq_scd2_one_current": "SELECT 'scd2_one_current', CAST(count(*) FILTER (WHERE n <> 1) AS BIGINT) "
+                           "FROM (SELECT user_id, count(*) FILTER (WHERE is_current) AS n FROM d GROUP BY 1) x",
+    "dq_scd2_contiguous": "SELECT 'scd2_contiguous', CAST(count(*) FILTER (WHERE (nxt IS NULL AND valid_to IS NOT NULL) "
+                          "OR (nxt IS NOT NULL AND valid_to IS DISTINCT FROM nxt) OR valid_to <= valid_from) AS BIGINT) "
+                          "FROM (SELECT *, lead(valid_from) OVER (PARTITION BY user_id ORDER BY valid_from, sk) AS nxt FROM d) x",
+    "dq_scd2_matches_source": "SELECT 'scd2_matches_source', CAST(count(*) FILTER (WHERE c.user_id IS NULL OR s.user_id IS NULL "
+                              "OR c.tier IS DISTINCT FROM s.tier) AS BIGINT) "
+                              "FROM (SELECT user_id, tier FROM d WHERE is_current) c FULL OUTER JOIN s3 s ON s.user_id = c.user_id",
+}
+
+
+def _oracle(key: str) -> str:
+    body = CHECK_SQL[key]
+    first, rest = body.split(",", 1) if body.startswith("SELECT '") and " AS check_name" not in body else (None, None)
+    if first is not None:
+        body = first + " AS check_name," + rest.replace(" AS BIGINT)", " AS BIGINT) AS violations", 1)
+    return f"WITH {SNAPS_SQL}, {_STG_CTE}\n{body}"
+
+
+def _scd_oracle(key: str) -> str:
+    body = SCD_CHECK_SQL[key]
+    first, rest = body.split(",", 1)
+    body = first + " AS check_name," + rest.replace(" AS BIGINT)", " AS BIGINT) AS violations", 1)
+    return f"WITH d AS ({SCD2_SOURCE_SQL})\n{body.replace(' s3 s ', ' (' + _S3_ONLY + ') s ')}"
+
+
+_S3_ONLY = ("SELECT user_id, event_type AS tier FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) "
+            "AS rn FROM events) x WHERE rn = 1")
+
+
+def _checks(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    stg, src, src_upto = _frames(spark, sf_dir)
+    return {
+        "dq_row_count": Q.row_count_matches("row_count_matches_source", src_upto, stg),
+        "dq_sum_match": Q.sum_matches("amount_matches_source", src_upto, stg, "amount"),
+        "dq_unique": Q.unique("user_id_unique", stg, "user_id"),
+        "dq_not_null": Q.not_null("tier_not_null", stg, "tier"),
+        "dq_referential": Q.referential("users_have_customer", stg, "user_id", t.customer, "c_custkey"),
+        "dq_accepted": Q.accepted_values("tier_accepted_values", stg, "tier", ACCEPTED_TIERS),
+        "dq_freshness": Q.freshness("fresh_within_2_days", stg, "src_updated_at", src, "updated_at", 48),
+    }
+
+
+def _scd_checks(spark, sf_dir):
+    ev = Tables(spark, sf_dir).events
+    dim = scd2_dimension(spark, ev)
+    src = user_state(ev)
+    return {
+        "dq_scd2_one_current": check_one_current(dim, "user_id").select(
+            F.lit("scd2_one_current").alias("check_name"), "violations"),
+        "dq_scd2_contiguous": check_contiguous(dim, "user_id").select(
+            F.lit("scd2_contiguous").alias("check_name"), "violations"),
+        "dq_scd2_matches_source": check_matches_source(dim, src, "user_id", ["tier"]).select(
+            F.lit("scd2_matches_source").alias("check_name"), "violations"),
+    }
+
+
+def _make(key, scd=False):
+    def q(spark, sf_dir):
+        return (_scd_checks if scd else _checks)(spark, sf_dir)[key]
+    q.__name__ = key
+    return q
+
+
+for _k in CHECK_SQL:
+    register(_k, _oracle(_k))(_make(_k))
+for _k in SCD_CHECK_SQL:
+    register(_k, _scd_oracle(_k))(_make(_k, scd=True))
+
+
+def _suite_frame(spark, sf_dir):
+    checks = list(_checks(spark, sf_dir).values()) + list(_scd_checks(spark, sf_dir).values())
+    return Q.suite(checks, RUN_AT)
+
+
+_SUITE_SQL = ("\nUNION ALL\n".join(
+    [f"SELECT * FROM ({_oracle(k)})" for k in CHECK_SQL] + [f"SELECT * FROM ({_scd_oracle(k)})" for k in SCD_CHECK_SQL]))
+
+
+@register("dq_suite", f"""
+SELECT TIMESTAMP '{RUN_AT}' AS run_at, check_name, violations, violations = 0 AS passed FROM ({_SUITE_SQL}) u
+""")
+def dq_suite(spark, sf_dir):
+    """All checks in one frame; the gate raises before anything is published."""
+    res = _suite_frame(spark, sf_dir)
+    Q.gate(res)
+    return res
+
+
+@register("dq_report", f"""
+SELECT check_name, violations, CASE WHEN violations = 0 THEN 'pass' ELSE 'FAIL' END AS result FROM ({_SUITE_SQL}) u
+""")
+def dq_report(spark, sf_dir):
+    return Q.report(_suite_frame(spark, sf_dir))
+
+
+@register("dq_completed_unpaid", f"""
+SELECT o_orderkey FROM orders o
+WHERE o_orderstatus = '{COMPLETED}' AND NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)
+""")
+def dq_completed_unpaid(spark, sf_dir):
+    """Cross-table rule: completed orders without any line (anti join to a filtered parent)."""
+    t = Tables(spark, sf_dir)
+    done = t.orders.filter(F.col("o_orderstatus") == COMPLETED).select("o_orderkey")
+    return done.join(t.lineitem.select("l_orderkey"), F.col("o_orderkey") == F.col("l_orderkey"), "left_anti")
+
+
+@register("dq_key_parts", """
+WITH k AS (SELECT p_partkey, p_type, p_brand,
+                  upper(left(p_type, 3)) || '-B' || split_part(p_brand, '#', 2) || '-' || lpad(CAST(p_partkey AS VARCHAR), 7, '0') AS sku
+           FROM part)
+SELECT CAST(count(*) FILTER (WHERE split_part(sku, '-', 1) <> upper(left(p_type, 3))
+                            OR 'Brand#' || substr(split_part(sku, '-', 2), 2) <> p_brand
+                            OR CAST(split_part(sku, '-', 3) AS BIGINT) <> p_partkey) AS BIGINT) AS violations,
+       count(*) AS checked
+FROM k
+""")
+def dq_key_parts(spark, sf_dir):
+    """The coded key agrees with the master data: split it and compare each part."""
+    from tidewater.plans.loads import dim_product_frame
+    t = Tables(spark, sf_dir)
+    d = dim_product_frame(t).select("product_id", "sku", "top_category", "brand_name")
+    cat = F.substring_index("sku", "-", 1)
+    brand = F.substring_index(F.substring_index("sku", "-", 2), "-", -1)
+    seq = F.substring_index("sku", "-", -1)
+    bad = ((cat != F.upper(F.left("top_category", F.lit(3))))
+           | (F.concat(F.lit("Brand#"), F.substring(brand, 2, 1000)) != F.col("brand_name"))
+           | (seq.cast("bigint") != F.col("product_id")))
+    return d.agg(F.count_if(bad).cast("bigint").alias("violations"), F.count(F.lit(1)).alias("checked"))
+
+
+@register("profile_range", """
+SELECT min(o_orderdate) AS first_order, max(o_orderdate) AS last_order,
+       (SELECT max(l_shipdate) FROM lineitem) AS last_change, count(*) AS n_orders
+FROM orders
+""")
+def profile_range(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    a = t.orders.agg(F.min("o_orderdate").alias("first_order"), F.max("o_orderdate").alias("last_order"),
+                     F.count(F.lit(1)).alias("n_orders"))
+    b = t.lineitem.agg(F.max("l_shipdate").alias("last_change"))
+    return a.crossJoin(b).select("first_order", "last_order", "last_change", "n_orders")
