@@ -1 +1,254 @@
-"""placeholder"""
+"""Composite business questions and the whole incremental job."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from tidewater.functions import CANCELLED, line_total, money, month_key, pct
+from tidewater.jobs import Scd2Load, WatermarkLoad
+from tidewater.operators import quality as Q
+from tidewater.operators.scd2 import check_contiguous, check_matches_source, check_one_current
+from tidewater.plans.loads import ROUNDS, UPDATE_COLS, _stg_source, user_state
+from tidewater.plans.quality import _SUITE_SQL, ACCEPTED_TIERS
+from tidewater.plans.registry import register
+from tidewater.session import scratch_root
+from tidewater.sources import Tables
+from tidewater.sources.publish import Catalog
+
+LT = "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,2))"
+
+
+@register("monthly_gmv", f"""
+WITH m AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS orders,
+                  CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS gmv
+           FROM orders WHERE o_orderstatus <> '{CANCELLED}' GROUP BY 1),
+a AS (SELECT *, round(CAST(gmv AS DOUBLE) / orders, 2) AS aov FROM m)
+SELECT month, orders, gmv, aov,
+       round(100.0 * (aov / lag(aov) OVER (ORDER BY month) - 1), 1) AS aov_mom_pct
+FROM a
+""")
+def monthly_gmv(spark, sf_dir):
+    o = Tables(spark, sf_dir).orders.filter(F.col("o_orderstatus") != CANCELLED)
+    m = (o.groupBy(month_key("o_orderdate").alias("month"))
+          .agg(F.count(F.lit(1)).alias("orders"), F.sum(money("o_totalprice")).cast("decimal(38,2)").alias("gmv")))
+    a = m.withColumn("aov", F.round(F.col("gmv").cast("double") / F.col("orders"), 2))
+    prev = F.lag("aov").over(Window.orderBy("month"))   # one row per month
+    return a.withColumn("aov_mom_pct", F.round((F.try_divide(F.col("aov"), prev) - 1) * 100.0, 1))
+
+
+@register("region_orders", """
+SELECT r.r_name AS region, count(*) AS orders
+FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
+JOIN nation n ON n.n_nationkey = c.c_nationkey JOIN region r ON r.r_regionkey = n.n_regionkey
+WHERE o.o_orderdate >= TIMESTAMP '2000-01-01 00:00:00'
+GROUP BY 1
+""")
+def region_orders(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    o = t.orders.filter(F.col("o_orderdate") >= F.lit("2000-01-01").cast("timestamp_ntz")).select("o_custkey")
+    per_cust = o.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))   # combine before the join
+    geo = (t.nation.join(F.broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
+           .select("n_nationkey", "r_name"))                             # 25 rows by definition
+    c = t.customer.select("c_custkey", "c_nationkey").join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"))
+    return (per_cust.join(c, F.col("o_custkey") == F.col("c_custkey"))
+                    .groupBy(F.col("r_name").alias("region")).agg(F.sum("n").cast("bigint").alias("orders")))
+
+
+@register("entity_timeline", """
+SELECT o_orderkey, 'ordered' AS step, o_orderdate AS at_time, o_orderstatus AS detail, CAST(0 AS INT) AS line
+FROM orders
+UNION ALL
+SELECT l_orderkey, 'shipped', l_shipdate, concat(CAST(CAST(l_quantity AS BIGINT) AS VARCHAR), ' x part ', CAST(l_partkey AS VARCHAR)),
+       l_linenumber
+FROM lineitem
+UNION ALL
+SELECT l_orderkey, 'returned', l_shipdate, 'line returned', l_linenumber FROM lineitem WHERE l_returnflag = 'R'
+""")
+def entity_timeline(spark, sf_dir):
+    """One order's life spread over several tables, as one event stream."""
+    t = Tables(spark, sf_dir)
+    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_shipdate", "l_returnflag")
+    a = t.orders.select("o_orderkey", F.lit("ordered").alias("step"), F.col("o_orderdate").alias("at_time"),
+                        F.col("o_orderstatus").alias("detail"), F.lit(0).alias("line"))
+    b = li.select(F.col("l_orderkey").alias("o_orderkey"), F.lit("shipped").alias("step"),
+                  F.col("l_shipdate").alias("at_time"),
+                  F.concat(F.col("l_quantity").cast("bigint").cast("string"), F.lit(" x part "),
+                           F.col("l_partkey").cast("string")).alias("detail"),
+                  F.col("l_linenumber").alias("line"))
+    c = (li.filter(F.col("l_returnflag") == "R")
+           .select(F.col("l_orderkey").alias("o_orderkey"), F.lit("returned").alias("step"),
+                   F.col("l_shipdate").alias("at_time"), F.lit("line returned").alias("detail"),
+                   F.col("l_linenumber").alias("line")))
+    return a.unionByName(b).unionByName(c)
+
+
+@register("top_regions_share", f"""
+WITH s AS (SELECT n.n_name AS province, CAST(sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS sales
+           FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey
+           WHERE o.o_orderstatus <> '{CANCELLED}' AND o.o_orderdate >= TIMESTAMP '1998-01-01 00:00:00'
+             AND o.o_orderdate < TIMESTAMP '1999-01-01 00:00:00'
+           GROUP BY 1),
+p AS (SELECT province, sales, round(100.0 * CAST(sales AS DOUBLE) / CAST(sum(sales) OVER () AS DOUBLE), 1) AS pct_of_year FROM s)
+SELECT * FROM p ORDER BY sales DESC, province LIMIT 5
+""")
+def top_regions_share(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    o = t.orders.filter((F.col("o_orderstatus") != CANCELLED)
+                        & (F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz"))
+                        & (F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp_ntz")))
+    per_cust = o.groupBy("o_custkey").agg(F.sum(money("o_totalprice")).alias("amt"))
+    s = (per_cust.join(t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+                 .join(F.broadcast(t.nation.select("n_nationkey", "n_name")), F.col("c_nationkey") == F.col("n_nationkey"))
+                 .groupBy(F.col("n_name").alias("province")).agg(F.sum("amt").cast("decimal(38,2)").alias("sales")))
+    total = s.agg(F.sum("sales").alias("year_total"))
+    return (s.crossJoin(F.broadcast(total))
+             .select("province", "sales", pct(F.col("sales"), F.col("year_total")).alias("pct_of_year"))
+             .orderBy(F.col("sales").desc(), "province").limit(5))
+
+
+@register("topn_recent", f"""
+WITH mx AS (SELECT max(l_shipdate) AS m FROM lineitem),
+b AS (SELECT p.p_type AS category, p.p_brand AS brand, CAST(sum({LT}) AS DECIMAL(38,2)) AS revenue
+      FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey AND o.o_orderstatus <> '{CANCELLED}'
+      JOIN part p ON p.p_partkey = l.l_partkey
+      WHERE l.l_shipdate > (SELECT m FROM mx) - INTERVAL 90 DAY
+      GROUP BY 1, 2),
+r AS (SELECT *, dense_rank() OVER (PARTITION BY category ORDER BY revenue DESC) AS rnk FROM b)
+SELECT category, CAST(rnk AS BIGINT) AS rnk, brand, revenue FROM r WHERE rnk <= 3
+""")
+def topn_recent(spark, sf_dir):
+    """Top 3 brands per category over the last 90 days *of the data* (not of the clock)."""
+    t = Tables(spark, sf_dir)
+    li = t.lineitem.select("l_orderkey", "l_partkey", "l_shipdate", line_total().alias("amt"))
+    mx = li.agg(F.max("l_shipdate").alias("m"))
+    recent = (li.crossJoin(F.broadcast(mx)).filter(F.col("l_shipdate") > F.col("m") - F.expr("INTERVAL 90 DAYS"))
+                .join(t.orders.filter(F.col("o_orderstatus") != CANCELLED).select("o_orderkey"),
+                      F.col("l_orderkey") == F.col("o_orderkey"), "left_semi"))
+    per_part = recent.groupBy("l_partkey").agg(F.sum("amt").alias("amt"))
+    b = (per_part.join(t.part.select("p_partkey", "p_type", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
+                 .groupBy(F.col("p_type").alias("category"), F.col("p_brand").alias("brand"))
+                 .agg(F.sum("amt").cast("decimal(38,2)").alias("revenue")))
+    w = Window.partitionBy("category").orderBy(F.col("revenue").desc())
+    return (b.withColumn("rnk", F.dense_rank().over(w).cast("bigint")).filter("rnk <= 3")
+             .select("category", "rnk", "brand", "revenue"))
+
+
+@register("delivery_performance", """
+WITH d AS (SELECT r.r_name AS region, date_diff('hour', o.o_orderdate, l.l_shipdate) AS hours
+           FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+           JOIN customer c ON c.c_custkey = o.o_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey
+           JOIN region r ON r.r_regionkey = n.n_regionkey
+           WHERE l.l_shipdate >= o.o_orderdate)
+SELECT region, count(*) AS shipments, round(avg(hours), 2) AS avg_hours,
+       round(100.0 * count_if(hours <= 60 * 24) / count(*), 2) AS pct_on_time
+FROM d GROUP BY 1
+""")
+def delivery_performance(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    geo = (t.nation.join(F.broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
+           .select("n_nationkey", "r_name"))
+    cust = t.customer.select("c_custkey", "c_nationkey").join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"))
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate").join(cust, F.col("o_custkey") == F.col("c_custkey"))
+    li = t.lineitem.select("l_orderkey", "l_shipdate")
+    j = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).filter(F.col("l_shipdate") >= F.col("o_orderdate"))
+    h = F.timestamp_diff("HOUR", F.col("o_orderdate"), F.col("l_shipdate"))
+    d = j.select(F.col("r_name").alias("region"), h.alias("hours"))
+    return (d.groupBy("region")
+             .agg(F.count(F.lit(1)).alias("shipments"), F.round(F.avg("hours"), 2).alias("avg_hours"),
+                  F.round(F.count_if(F.col("hours") <= 60 * 24) * 100.0 / F.count(F.lit(1)), 2).alias("pct_on_time")))
+
+
+@register("churn_risk", f"""
+WITH mx AS (SELECT max(o_orderdate) AS m FROM orders),
+c AS (SELECT o_custkey, count(*) AS n_orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total_spend,
+             max(o_orderdate) AS last_order
+      FROM orders WHERE o_orderstatus <> '{CANCELLED}' GROUP BY 1
+      HAVING count(*) >= 3 AND max(o_orderdate) < (SELECT m FROM mx) - INTERVAL 90 DAY),
+k AS (SELECT count(*) AS at_risk FROM c)
+SELECT cu.c_name AS customer_code, c.n_orders, c.total_spend, c.last_order, k.at_risk
+FROM c JOIN customer cu ON cu.c_custkey = c.o_custkey CROSS JOIN k
+ORDER BY c.total_spend DESC, cu.c_name LIMIT 10
+""")
+def churn_risk(spark, sf_dir):
+    """>= 3 orders, silent for 90 days before the data's last order: how many, and the top 10."""
+    t = Tables(spark, sf_dir)
+    o = t.orders.filter(F.col("o_orderstatus") != CANCELLED)
+    mx = t.orders.agg(F.max("o_orderdate").alias("m"))
+    c = (o.groupBy("o_custkey")
+          .agg(F.count(F.lit(1)).alias("n_orders"), F.sum(money("o_totalprice")).cast("decimal(38,2)").alias("total_spend"),
+               F.max("o_orderdate").alias("last_order"))
+          .crossJoin(F.broadcast(mx))
+          .filter((F.col("n_orders") >= 3) & (F.col("last_order") < F.col("m") - F.expr("INTERVAL 90 DAYS")))
+          .drop("m"))
+    k = c.agg(F.count(F.lit(1)).alias("at_risk"))
+    top = c.orderBy(F.col("total_spend").desc(), "o_custkey").limit(10)   # top-k is the feature
+    return (top.join(t.customer.select("c_custkey", "c_name"), F.col("o_custkey") == F.col("c_custkey"))
+               .crossJoin(F.broadcast(k))
+               .select(F.col("c_name").alias("customer_code"), "n_orders", "total_spend", "last_order", "at_risk"))
+
+
+@register("discount_nonmember", f"""
+SELECT o.o_orderkey, o.o_custkey FROM orders o
+WHERE o.o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_discount >= 0.05)
+  AND NOT EXISTS (SELECT 1 FROM events e WHERE e.user_id = o.o_custkey)
+""")
+def discount_nonmember(spark, sf_dir):
+    """Orders that got a discount although the customer is not a member (no member activity)."""
+    t = Tables(spark, sf_dir)
+    disc = t.lineitem.filter(F.col("l_discount") >= 0.05).select("l_orderkey")
+    members = t.events.select("user_id")
+    return (t.orders.select("o_orderkey", "o_custkey")
+             .join(disc, F.col("o_orderkey") == F.col("l_orderkey"), "left_semi")
+             .join(members, F.col("o_custkey") == F.col("user_id"), "left_anti"))
+
+
+@register("incremental_scd2_job", f"""
+SELECT check_name, violations, violations = 0 AS passed FROM ({_SUITE_SQL}) u
+""")
+def incremental_scd2_job(spark, sf_dir):
+    """Part A watermark load with lookback, part B SCD2 by source time,
+    part C the DQ suite with a gate and stored results.  Runs: initial,
+    immediate re-run (no change), then two advances of the source.  Each part
+    keeps its own published state, so a restart after any part is safe."""
+    ev = Tables(spark, sf_dir).events
+    root = f"{scratch_root(spark)}/job-{uuid.uuid4().hex[:10]}"
+    part_a = WatermarkLoad(spark, root, "stg_users", key="user_id", ts_col="src_updated_at",
+                           update_cols=UPDATE_COLS, lookback="1 HOUR", n_buckets=8)
+    part_b = Scd2Load(spark, root, "dim_customer_scd2", "user_id", ["tier"],
+                      change_time_col="updated_at", first_time_col="registered_at")
+    dq = Catalog(spark, root)
+    schedule = [ROUNDS[0], ROUNDS[0], ROUNDS[1], ROUNDS[2]]
+    results = None
+    for i, bound in enumerate(schedule):
+        part_a.run(_stg_source(ev, bound))
+        snap = user_state(ev, bound)
+        part_b.run(snap)
+        stg = part_a.target()
+        dim = part_b.read()
+        wm = stg.agg(F.max("src_updated_at").alias("__wm"))
+        src_upto = snap.crossJoin(F.broadcast(wm)).filter(F.col("updated_at") <= F.col("__wm")).drop("__wm")
+        checks = [
+            Q.row_count_matches("row_count_matches_source", src_upto, stg),
+            Q.sum_matches("amount_matches_source", src_upto, stg, "amount"),
+            Q.unique("user_id_unique", stg, "user_id"),
+            Q.not_null("tier_not_null", stg, "tier"),
+            Q.referential("users_have_customer", stg, "user_id", Tables(spark, sf_dir).customer, "c_custkey"),
+            Q.accepted_values("tier_accepted_values", stg, "tier", ACCEPTED_TIERS),
+            Q.freshness("fresh_within_2_days", stg, "src_updated_at", snap, "updated_at", 48),
+            check_one_current(dim, "user_id").select(F.lit("scd2_one_current").alias("check_name"), "violations"),
+            check_contiguous(dim, "user_id").select(F.lit("scd2_contiguous").alias("check_name"), "violations"),
+            check_matches_source(dim, snap, "user_id", ["tier"]).select(
+                F.lit("scd2_matches_source").alias("check_name"), "violations"),
+        ]
+        results = Q.suite(checks, f"2024-02-01 0{i}:00:00")
+        tx = dq.begin("dq_results")
+        prev = dq.read("dq_results", "rows")
+        stored = results if prev is None else prev.unionByName(results)
+        tx.write("rows", stored)
+        tx.commit({"op": "dq", "run": i})
+        Q.gate(results)
+    return dq.read("dq_results", "rows").filter(F.col("run_at") == F.lit("2024-02-01 03:00:00").cast("timestamp_ntz")) \
+             .select("check_name", "violations", "passed")

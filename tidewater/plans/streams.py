@@ -1 +1,84 @@
-"""placeholder"""
+"""Streaming keys: the events table is landed as numbered
+deliveries (split by event time), consumed by a stream, and the sink is read
+back."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from tidewater.functions import money
+from tidewater.plans.registry import register
+from tidewater.session import scratch_root
+from tidewater.sources import Tables
+from tidewater.sources.publish import Catalog
+from tidewater.streaming import append_stream, dedup_stream, upsert_stream, write_landing
+
+# Delivery boundaries (event time) of the landed files.
+CUTS = ("2024-01-08 00:00:00", "2024-01-16 00:00:00", "2024-01-24 00:00:00")
+
+
+def _deliveries(events):
+    e = events.select("event_id", "ts", "user_id", "event_type", "value")
+    edges = [None, *CUTS, None]
+    out = []
+    for lo, hi in zip(edges[:-1], edges[1:]):
+        d = e
+        if lo:
+            d = d.filter(F.col("ts") >= F.lit(lo).cast("timestamp_ntz"))
+        if hi:
+            d = d.filter(F.col("ts") < F.lit(hi).cast("timestamp_ntz"))
+        out.append(d)
+    return out
+
+
+def _root(spark, tag):
+    return f"{scratch_root(spark)}/{tag}-{uuid.uuid4().hex[:10]}"
+
+
+@register("stream_append", "SELECT event_id, ts, user_id, event_type, value FROM events")
+def stream_append(spark, sf_dir):
+    """Each landed row once: two runs with new files, a third with none runs no batch."""
+    ev = Tables(spark, sf_dir).events
+    root = _root(spark, "stream-append")
+    parts = _deliveries(ev)
+    schema = parts[0].schema
+    write_landing(parts[:2], f"{root}/landing")
+    append_stream(spark, f"{root}/landing", schema, f"{root}/sink", f"{root}/ckpt", files_per_trigger=1)
+    write_landing(parts[2:], f"{root}/landing", start=2)
+    append_stream(spark, f"{root}/landing", schema, f"{root}/sink", f"{root}/ckpt", files_per_trigger=1)
+    idle = append_stream(spark, f"{root}/landing", schema, f"{root}/sink", f"{root}/ckpt")
+    assert idle == 0, "a run without new files must not process rows"
+    return spark.read.schema(schema).parquet(f"{root}/sink")
+
+
+@register("stream_upsert", """
+SELECT user_id, event_type, ts, CAST(value AS DECIMAL(18,2)) AS amount FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) x
+WHERE rn = 1
+""")
+def stream_upsert(spark, sf_dir):
+    """foreachBatch upsert of the latest row per user, batch id committed with the data."""
+    ev = Tables(spark, sf_dir).events
+    root = _root(spark, "stream-upsert")
+    parts = [p.select("user_id", "event_id", "ts", "event_type", money("value").alias("amount")) for p in _deliveries(ev)]
+    write_landing(parts, f"{root}/landing")
+    cat = Catalog(spark, f"{root}/warehouse")
+    upsert_stream(spark, f"{root}/landing", parts[0].schema, cat, "users", "user_id", ["ts", "event_id"],
+                  ["event_id", "ts", "event_type", "amount"], f"{root}/ckpt", files_per_trigger=1)
+    return cat.read("users", "rows").select("user_id", "event_type", "ts", "amount")
+
+
+@register("stream_dedup", "SELECT event_id, ts, user_id, event_type, value FROM events")
+def stream_dedup(spark, sf_dir):
+    """Every delivery is sent twice (a retry in the next file); the watermark
+    dedup emits each event once and keeps only a day of state."""
+    ev = Tables(spark, sf_dir).events
+    root = _root(spark, "stream-dedup")
+    parts = _deliveries(ev)
+    resent = [parts[0]] + [p.unionByName(q) for p, q in zip(parts[1:], parts[:-1])] + [parts[-1]]
+    write_landing(resent, f"{root}/landing")
+    dedup_stream(spark, f"{root}/landing", parts[0].schema, ["event_id"], "ts", "10 days",
+                 f"{root}/sink", f"{root}/ckpt", files_per_trigger=1)
+    return spark.read.schema(parts[0].schema).parquet(f"{root}/sink")
