@@ -46,15 +46,17 @@ def test_watermark_empty_source_keeps_mark(spark, scratch):
 def test_range_reload_equals_rebuild(spark, scratch):
     rows = [(f"2026-09-0{d}", c, d * 10 + len(c)) for d in range(1, 8) for c in ("x", "yy")]
     fact = spark.createDataFrame(rows, "d string, c string, v int").withColumn("d", F.col("d").cast("date"))
-    job = RangeReload(spark, scratch, "fct", "d")
-    job.run(fact)
+    job = RangeReload(spark, scratch, "fct", "d")  # daily grain
+    job_m = RangeReload(spark, scratch + "-m", "fct", "d", grain="month")
     changed = fact.filter("d <> DATE'2026-09-03'").withColumn("v", F.col("v") + 1)
-    for _ in range(2):                               # re-run: no duplicates
-        job.run(changed, "2026-09-02", "2026-09-04")
     want = fact.filter("d < DATE'2026-09-02' OR d > DATE'2026-09-04'").unionByName(
         changed.filter("d BETWEEN DATE'2026-09-02' AND DATE'2026-09-04'"))
-    assert sorted(job.read().collect()) == sorted(want.collect())
-    assert job.read().filter("d = DATE'2026-09-03'").count() == 0
+    for j in (job, job_m):
+        j.run(fact)
+        for _ in range(2):                           # re-run: no duplicates
+            j.run(changed, "2026-09-02", "2026-09-04")
+        assert sorted(j.read().collect()) == sorted(want.collect())
+        assert j.read().filter("d = DATE'2026-09-03'").count() == 0
 
 
 def test_upsert_first_value_and_counts(spark):

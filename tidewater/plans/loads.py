@@ -226,7 +226,7 @@ def reload_range(spark, sf_dir):
     """Full load, then the source changes and one week is reloaded; the
     result equals a rebuild, including the day that became empty."""
     t = Tables(spark, sf_dir)
-    job = RangeReload(spark, _root(spark, "fct"), "fct_daily_sales", "sales_date")
+    job = RangeReload(spark, _root(spark, "fct"), "fct_daily_sales", "sales_date", grain="month")
     job.run(daily_category_sales(t.orders, t.lineitem, t.part))
     changed = _changed_orders(t.orders)
     week = daily_category_sales(changed, t.lineitem, t.part, RELOAD_FROM, RELOAD_TO)
@@ -253,7 +253,7 @@ FROM events GROUP BY 1, 2
 def daily_summary(spark, sf_dir):
     """Summary table with a unique (day, channel) key, built and rebuilt by range."""
     ev = Tables(spark, sf_dir).events
-    job = RangeReload(spark, _root(spark, "summary"), "daily_channel_sales", "sale_date")
+    job = RangeReload(spark, _root(spark, "summary"), "daily_channel_sales", "sale_date", grain="month")
     job.run(daily_summary_frame(ev))
     job.run(daily_summary_frame(ev, "2024-01-08", "2024-01-14"), "2024-01-08", "2024-01-14")
     return job.read()
