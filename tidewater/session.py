@@ -18,6 +18,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # runtime re-plan to a broadcast hash join only below this measured size
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+    # target ~256 MB per shuffle partition after AQE coalescing, and per scan split
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
+    "spark.sql.files.maxPartitionBytes": "256MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
@@ -42,6 +45,13 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_shuffle_partitions(shuffle_bytes: int, target_bytes: int = 256 << 20) -> int:
+    """Shuffle partitions for a stage moving ``shuffle_bytes``: ~256 MB each
+    before AQE coalescing, so a 100 TB scan's aggregate gets ~400k reducers
+    at most and a task's partition fits executor memory without spilling."""
+    return max(1, -(-shuffle_bytes // target_bytes))
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 

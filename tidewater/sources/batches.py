@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 from tidewater.operators.loads import upsert
 from tidewater.sources.publish import Catalog, _FS
 
+
+def _bucket(key: str, n: int):
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(n)).cast("int")
+
 LEDGER_SCHEMA = "step int, n_rows bigint, run_id string"
 
 
@@ -24,18 +28,23 @@ def write_batches(batches: dict[int, DataFrame], deltas_root: str) -> None:
 
 class BatchLedger:
     def __init__(self, spark: SparkSession, warehouse: str, deltas_root: str, dataset: str, key: str,
-                 update_cols: list[str] | None = None):
+                 update_cols: list[str] | None = None, n_buckets: int = 16):
         self.spark = spark
         self.catalog = Catalog(spark, warehouse)
         self.deltas = deltas_root.rstrip("/")
         self.dataset = dataset
         self.key = key
         self.update_cols = update_cols
+        self.n_buckets = n_buckets
 
     def initialise(self, base: DataFrame) -> dict:
-        rows = base.withColumn("applied_step", F.lit(0).cast("int"))
-        ledger = self.spark.createDataFrame([], LEDGER_SCHEMA)
-        return self.catalog.publish(self.dataset, {"rows": rows, "ledger": ledger}, meta={"op": "initialise"})
+        """Publish the base table in hash buckets of the key, with an empty ledger."""
+        rows = base.withColumn("applied_step", F.lit(0).cast("int")) \
+                   .withColumn("__bucket", _bucket(self.key, self.n_buckets))
+        tx = self.catalog.begin(self.dataset)
+        tx.write_partitions("rows", rows, "__bucket", replace=lambda v: True)
+        tx.write("ledger", self.spark.createDataFrame([], LEDGER_SCHEMA))
+        return tx.commit({"op": "initialise"})
 
     def available(self) -> list[int]:
         names = _FS(self.spark).children(self.deltas)
@@ -54,17 +63,20 @@ class BatchLedger:
             return None
         step = todo[0]
         batch = self.spark.read.parquet(f"{self.deltas}/step={step:02d}")
-        batch = batch.withColumn("applied_step", F.lit(step).cast("int"))
-        rows = self.catalog.read(self.dataset, "rows", snap)
-        upd = self.update_cols or [c for c in rows.columns if c != self.key]
+        batch = (batch.withColumn("applied_step", F.lit(step).cast("int"))
+                      .withColumn("__bucket", _bucket(self.key, self.n_buckets)))
+        # only the buckets this batch touches are read and rewritten
+        touched = [r[0] for r in batch.select("__bucket").distinct().collect()]   # <= n_buckets values
+        rows = self.catalog.read(self.dataset, "rows", snap, partitions=touched)
+        upd = self.update_cols or [c for c in rows.columns if c not in (self.key, "__bucket")]
         merged = upsert(rows, batch.select(*rows.columns), self.key, upd)
         n = batch.count()
         ledger = self.catalog.read(self.dataset, "ledger", snap).unionByName(
             self.spark.createDataFrame([(step, n, tx.run_id)], LEDGER_SCHEMA))
-        tx.write("rows", merged)
+        tx.write_partitions("rows", merged, "__bucket", replace=set(map(str, touched)))
         tx.write("ledger", ledger)
         tx.commit({"op": "apply_batch", "step": step})
         return step
 
     def read(self) -> DataFrame:
-        return self.catalog.read(self.dataset, "rows")
+        return self.catalog.read(self.dataset, "rows").drop("__bucket")

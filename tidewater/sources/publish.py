@@ -117,12 +117,10 @@ class Transaction:
         outside ``replace`` are kept by reference.  A replaced partition with no
         new rows disappears (the DELETE of a range reload clears it)."""
         path = self._run_dir(table)
-        # cluster rows by partition value first so each task writes few
-        # partitions (few files); the row hash as a second range key lets a
-        # huge partition (one hot day) still spread over several tasks
-        clustered = (df.withColumn("__part", F.col(part_col).cast("string"))
-                       .withColumn("__h", F.xxhash64(*[F.col(c) for c in df.columns]))
-                       .repartitionByRange("__part", "__h").drop("__h"))
+        # cluster rows by partition value so each task writes few partitions
+        # (few files); REBALANCE lets AQE split an oversized partition (one
+        # hot day) over several tasks and merge small ones, without sampling
+        clustered = df.withColumn("__part", F.col(part_col).cast("string")).hint("rebalance", "__part")
         clustered.write.mode("overwrite").partitionBy("__part").parquet(path)
         written = {}
         for child in self.catalog.fs.children(path):
