@@ -26,7 +26,7 @@ def empty_dimension(spark, snapshot: DataFrame, key: str, attrs: list[str], sk:
 
 def scd2_merge(dim: DataFrame, snapshot: DataFrame, key: str, tracked: list[str], *, sk: str = "sk",
                load_time=None, change_time_col: str | None = None, first_time_col: str | None = None,
-               attrs: list[str] | None = None) -> DataFrame:
+               attrs: list[str] | None = None, sk_start: int | None = None) -> DataFrame:
     """Merge one source snapshot into the SCD2 dimension.
 
     Version times: ``load_time`` (a literal; P9 "by load time") or the
@@ -34,6 +34,8 @@ def scd2_merge(dim: DataFrame, snapshot: DataFrame, key: str, tracked: list[str]
     with ``first_time_col`` (e.g. ``registered_at``) for a key's first version.
     ``attrs`` are the stored attributes (default: the tracked ones); only the
     tracked ones open a version, so an ``updated_at`` bump alone does nothing.
+    ``sk_start`` is the largest surrogate key in use when ``dim`` is only a
+    part (some buckets) of the dimension.
     """
     attrs = attrs or list(tracked)
     if (load_time is None) == (change_time_col is None):
@@ -62,7 +64,7 @@ def scd2_merge(dim: DataFrame, snapshot: DataFrame, key: str, tracked: list[str]
                .select(F.col(f"s.{key}").alias(key), *[F.col(f"s.{a}").alias(a) for a in attrs],
                        F.when(F.col("__new"), F.col("__tf")).otherwise(F.col("__tc")).alias("valid_from"),
                        F.lit(None).cast("timestamp_ntz").alias("valid_to"), F.lit(True).alias("is_current")))
-    opened = assign_sk(dim, opened, [key], sk=sk)
+    opened = assign_sk(dim, opened, [key], sk=sk, start=sk_start)
     history = dim.filter(~F.col("is_current"))
     kept_current = (j.filter(in_t & ~F.col("__changed"))
                      .select(*[F.col(f"t.{c}").alias(c) for c in cols]))
@@ -70,6 +72,14 @@ def scd2_merge(dim: DataFrame, snapshot: DataFrame, key: str, tracked: list[str]
             .unionByName(opened.select(*cols)))
 
 
+def changed_keys(dim: DataFrame, snapshot: DataFrame, key: str, tracked: list[str]) -> DataFrame:
+    """Snapshot rows that would open a version: new keys or a tracked change."""
+    cur = dim.filter("is_current").select(key, *tracked).alias("t")
+    s = snapshot.alias("s")
+    j = s.join(cur, F.col(f"s.{key}") == F.col(f"t.{key}"), "left")
+    return j.filter(F.col(f"t.{key}").isNull() | any_differs(tracked)).select("s.*")
+
+
 def as_of(dim: DataFrame, t) -> DataFrame:
     """Versions valid at ``t``: valid_from <= t AND (valid_to IS NULL OR valid_to > t)."""
     ts = t if not isinstance(t, str) else F.lit(t).cast("timestamp_ntz")

@@ -94,12 +94,17 @@ def lag_within(df: DataFrame, key_cols: list, order_cols: list, value_cols: list
     return j.drop("__rn", *[f"__pk_{k}" for k in key_cols])
 
 
-def assign_sk(existing: DataFrame, new_rows: DataFrame, order_cols: list, sk: str = "sk") -> DataFrame:
-    """Surrogate keys for ``new_rows`` continuing from ``max(existing.sk)``.
+def assign_sk(existing: DataFrame | None, new_rows: DataFrame, order_cols: list, sk: str = "sk",
+              start: int | None = None) -> DataFrame:
+    """Surrogate keys for ``new_rows`` continuing from ``max(existing.sk)``
+    (or from ``start`` when the caller already knows the maximum).
 
     Dense and gap-free in ``order_cols`` order; the maximum is one scalar.
     """
-    start = existing.agg(F.coalesce(F.max(sk), F.lit(0)).cast("bigint").alias("__start"))
+    if start is not None:
+        start = new_rows.sparkSession.range(1).select(F.lit(start).cast("bigint").alias("__start"))
+    else:
+        start = existing.agg(F.coalesce(F.max(sk), F.lit(0)).cast("bigint").alias("__start"))
     numbered = global_row_number(new_rows, order_cols, name="__rn")
     return (numbered.crossJoin(F.broadcast(start))
                     .withColumn(sk, (F.col("__start") + F.col("__rn")).cast("bigint"))
