@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidewater.functions import COMPLETED
 from tidewater.operators import quality as Q
 from tidewater.operators.scd2 import check_contiguous, check_matches_source, check_one_current
+from tidewater.operators.sequence import materialize
 from tidewater.plans.loads import (FINAL_TARGET_SQL, SCD2_SOURCE_SQL, SNAPS_SQL, scd2_dimension,
                                    upsert_q, user_state)
 from tidewater.plans.registry import register
@@ -24,8 +25,9 @@ _ACC_SQL = ", ".join(f"'{v}'" for v in ACCEPTED_TIERS)
 
 
 def _frames(spark, sf_dir):
-    stg = upsert_q(spark, sf_dir)
-    src = user_state(Tables(spark, sf_dir).events)
+    # every check reads these two frames: materialise them once
+    stg = materialize(upsert_q(spark, sf_dir))
+    src = materialize(user_state(Tables(spark, sf_dir).events))
     wm = stg.agg(F.max("src_updated_at").alias("__wm"))
     src_upto = src.crossJoin(F.broadcast(wm)).filter(F.col("updated_at") <= F.col("__wm")).drop("__wm")
     return stg, src, src_upto
@@ -96,7 +98,7 @@ def _checks(spark, sf_dir):
 def _scd_checks(spark, sf_dir):
     ev = Tables(spark, sf_dir).events
     dim = scd2_dimension(spark, ev)
-    src = user_state(ev)
+    src = materialize(user_state(ev))
     return {
         "dq_scd2_one_current": check_one_current(dim, "user_id").select(
             F.lit("scd2_one_current").alias("check_name"), "violations"),

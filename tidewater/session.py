@@ -58,7 +58,13 @@ def _is_local(spark: SparkSession) -> bool:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a scratch one only in local mode."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (Spark Connect: no SparkContext on the client)
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+        if conf_dir:
+            return conf_dir
+        return tempfile.mkdtemp(prefix="tidewater-ckpt-")
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if current:

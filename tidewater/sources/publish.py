@@ -22,6 +22,8 @@ the partitions it touches and carries the others over by reference.
 from __future__ import annotations
 
 import json
+import os
+import shutil
 import time
 import urllib.parse
 import uuid
@@ -37,9 +39,51 @@ class CommitConflict(RuntimeError):
     pass
 
 
+class _LocalFS:
+    """Fallback for sessions without a JVM gateway (Spark Connect clients):
+    plain local paths only."""
+
+    @staticmethod
+    def _path(path: str) -> str:
+        return path[len("file:"):] if path.startswith("file:") else path
+
+    def exists(self, path: str) -> bool:
+        return os.path.exists(self._path(path))
+
+    def create_new(self, path: str, text: str) -> None:
+        p = self._path(path)
+        os.makedirs(os.path.dirname(p), exist_ok=True)
+        try:
+            fd = os.open(p, os.O_CREAT | os.O_EXCL | os.O_WRONLY)
+        except FileExistsError as e:
+            raise CommitConflict(f"{path} already exists") from e
+        with os.fdopen(fd, "w", encoding="utf-8") as f:
+            f.write(text)
+
+    def read_text(self, path: str) -> str:
+        with open(self._path(path), encoding="utf-8") as f:
+            return f.read()
+
+    def children(self, path: str) -> list[str]:
+        p = self._path(path)
+        return sorted(os.listdir(p)) if os.path.isdir(p) else []
+
+    def delete(self, path: str) -> None:
+        p = self._path(path)
+        if os.path.isdir(p):
+            shutil.rmtree(p)
+        elif os.path.exists(p):
+            os.remove(p)
+
+
 class _FS:
     """Thin access to the Hadoop FileSystem of a path (works for any scheme)."""
 
+    def __new__(cls, spark: SparkSession):
+        if getattr(spark, "_jvm", None) is None:
+            return _LocalFS()
+        return super().__new__(cls)
+
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.jvm = spark._jvm
