@@ -839,7 +839,7 @@ FROM m
 def fn_math(spark, sf_dir):
     li = Tables(spark, sf_dir).lineitem
     amt = money("l_extendedprice")
-    return li.select("l_orderkey", "l_linenumber", F.round(amt, 0).alias("amt_round"),
+    return li.select("l_orderkey", "l_linenumber", F.round(amt, 0).cast("decimal(18,0)").alias("amt_round"),
                      F.floor(amt).cast("bigint").alias("amt_floor"), F.ceil(amt).cast("bigint").alias("amt_ceil"),
                      F.try_mod(F.col("l_quantity").cast("bigint"), F.lit(7).cast("bigint")).alias("qty_mod7"),
                      F.abs(amt - F.lit(50000)).alias("dist_50k"))
