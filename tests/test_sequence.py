@@ -43,3 +43,15 @@ def test_assign_sk_continues_from_max(spark):
     new = spark.createDataFrame([("e",), ("d",)], "name string")
     out = {r.name: r.sk for r in assign_sk(existing, new, ["name"]).collect()}
     assert out == {"d": 6, "e": 7}
+
+
+def test_hot_key_is_split_across_range_partitions(spark):
+    """The numbering never puts a hot key into one task: with a key holding a
+    third of the rows, the largest range partition stays far below a third."""
+    df = skewed(spark, 30000)
+    n = 16
+    ranged = df.repartitionByRange(n, "k", "v", "id").withColumn("pid", F.spark_partition_id())
+    sizes = [r["count"] for r in ranged.groupBy("pid").count().collect()]
+    assert max(sizes) < 30000 / 3 / 2
+    hot = ranged.filter("k = 0").select("pid").distinct().count()
+    assert hot >= 4
