@@ -74,3 +74,12 @@ def test_append_by_id_is_idempotent(spark):
     new = append_new(t, s, "event_id")
     assert sorted(r.event_id for r in new.collect()) == [5, 6, 7]
     assert append_new(t.unionByName(new), s, "event_id").count() == 0
+
+
+def test_watermark_load_keeps_latest_of_duplicate_keys(spark, scratch):
+    job = WatermarkLoad(spark, scratch, "stg", key="id", ts_col="updated_at", update_cols=["status", "updated_at"])
+    rows = [(1, "pending", "1", "2026-09-01 10:00"), (1, "paid", "1", "2026-09-01 12:00"),
+            (1, "packed", "1", "2026-09-01 11:00")]
+    r = job.run(src(spark, rows))
+    assert r["rows_new"] == 1
+    assert [x.status for x in job.target().collect()] == ["paid"]

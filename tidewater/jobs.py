@@ -18,7 +18,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.operators.loads import change_counts, upsert, watermark_slice
+from tidewater.operators.loads import change_counts, latest_per_key, upsert, watermark_slice
 from tidewater.operators.scd2 import changed_keys, empty_dimension, scd2_merge
 from tidewater.sources.publish import Catalog
 
@@ -59,6 +59,9 @@ class WatermarkLoad:
         if wm_to is None:                                             # empty source: keep the mark
             return {"skipped": True}
         delta = watermark_slice(source, self.ts_col, wm_from, wm_to, self.lookback)
+        # several versions of one key in the slice: keep the latest (an upsert
+        # with duplicate keys would be order-dependent); combined map-side
+        delta = latest_per_key(delta, self.key, [self.ts_col])
         delta = delta.withColumn("__bucket", bucket_of(self.key, self.n_buckets))
         target = self.catalog.read(self.table, "rows", snap)
         if target is None:
