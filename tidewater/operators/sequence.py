@@ -19,12 +19,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.session import ensure_checkpoint_dir
+from tidewater.session import cluster_shuffle_partitions, ensure_checkpoint_dir
 
 
 def _num_partitions(df: DataFrame) -> int:
+    """Range partitions of ~256 MB from the optimizer's size estimate (an
+    over-estimate at worst, which only adds partitions); the session's shuffle
+    setting when no estimate is available."""
     spark = df.sparkSession
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    try:
+        est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        return cluster_shuffle_partitions(est)
+    except Exception:  # noqa: BLE001  (no JVM access, e.g. Spark Connect)
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -68,6 +68,12 @@ class _LocalFS:
         p = self._path(path)
         return sorted(os.listdir(p)) if os.path.isdir(p) else []
 
+    def size(self, path: str) -> int:
+        p = self._path(path)
+        if os.path.isfile(p):
+            return os.path.getsize(p)
+        return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(p) for f in fs)
+
     def delete(self, path: str) -> None:
         p = self._path(path)
         if os.path.isdir(p):
@@ -127,6 +133,11 @@ class _FS:
         if fs.exists(p):
             fs.delete(p, True)
 
+    def size(self, path: str) -> int:
+        """Bytes under ``path`` (metadata only)."""
+        fs, p = self._p(path)
+        return fs.getContentSummary(p).getLength() if fs.exists(p) else 0
+
 
 def new_run_id() -> str:
     return time.strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]

@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.operators.loads import latest_per_key, upsert
-from tidewater.sources.publish import Catalog
+from tidewater.session import cluster_shuffle_partitions
+from tidewater.sources.publish import Catalog, _FS
 
 
 def write_landing(batches: list[DataFrame], landing: str, start: int = 0) -> None:
@@ -62,12 +63,23 @@ def upsert_stream(spark: SparkSession, landing: str, schema, catalog: Catalog, d
 
 
 def dedup_stream(spark: SparkSession, landing: str, schema, id_cols: list[str], ts_col: str, delay: str,
-                 sink: str, checkpoint: str, files_per_trigger: int | None = None) -> None:
+                 sink: str, checkpoint: str, files_per_trigger: int | None = None,
+                 state_partitions: int | None = None) -> None:
+    """``state_partitions`` fixes the number of state-store partitions (kept in
+    the checkpoint for all later runs); by default it is sized from the landed
+    bytes, ~256 MB each, instead of inheriting the session's shuffle setting."""
+    if state_partitions is None:
+        state_partitions = max(2, cluster_shuffle_partitions(_FS(spark).size(landing)))
     s = _reader(spark, landing, schema, files_per_trigger)
     # event-time watermarks need a zoned TIMESTAMP; the data's wall-clock
     # TIMESTAMP_NTZ is read in the session zone for the watermark only
     d = (s.withColumn("__event_time", F.col(ts_col).cast("timestamp"))
           .withWatermark("__event_time", delay).dropDuplicatesWithinWatermark(id_cols).drop("__event_time"))
-    q = (d.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
-         .outputMode("append").trigger(availableNow=True).start())
+    prev = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:   # the stream clones the session configuration when it starts
+        q = (d.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
+             .outputMode("append").trigger(availableNow=True).start())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", prev)
     q.awaitTermination()
