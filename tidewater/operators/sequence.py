@@ -22,16 +22,25 @@ from pyspark.sql import functions as F
 from tidewater.session import cluster_shuffle_partitions, ensure_checkpoint_dir
 
 
+# Estimates above this are join-statistics blow-ups (row counts multiplied
+# through joins without column stats), not sizes; they are treated as unknown.
+_CREDIBLE_ESTIMATE = 1 << 50          # 1 PiB
+_MAX_RANGE_PARTITIONS = 1 << 19       # ~512k: 100 TB at 256 MB each fits below it
+
+
 def _num_partitions(df: DataFrame) -> int:
     """Range partitions of ~256 MB from the optimizer's size estimate (an
     over-estimate at worst, which only adds partitions); the session's shuffle
-    setting when no estimate is available."""
+    setting when no credible estimate is available."""
     spark = df.sparkSession
+    fallback = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     try:
         est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        return cluster_shuffle_partitions(est)
     except Exception:  # noqa: BLE001  (no JVM access, e.g. Spark Connect)
-        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        return fallback
+    if est >= _CREDIBLE_ESTIMATE:
+        return fallback
+    return min(cluster_shuffle_partitions(est), _MAX_RANGE_PARTITIONS)
 
 
 def materialize(df: DataFrame) -> DataFrame:
