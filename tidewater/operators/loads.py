@@ -128,8 +128,8 @@ def first_per_key(df: DataFrame, key: str | list[str], order_cols: list[str]) ->
 
 def append_new(target: DataFrame, source: DataFrame, id_col: str) -> DataFrame:
     """Append-only load: source rows whose rising id is above the target's maximum."""
-    last = target.agg(F.coalesce(F.max(id_col), F.lit(-1)).cast("bigint").alias("__last"))
-    return (source.crossJoin(F.broadcast(last)).filter(F.col(id_col) > F.col("__last")).drop("__last"))
+    last = target.agg(F.coalesce(F.max(id_col), F.lit(-1)).cast("bigint")).scalar()
+    return source.filter(F.col(id_col) > last)
 
 
 def detect_deletes(target: DataFrame, source_keys: DataFrame, key: str) -> DataFrame:

@@ -77,8 +77,8 @@ def ntile(df: DataFrame, buckets: int, order_cols: list, name: str = "ntile") ->
     With N rows, q = N div k and r = N mod k: the first r buckets hold q + 1 rows.
     """
     numbered = global_row_number(df, order_cols, name="__rn")
-    total = numbered.agg(F.count(F.lit(1)).alias("__total"))
-    x = numbered.crossJoin(F.broadcast(total))
+    total = numbered.agg(F.count(F.lit(1))).scalar()
+    x = numbered.withColumn("__total", total)
     k = F.lit(buckets)
     q = F.floor(F.col("__total") / k)
     r = F.col("__total") % k
@@ -118,10 +118,8 @@ def assign_sk(existing: DataFrame | None, new_rows: DataFrame, order_cols: list,
     Dense and gap-free in ``order_cols`` order; the maximum is one scalar.
     """
     if start is not None:
-        start = new_rows.sparkSession.range(1).select(F.lit(start).cast("bigint").alias("__start"))
+        base = F.lit(start).cast("bigint")
     else:
-        start = existing.agg(F.coalesce(F.max(sk), F.lit(0)).cast("bigint").alias("__start"))
+        base = existing.agg(F.coalesce(F.max(sk), F.lit(0)).cast("bigint")).scalar()
     numbered = global_row_number(new_rows, order_cols, name="__rn")
-    return (numbered.crossJoin(F.broadcast(start))
-                    .withColumn(sk, (F.col("__start") + F.col("__rn")).cast("bigint"))
-                    .drop("__start", "__rn"))
+    return numbered.withColumn(sk, (base + F.col("__rn")).cast("bigint")).drop("__rn")

@@ -103,9 +103,8 @@ def top_regions_share(spark, sf_dir):
     s = (per_cust.join(t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
                  .join(F.broadcast(t.nation.select("n_nationkey", "n_name")), F.col("c_nationkey") == F.col("n_nationkey"))
                  .groupBy(F.col("n_name").alias("province")).agg(F.sum("amt").cast("decimal(38,2)").alias("sales")))
-    total = s.agg(F.sum("sales").alias("year_total"))
-    return (s.crossJoin(F.broadcast(total))
-             .select("province", "sales", pct(F.col("sales"), F.col("year_total")).alias("pct_of_year"))
+    total = s.agg(F.sum("sales")).scalar()
+    return (s.select("province", "sales", pct(F.col("sales"), total).alias("pct_of_year"))
              .orderBy(F.col("sales").desc(), "province").limit(5))
 
 
@@ -123,8 +122,8 @@ def topn_recent(spark, sf_dir):
     """Top 3 brands per category over the last 90 days *of the data* (not of the clock)."""
     t = Tables(spark, sf_dir)
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_shipdate", line_total().alias("amt"))
-    mx = li.agg(F.max("l_shipdate").alias("m"))
-    recent = (li.crossJoin(F.broadcast(mx)).filter(F.col("l_shipdate") > F.col("m") - F.expr("INTERVAL 90 DAYS"))
+    mx = li.agg(F.max("l_shipdate")).scalar()     # last day of the data, a scalar subquery
+    recent = (li.filter(F.col("l_shipdate") > mx - F.expr("INTERVAL 90 DAYS"))
                 .join(t.orders.filter(F.col("o_orderstatus") != CANCELLED).select("o_orderkey"),
                       F.col("l_orderkey") == F.col("o_orderkey"), "left_semi"))
     per_part = recent.groupBy("l_partkey").agg(F.sum("amt").alias("amt"))
@@ -167,27 +166,24 @@ c AS (SELECT o_custkey, count(*) AS n_orders, CAST(sum(CAST(o_totalprice AS DECI
              max(o_orderdate) AS last_order
       FROM orders WHERE o_orderstatus <> '{CANCELLED}' GROUP BY 1
       HAVING count(*) >= 3 AND max(o_orderdate) < (SELECT m FROM mx) - INTERVAL 90 DAY),
-k AS (SELECT count(*) AS at_risk FROM c)
-SELECT cu.c_name AS customer_code, c.n_orders, c.total_spend, c.last_order, k.at_risk
-FROM c JOIN customer cu ON cu.c_custkey = c.o_custkey CROSS JOIN k
+SELECT cu.c_name AS customer_code, c.n_orders, c.total_spend, c.last_order, (SELECT count(*) FROM c) AS at_risk
+FROM c JOIN customer cu ON cu.c_custkey = c.o_custkey
 ORDER BY c.total_spend DESC, cu.c_name LIMIT 10
 """)
 def churn_risk(spark, sf_dir):
     """>= 3 orders, silent for 90 days before the data's last order: how many, and the top 10."""
     t = Tables(spark, sf_dir)
     o = t.orders.filter(F.col("o_orderstatus") != CANCELLED)
-    mx = t.orders.agg(F.max("o_orderdate").alias("m"))
+    mx = t.orders.agg(F.max("o_orderdate")).scalar()
     c = (o.groupBy("o_custkey")
           .agg(F.count(F.lit(1)).alias("n_orders"), F.sum(money("o_totalprice")).cast("decimal(38,2)").alias("total_spend"),
                F.max("o_orderdate").alias("last_order"))
-          .crossJoin(F.broadcast(mx))
-          .filter((F.col("n_orders") >= 3) & (F.col("last_order") < F.col("m") - F.expr("INTERVAL 90 DAYS")))
-          .drop("m"))
-    k = c.agg(F.count(F.lit(1)).alias("at_risk"))
+          .filter((F.col("n_orders") >= 3) & (F.col("last_order") < mx - F.expr("INTERVAL 90 DAYS"))))
+    at_risk = c.agg(F.count(F.lit(1))).scalar()
     top = c.orderBy(F.col("total_spend").desc(), "o_custkey").limit(10)   # top-k is the feature
     return (top.join(t.customer.select("c_custkey", "c_name"), F.col("o_custkey") == F.col("c_custkey"))
-               .crossJoin(F.broadcast(k))
-               .select(F.col("c_name").alias("customer_code"), "n_orders", "total_spend", "last_order", "at_risk"))
+               .select(F.col("c_name").alias("customer_code"), "n_orders", "total_spend", "last_order",
+                       at_risk.alias("at_risk")))
 
 
 @register("discount_nonmember", f"""
@@ -228,8 +224,8 @@ def incremental_scd2_job(spark, sf_dir):
         part_b.run(snap)
         stg = part_a.target()
         dim = part_b.read()
-        wm = stg.agg(F.max("src_updated_at").alias("__wm"))
-        src_upto = snap.crossJoin(F.broadcast(wm)).filter(F.col("updated_at") <= F.col("__wm")).drop("__wm")
+        wm = stg.agg(F.max("src_updated_at")).scalar()
+        src_upto = snap.filter(F.col("updated_at") <= wm)
         checks = [
             Q.row_count_matches("row_count_matches_source", src_upto, stg),
             Q.sum_matches("amount_matches_source", src_upto, stg, "amount"),

@@ -153,9 +153,9 @@ SELECT tier, count(*) AS n FROM s3 WHERE updated_at > {_M2} GROUP BY tier
 def changed_since_last(spark, sf_dir):
     """What the last run changed: target rows newer than the last log row's ``wm_from``."""
     job = _watermark_job(spark, sf_dir)
-    last = job.log().orderBy(F.col("load_id").desc()).limit(1).select(F.col("wm_from").alias("__from"))
+    last_from = job.log().agg(F.max_by("wm_from", "load_id")).scalar()   # the last run's lower mark
     t = job.target()
-    return (t.crossJoin(F.broadcast(last)).filter(F.col("src_updated_at") > F.col("__from"))
+    return (t.filter(F.col("src_updated_at") > last_from)
              .groupBy("tier").agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -284,14 +284,14 @@ def landing(events):
     every event once (ingest_id = event_id), every purchase re-sent unchanged,
     and every error re-sent a day *older* by source time but ingested last."""
     e = events.select("event_id", "user_id", "event_type", "ts", "value")
-    n = events.agg((F.max("event_id") + 1).alias("n"))
+    n = events.agg(F.max("event_id") + 1).scalar()
     base = e.withColumn("ingest_id", F.col("event_id"))
-    retry = (e.filter(F.col("event_type") == "purchase").crossJoin(F.broadcast(n))
-              .withColumn("ingest_id", F.col("event_id") + F.col("n")).drop("n"))
-    stale = (e.filter(F.col("event_type") == "error").crossJoin(F.broadcast(n))
-              .withColumn("ingest_id", F.col("event_id") + 2 * F.col("n"))
+    retry = (e.filter(F.col("event_type") == "purchase")
+              .withColumn("ingest_id", F.col("event_id") + n))
+    stale = (e.filter(F.col("event_type") == "error")
+              .withColumn("ingest_id", F.col("event_id") + 2 * n)
               .withColumn("ts", F.col("ts") - F.expr("INTERVAL 1 DAY"))
-              .withColumn("event_type", F.lit("stale")).drop("n"))
+              .withColumn("event_type", F.lit("stale")))
     return base.unionByName(retry).unionByName(stale)
 
 

@@ -98,13 +98,14 @@ def cascade_delete_q(spark, sf_dir):
     li = t.lineitem.select("l_orderkey", "l_linenumber")
     kept_o, kept = cascade_delete(o, "o_orderkey", F.col("o_orderstatus") == CANCELLED,
                                   {"lineitem": (li, "l_orderkey")})
-    a = o.agg(F.count(F.lit(1)).alias("o_all"))
-    b = li.agg(F.count(F.lit(1)).alias("l_all"))
-    c = kept_o.agg(F.count(F.lit(1)).alias("orders_left"))
-    d = kept["lineitem"].agg(F.count(F.lit(1)).alias("lines_left"))
-    x = a.crossJoin(b).crossJoin(c).crossJoin(d)
-    return x.select((F.col("o_all") - F.col("orders_left")).alias("orders_removed"),
-                    (F.col("l_all") - F.col("lines_left")).alias("lines_removed"), "orders_left", "lines_left")
+    # one row of four counts: each is a scalar subquery (one aggregate job each, reused)
+    def n(df):
+        return df.agg(F.count(F.lit(1))).scalar()
+    orders_left, lines_left = n(kept_o), n(kept["lineitem"])
+    return o.agg(F.count(F.lit(1)).alias("o_all")).select(
+        (F.col("o_all") - orders_left).alias("orders_removed"),
+        (n(li) - lines_left).alias("lines_removed"),
+        orders_left.alias("orders_left"), lines_left.alias("lines_left"))
 
 
 @register("apply_deltas", """

@@ -28,8 +28,8 @@ def _frames(spark, sf_dir):
     # every check reads these two frames: materialise them once
     stg = materialize(upsert_q(spark, sf_dir))
     src = materialize(user_state(Tables(spark, sf_dir).events))
-    wm = stg.agg(F.max("src_updated_at").alias("__wm"))
-    src_upto = src.crossJoin(F.broadcast(wm)).filter(F.col("updated_at") <= F.col("__wm")).drop("__wm")
+    wm = stg.agg(F.max("src_updated_at")).scalar()
+    src_upto = src.filter(F.col("updated_at") <= wm)
     return stg, src, src_upto
 
 
@@ -190,7 +190,7 @@ FROM orders
 """)
 def profile_range(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    a = t.orders.agg(F.min("o_orderdate").alias("first_order"), F.max("o_orderdate").alias("last_order"),
-                     F.count(F.lit(1)).alias("n_orders"))
-    b = t.lineitem.agg(F.max("l_shipdate").alias("last_change"))
-    return a.crossJoin(b).select("first_order", "last_order", "last_change", "n_orders")
+    last_change = t.lineitem.agg(F.max("l_shipdate")).scalar()
+    return t.orders.agg(F.min("o_orderdate").alias("first_order"), F.max("o_orderdate").alias("last_order"),
+                        last_change.alias("last_change"), F.count(F.lit(1)).alias("n_orders")) \
+                   .select("first_order", "last_order", "last_change", "n_orders")

@@ -470,8 +470,8 @@ ORDER BY o_totalprice DESC, o_orderkey LIMIT 10
 """)
 def scalar_subquery(spark, sf_dir):
     o = Tables(spark, sf_dir).orders.filter(F.col("o_orderstatus") == COMPLETED)
-    avg = o.agg(F.avg("o_totalprice").alias("avg_total"))  # one row: a broadcast scalar
-    return (o.crossJoin(F.broadcast(avg)).filter(F.col("o_totalprice") > F.col("avg_total") * 1.5)
+    avg = o.agg(F.avg("o_totalprice")).scalar()   # uncorrelated scalar subquery, evaluated once
+    return (o.filter(F.col("o_totalprice") > avg * 1.5)
              .orderBy(F.col("o_totalprice").desc(), "o_orderkey").limit(10)
              .select("o_orderkey", money("o_totalprice").alias("total_amount")))
 
@@ -630,9 +630,8 @@ def share_of_total(spark, sf_dir):
     o = Tables(spark, sf_dir).orders
     g = o.groupBy(F.col("o_orderpriority").alias("payment_method")).agg(F.count(F.lit(1)).alias("n"))
     # the grand total is one row computed from the grouped frame, broadcast back
-    tot = g.agg(F.sum("n").alias("total"))
-    return (g.crossJoin(F.broadcast(tot))
-             .select("payment_method", "n", pct(F.col("n"), F.col("total")).alias("pct")))
+    tot = g.agg(F.sum("n")).scalar()
+    return g.select("payment_method", "n", pct(F.col("n"), tot).alias("pct"))
 
 
 @register("all_cells_zero", """
@@ -647,11 +646,10 @@ FROM cells GROUP BY 1 HAVING max(r_units) = 0
 """)
 def all_cells_zero(spark, sf_dir):
     li = Tables(spark, sf_dir).lineitem.select("l_partkey", "l_suppkey", "l_returnflag", "l_quantity", "l_shipdate")
-    mx = li.agg(F.max("l_shipdate").alias("m"))
+    mx = li.agg(F.max("l_shipdate")).scalar()
     recent_r = ((F.col("l_returnflag") == "R")
-                & (F.col("l_shipdate") >= F.col("m") - F.expr("INTERVAL 180 DAYS")))
-    cells = (li.crossJoin(F.broadcast(mx))
-               .groupBy("l_partkey", "l_suppkey")
+                & (F.col("l_shipdate") >= mx - F.expr("INTERVAL 180 DAYS")))
+    cells = (li.groupBy("l_partkey", "l_suppkey")
                .agg(F.sum(F.when(recent_r, F.col("l_quantity")).otherwise(0.0)).alias("r_units")))
     # "for every cell": the part qualifies when no cell has a recent R unit
     return (cells.groupBy(F.col("l_partkey").alias("p_partkey"))
@@ -705,9 +703,9 @@ def argmax_ties(spark, sf_dir):
                  .join(F.broadcast(t.nation.select("n_nationkey", "n_name")),
                        F.col("c_nationkey") == F.col("n_nationkey"))
                  .select(F.col("n_name").alias("province"), "sales"))
-    best = s.agg(F.max("sales").alias("best"))
-    # compare with the broadcast maximum: every tied province is kept
-    return s.crossJoin(F.broadcast(best)).filter(F.col("sales") == F.col("best")).select("province", "sales")
+    best = s.agg(F.max("sales")).scalar()
+    # compare with the maximum (a scalar subquery): every tied province is kept
+    return s.filter(F.col("sales") == best).select("province", "sales")
 
 
 @register("daily_category_fact", f"""
