@@ -22,7 +22,8 @@ def spark():
          .config("spark.driver.memory", "8g")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tw-test-ckpt-"))
+    if not s.sparkContext.getCheckpointDir():      # only where the session has none
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tw-test-ckpt-"))
     yield s
     s.stop()
 

@@ -4,7 +4,8 @@ including when one key holds a third of the rows."""
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidewater.operators.sequence import assign_sk, global_row_number, lag_within, ntile
+from tidewater.operators.scd2 import check_contiguous
+from tidewater.operators.sequence import assign_sk, global_row_number, lag_within, lead_within, ntile
 
 
 def skewed(spark, n=3000):
@@ -32,10 +33,56 @@ def test_ntile_matches_window(spark):
 
 def test_lag_within_matches_window(spark):
     df = skewed(spark)
-    got = lag_within(df, ["k"], ["v", "id"], ["v"])
     want = df.withColumn("p", F.lag("v").over(Window.partitionBy("k").orderBy("v", "id")))
-    j = got.join(want.select("id", "p"), "id")
-    assert j.filter(~F.col("prev_v").eqNullSafe(F.col("p"))).count() == 0
+    # group_limit=0 forces the range-numbered form; 100 rows: key 0 (1000 rows) is too hot for a window
+    for limit in (0, 100, 10_000):
+        got = lag_within(df, ["k"], ["v", "id"], ["v"], group_limit=limit)
+        j = got.join(want.select("id", "p"), "id")
+        assert j.filter(~F.col("prev_v").eqNullSafe(F.col("p"))).count() == 0
+        assert got.count() == 3000
+
+
+def test_lead_within_matches_window(spark):
+    df = skewed(spark)
+    got = lead_within(df, ["k"], ["v", "id"], ["v"])
+    want = df.withColumn("n", F.lead("v").over(Window.partitionBy("k").orderBy("v", "id")))
+    j = got.join(want.select("id", "n"), "id")
+    assert j.filter(~F.col("next_v").eqNullSafe(F.col("n"))).count() == 0
+    forced = lead_within(df, ["k"], ["v", "id"], ["v"], group_limit=0)
+    j = forced.join(want.select("id", "n"), "id")
+    assert j.filter(~F.col("next_v").eqNullSafe(F.col("n"))).count() == 0
+
+
+def _history(spark, n_hot=2000):
+    # key 0 has a long contiguous history (a hot key), keys 1-3 one or two versions
+    hot = (spark.range(n_hot).select(F.lit(0).cast("bigint").alias("k"), (F.col("id") + 1).alias("sk"),
+                                     F.timestamp_seconds(F.col("id") * 60).cast("timestamp_ntz").alias("valid_from"),
+                                     F.when(F.col("id") < n_hot - 1,
+                                            F.timestamp_seconds((F.col("id") + 1) * 60).cast("timestamp_ntz"))
+                                      .alias("valid_to"),
+                                     (F.col("id") == n_hot - 1).alias("is_current")))
+    small = spark.createDataFrame(
+        [(1, 90001, "2024-01-01 00:00:00", "2024-01-05 00:00:00", False),
+         (1, 90002, "2024-01-05 00:00:00", None, True),
+         (2, 90003, "2024-01-02 00:00:00", None, True)],
+        "k bigint, sk bigint, valid_from string, valid_to string, is_current boolean")
+    small = small.select("k", "sk", F.col("valid_from").cast("timestamp_ntz").alias("valid_from"),
+                         F.col("valid_to").cast("timestamp_ntz").alias("valid_to"), "is_current")
+    return hot.unionByName(small)
+
+
+def test_contiguity_check_on_hot_key(spark):
+    dim = _history(spark)
+    # 500: the hot key (2000 versions) takes the range-numbered form; 0 forces it; default: window
+    for limit in (0, 500, 1_000_000):
+        assert check_contiguous(dim, "k", group_limit=limit).first()["violations"] == 0
+        # a gap inside the hot key's history, and an overlap in key 1
+        gap = dim.withColumn("valid_to", F.when(F.col("sk") == 700, F.col("valid_to") - F.expr("INTERVAL 1 SECOND"))
+                             .otherwise(F.col("valid_to")))
+        overlap = gap.withColumn("valid_to", F.when(F.col("sk") == 90001, F.lit("2024-01-06").cast("timestamp_ntz"))
+                                 .otherwise(F.col("valid_to")))
+        assert check_contiguous(gap, "k", group_limit=limit).first()["violations"] == 1
+        assert check_contiguous(overlap, "k", group_limit=limit).first()["violations"] == 2
 
 
 def test_assign_sk_continues_from_max(spark):

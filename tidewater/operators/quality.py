@@ -25,21 +25,17 @@ def _one(name: str, df: DataFrame, violations: Column) -> DataFrame:
 
 def row_count_matches(name: str, source: DataFrame, target: DataFrame) -> DataFrame:
     """Completeness: |count(source) - count(target)|."""
-    b = target.agg(F.count(F.lit(1))).scalar()          # one value, a scalar subquery
-    return source.agg(F.count(F.lit(1)).alias("a")).select(
-        F.lit(name).alias("check_name"), F.abs(F.col("a") - b).cast("bigint").alias("violations"))
+    return _one(name, source, rows_differ_from(target.agg(F.count(F.lit(1))).scalar()))
 
 
 def sum_matches(name: str, source: DataFrame, target: DataFrame, col: str) -> DataFrame:
     """Accuracy: 1 when the DECIMAL totals differ (NULL-safe), else 0."""
-    b = target.agg(F.sum(col)).scalar()
-    return source.agg(F.sum(col).alias("a")).select(
-        F.lit(name).alias("check_name"), (~F.col("a").eqNullSafe(b)).cast("bigint").alias("violations"))
+    return _one(name, source, sum_differs_from(col, target.agg(F.sum(col)).scalar()))
 
 
 def unique(name: str, df: DataFrame, key: str) -> DataFrame:
     """Uniqueness: count(*) - count(DISTINCT key)."""
-    return _one(name, df, F.count(F.lit(1)) - F.countDistinct(key))
+    return _one(name, df, duplicate_keys(key))
 
 
 def duplicates(df: DataFrame, key: str) -> DataFrame:
@@ -49,7 +45,7 @@ def duplicates(df: DataFrame, key: str) -> DataFrame:
 
 def not_null(name: str, df: DataFrame, col: str) -> DataFrame:
     """count_if, so an empty table gives 0 rather than NULL."""
-    return _one(name, df, F.count_if(F.col(col).isNull()))
+    return _one(name, df, null_values(col))
 
 
 def referential(name: str, child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
@@ -60,17 +56,52 @@ def referential(name: str, child: DataFrame, fk: str, parent: DataFrame, pk: str
 
 def accepted_values(name: str, df: DataFrame, col: str, values) -> DataFrame:
     """Validity: values outside the accepted set (NULL is not counted)."""
-    return _one(name, df, F.count_if(~F.col(col).isin(*values)))
+    return _one(name, df, values_outside(col, values))
 
 
 def freshness(name: str, target: DataFrame, target_ts: str, source: DataFrame, source_ts: str,
               max_hours: int) -> DataFrame:
     """1 when the target's newest row is more than ``max_hours`` behind the source's."""
-    s = source.agg(F.max(source_ts)).scalar()
-    lag_h = F.timestamp_diff("HOUR", F.col("t"), s)
-    return target.agg(F.max(target_ts).alias("t")).select(
-        F.lit(name).alias("check_name"),
-        F.coalesce((lag_h > max_hours).cast("bigint"), F.lit(1).cast("bigint")).alias("violations"))
+    return _one(name, target, stale_by_hours(target_ts, source.agg(F.max(source_ts)).scalar(), max_hours))
+
+
+# Violation counts as aggregate expressions, so that many checks of one table
+# run in a single scan (:func:`one_pass`) instead of one scan per check.
+
+def rows_differ_from(other_count: Column) -> Column:
+    """|count(this) - other_count|; ``other_count`` is usually a scalar subquery."""
+    return F.abs(F.count(F.lit(1)) - other_count)
+
+
+def sum_differs_from(col: str, other_sum: Column) -> Column:
+    return (~F.sum(col).eqNullSafe(other_sum)).cast("bigint")
+
+
+def duplicate_keys(key: str) -> Column:
+    return F.count(F.lit(1)) - F.countDistinct(key)
+
+
+def null_values(col: str) -> Column:
+    return F.count_if(F.col(col).isNull())
+
+
+def values_outside(col: str, values) -> Column:
+    return F.count_if(~F.col(col).isin(*values))
+
+
+def stale_by_hours(ts_col: str, source_max: Column, max_hours: int) -> Column:
+    lag_h = F.timestamp_diff("HOUR", F.max(ts_col), source_max)
+    return F.coalesce((lag_h > max_hours).cast("bigint"), F.lit(1).cast("bigint"))
+
+
+def one_pass(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
+    """Several checks of one table in one aggregate (one scan, combined
+    map-side), unpivoted to one ``(check_name, violations)`` row per check."""
+    names = list(checks)
+    agg = df.agg(*[F.coalesce(checks[n].cast("bigint"), F.lit(0).cast("bigint")).alias(f"__c{i}")
+                   for i, n in enumerate(names)])
+    pairs = ", ".join(f"'{n}', __c{i}" for i, n in enumerate(names))
+    return agg.select(F.expr(f"stack({len(names)}, {pairs}) AS (check_name, violations)"))
 
 
 def suite(checks: list[DataFrame], run_at) -> DataFrame:

@@ -9,11 +9,11 @@ key can be hot; re-running with the same snapshot changes nothing.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.operators.loads import any_differs
-from tidewater.operators.sequence import assign_sk
+from tidewater.operators.sequence import WINDOW_GROUP_LIMIT, assign_sk, lead_within
 
 SCD_COLS = ["valid_from", "valid_to", "is_current"]
 
@@ -92,15 +92,19 @@ def check_one_current(dim: DataFrame, key: str) -> DataFrame:
     return per.agg(F.count_if(F.col("n_current") != 1).cast("bigint").alias("violations"))
 
 
-def check_contiguous(dim: DataFrame, key: str) -> DataFrame:
+def check_contiguous(dim: DataFrame, key: str, group_limit: int = WINDOW_GROUP_LIMIT) -> DataFrame:
     """Q10: a version's valid_to must equal the next version's valid_from, and
-    only the last version may be open.  Versions per key are one per change,
-    so the per-key window is small."""
-    w = Window.partitionBy(key).orderBy("valid_from", "sk")
-    nxt = F.lead("valid_from").over(w)
+    only the last version may be open.
+
+    The next version comes from :func:`lead_within`: a per-key window while
+    every entity's history is below ``group_limit`` versions, else a
+    range-numbered LEAD that splits a very long history over many tasks."""
+    x = lead_within(dim.select(key, "sk", "valid_from", "valid_to"), [key], ["valid_from", "sk"],
+                    ["valid_from"], prefix="__next_", group_limit=group_limit)
+    nxt = F.col("__next_valid_from")
     bad = (nxt.isNull() & F.col("valid_to").isNotNull()) | (nxt.isNotNull() & ~F.col("valid_to").eqNullSafe(nxt)) \
         | (F.col("valid_to") <= F.col("valid_from"))
-    return dim.select(bad.alias("bad")).agg(F.count_if("bad").cast("bigint").alias("violations"))
+    return x.select(bad.alias("bad")).agg(F.count_if("bad").cast("bigint").alias("violations"))
 
 
 def check_matches_source(dim: DataFrame, source: DataFrame, key: str, attrs: list[str]) -> DataFrame:

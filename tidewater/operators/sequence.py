@@ -26,6 +26,10 @@ from tidewater.session import cluster_shuffle_partitions, ensure_checkpoint_dir
 # through joins without column stats), not sizes; they are treated as unknown.
 _CREDIBLE_ESTIMATE = 1 << 50          # 1 PiB
 _MAX_RANGE_PARTITIONS = 1 << 19       # ~512k: 100 TB at 256 MB each fits below it
+# A per-key window holds all rows of one key in one task.  It is used only
+# when the largest key is at most this many rows (checked first with one
+# aggregate); beyond it the range-numbered form is used.
+WINDOW_GROUP_LIMIT = 1_000_000
 
 
 def _num_partitions(df: DataFrame) -> int:
@@ -89,16 +93,30 @@ def ntile(df: DataFrame, buckets: int, order_cols: list, name: str = "ntile") ->
     return x.withColumn(name, bucket.cast("bigint")).drop("__rn", "__total")
 
 
-def lag_within(df: DataFrame, key_cols: list, order_cols: list, value_cols: list,
-               prefix: str = "prev_") -> DataFrame:
-    """LAG(value) OVER (PARTITION BY key ORDER BY order) without a per-key task.
+def largest_group(df: DataFrame, key_cols: list) -> int:
+    """Rows of the largest key: one aggregate, combined map-side; one value to the driver."""
+    n = df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("__n")).agg(F.max("__n")).first()[0]
+    return n or 0
+
 
-    Rows are numbered along (key, order); the previous row is found by an
-    equi-join on ``rn - 1`` (a unique key, so no join skew) and kept only when
-    it belongs to the same key.
+def lag_within(df: DataFrame, key_cols: list, order_cols: list, value_cols: list,
+               prefix: str = "prev_", offset: int = 1,
+               group_limit: int = WINDOW_GROUP_LIMIT) -> DataFrame:
+    """LAG(value, offset) OVER (PARTITION BY key ORDER BY order), safe for hot keys.
+
+    When no key has more than ``group_limit`` rows, this is the plain window
+    (one shuffle on the key).  Otherwise rows are numbered along (key, order)
+    by range partitions, which split a hot key over many tasks; the row
+    ``offset`` places before is found by an equi-join on ``rn - offset`` (a
+    unique key, so no join skew) and kept only when it belongs to the same
+    key.  A negative ``offset`` is LEAD.
     """
+    if group_limit > 0 and largest_group(df, key_cols) <= group_limit:
+        w = Window.partitionBy(*key_cols).orderBy(*order_cols)
+        shift = (lambda c: F.lag(c, offset)) if offset > 0 else (lambda c: F.lead(c, -offset))
+        return df.select("*", *[shift(v).over(w).alias(f"{prefix}{v}") for v in value_cols])
     numbered = global_row_number(df, list(key_cols) + list(order_cols), name="__rn")
-    prev = numbered.select((F.col("__rn") + 1).alias("__rn"),
+    prev = numbered.select((F.col("__rn") + offset).alias("__rn"),
                            *[F.col(k).alias(f"__pk_{k}") for k in key_cols],
                            *[F.col(v).alias(f"{prefix}{v}") for v in value_cols])
     j = numbered.join(prev, "__rn", "left")
@@ -110,6 +128,12 @@ def lag_within(df: DataFrame, key_cols: list, order_cols: list, value_cols: list
     return j.drop("__rn", *[f"__pk_{k}" for k in key_cols])
 
 
+def lead_within(df: DataFrame, key_cols: list, order_cols: list, value_cols: list,
+                prefix: str = "next_", group_limit: int = WINDOW_GROUP_LIMIT) -> DataFrame:
+    """LEAD(value) OVER (PARTITION BY key ORDER BY order), skew-safe like :func:`lag_within`."""
+    return lag_within(df, key_cols, order_cols, value_cols, prefix=prefix, offset=-1, group_limit=group_limit)
+
+
 def assign_sk(existing: DataFrame | None, new_rows: DataFrame, order_cols: list, sk: str = "sk",
               start: int | None = None) -> DataFrame:
     """Surrogate keys for ``new_rows`` continuing from ``max(existing.sk)``

@@ -11,8 +11,9 @@ from tidewater.functions import CANCELLED, line_total, money, month_key, pct
 from tidewater.jobs import Scd2Load, WatermarkLoad
 from tidewater.operators import quality as Q
 from tidewater.operators.scd2 import check_contiguous, check_matches_source, check_one_current
+from tidewater.operators.sequence import materialize
 from tidewater.plans.loads import ROUNDS, UPDATE_COLS, _stg_source, user_state
-from tidewater.plans.quality import _SUITE_SQL, ACCEPTED_TIERS
+from tidewater.plans.quality import _SUITE_SQL, staging_checks
 from tidewater.plans.registry import register
 from tidewater.session import scratch_root
 from tidewater.sources import Tables
@@ -220,26 +221,21 @@ def incremental_scd2_job(spark, sf_dir):
     results = None
     for i, bound in enumerate(schedule):
         part_a.run(_stg_source(ev, bound))
-        snap = user_state(ev, bound)
+        # one snapshot per round: the SCD2 load and every check read the same rows
+        snap = materialize(user_state(ev, bound))
         part_b.run(snap)
         stg = part_a.target()
         dim = part_b.read()
         wm = stg.agg(F.max("src_updated_at")).scalar()
         src_upto = snap.filter(F.col("updated_at") <= wm)
-        checks = [
-            Q.row_count_matches("row_count_matches_source", src_upto, stg),
-            Q.sum_matches("amount_matches_source", src_upto, stg, "amount"),
-            Q.unique("user_id_unique", stg, "user_id"),
-            Q.not_null("tier_not_null", stg, "tier"),
-            Q.referential("users_have_customer", stg, "user_id", Tables(spark, sf_dir).customer, "c_custkey"),
-            Q.accepted_values("tier_accepted_values", stg, "tier", ACCEPTED_TIERS),
-            Q.freshness("fresh_within_2_days", stg, "src_updated_at", snap, "updated_at", 48),
+        checks = staging_checks(stg, snap, src_upto, Tables(spark, sf_dir).customer) + [
             check_one_current(dim, "user_id").select(F.lit("scd2_one_current").alias("check_name"), "violations"),
             check_contiguous(dim, "user_id").select(F.lit("scd2_contiguous").alias("check_name"), "violations"),
             check_matches_source(dim, snap, "user_id", ["tier"]).select(
                 F.lit("scd2_matches_source").alias("check_name"), "violations"),
         ]
-        results = Q.suite(checks, f"2024-02-01 0{i}:00:00")
+        # a few rows (one per check), computed once: stored and gated from the same checkpoint
+        results = materialize(Q.suite(checks, f"2024-02-01 0{i}:00:00"))
         tx = dq.begin("dq_results")
         prev = dq.read("dq_results", "rows")
         stored = results if prev is None else prev.unionByName(results)
