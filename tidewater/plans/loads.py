@@ -430,6 +430,7 @@ SELECT sk, user_id, tier, valid_from, valid_to, is_current FROM d WHERE user_id
 def most_versions(spark, sf_dir):
     """History of the entity with the most versions (ties: lowest key)."""
     dim = scd2_dimension(spark, Tables(spark, sf_dir).events)
-    top = (dim.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-              .orderBy(F.col("n").desc(), "user_id").limit(1).select(F.col("user_id").alias("__u")))
-    return dim.join(F.broadcast(top), F.col("user_id") == F.col("__u"), "left_semi")
+    # most versions first, then the lowest key: max of (n, -user_id), one aggregate
+    per_key = dim.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    top = per_key.agg(F.max_by("user_id", F.struct(F.col("n"), -F.col("user_id")))).scalar()
+    return dim.filter(F.col("user_id") == top)

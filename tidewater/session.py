@@ -64,6 +64,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         conf_dir = spark.conf.get("spark.checkpoint.dir", None)
         if conf_dir:
             return conf_dir
+        if not str(spark.conf.get("spark.master", "")).startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set; a cluster job needs a shared folder for checkpoints")
         return tempfile.mkdtemp(prefix="tidewater-ckpt-")
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
