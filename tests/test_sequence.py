@@ -16,19 +16,21 @@ def skewed(spark, n=3000):
 
 def test_global_row_number_matches_window(spark):
     df = skewed(spark)
-    got = global_row_number(df, ["k", "v", "id"], name="rn")
     want = df.withColumn("rn2", F.row_number().over(Window.orderBy("k", "v", "id")))
-    j = got.join(want, "id")
-    assert j.filter(F.col("rn") != F.col("rn2")).count() == 0
-    assert got.count() == 3000
+    for limit in (0, 10_000):          # 0 forces the range-numbered form
+        got = global_row_number(df, ["k", "v", "id"], name="rn", group_limit=limit)
+        j = got.join(want, "id")
+        assert j.filter(F.col("rn") != F.col("rn2")).count() == 0
+        assert got.count() == 3000
 
 
 def test_ntile_matches_window(spark):
     for n, k in [(10, 4), (1500, 4), (1003, 7), (3, 5)]:
         df = spark.range(n).withColumn("v", (F.col("id") * 37) % 101)
-        got = ntile(df, k, [F.col("v").desc(), "id"], name="b")
         want = df.withColumn("b2", F.ntile(k).over(Window.orderBy(F.col("v").desc(), "id")))
-        assert got.join(want, "id").filter(F.col("b") != F.col("b2")).count() == 0
+        for limit in (0, 10_000):
+            got = ntile(df, k, [F.col("v").desc(), "id"], name="b", group_limit=limit)
+            assert got.join(want, "id").filter(F.col("b") != F.col("b2")).count() == 0
 
 
 def test_lag_within_matches_window(spark):

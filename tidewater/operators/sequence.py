@@ -53,14 +53,24 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def rows_at_most(df: DataFrame, limit: int) -> bool:
+    """True when ``df`` has at most ``limit`` rows; each task stops after
+    ``limit + 1`` rows, and one number reaches the driver."""
+    return df.limit(limit + 1).count() <= limit
+
+
 def global_row_number(df: DataFrame, order_cols: list, name: str = "rn",
-                      num_partitions: int | None = None) -> DataFrame:
+                      num_partitions: int | None = None,
+                      group_limit: int = WINDOW_GROUP_LIMIT) -> DataFrame:
     """Add a 1-based row number in ``order_cols`` order without a single-task window.
 
     ``order_cols`` must define a total order (end with a unique key), as for
     any deterministic ROW_NUMBER.  Entries may be column names or sort
-    expressions (e.g. ``F.col("x").desc()``).
+    expressions (e.g. ``F.col("x").desc()``).  Up to ``group_limit`` rows the
+    plain window is used (one task, deterministic under a total order).
     """
+    if num_partitions is None and group_limit > 0 and rows_at_most(df, group_limit):
+        return df.withColumn(name, F.row_number().over(Window.orderBy(*order_cols)).cast("bigint"))
     n = num_partitions or _num_partitions(df)
     ranged = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
                 .withColumn("__pid", F.spark_partition_id())
@@ -75,12 +85,16 @@ def global_row_number(df: DataFrame, order_cols: list, name: str = "rn",
                .drop("__pid", "__mid", "__first", "__off"))
 
 
-def ntile(df: DataFrame, buckets: int, order_cols: list, name: str = "ntile") -> DataFrame:
+def ntile(df: DataFrame, buckets: int, order_cols: list, name: str = "ntile",
+          group_limit: int = WINDOW_GROUP_LIMIT) -> DataFrame:
     """SQL NTILE(buckets) over ``order_cols`` computed from the global row number.
 
     With N rows, q = N div k and r = N mod k: the first r buckets hold q + 1 rows.
+    Up to ``group_limit`` rows the plain window is used.
     """
-    numbered = global_row_number(df, order_cols, name="__rn")
+    if group_limit > 0 and rows_at_most(df, group_limit):
+        return df.withColumn(name, F.ntile(buckets).over(Window.orderBy(*order_cols)).cast("bigint"))
+    numbered = global_row_number(df, order_cols, name="__rn", group_limit=0)
     total = numbered.agg(F.count(F.lit(1))).scalar()
     x = numbered.withColumn("__total", total)
     k = F.lit(buckets)
@@ -115,7 +129,7 @@ def lag_within(df: DataFrame, key_cols: list, order_cols: list, value_cols: list
         w = Window.partitionBy(*key_cols).orderBy(*order_cols)
         shift = (lambda c: F.lag(c, offset)) if offset > 0 else (lambda c: F.lead(c, -offset))
         return df.select("*", *[shift(v).over(w).alias(f"{prefix}{v}") for v in value_cols])
-    numbered = global_row_number(df, list(key_cols) + list(order_cols), name="__rn")
+    numbered = global_row_number(df, list(key_cols) + list(order_cols), name="__rn", group_limit=0)
     prev = numbered.select((F.col("__rn") + offset).alias("__rn"),
                            *[F.col(k).alias(f"__pk_{k}") for k in key_cols],
                            *[F.col(v).alias(f"{prefix}{v}") for v in value_cols])
