@@ -18,7 +18,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.operators.loads import change_counts, latest_per_key, upsert, watermark_slice
+from tidewater.operators.loads import change_counts, latest_per_key, slice_lower, upsert, watermark_slice
 from tidewater.operators.scd2 import changed_keys, empty_dimension, scd2_merge
 from tidewater.sources.publish import Catalog
 
@@ -55,9 +55,15 @@ class WatermarkLoad:
         snap = tx.base
         wm = self.catalog.read(self.table, "watermark", snap)
         wm_from = wm.first()["watermark_value"] if wm is not None else dt.datetime(1970, 1, 1)
-        wm_to = source.agg(F.max(self.ts_col)).first()[0]          # frozen upper bound
+        # one scan gives the frozen upper bound (the source maximum) and the
+        # buckets the slice touches (a set of at most n_buckets values)
+        in_slice = F.col(self.ts_col) > slice_lower(wm_from, self.lookback)
+        stats = source.agg(F.max(self.ts_col).alias("wm_to"),
+                           F.collect_set(F.when(in_slice, bucket_of(self.key, self.n_buckets))).alias("b")).first()
+        wm_to = stats["wm_to"]
         if wm_to is None:                                             # empty source: keep the mark
             return {"skipped": True}
+        touched = sorted(stats["b"])
         delta = watermark_slice(source, self.ts_col, wm_from, wm_to, self.lookback)
         # several versions of one key in the slice: keep the latest (an upsert
         # with duplicate keys would be order-dependent); combined map-side
@@ -66,8 +72,6 @@ class WatermarkLoad:
         target = self.catalog.read(self.table, "rows", snap)
         if target is None:
             target = self.spark.createDataFrame([], delta.schema)
-        # one scalar per bucket: bounded by n_buckets, not by rows
-        touched = [r[0] for r in delta.select("__bucket").distinct().collect()]
         old = self.catalog.read(self.table, "rows", snap, partitions=touched) if snap else target
         counts = change_counts(old, delta, self.key, self.update_cols).first()
         merged = upsert(old.select(*delta.columns), delta, self.key, self.update_cols)

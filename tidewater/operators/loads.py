@@ -88,14 +88,16 @@ def change_counts(target: DataFrame, source: DataFrame, key: str | list[str], co
                  F.count_if(~is_new & ~diff).cast("bigint").alias("rows_unchanged"))
 
 
+def slice_lower(wm_from, lookback: str | None = None) -> Column:
+    """The exclusive lower bound of a watermark slice: ``wm_from [- lookback]``."""
+    lo = F.lit(_ts_text(wm_from)).cast("timestamp_ntz")
+    return lo - F.expr(f"INTERVAL {lookback}") if lookback else lo
+
+
 def watermark_slice(source: DataFrame, ts_col: str, wm_from, wm_to, lookback: str | None = None) -> DataFrame:
     """Rows with ``wm_from [- lookback] < ts <= wm_to`` on the bare column."""
-    wm_from, wm_to = _ts_text(wm_from), _ts_text(wm_to)
-    lo = F.lit(wm_from).cast("timestamp_ntz")
-    if lookback:
-        lo = lo - F.expr(f"INTERVAL {lookback}")
-    hi = F.lit(wm_to).cast("timestamp_ntz")
-    return source.filter((F.col(ts_col) > lo) & (F.col(ts_col) <= hi))
+    hi = F.lit(_ts_text(wm_to)).cast("timestamp_ntz")
+    return source.filter((F.col(ts_col) > slice_lower(wm_from, lookback)) & (F.col(ts_col) <= hi))
 
 
 def _ts_text(v):
