@@ -23,6 +23,35 @@ def test_gate_stops_on_failure(spark):
     assert Q.not_null("n", empty, "k").first().violations == 0   # count_if, not SUM: 0 on empty
 
 
+def test_one_pass_equals_separate_checks(spark):
+    """The fused suite form gives the same violation counts as one query per check."""
+    tgt = spark.createDataFrame(
+        [(1, "gold", decimal.Decimal("10.00"), dt.datetime(2024, 1, 1, 0)),
+         (1, "gold", decimal.Decimal("5.00"), dt.datetime(2024, 1, 1, 1)),
+         (2, None, decimal.Decimal("1.50"), dt.datetime(2024, 1, 2, 0)),
+         (3, "tin", decimal.Decimal("2.25"), dt.datetime(2024, 1, 2, 3))],
+        "k int, tier string, amount decimal(18,2), ts timestamp_ntz")
+    src = spark.createDataFrame(
+        [(1, decimal.Decimal("10.00"), dt.datetime(2024, 1, 6, 0)), (2, decimal.Decimal("1.50"), dt.datetime(2024, 1, 5, 0))],
+        "k int, amount decimal(18,2), ts timestamp_ntz")
+    tiers = ("gold", "silver")
+    fused = Q.one_pass(tgt, {
+        "rows": Q.rows_differ_from(src.agg(F.count(F.lit(1))).scalar()),
+        "sum": Q.sum_differs_from("amount", src.agg(F.sum("amount")).scalar()),
+        "unique": Q.duplicate_keys("k"),
+        "not_null": Q.null_values("tier"),
+        "accepted": Q.values_outside("tier", tiers),
+        "fresh": Q.stale_by_hours("ts", src.agg(F.max("ts")).scalar(), 48),
+    })
+    separate = [Q.row_count_matches("rows", src, tgt), Q.sum_matches("sum", src, tgt, "amount"),
+                Q.unique("unique", tgt, "k"), Q.not_null("not_null", tgt, "tier"),
+                Q.accepted_values("accepted", tgt, "tier", tiers),
+                Q.freshness("fresh", tgt, "ts", src, "ts", 48)]
+    want = {r.check_name: r.violations for df in separate for r in df.collect()}
+    got = {r.check_name: r.violations for r in fused.collect()}
+    assert got == want == {"rows": 2, "sum": 1, "unique": 1, "not_null": 1, "accepted": 1, "fresh": 1}
+
+
 def test_entry_runs(spark):
     rows = E.entry(spark).collect()
     assert len(rows) > 0 and set(rows[0].asDict()) == {"category", "revenue", "units"}
