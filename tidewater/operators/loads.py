@@ -136,7 +136,8 @@ def append_new(target: DataFrame, source: DataFrame, id_col: str) -> DataFrame:
 
 def detect_deletes(target: DataFrame, source_keys: DataFrame, key: str) -> DataFrame:
     """Target keys that vanished from the full source key set (hard deletes)."""
-    return target.join(source_keys.select(F.col(key).alias("__k")), F.col(key) == F.col("__k"), "left_anti")
+    keys = source_keys.select(F.col(key).alias("__k")).distinct()     # combined map-side
+    return target.join(keys, F.col(key) == F.col("__k"), "left_anti")
 
 
 def replace_range(current: DataFrame, fresh: DataFrame, date_col: str, date_from: str, date_to: str) -> DataFrame:

@@ -173,7 +173,8 @@ def dq_completed_unpaid(spark, sf_dir):
     """Cross-table rule: completed orders without any line (anti join to a filtered parent)."""
     t = Tables(spark, sf_dir)
     done = t.orders.filter(F.col("o_orderstatus") == COMPLETED).select("o_orderkey")
-    return done.join(t.lineitem.select("l_orderkey"), F.col("o_orderkey") == F.col("l_orderkey"), "left_anti")
+    return done.join(t.lineitem.select("l_orderkey").distinct(), F.col("o_orderkey") == F.col("l_orderkey"),
+                     "left_anti")
 
 
 @register("dq_key_parts", """
