@@ -3,6 +3,13 @@
 Digests are computed on the executors (one row per file with ``binaryFile``,
 ``sha2`` of the content); only paths whose digest matches the manifest are
 loaded, and a mismatch or a missing file refuses the whole load.
+
+A digest is sequential, so each file is hashed by one task: the work per task
+is bounded by the publisher's part size (Parquet parts of a few hundred MB;
+``binaryFile`` refuses files over 2 GB), and the files hash in parallel.  The
+verified path list reaches the driver because the reader takes paths there; it
+is the explicit list that was checked, so files landing after the check are
+never read.
 """
 
 from __future__ import annotations
