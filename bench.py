@@ -1,8 +1,9 @@
 """Benchmark: headline keys at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Each key is executed to completion with the ``noop`` sink (no collect to
-the driver); the first run warms the JVM and file listing, the reported time
-is the best of the timed runs.  Prints one JSON line.
+the driver), ``$BENCH_RUNS`` times (default 3); the first run warms the JVM
+and file listing, and the reported time is the best run, which on a shared
+machine is the steadiest figure.  Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     keys = sys.argv[1:] or HEADLINE
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2)
     times = {}
