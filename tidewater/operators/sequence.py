@@ -3,7 +3,9 @@ surrogate keys.
 
 A window without PARTITION BY moves every row into one task, and a window
 partitioned by a hot key moves a third of the table into one task.  These
-operators avoid both:
+operators first check the size of the largest group (the whole frame for a
+global order); up to ``WINDOW_GROUP_LIMIT`` rows they use the plain window,
+above it the range-numbered form:
 
 1. range-partition on the full (total) sort order, so even one hot key is
    split across many partitions by the sampled range bounds;
@@ -54,15 +56,16 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def rows_at_most(df: DataFrame, limit: int) -> bool:
-    """True when ``df`` has at most ``limit`` rows; each task stops after
-    ``limit + 1`` rows, and one number reaches the driver."""
+    """True when ``df`` has at most ``limit`` rows: at most ``limit + 1``
+    rows are counted (a task of the last stage stops there), and one number
+    reaches the driver."""
     return df.limit(limit + 1).count() <= limit
 
 
 def global_row_number(df: DataFrame, order_cols: list, name: str = "rn",
                       num_partitions: int | None = None,
                       group_limit: int = WINDOW_GROUP_LIMIT) -> DataFrame:
-    """Add a 1-based row number in ``order_cols`` order without a single-task window.
+    """Add a 1-based row number in ``order_cols`` order; one task only up to ``group_limit`` rows.
 
     ``order_cols`` must define a total order (end with a unique key), as for
     any deterministic ROW_NUMBER.  Entries may be column names or sort
