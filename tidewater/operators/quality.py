@@ -100,8 +100,8 @@ def one_pass(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
     names = list(checks)
     agg = df.agg(*[F.coalesce(checks[n].cast("bigint"), F.lit(0).cast("bigint")).alias(f"__c{i}")
                    for i, n in enumerate(names)])
-    pairs = ", ".join(f"'{n}', __c{i}" for i, n in enumerate(names))
-    return agg.select(F.expr(f"stack({len(names)}, {pairs}) AS (check_name, violations)"))
+    pairs = [c for i, n in enumerate(names) for c in (F.lit(n), F.col(f"__c{i}"))]
+    return agg.select(F.stack(F.lit(len(names)), *pairs).alias("check_name", "violations"))
 
 
 def suite(checks: list[DataFrame], run_at) -> DataFrame:
