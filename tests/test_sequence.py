@@ -5,7 +5,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidewater.operators.scd2 import check_contiguous
-from tidewater.operators.sequence import assign_sk, global_row_number, lag_within, lead_within, ntile
+from tidewater.operators.sequence import (assign_sk, global_row_number, lag_within, largest_group, lead_within, ntile,
+                                         rows_at_most)
 
 
 def skewed(spark, n=3000):
@@ -87,6 +88,13 @@ def test_contiguity_check_on_hot_key(spark):
         assert check_contiguous(overlap, "k", group_limit=limit).first()["violations"] == 2
 
 
+def test_size_probes(spark):
+    df = skewed(spark)
+    assert largest_group(df, ["k"]) == df.filter("k = 0").count() > 1000
+    assert largest_group(spark.range(0), ["id"]) == 0
+    assert rows_at_most(df, 3000) and not rows_at_most(df, 2999)
+
+
 def test_assign_sk_continues_from_max(spark):
     existing = spark.createDataFrame([("a", 1), ("b", 2), ("c", 5)], "name string, sk bigint")
     new = spark.createDataFrame([("e",), ("d",)], "name string")
