@@ -84,14 +84,15 @@ def overlaps(df: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text: str
                          F.crc32(F.coalesce(text, F.lit(""))).alias("k2"), F.explode(F.array(row)).alias("d"))
         docs = docs.select("doc_id", "k1", "k2", F.col("d.w").alias("w"), F.posexplode("d.seeds").alias("run", "seed"))
         hit = docs.join(seeds.where(F.col("n_item") >= SPAN if span == SPAN else F.col("n_item") == span), "seed")
-        n, runs = F.size("w"), F.size("w") - (span - 1)
+        runs = F.size("w") - (span - 1)
         at = F.col("run") % runs
         start = F.greatest(F.lit(0), at - F.col("off"))
-        hit = hit.select("doc_id", "k1", "k2", "item_id", "n_item", at.alias("at"), start.alias("start"),
-                         F.slice("w", start + 1, F.size("ctx") - (start - (at - F.col("off")))).alias("mine"),
-                         F.slice("ctx", start - (at - F.col("off")) + 1, F.size("ctx")).alias("theirs"))
-        compared = F.least(F.size("mine"), F.size("theirs"))
-        same = F.aggregate(F.zip_with("mine", "theirs", lambda a, b: a.eqNullSafe(b) & a.isNotNull()), F.lit(0), lambda s, e: s + e.cast("int"))
+        skip = start - (at - F.col("off"))
+        laid = F.struct(F.slice("w", start + 1, F.size("ctx") - skip).alias("mine"), F.slice("ctx", skip + 1, F.size("ctx")).alias("theirs"))
+        # again a one-row explode: the comparison must not move into the join, where each probe would carry the document's words
+        hit = hit.select("doc_id", "k1", "k2", "item_id", "n_item", start.alias("start"), F.explode(F.array(laid)).alias("v"))
+        compared = F.least(F.size("v.mine"), F.size("v.theirs"))
+        same = F.aggregate(F.zip_with("v.mine", "v.theirs", lambda a, b: a.eqNullSafe(b) & a.isNotNull()), F.lit(0), lambda s, e: s + e.cast("int"))
         hit = hit.select("doc_id", "k1", "k2", "item_id", "n_item", "start", compared.alias("compared"), same.alias("matched"))
         hit = hit.where((F.col("matched") >= IDENTITY * F.col("compared")) & (F.col("compared") >= F.least("n_item", F.lit(OVERLAP))))
         found = hit if found is None else found.unionByName(hit)

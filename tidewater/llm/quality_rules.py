@@ -172,8 +172,8 @@ def learn(df: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     """Sequential covering over a labelled sample: the rules that mark ``quality = 0``, in order.
 
     A rule is accepted when at least ``min_purity`` of the pruning rows it
-    covers are bad and it covers ``min_cover`` of them; the first rule that
-    fails ends the list.
+    covers are bad and it covers ``min_cover`` of them; a rule that fails bars
+    the statistic it began with, and the list ends when nothing more can grow.
     """
     known = (labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
              .groupBy(F.col("doc_id").alias("__id")).agg((F.min("quality") == 0).alias("bad")))
@@ -193,12 +193,13 @@ def learn(df: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     cuts = {s: sorted({v for q in quantiles for v in q[s]}) for s in RATIOS}
     grow, prune, rules = rows.where(~F.col("prune")), rows.where("prune"), []
     while any(cuts.values()) and len(rules) < max_rules:
-        rule = _grow(grow, cuts, max_tests)
-        if not rule:
+        grown = _grow(grow, cuts, max_tests)
+        if not grown:
             break
-        rule, p, n = _prune(prune, rule)
+        rule, p, n = _prune(prune, grown)
         if p < min_cover or p < min_purity * (p + n):
-            break
+            cuts[grown[0].stat] = []        # this statistic led astray: grow from the others
+            continue
         rules.append(rule)
         grow, prune = (x.where(~_all_of(rule, F.col)) for x in (grow, prune))
     return rules
