@@ -1,15 +1,15 @@
 """Benchmark: headline keys at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Each key is executed to completion with the ``noop`` sink (no collect to
-the driver), ``$BENCH_RUNS`` times (default 3); the first run warms the JVM
-and file listing, and the reported time is the best run, which on a shared
-machine is the steadiest figure.  Prints one JSON line.
+the driver), ``$BENCH_RUNS`` times (default 3); the reported time is the
+median run.  Prints one JSON line.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import statistics
 import sys
 import time
 
@@ -39,13 +39,12 @@ def main() -> None:
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2)
     times = {}
     for k in keys:
-        best = None
+        took = []
         for _ in range(runs):
             t0 = time.perf_counter()
             QUERIES[k](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            dt = time.perf_counter() - t0
-            best = dt if best is None else min(best, dt)
-        times[k] = round(best, 3)
+            took.append(time.perf_counter() - t0)
+        times[k] = round(statistics.median(took), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "total_headline_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": float(sf) if sf.replace(".", "").isdigit() else sf_dir}))

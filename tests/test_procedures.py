@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewater.jobs import Scd2Load
 from tidewater.operators.scd2 import check_contiguous, check_one_current
-from tidewater.sources.batches import BatchLedger, write_batches
+from tidewater.sources.batches import BatchLedger, StepGap, write_batches
 from tidewater.sources.publish import Catalog
 from tidewater.sources.verified import DigestMismatch, build_manifest, verified_load
 from tidewater.streaming import upsert_stream, write_landing
@@ -60,6 +60,13 @@ def test_batches_apply_exactly_once(spark, scratch):
     write_batches({3: spark.createDataFrame([(4, "d")], "k long, v string")}, f"{scratch}/deltas")
     assert led.apply_next() == 3 and led.apply_next() is None
     assert led.read().count() == 4
+    # step 5 must wait for step 4
+    write_batches({5: spark.createDataFrame([(4, "e")], "k long, v string")}, f"{scratch}/deltas")
+    with pytest.raises(StepGap):
+        led.apply_next()
+    assert led.status() == (4, [5])
+    write_batches({4: spark.createDataFrame([(4, "f")], "k long, v string")}, f"{scratch}/deltas")
+    assert led.apply_next() == 4 and led.apply_next() == 5 and {r.k: r.v for r in led.read().collect()}[4] == "e"
 
 
 def test_verified_load_refuses_tampered_file(spark, scratch):
@@ -91,8 +98,28 @@ def test_stream_upsert_skips_replayed_batch(spark, scratch):
     first = {r.k: r.v for r in cat.read("t", "rows").collect()}
     assert first == {1: "z", 2: "c"}
     seq = cat.current("t")["seq"]
-    # simulate a crash after the commit but before the stream checkpoint:
-    # replaying batch 1 must not commit again
+    # a crash after the commit but before the stream noted the batch as done:
+    # the same checkpoint runs batch 1 again, which must not commit again
+    os.remove(f"{scratch}/ckpt/commits/1")
+    if os.path.exists(f"{scratch}/ckpt/commits/.1.crc"):
+        os.remove(f"{scratch}/ckpt/commits/.1.crc")
     upsert_stream(spark, f"{scratch}/landing", d0.schema, cat, "t", "k", ["ts"], ["ts", "v"],
-                  f"{scratch}/ckpt-replay", files_per_trigger=1)
+                  f"{scratch}/ckpt", files_per_trigger=1)
     assert cat.current("t")["seq"] == seq
+
+
+def test_stream_upsert_keeps_newer_rows_and_takes_other_streams(spark, scratch):
+    ts = dt.datetime.fromisoformat
+    schema = "k long, ts timestamp_ntz, v string"
+    rows = [[(1, ts("2026-01-02 00:00"), "new")], [(1, ts("2026-01-01 00:00"), "stale"), (2, ts("2026-01-01 00:00"), "x")]]
+    write_landing([spark.createDataFrame(r, schema) for r in rows], f"{scratch}/landing")
+    cat = Catalog(spark, f"{scratch}/wh")
+    args = (spark.createDataFrame([], schema).schema, cat, "t", "k", ["ts"], ["ts", "v"])
+    upsert_stream(spark, f"{scratch}/landing", *args, f"{scratch}/ckpt", files_per_trigger=1)
+    assert {r.k: r.v for r in cat.read("t", "rows").collect()} == {1: "new", 2: "x"}
+    # another stream into the same table counts its batches from 0 again
+    write_landing([spark.createDataFrame([(9, ts("2026-01-03 00:00"), "y")], schema)], f"{scratch}/other")
+    upsert_stream(spark, f"{scratch}/other", *args, f"{scratch}/ckpt-other")
+    assert {r.k: r.v for r in cat.read("t", "rows").collect()} == {1: "new", 2: "x", 9: "y"}
+    with pytest.raises(ValueError):
+        upsert_stream(spark, f"{scratch}/other", args[0], cat, "t", "k", ["ts"], ["v"], f"{scratch}/ckpt-3")

@@ -72,6 +72,12 @@ def test_member_contract_rejects_invalid_rows(spark):
     assert set(reasons[5]) == {"member_code is null", "province has no parent"}
 
 
+def test_conform_keeps_supplied_nulls(spark):
+    contract = Contract("t", [Col("id", "int"), Col("points", "int", default=0)], primary_key=["id"])
+    out = conform(spark.createDataFrame([(1, None)], "id int, points int"), contract).first()
+    assert out["points"] is None
+
+
 def test_conform_fills_defaults(spark):
     contract = Contract("m", [Col("id", "int", nullable=False), Col("tier", "string", default="bronze"),
                               Col("points", "int", default=0)])

@@ -55,9 +55,7 @@ def conform(df: DataFrame, contract: Contract) -> DataFrame:
     out = []
     for c in contract.columns:
         if c.name in have:
-            v = F.col(c.name)
-            if c.default is not None:
-                v = F.coalesce(v, F.lit(c.default))
+            v = F.col(c.name)       # a supplied NULL stays NULL
         else:
             v = F.lit(c.default)
         out.append(v.cast(c.dtype).alias(c.name))

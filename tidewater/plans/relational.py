@@ -264,7 +264,7 @@ def join_inner(spark, sf_dir):
     t = Tables(spark, sf_dir)
     o = t.orders.filter(F.col("o_orderstatus") == COMPLETED)
     c = t.customer.select("c_custkey", "c_name", "c_nationkey")
-    n = F.broadcast(t.nation.select("n_nationkey", "n_name"))  # 25 rows by definition
+    n = t.nation.select("n_nationkey", "n_name")
     return (o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == n.n_nationkey)
              .select("o_orderkey", F.col("c_name").alias("customer_code"),
                      F.col("n_name").alias("province"), F.col("o_orderdate").alias("ordered_at")))
@@ -361,7 +361,7 @@ def semi_in(spark, sf_dir):
     geo = (t.nation.join(t.region.filter(F.col("r_name") == "ASIA"),
                          F.col("n_regionkey") == F.col("r_regionkey"), "left_semi").select("n_nationkey"))
     c = (t.customer.select("c_custkey", "c_nationkey")
-         .join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"), "left_semi"))
+         .join(geo, F.col("c_nationkey") == F.col("n_nationkey"), "left_semi"))
     return (c.join(buyers, F.col("c_custkey") == F.col("o_custkey"), "left_semi")
              .agg(F.count(F.lit(1)).alias("customers")))
 
@@ -413,7 +413,7 @@ FROM nation n JOIN region r ON r.r_regionkey = n.n_regionkey
 def hierarchy_join(spark, sf_dir):
     t = Tables(spark, sf_dir)
     per_nation = t.customer.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("customers"))
-    n = t.nation.join(F.broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
+    n = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
     return (n.join(per_nation, F.col("n_nationkey") == F.col("c_nationkey"), "left")
              .select("n_nationkey", F.col("n_name").alias("province"), F.col("r_name").alias("region"),
                      F.coalesce("customers", F.lit(0).cast("bigint")).alias("customers")))
@@ -702,7 +702,7 @@ def argmax_ties(spark, sf_dir):
     c = t.customer.select("c_custkey", "c_nationkey")
     s = (per_cust.join(c, F.col("o_custkey") == F.col("c_custkey"))
                  .groupBy("c_nationkey").agg(F.sum("amt").cast("decimal(38,2)").alias("sales"))
-                 .join(F.broadcast(t.nation.select("n_nationkey", "n_name")),
+                 .join(t.nation.select("n_nationkey", "n_name"),
                        F.col("c_nationkey") == F.col("n_nationkey"))
                  .select(F.col("n_name").alias("province"), "sales"))
     best = s.agg(F.max("sales")).scalar()

@@ -26,6 +26,10 @@ def write_batches(batches: dict[int, DataFrame], deltas_root: str) -> None:
         df.write.mode("overwrite").parquet(f"{deltas_root}/step={step:02d}")
 
 
+class StepGap(RuntimeError):
+    """The next step is missing while later ones are there."""
+
+
 class BatchLedger:
     def __init__(self, spark: SparkSession, warehouse: str, deltas_root: str, dataset: str, key: str,
                  update_cols: list[str] | None = None, n_buckets: int = 16):
@@ -50,18 +54,21 @@ class BatchLedger:
         names = _FS(self.spark).children(self.deltas)
         return sorted(int(n.split("=")[1]) for n in names if n.startswith("step="))
 
-    def applied(self, snapshot: dict) -> set[int]:
-        led = self.catalog.read(self.dataset, "ledger", snapshot)
-        # one row per applied batch: bounded by the number of batches, not rows
-        return {r.step for r in led.select("step").collect()}
+    def status(self, snapshot: dict | None = None) -> tuple[int, list[int]]:
+        """The step that is next, and the later or equal steps that are there."""
+        snapshot = snapshot or self.catalog.begin(self.dataset).base
+        last = self.catalog.read(self.dataset, "ledger", snapshot).agg(F.max("step")).first()[0] or 0
+        return last + 1, [s for s in self.available() if s > last]
 
     def apply_next(self) -> int | None:
+        """Apply the step after the last one; a step that is missing must not be jumped."""
         tx = self.catalog.begin(self.dataset)
         snap = tx.base
-        todo = [s for s in self.available() if s not in self.applied(snap)]
-        if not todo:
+        step, waiting = self.status(snap)
+        if not waiting:
             return None
-        step = todo[0]
+        if waiting[0] != step:
+            raise StepGap(f"step {step} is next but not there; {waiting} wait")
         batch = self.spark.read.parquet(f"{self.deltas}/step={step:02d}")
         batch = (batch.withColumn("applied_step", F.lit(step).cast("int"))
                       .withColumn("__bucket", _bucket(self.key, self.n_buckets)))

@@ -48,14 +48,24 @@ def upsert_stream(spark: SparkSession, landing: str, schema, catalog: Catalog, d
                   files_per_trigger: int | None = None) -> None:
     def apply(batch: DataFrame, batch_id: int) -> None:
         tx = catalog.begin(dataset)
-        done = tx.base["meta"].get("batch_id", -1) if tx.base else -1
-        if batch_id <= done:          # replay of a committed batch: already applied
+        streams = tx.base["meta"].get("streams", {}) if tx.base else {}
+        if batch_id <= streams.get(stream, -1):     # replay of a batch this stream committed: already applied
             return
         latest = latest_per_key(batch, key, order_cols)
         cur = catalog.read(dataset, "rows", tx.base)
-        merged = latest if cur is None else upsert(cur, latest.select(*cur.columns), key, update_cols)
+        if cur is not None:
+            # a version older than the target's comes late: the target stays
+            have = cur.select(F.col(key).alias("__key"), F.struct(*order_cols).alias("__have"))
+            latest = (latest.join(have, F.col(key) == F.col("__key"), "left")
+                      .where(F.col("__have").isNull() | (F.struct(*order_cols) > F.col("__have"))).select(*cur.columns))
+        merged = latest if cur is None else upsert(cur, latest, key, update_cols)
         tx.write("rows", merged)
-        tx.commit({"op": "stream_upsert", "batch_id": batch_id})
+        tx.commit({"op": "stream_upsert", "streams": {**streams, stream: batch_id}})
+
+    stream = checkpoint.rstrip("/")     # batch numbers count within one checkpoint
+    missing = [c for c in order_cols if c not in update_cols]
+    if missing:
+        raise ValueError(f"order columns {missing} must be updated too: later batches are compared with them")
 
     q = (_reader(spark, landing, schema, files_per_trigger).writeStream.foreachBatch(apply)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
