@@ -196,7 +196,7 @@ def _salt(*cols: str) -> Column:
 
 def _node_texts(texts: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     """One text for each node that is in a pair."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    needed = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     reps = nodes.join(needed, "node").select("node", F.col("id").alias("rep"))
     own = texts.select(F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("node"), F.col("id"), F.coalesce("text", F.lit("")).alias("text"))
     found = own.join(reps, (own["node"] == reps["node"]) & own["id"].eqNullSafe(reps["rep"])).select(own["node"], own["text"])
