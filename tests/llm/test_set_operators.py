@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -79,6 +80,44 @@ def test_classes_equal_brute_force(spark, docs):
     assert sorted(r["doc_id"] for r in omh.keep_first(df).collect()) == sorted(set(want.values()))
 
 
+def test_parities_bound_the_distance():
+    """Two texts differ in at most 2 d minus the difference of their lengths."""
+    rng = random.Random(3)
+    for _ in range(400):
+        a = words(rng, rng.randint(0, 60))
+        b = [rng.choice(a + ["x"]) if rng.random() < 0.2 else w for w in a if rng.random() > 0.1] + words(rng, rng.randint(0, 4))
+        bits = [np.unpackbits(omh.parities(omh.word_hashes(" ".join(t).encode())).view(np.uint8)) for t in (a, b)]
+        assert (bits[0] != bits[1]).sum() <= 2 * distance(a, b) - abs(len(a) - len(b))
+
+
+def test_no_candidate_is_dropped(spark, docs):
+    """Pairs of near copies among many texts that share a long passage: classes as those of all pairs of each bucket."""
+    rng = random.Random(11)
+    passage, rows = words(rng, 80), []
+    for i in range(150):
+        own = words(rng, 50)
+        rows.append(own + passage)
+        if i % 10 == 0:
+            near = own + passage
+            for at in range(3, len(near), 9):
+                near[at] = "changed"
+            rows.append(near)
+    df = docs([(i, " ".join(t), "en", "s") for i, t in enumerate(rows)])
+    values = [set(enumerate(omh.sketches(omh.kmer_hashes(omh.word_hashes(" ".join(t).encode()))).tolist())) for t in rows]
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for i in range(len(rows)):
+        for j in range(i):
+            if values[i] & values[j] and omh.similar(rows[i], rows[j]):
+                parent[max(find(i), find(j))] = min(find(i), find(j))
+    classes, _ = omh.near_duplicates(df)
+    assert {r["id"]: r["class_id"] for r in classes.collect()} == {i: find(i) for i in range(len(rows))}
+
+
 def test_dedup_odd_rows(spark, odd):
     kept = omh.keep_first(odd).collect()
     assert len(kept) == len({r["text"] for r in odd.collect()} - {None}) and omh.keep_first(odd.limit(0)).count() == 0

@@ -13,11 +13,15 @@ Classes are the connected components of the verified links.
 Large groups.  Equal texts are one node (a digest), so copies are never
 compared.  A bucket (sketch value, length bin) compares its members with
 ``PIVOTS`` of them, then classes are formed, and buckets that still span
-several classes do so again with other pivots, across classes only, until
-fewer than one pair in a hundred is a link.  So work is linear in the members, also where thousands
-of different texts share a passage; two members of one bucket that are never
-pivots there meet in their other buckets, or are missed like two that share
-no sketch (README has the measured recall).  Buckets join by salted key.
+several classes do so again with other pivots, across classes only, while at
+least one pair in a hundred is a link: near copies fall into one class in a
+few linear turns.  What then still lies in one bucket but in two classes is
+compared in full, so no candidate is dropped.  That last join emits only pairs
+that can reach the threshold, by a bound that loses none: a text carries the
+parities of its words' counts under ``PARITIES`` hash values; two texts differ
+in at most 2 d - (difference of their lengths) of them, d being their edit
+distance.  Inside a bucket of m classes the bound is still tested m^2 / 2
+times.  Buckets join by salted key.
 
 Defined results: a null text is a text of no words; texts without words are
 copies of each other only if equal; a text shorter than five words has one
@@ -31,6 +35,7 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +49,8 @@ K, SKETCHES, PICKED, SIMILARITY = 5, 16, 3, 0.8
 #: Ratio of neighbouring length bins, a little above 1 / SIMILARITY: word counts of similar texts lie in one bin or in adjacent ones.
 BIN = 1.26
 SALTS = 16
+#: Parity bits that a text carries, in words of 64.
+PARITIES = 1024
 #: Members of a bucket that the others are compared with, per turn.
 PIVOTS = 2
 #: Turns go on while at least this share of the compared pairs are links.
@@ -98,20 +105,33 @@ def sketches(h: np.ndarray) -> np.ndarray:
     return out
 
 
+def parities(w: np.ndarray) -> np.ndarray:
+    """Bit h: whether an odd number of the text's words has hash h."""
+    if len(w) == 0:
+        return np.zeros(PARITIES // 64, np.int64)
+    at = (_mix(w * _GOLD) >> np.uint64(32)).astype(np.int64) % PARITIES
+    return np.packbits(np.bincount(at, minlength=PARITIES) & 1).view(np.int64)
+
+
 def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     np.seterr(over="ignore")
     for b in batches:
-        digests, counts, values = [], [], []
+        digests, counts, values, odds = [], [], [], []
         for t in b.column("text"):
             raw = (t.as_py() or "")
             digests.append(hashlib.md5(raw.encode()).digest())
             w = word_hashes(raw.lower().encode())
             counts.append(len(w))
             values.append(sketches(kmer_hashes(w)).view(np.int64))
-        flat = np.concatenate(values) if values else np.empty(0, np.int64)
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(counts) + 1, dtype=np.int32) * SKETCHES), pa.array(flat))
+            odds.append(parities(w))
         yield pa.RecordBatch.from_arrays(
-            [b.column("id"), pa.array(digests, pa.binary()), pa.array(counts, pa.int64()), lists], ["id", "node", "n_words", "sketch"])
+            [b.column("id"), pa.array(digests, pa.binary()), pa.array(counts, pa.int64()), _lists(values, SKETCHES), _lists(odds, PARITIES // 64)],
+            ["id", "node", "n_words", "sketch", "odd"])
+
+
+def _lists(rows: list[np.ndarray], width: int) -> pa.ListArray:
+    flat = np.concatenate(rows) if rows else np.empty(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * width), pa.array(flat))
 
 
 def banded_distance(a: list, b: list, band: int) -> int:
@@ -170,14 +190,19 @@ def similar(a: list, b: list) -> float:
     return 1 - d / longest if d <= limit else 0.0
 
 
+def _split(text: pa.StringScalar) -> list[bytes]:
+    """The words that are sketched: bytes split at ASCII white space alone."""
+    return text.as_py().lower().encode().split()
+
+
 def _verify_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         left, right, sims = [], [], []
         last, last_words = None, []
         for x, y, tx, ty in zip(b.column("a"), b.column("b"), b.column("text_a"), b.column("text_b")):
             if x != last:
-                last, last_words = x, tx.as_py().lower().split()
-            s = similar(last_words, ty.as_py().lower().split())
+                last, last_words = x, _split(tx)
+            s = similar(last_words, _split(ty))
             if s:
                 left.append(x.as_py())
                 right.append(y.as_py())
@@ -258,6 +283,22 @@ def _to_pivots(members: DataFrame, root: DataFrame, turn: int) -> DataFrame:
             .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct())
 
 
+def _rest(members: DataFrame, nodes: DataFrame, root: DataFrame) -> DataFrame:
+    """Every pair (a, b) of one bucket and two classes that can be similar."""
+    placed = staged(members.join(root, "node"), "placed")
+    open_keys = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
+    left = staged(placed.withColumn("salt", _salt("node")).join(_salted(open_keys), ["key", "salt"]).drop("salt")
+                  .join(nodes.select("node", "n_words", "odd"), "node"), "rest")
+    a = left.select("key", _salt("node"), F.col("node").alias("a"), F.col("root").alias("ra"), F.col("n_words").alias("na"), F.col("odd").alias("oa"))
+    b = _salted(left.select("key", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("n_words").alias("nb"), F.col("odd").alias("ob")))
+    most = F.floor(F.greatest("na", "nb") * (1 - SIMILARITY) + 1e-9)
+    apart = F.abs(F.col("na") - F.col("nb"))
+    differ = sum((F.bit_count(F.col("oa")[i].bitwiseXOR(F.col("ob")[i])) for i in range(PARITIES // 64)), F.lit(0))
+    # merged, so that a hot bucket is dealt out by salt however small its rows are
+    return (a.join(b.hint("merge"), ["key", "salt"]).where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & (apart <= most) & (differ <= 2 * most - apart))
+            .select("a", "b").distinct())
+
+
 def _joined(root: DataFrame, links: DataFrame) -> DataFrame:
     """The classes after ``links``: components of the links between the present roots."""
     a, b = root.toDF("a", "ra"), root.toDF("b", "rb")
@@ -266,6 +307,13 @@ def _joined(root: DataFrame, links: DataFrame) -> DataFrame:
     return staged(root.join(up, "root", "left").select("node", F.coalesce("top", "root").alias("root")), "root")
 
 
+def _turn(pairs: DataFrame, tested: DataFrame | None, texts: DataFrame, nodes: DataFrame, root: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The pairs not tested before, the classes after their links, and these links."""
+    pairs = staged(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+    new = staged(_verified(pairs, texts, nodes), "links")
+    return pairs, root if new.isEmpty() else _joined(root, new), new
+
+
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """Classes (id, node, n_copies, class_id, class_size, similarity links) of the frame's rows.
 
@@ -275,26 +323,21 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     pairs of different texts with their similarity.
     """
     texts = df.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    docs = staged(texts.mapInArrow(_sketch_batches, f"id {dict(texts.dtypes)['id']}, node binary, n_words bigint, sketch array<bigint>"), "sketches")
+    docs = staged(texts.mapInArrow(_sketch_batches, f"id {dict(texts.dtypes)['id']}, node binary, n_words bigint, sketch array<bigint>, odd array<bigint>"), "sketches")
     nodes = staged(docs.groupBy("node").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.max("n_words").alias("n_words"),
-                                            F.max("sketch").alias("sketch")), "nodes")
+                                            F.max("sketch").alias("sketch"), F.max("odd").alias("odd")), "nodes")
     buckets = _buckets(nodes)
     shared = staged(buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key"), "shared")
     members = staged(buckets.withColumn("salt", _salt("node")).join(_salted(shared), ["key", "salt"]).select("key", "node"), "members")
-    root, links, tested, turn = nodes.select("node", F.col("node").alias("root")), None, None, 0
-    while True:
-        pairs = _to_pivots(members, root, turn)
-        pairs = staged(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            break
-        new = staged(_verified(pairs, texts, nodes), "links")
+    root, links, tested = nodes.select("node", F.col("node").alias("root")), None, None
+    for turn in count():
+        pairs, root, new = _turn(_to_pivots(members, root, turn), tested, texts, nodes, root)
         tested = pairs if tested is None else tested.unionByName(pairs)
         links = new if links is None else links.unionByName(new)
-        if new.count() < LEAST_YIELD * pairs.count():
-            root = _joined(root, new)
+        if new.count() <= LEAST_YIELD * pairs.count():
             break
-        root, turn = _joined(root, new), turn + 1
-    links = _verified(pairs, texts, nodes) if links is None else links
+    _, root, new = _turn(_rest(members, nodes, root), tested, texts, nodes, root)
+    links = links.unionByName(new)
 
     named = nodes.join(root, "node")
     heads = named.groupBy("root").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("class_size"), F.sum("copies").alias("class_rows"),
