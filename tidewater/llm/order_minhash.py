@@ -20,8 +20,8 @@ compared in full, so no candidate is dropped.  That last join emits only pairs
 that can reach the threshold, by a bound that loses none: a text carries the
 parities of its words' counts under ``PARITIES`` hash values; two texts differ
 in at most 2 d - (difference of their lengths) of them, d being their edit
-distance.  Inside a bucket of m classes the bound is still tested m^2 / 2
-times.  Buckets join by salted key.
+distance.  Members of a bucket's largest class do not meet each other; in a
+bucket of m singletons the bound is still tested m^2 / 2 times.  Buckets join by salted key.
 
 Defined results: a null text is a text of no words; texts without words are
 copies of each other only if equal; a text shorter than five words has one
@@ -231,7 +231,9 @@ def _node_texts(texts: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFra
 
 def _verified(pairs: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame:
     t = _node_texts(texts, nodes, pairs)
-    both = (pairs.join(t.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+    # aligning costs far more than a pair's bytes tell: deal pairs out evenly, also where their files are few
+    dealt = pairs.repartition(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a", "b")
+    both = (dealt.join(t.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
             .join(t.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"))
     return both.select("a", "b", "text_a", "text_b").mapInArrow(_verify_batches, "a binary, b binary, similarity double")
 
@@ -286,17 +288,20 @@ def _to_pivots(members: DataFrame, root: DataFrame, turn: int) -> DataFrame:
 def _rest(members: DataFrame, nodes: DataFrame, root: DataFrame) -> DataFrame:
     """Every pair (a, b) of one bucket and two classes that can be similar."""
     placed = staged(members.join(root, "node"), "placed")
-    open_keys = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
-    left = staged(placed.withColumn("salt", _salt("node")).join(_salted(open_keys), ["key", "salt"]).drop("salt")
+    per_class = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    open_keys = per_class.groupBy("key").agg(F.max(F.struct("n", "root")).alias("top"), F.count(F.lit(1)).alias("classes")).where("classes > 1")
+    left = staged(placed.withColumn("salt", _salt("node")).join(_salted(open_keys.select("key", F.col("top.root").alias("largest"))), ["key", "salt"])
+                  .select("key", "node", "root", (F.col("root") != F.col("largest")).alias("minor"))
                   .join(nodes.select("node", "n_words", "odd"), "node"), "rest")
-    a = left.select("key", _salt("node"), F.col("node").alias("a"), F.col("root").alias("ra"), F.col("n_words").alias("na"), F.col("odd").alias("oa"))
-    b = _salted(left.select("key", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("n_words").alias("nb"), F.col("odd").alias("ob")))
+    # one side is without the bucket's largest class, so that its members do not meet each other
+    a = left.select("key", _salt("node"), F.col("node").alias("a"), F.col("root").alias("ra"), F.col("n_words").alias("na"), F.col("odd").alias("oa"), "minor")
+    b = _salted(left.where("minor").select("key", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("n_words").alias("nb"), F.col("odd").alias("ob")))
     most = F.floor(F.greatest("na", "nb") * (1 - SIMILARITY) + 1e-9)
     apart = F.abs(F.col("na") - F.col("nb"))
     differ = sum((F.bit_count(F.col("oa")[i].bitwiseXOR(F.col("ob")[i])) for i in range(PARITIES // 64)), F.lit(0))
     # merged, so that a hot bucket is dealt out by salt however small its rows are
-    return (a.join(b.hint("merge"), ["key", "salt"]).where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & (apart <= most) & (differ <= 2 * most - apart))
-            .select("a", "b").distinct())
+    return (a.join(b.hint("merge"), ["key", "salt"]).where((~F.col("minor") | (F.col("a") < F.col("b"))) & (F.col("ra") != F.col("rb")) & (apart <= most) & (differ <= 2 * most - apart))
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
 def _joined(root: DataFrame, links: DataFrame) -> DataFrame:
