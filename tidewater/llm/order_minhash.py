@@ -241,21 +241,23 @@ def _verified(pairs: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, root): least node of the connected component, for every node of a link.
 
-    Every round each node takes the least root among its own and its neighbours'
-    and then the root of that root, so paths shorten by doubling.
+    Every round each node steps to its least neighbour and on to that one's least
+    neighbour; then the links are drawn between the nodes stepped to, so those
+    inside what has merged are gone and later rounds see only the rest.
     """
-    edges = staged(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    label = staged(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")), "label")
+    edges = staged(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "edges")
+    label = None
     for _ in range(max_rounds):
-        heard = (edges.join(label.select(F.col("node").alias("b"), "root"), "b")
-                 .groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near")))
-        step = (label.join(heard, "node")
-                .select("node", F.col("root").alias("old"), F.least("root", "near").alias("root")))
-        up = step.select(F.col("node").alias("root"), F.col("root").alias("root_of"))
-        # the root's own root, looked up for the few nodes that are roots
-        nxt = staged(step.join(up, "root").select("node", "old", F.least("root", "root_of").alias("root")), "label")
-        label = nxt.select("node", "root")
-        if nxt.where("root <> old").isEmpty():
+        both = edges.select(F.col("a").alias("node"), F.col("b").alias("other")).union(edges.select("b", "a"))
+        step = staged(both.groupBy("node").agg(F.min("other").alias("near")).select("node", F.least("node", "near").alias("up")), "step")
+        hop = staged(step.join(step.toDF("up", "top"), "up").select("node", "top"), "hop")
+        if label is None:
+            label = hop.toDF("node", "root")
+        else:
+            label = staged(label.join(hop.toDF("root", "top"), "root", "left").select("node", F.coalesce("top", "root").alias("root")), "label")
+        edges = staged(edges.join(hop.toDF("a", "ta"), "a").join(hop.toDF("b", "tb"), "b").where("ta <> tb")
+                       .select(F.least("ta", "tb").alias("a"), F.greatest("ta", "tb").alias("b")).distinct(), "edges")
+        if edges.isEmpty():
             return label
     raise RuntimeError("components did not settle")
 
