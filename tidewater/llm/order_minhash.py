@@ -17,11 +17,12 @@ several classes do so again with other pivots, across classes only, while at
 least one pair in a hundred is a link: near copies fall into one class in a
 few linear turns.  What then still lies in one bucket but in two classes is
 compared in full, so no candidate is dropped.  That last join emits only pairs
-that can reach the threshold, by a bound that loses none: a text carries the
-parities of its words' counts under ``PARITIES`` hash values; two texts differ
-in at most 2 d - (difference of their lengths) of them, d being their edit
-distance.  Members of a bucket's largest class do not meet each other; in a
-bucket of m singletons the bound is still tested m^2 / 2 times.  Buckets join by salted key.
+that can reach the threshold, by a bound that loses none: a text's words, each
+labelled with how often it occurred before, are hashed to ``PARITIES`` bits that
+tell whether an odd number of them fell there; two texts differ in at most
+2 d - (difference of their lengths) bits, d being their edit distance.  Members
+of a bucket's largest class do not meet each other; in a bucket of m singletons
+the bound is still tested m^2 / 2 times.  Buckets join by salted key.
 
 Defined results: a null text is a text of no words; texts without words are
 copies of each other only if equal; a text shorter than five words has one
@@ -50,7 +51,9 @@ K, SKETCHES, PICKED, SIMILARITY = 5, 16, 3, 0.8
 BIN = 1.26
 SALTS = 16
 #: Parity bits that a text carries, in words of 64.
-PARITIES = 1024
+PARITIES = 4096
+#: Members of a bucket for each salt of the last comparison, up to ``SALTS`` salts.
+PER_SALT = 256
 #: Members of a bucket that the others are compared with, per turn.
 PIVOTS = 2
 #: Turns go on while at least this share of the compared pairs are links.
@@ -64,6 +67,19 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+def labelled(h: np.ndarray) -> np.ndarray:
+    """The hashes, each one that occurred before mixed with how often it did."""
+    order = np.argsort(h, kind="stable")
+    s = h[order]
+    first = np.r_[True, s[1:] != s[:-1]]
+    if first.all():
+        return h
+    at = np.arange(len(h))
+    label = np.empty(len(h), np.uint64)
+    label[order] = (at - np.maximum.accumulate(np.where(first, at, 0))).astype(np.uint64)
+    return np.where(label > 0, _mix(h + label * _GOLD), h)
+
+
 def kmer_hashes(w: np.ndarray) -> np.ndarray:
     """Hashes of the runs of five words, each mixed with how often the run occurred before."""
     if len(w) == 0:
@@ -73,15 +89,7 @@ def kmer_hashes(w: np.ndarray) -> np.ndarray:
     h = np.zeros(n, np.uint64)
     for i in range(k):
         h = _mix(h * _GOLD + w[i:i + n])
-    order = np.argsort(h, kind="stable")
-    s = h[order]
-    first = np.r_[True, s[1:] != s[:-1]]
-    if not first.all():
-        at = np.arange(n)
-        label = np.empty(n, np.uint64)
-        label[order] = (at - np.maximum.accumulate(np.where(first, at, 0))).astype(np.uint64)
-        h = np.where(label > 0, _mix(h + label * _GOLD), h)
-    return h
+    return labelled(h)
 
 
 def sketches(h: np.ndarray) -> np.ndarray:
@@ -106,10 +114,10 @@ def sketches(h: np.ndarray) -> np.ndarray:
 
 
 def parities(w: np.ndarray) -> np.ndarray:
-    """Bit h: whether an odd number of the text's words has hash h."""
+    """Bit h: whether an odd number of the text's words, labelled by occurrence, has hash h."""
     if len(w) == 0:
         return np.zeros(PARITIES // 64, np.int64)
-    at = (_mix(w * _GOLD) >> np.uint64(32)).astype(np.int64) % PARITIES
+    at = (_mix(labelled(w) * _GOLD) >> np.uint64(32)).astype(np.int64) % PARITIES
     return np.packbits(np.bincount(at, minlength=PARITIES) & 1).view(np.int64)
 
 
@@ -291,16 +299,17 @@ def _rest(members: DataFrame, nodes: DataFrame, root: DataFrame) -> DataFrame:
     """Every pair (a, b) of one bucket and two classes that can be similar."""
     placed = staged(members.join(root, "node"), "placed")
     per_class = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
-    open_keys = per_class.groupBy("key").agg(F.max(F.struct("n", "root")).alias("top"), F.count(F.lit(1)).alias("classes")).where("classes > 1")
-    left = staged(placed.withColumn("salt", _salt("node")).join(_salted(open_keys.select("key", F.col("top.root").alias("largest"))), ["key", "salt"])
-                  .select("key", "node", "root", (F.col("root") != F.col("largest")).alias("minor"))
+    open_keys = per_class.groupBy("key").agg(F.max(F.struct("n", "root")).alias("top"), F.count(F.lit(1)).alias("classes"), F.sum("n").alias("size")).where("classes > 1")
+    salts = F.least(F.lit(SALTS), F.ceil(F.col("size") / PER_SALT)).cast("int").alias("salts")
+    left = staged(placed.withColumn("salt", _salt("node")).join(_salted(open_keys.select("key", F.col("top.root").alias("largest"), salts)), ["key", "salt"])
+                  .select("key", "node", "root", "salts", (F.col("root") != F.col("largest")).alias("minor"))
                   .join(nodes.select("node", "n_words", "odd"), "node"), "rest")
     # one side is without the bucket's largest class, so that its members do not meet each other
-    a = left.select("key", _salt("node"), F.col("node").alias("a"), F.col("root").alias("ra"), F.col("n_words").alias("na"), F.col("odd").alias("oa"), "minor")
-    b = _salted(left.where("minor").select("key", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("n_words").alias("nb"), F.col("odd").alias("ob")))
+    a = left.select("key", F.pmod(F.xxhash64("node"), "salts").cast("int").alias("salt"), F.col("node").alias("a"), F.col("root").alias("ra"), F.col("n_words").alias("na"), F.col("odd").alias("oa"), "minor")
+    b = left.where("minor").select("key", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("node").alias("b"), F.col("root").alias("rb"), F.col("n_words").alias("nb"), F.col("odd").alias("ob"))
     most = F.floor(F.greatest("na", "nb") * (1 - SIMILARITY) + 1e-9)
     apart = F.abs(F.col("na") - F.col("nb"))
-    differ = sum((F.bit_count(F.col("oa")[i].bitwiseXOR(F.col("ob")[i])) for i in range(PARITIES // 64)), F.lit(0))
+    differ = F.aggregate(F.zip_with("oa", "ob", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x)
     # merged, so that a hot bucket is dealt out by salt however small its rows are
     return (a.join(b.hint("merge"), ["key", "salt"]).where((~F.col("minor") | (F.col("a") < F.col("b"))) & (F.col("ra") != F.col("rb")) & (apart <= most) & (differ <= 2 * most - apart))
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
