@@ -118,6 +118,47 @@ def test_no_candidate_is_dropped(spark, docs):
     assert {r["id"]: r["class_id"] for r in classes.collect()} == {i: find(i) for i in range(len(rows))}
 
 
+def test_isolated_pairs_are_proposed():
+    """Pairs without a third copy: recall down to the threshold, by length and similarity."""
+    rng = np.random.default_rng(13)
+    for n in (7, 10, 12, 15, 20, 24, 26, 30, 60, 100, 300):
+        for similarity in (0.9, 0.85, 0.8):
+            edits = int(n * (1 - similarity) + 1e-9)
+            found = 0
+            for _ in range(100):
+                a = rng.integers(0, 1 << 62, n).astype(np.uint64)
+                b = a.copy()
+                at = rng.choice(n, edits, replace=False)
+                b[at] = rng.integers(0, 1 << 62, edits).astype(np.uint64)
+                if rng.random() < 0.5:
+                    b = np.delete(a, at)
+                found += bool(set(omh.text_sketches(a).tolist()) & set(omh.text_sketches(b).tolist()))
+            assert found >= (90 if similarity == 0.8 else 97), (n, similarity, found)
+
+
+def test_isolated_pairs_are_linked(spark, docs):
+    """One word changed in short texts, every fifth or so in longer ones."""
+    rng, rows = random.Random(17), []
+    for n in (7, 8, 10, 12, 15, 20, 24, 28, 30, 60, 120):
+        for _ in range(6):
+            a = [f"{w}{rng.randrange(10**6)}" for w in words(rng, n)]
+            b = list(a)
+            for at in [n // 2] if n < 30 else rng.sample(range(n), int(0.17 * n)):
+                b[at] = "changed"
+            rows += [a, b]
+    classes, _ = omh.near_duplicates(docs([(i, " ".join(t), "en", "s") for i, t in enumerate(rows)]))
+    assert {r["id"]: r["class_id"] for r in classes.collect()} == {i: i - i % 2 for i in range(len(rows))}
+
+
+def test_folded_parities_bound_the_distance():
+    rng = random.Random(4)
+    for _ in range(300):
+        a = words(rng, rng.randint(0, 60))
+        b = [rng.choice(a + ["x"]) if rng.random() < 0.2 else w for w in a if rng.random() > 0.1] + words(rng, rng.randint(0, 4))
+        bits = [np.unpackbits(omh.folded(omh.parities(omh.word_hashes(" ".join(t).encode()))).view(np.uint8)) for t in (a, b)]
+        assert (bits[0] != bits[1]).sum() <= 2 * distance(a, b) - abs(len(a) - len(b))
+
+
 def test_dedup_odd_rows(spark, odd):
     kept = omh.keep_first(odd).collect()
     assert len(kept) == len({r["text"] for r in odd.collect()} - {None}) and omh.keep_first(odd.limit(0)).count() == 0

@@ -1,13 +1,18 @@
 """MinHash near-dedup: Order MinHash over word k-mers, verified by banded alignment.
 
-A text is lower-cased and cut into words; its k-mers are runs of five words,
+A text is lower-cased and cut into words; its k-mers are runs of two words,
 each labelled with how often it occurred before.  A sketch takes the ``PICKED``
 labelled k-mers of least hash under one of ``SKETCHES`` hash functions and
 hashes them *in text order*, so two texts agree on a sketch only if they share
 k-mers in the same order: the chance of agreeing follows edit similarity, not
-just shared content.  Texts that agree on any sketch, and whose word counts
-can reach the threshold, are candidates; a banded bit-parallel alignment
-decides: similarity = 1 - edit distance / words of the longer text >= 0.8.
+just shared content.  Few runs of a short text outlive an edit, so texts below
+``SHORT`` words get ``SHORT_SKETCHES`` sketches of single words instead, and
+those a little longer both kinds: similar texts always have one kind in common.
+Texts that agree on any sketch, and whose word counts can reach the threshold,
+are candidates; a banded bit-parallel alignment decides: similarity =
+1 - edit distance / words of the longer text >= 0.8.  Proposing is by chance:
+an isolated pair at 0.8 exactly is missed about once in thirty times, at 0.85
+and above hardly ever (README: recall by length and similarity).
 Classes are the connected components of the verified links.
 
 Large groups.  Equal texts are one node (a digest), so copies are never
@@ -20,13 +25,13 @@ compared in full, so no candidate is dropped.  That last join emits only pairs
 that can reach the threshold, by a bound that loses none: a text's words, each
 labelled with how often it occurred before, are hashed to ``PARITIES`` bits that
 tell whether an odd number of them fell there; two texts differ in at most
-2 d - (difference of their lengths) bits, d being their edit distance.  Members
+2 d - (difference of their lengths) bits, d being their edit distance; the bits
+folded to ``FOLDED`` are tested first, and on the turns' pairs too.  Members
 of a bucket's largest class do not meet each other; in a bucket of m singletons
 the bound is still tested m^2 / 2 times.  Buckets join by salted key.
 
 Defined results: a null text is a text of no words; texts without words are
-copies of each other only if equal; a text shorter than five words has one
-k-mer (all its words).  The class id is the least non-null id in the class (null
+copies of each other only if equal.  The class id is the least non-null id in the class (null
 only if all ids in it are null).  Rows that repeat id and text are copies.
 Other columns pass through.
 """
@@ -36,7 +41,9 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 from itertools import count
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -46,19 +53,23 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import staged
 from tidewater.llm.hashing import word_hashes
 
-K, SKETCHES, PICKED, SIMILARITY = 5, 16, 3, 0.8
+K, SKETCHES, PICKED, SIMILARITY = 2, 40, 3, 0.8
+#: Texts of fewer words are sketched by single words; those of fewer than SHORT / SIMILARITY, which can be similar to them, by both.
+SHORT, SHORT_SKETCHES = 24, 24
 #: Ratio of neighbouring length bins, a little above 1 / SIMILARITY: word counts of similar texts lie in one bin or in adjacent ones.
 BIN = 1.26
 SALTS = 16
 #: Parity bits that a text carries, in words of 64.
 PARITIES = 4096
+#: The same folded to fewer bits, for the first test of a pair.
+FOLDED = 1024
 #: Members of a bucket for each salt of the last comparison, up to ``SALTS`` salts.
 PER_SALT = 256
 #: Members of a bucket that the others are compared with, per turn.
 PIVOTS = 2
 #: Turns go on while at least this share of the compared pairs are links.
 LEAST_YIELD = 0.01
-_SEEDS = np.random.default_rng(7).integers(1, 1 << 63, size=(SKETCHES, 2), dtype=np.uint64) | np.uint64(1)
+_SEEDS = np.random.default_rng(7).integers(1, 1 << 63, size=(SKETCHES + SHORT_SKETCHES, 2), dtype=np.uint64) | np.uint64(1)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -80,11 +91,11 @@ def labelled(h: np.ndarray) -> np.ndarray:
     return np.where(label > 0, _mix(h + label * _GOLD), h)
 
 
-def kmer_hashes(w: np.ndarray) -> np.ndarray:
-    """Hashes of the runs of five words, each mixed with how often the run occurred before."""
+def kmer_hashes(w: np.ndarray, k: int = K) -> np.ndarray:
+    """Hashes of the runs of ``k`` words, each mixed with how often the run occurred before."""
     if len(w) == 0:
         return w
-    k = min(K, len(w))
+    k = min(k, len(w))
     n = len(w) - k + 1
     h = np.zeros(n, np.uint64)
     for i in range(k):
@@ -92,17 +103,21 @@ def kmer_hashes(w: np.ndarray) -> np.ndarray:
     return labelled(h)
 
 
-def sketches(h: np.ndarray) -> np.ndarray:
+def sketches(h: np.ndarray, all_seeds: np.ndarray = _SEEDS[:SKETCHES]) -> np.ndarray:
     """One value per sketch: the hash of its least k-mers in text order."""
-    out = np.zeros(SKETCHES, np.uint64)
+    out = np.zeros(len(all_seeds), np.uint64)
     if len(h) == 0:
         return out
     step = max(1, (1 << 18) // len(h))      # sketches at a time, by memory
-    for j in range(0, SKETCHES, step):
-        seeds = _SEEDS[j:j + step]
+    for j in range(0, len(all_seeds), step):
+        seeds = all_seeds[j:j + step]
         if len(h) > PICKED:
             v = (((h ^ seeds[:, :1]) * seeds[:, 1:]) >> np.uint64(32)).astype(np.uint32)
-            at = np.sort(np.argpartition(v, PICKED, axis=1)[:, :PICKED], axis=1)
+            at = np.empty((len(seeds), PICKED), np.int64)
+            for c in range(PICKED):
+                at[:, c] = v.argmin(axis=1)
+                v[np.arange(len(seeds)), at[:, c]] = 0xFFFFFFFF
+            at.sort(axis=1)
         else:
             at = np.tile(np.arange(len(h)), (len(seeds), 1))
         picked = h[at]
@@ -113,6 +128,14 @@ def sketches(h: np.ndarray) -> np.ndarray:
     return out
 
 
+def text_sketches(w: np.ndarray) -> np.ndarray:
+    """The sketch values of a text's words, of the kinds that its length asks for."""
+    long = sketches(kmer_hashes(w)) if len(w) >= SHORT else np.empty(0, np.uint64)
+    if len(w) * SIMILARITY >= SHORT:
+        return long
+    return np.r_[long, sketches(kmer_hashes(w, 1), _SEEDS[SKETCHES:])]
+
+
 def parities(w: np.ndarray) -> np.ndarray:
     """Bit h: whether an odd number of the text's words, labelled by occurrence, has hash h."""
     if len(w) == 0:
@@ -121,25 +144,31 @@ def parities(w: np.ndarray) -> np.ndarray:
     return np.packbits(np.bincount(at, minlength=PARITIES) & 1).view(np.int64)
 
 
+def folded(odd: np.ndarray) -> np.ndarray:
+    """The parities over fewer bits: hashes that agree modulo ``FOLDED`` fall together."""
+    return np.bitwise_xor.reduce(odd.reshape(-1, FOLDED // 64), axis=0)
+
+
 def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     np.seterr(over="ignore")
     for b in batches:
-        digests, counts, values, odds = [], [], [], []
+        digests, counts, values, odds, folds = [], [], [], [], []
         for t in b.column("text"):
             raw = (t.as_py() or "")
             digests.append(hashlib.md5(raw.encode()).digest())
             w = word_hashes(raw.lower().encode())
             counts.append(len(w))
-            values.append(sketches(kmer_hashes(w)).view(np.int64))
+            values.append(text_sketches(w).view(np.int64))
             odds.append(parities(w))
+            folds.append(folded(odds[-1]))
         yield pa.RecordBatch.from_arrays(
-            [b.column("id"), pa.array(digests, pa.binary()), pa.array(counts, pa.int64()), _lists(values, SKETCHES), _lists(odds, PARITIES // 64)],
-            ["id", "node", "n_words", "sketch", "odd"])
+            [b.column("id"), pa.array(digests, pa.binary()), pa.array(counts, pa.int64()), _lists(values), _lists(odds), _lists(folds)],
+            ["id", "node", "n_words", "sketch", "odd", "fold"])
 
 
-def _lists(rows: list[np.ndarray], width: int) -> pa.ListArray:
+def _lists(rows: list[np.ndarray]) -> pa.ListArray:
     flat = np.concatenate(rows) if rows else np.empty(0, np.int64)
-    return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * width), pa.array(flat))
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, rows)], dtype=np.int32)), pa.array(flat))
 
 
 def banded_distance(a: list, b: list, band: int) -> int:
@@ -271,16 +300,18 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 
 def _buckets(nodes: DataFrame) -> DataFrame:
-    """(sketch number, value, length bin, node): a node lies in its length bin and the next one.
+    """(key of a sketch value and a length bin, node): a node lies in its length bin and the next one.
+
+    A value is one of its sketch's seed, so that values of different sketches differ.
 
     Texts whose word counts differ by at most the factor 1 / 0.8 share a bin.
     """
     low = F.floor(F.log(BIN, F.greatest(F.col("n_words"), F.lit(1)).cast("double")))
     # bin b: counts from BIN^b to BIN^(b + 2); every pair within the factor BIN shares one
     return (nodes.where("n_words > 0")
-            .select("node", "n_words", F.posexplode("sketch").alias("j", "value"), low.alias("low"))
-            .select("node", "n_words", F.explode(F.array(F.col("low"), F.col("low") - 1)).alias("bin"), "j", "value")
-            .select(F.xxhash64("j", "value", "bin").alias("key"), "node", "n_words"))
+            .select("node", "n_words", F.explode("sketch").alias("value"), low.alias("low"))
+            .select("node", "n_words", F.explode(F.array(F.col("low"), F.col("low") - 1)).alias("bin"), "value")
+            .select(F.xxhash64("value", "bin").alias("key"), "node", "n_words"))
 
 
 def _to_pivots(members: DataFrame, root: DataFrame, turn: int) -> DataFrame:
@@ -295,6 +326,21 @@ def _to_pivots(members: DataFrame, root: DataFrame, turn: int) -> DataFrame:
             .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct())
 
 
+def _reach(na: str, nb: str, fa: str, fb: str) -> tuple[Column, Column]:
+    """Whether the folded parities let a pair reach the threshold, and the most parities it may differ in."""
+    most = F.floor(F.greatest(na, nb) * (1 - SIMILARITY) + 1e-9)
+    apart = F.abs(F.col(na) - F.col(nb))
+    differ = reduce(add, [F.bit_count(F.get(fa, F.lit(i)).bitwiseXOR(F.get(fb, F.lit(i)))) for i in range(FOLDED // 64)])
+    return (apart <= most) & (differ <= 2 * most - apart), 2 * most - apart
+
+
+def _reachable(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose folded parities can belong to similar texts."""
+    a = nodes.select(F.col("node").alias("a"), F.col("n_words").alias("na"), F.col("fold").alias("fa"))
+    b = nodes.select(F.col("node").alias("b"), F.col("n_words").alias("nb"), F.col("fold").alias("fb"))
+    return pairs.join(a, "a").join(b, "b").where(_reach("na", "nb", "fa", "fb")[0]).select("a", "b")
+
+
 def _rest(members: DataFrame, nodes: DataFrame, root: DataFrame) -> DataFrame:
     """Every pair (a, b) of one bucket and two classes that can be similar."""
     placed = staged(members.join(root, "node"), "placed")
@@ -303,15 +349,14 @@ def _rest(members: DataFrame, nodes: DataFrame, root: DataFrame) -> DataFrame:
     salts = F.least(F.lit(SALTS), F.ceil(F.col("size") / PER_SALT)).cast("int").alias("salts")
     left = staged(placed.withColumn("salt", _salt("node")).join(_salted(open_keys.select("key", F.col("top.root").alias("largest"), salts)), ["key", "salt"])
                   .select("key", "node", "root", "salts", (F.col("root") != F.col("largest")).alias("minor"))
-                  .join(nodes.select("node", "n_words", "odd"), "node"), "rest")
+                  .join(nodes.select("node", "n_words", "odd", "fold"), "node"), "rest")
     # one side is without the bucket's largest class, so that its members do not meet each other
-    a = left.select("key", F.pmod(F.xxhash64("node"), "salts").cast("int").alias("salt"), F.col("node").alias("a"), F.col("root").alias("ra"), F.col("n_words").alias("na"), F.col("odd").alias("oa"), "minor")
-    b = left.where("minor").select("key", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("node").alias("b"), F.col("root").alias("rb"), F.col("n_words").alias("nb"), F.col("odd").alias("ob"))
-    most = F.floor(F.greatest("na", "nb") * (1 - SIMILARITY) + 1e-9)
-    apart = F.abs(F.col("na") - F.col("nb"))
+    a = left.select("key", F.pmod(F.xxhash64("node"), "salts").cast("int").alias("salt"), F.col("node").alias("a"), F.col("root").alias("ra"), F.col("n_words").alias("na"), F.col("odd").alias("oa"), F.col("fold").alias("fa"), "minor")
+    b = left.where("minor").select("key", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("node").alias("b"), F.col("root").alias("rb"), F.col("n_words").alias("nb"), F.col("odd").alias("ob"), F.col("fold").alias("fb"))
+    near, most = _reach("na", "nb", "fa", "fb")
     differ = F.aggregate(F.zip_with("oa", "ob", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x)
     # merged, so that a hot bucket is dealt out by salt however small its rows are
-    return (a.join(b.hint("merge"), ["key", "salt"]).where((~F.col("minor") | (F.col("a") < F.col("b"))) & (F.col("ra") != F.col("rb")) & (apart <= most) & (differ <= 2 * most - apart))
+    return (a.join(b.hint("merge"), ["key", "salt"]).where((~F.col("minor") | (F.col("a") < F.col("b"))) & (F.col("ra") != F.col("rb")) & near & (differ <= most))
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
@@ -326,7 +371,7 @@ def _joined(root: DataFrame, links: DataFrame) -> DataFrame:
 def _turn(pairs: DataFrame, tested: DataFrame | None, texts: DataFrame, nodes: DataFrame, root: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The pairs not tested before, the classes after their links, and these links."""
     pairs = staged(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-    new = staged(_verified(pairs, texts, nodes), "links")
+    new = staged(_verified(_reachable(pairs, nodes), texts, nodes), "links")
     return pairs, root if new.isEmpty() else _joined(root, new), new
 
 
@@ -339,9 +384,9 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     pairs of different texts with their similarity.
     """
     texts = df.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    docs = staged(texts.mapInArrow(_sketch_batches, f"id {dict(texts.dtypes)['id']}, node binary, n_words bigint, sketch array<bigint>, odd array<bigint>"), "sketches")
+    docs = staged(texts.mapInArrow(_sketch_batches, f"id {dict(texts.dtypes)['id']}, node binary, n_words bigint, sketch array<bigint>, odd array<bigint>, fold array<bigint>"), "sketches")
     nodes = staged(docs.groupBy("node").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.max("n_words").alias("n_words"),
-                                            F.max("sketch").alias("sketch"), F.max("odd").alias("odd")), "nodes")
+                                            F.max("sketch").alias("sketch"), F.max("odd").alias("odd"), F.max("fold").alias("fold")), "nodes")
     buckets = _buckets(nodes)
     shared = staged(buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key"), "shared")
     members = staged(buckets.withColumn("salt", _salt("node")).join(_salted(shared), ["key", "salt"]).select("key", "node"), "members")
