@@ -198,6 +198,40 @@ def test_decontamination_finds_substituted_passages(spark, docs, odd):
     assert decontam.overlaps(df, bench.limit(0)).count() == 0 and decontam.overlaps(df.limit(0), bench).count() == 0
 
 
+def test_excerpts_are_found_at_every_position(spark, docs):
+    """Exact excerpts of 13, 14 and 15 words of an item inside unrelated text; substituted ones against all stretches."""
+    rng = random.Random(23)
+    item = [f"item{i}" for i in range(40)]
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    rows, want = [], {}
+    for n in (10, 13, 14, 15):      # 10 of the 13 words around them are not enough
+        for at in range(len(item) - n + 1):
+            rows.append([*words(rng, 30), *item[at:at + n], *words(rng, 30)])
+            want[len(rows) - 1] = (30, 30 + n, n, n) if n >= 13 else None
+    got = {r["doc_id"]: r for r in decontam.overlaps(docs([(i, " ".join(t), "en", "s") for i, t in enumerate(rows)]), bench).collect()}
+    assert set(got) == {i for i, w in want.items() if w}
+    # a stretch of one more word on either side is not better, as its words differ
+    assert all((r["first_word"], r["end_word"], r["matched"], r["compared"]) == want[i] for i, r in got.items())
+
+    # substituted: found if and only if a seed lies in a stretch of 13 words or more that is 80 % equal
+    rows = []
+    for _ in range(200):
+        n = rng.randint(13, 24)
+        at = rng.randint(0, len(item) - n)
+        body = item[at:at + n]
+        for k in rng.sample(range(n), rng.randint(1, 5)):
+            body[k] = "changed"
+        rows.append((["other"] * 45 + body + ["other"] * 45, 45 - at))
+    want = set()
+    for i, (t, shift) in enumerate(rows):
+        same = [a == b for a, b in zip(item, t[shift:])]
+        seeded = [p for m in decontam.MASKS for p in range(31) if all(same[p + k] for k, c in enumerate(m) if c == "1")]
+        if any(a <= p and p + 10 <= b and b - a >= 13 and 5 * sum(same[a:b]) >= 4 * (b - a) for p in seeded for a in range(p + 1) for b in range(p + 10, 41)):
+            want.add(i)
+    got = {r["doc_id"] for r in decontam.overlaps(docs([(i, " ".join(t), "en", "s") for i, (t, _) in enumerate(rows)]), bench).collect()}
+    assert got == want and 20 < len(want) < 200
+
+
 def test_whole_items_are_found_on_driver_rows(spark):
     df, bench = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
     texts = {r["doc_id"]: " ".join((r["text"] or "").lower().split()) for r in df.collect()}

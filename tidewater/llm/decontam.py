@@ -4,14 +4,16 @@ A mask picks some positions of a run of ten words and ignores the others, so
 the hash of the picked words survives substitutions at ignored positions.
 Hashes of every run of every benchmark item are joined with those of every
 run of every whole document.  Around each hit the item's words are laid over
-the document's on the hit's diagonal (``CONTEXT`` words to either side, cut at
-the ends of both), and the overlap counts when at least ``IDENTITY`` of it is
-equal and it spans ``OVERLAP`` words or the whole item.
+the document's on the hit's diagonal, as far as both go, and the hit counts
+when some stretch there that contains the run is at least ``IDENTITY`` equal
+and spans ``OVERLAP`` words or the whole item.  Equal words score 1 and others
+-``PENALTY``, so such a stretch is one of score 0 or more; the best of each
+least length on either side is found in one pass.
 
 The document side never shuffles: runs are hashed inside the row and probed
-against the benchmark's seeds, which are broadcast while they number at most
-``BROADCAST_SEEDS`` (each row has a bounded size); beyond that the same join
-is left to the planner.  Only verified overlaps are grouped.
+against the benchmark's seeds, which are broadcast with the items' words while
+the seeds number at most ``BROADCAST_SEEDS`` (the words are fewer); beyond that
+the same joins are left to the planner.  Only verified overlaps are grouped.
 
 Defined results: words are lower-cased runs of anything but ASCII white space;
 null and blank texts match nothing; an item of fewer than ten words must occur
@@ -30,8 +32,12 @@ from tidewater.llm.common import SPACE, let, staged
 #: Fixed masks of one span: 1 is compared, 0 ignored.
 MASKS = ("1101100101", "1010011011")
 SPAN = len(MASKS[0])
-CONTEXT, OVERLAP, IDENTITY = 5, 13, 0.8
-#: Bound of the broadcast: about 250 bytes a seed.
+OVERLAP, IDENTITY = 13, 0.8
+#: Equal words that make up for a different one.
+PENALTY = round(IDENTITY / (1 - IDENTITY))
+#: A stretch as one number: score * ONE + words.  The numbers of adjoining stretches add up.
+ONE = 1 << 32
+#: Bound of the broadcast: about 100 bytes a seed.
 BROADCAST_SEEDS = 200_000
 
 
@@ -49,32 +55,59 @@ def _seeds(w: Column, mask: str) -> Column:
         lambda i: F.xxhash64(F.lit(mask), *[F.get(w, i + k) for k in at]))).otherwise(F.array().cast("array<bigint>"))
 
 
-def item_seeds(bench: DataFrame, masks: tuple[str, ...]) -> DataFrame:
-    """(seed, item_id, n_item, off, ctx): a row per run of an item; ``ctx`` starts ``off`` words before the run."""
-    items = bench.select("item_id", _hashes(F.col("text")).alias("w")).withColumn("n_item", F.size("w"))
+def item_words(bench: DataFrame) -> DataFrame:
+    """(item, item_id, words, n_item): a row per item; ``item`` numbers the rows."""
+    items = bench.select(F.monotonically_increasing_id().alias("item"), "item_id", _hashes(F.col("text")).alias("words"))
+    return items.withColumn("n_item", F.size("words"))
+
+
+def item_seeds(items: DataFrame, masks: tuple[str, ...]) -> DataFrame:
+    """(seed, item, n_item, at): a row per run of an item, which starts at word ``at``."""
     out = None
     for m in masks:
         # runs shorter than the common span stand for items of just that many words
         own = items.where(F.col("n_item") >= SPAN if len(m) == SPAN else F.col("n_item") == len(m))
-        own = own.select("item_id", "n_item", "w", F.posexplode(_seeds(F.col("w"), m)).alias("at", "seed"))
-        start = F.greatest(F.lit(0), F.col("at") - CONTEXT)
-        own = own.select("seed", "item_id", "n_item", (F.col("at") - start).alias("off"),
-                         F.slice("w", start + 1, F.col("at") + len(m) + CONTEXT - start).alias("ctx"))
+        own = own.select("item", "n_item", F.posexplode(_seeds(F.col("words"), m)).alias("at", "seed")).select("seed", "item", "n_item", "at")
         out = own if out is None else out.unionByName(own)
     return out
 
 
+def _scored(mine: Column, theirs: Column) -> Column:
+    """The words of two runs of one length compared: ONE + 1 or 1 - PENALTY * ONE each."""
+    return F.zip_with(mine, theirs, lambda a, b: F.when(a == b, F.lit(ONE + 1)).otherwise(F.lit(1 - PENALTY * ONE)))
+
+
+def _best_from(scored: Column) -> Column:
+    """Array: at t the best stretch from the start of at least t words, t up to OVERLAP - SPAN; null if there is none."""
+    least = range(1, OVERLAP - SPAN + 1)
+    start = F.struct(F.lit(0).cast("long").alias("c"), F.lit(0).cast("long").alias("b0"), *[F.lit(None).cast("long").alias(f"b{t}") for t in least])
+
+    def step(s: Column, x: Column) -> Column:
+        c = s["c"] + x
+        return F.struct(c.alias("c"), F.greatest(s["b0"], c).alias("b0"),
+                        *[F.greatest(s[f"b{t}"], F.when(_length(c) >= t, c)).alias(f"b{t}") for t in least])
+
+    return F.aggregate(scored, start, step, lambda s: F.array(s["b0"], *[s[f"b{t}"] for t in least]))
+
+
+def _length(stretch: Column) -> Column:
+    return stretch.bitwiseAND(F.lit(ONE - 1))
+
+
 def overlaps(df: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Verified overlaps: (doc_id, k1, k2, item_id, first_word, end_word, hits, matched, compared).
 
     ``k1``, ``k2`` are hashes of the text; ``first_word`` to ``end_word`` spans
-    all verified runs of the item in the document; ``matched`` of ``compared``
-    words were equal in the best of them.
+    all verified stretches of the item in the document; ``matched`` of
+    ``compared`` words were equal in the best of them.
     """
     bench = bench.select("item_id", "text").where("text IS NOT NULL")
     short = bench.select(F.size(_hashes(F.col("text"))).alias("n")).where(f"n > 0 AND n < {SPAN}").distinct().collect()     # at most nine lengths
-    seeds = staged(item_seeds(bench, MASKS + tuple("1" * r["n"] for r in sorted(short))), "seeds")
-    seeds = F.broadcast(seeds) if seeds.count() <= BROADCAST_SEEDS else seeds
+    items = staged(item_words(bench), "items")
+    seeds = staged(item_seeds(items, MASKS + tuple("1" * r["n"] for r in sorted(short))), "seeds")
+    items = items.select("item", "item_id", "words")
+    if seeds.count() <= BROADCAST_SEEDS:
+        seeds, items = F.broadcast(seeds), F.broadcast(items.join(seeds.select("item").distinct(), "item", "left_semi"))
     found = None
     for masks in [MASKS, *[("1" * r["n"],) for r in sorted(short)]]:
         span = len(masks[0])
@@ -84,17 +117,24 @@ def overlaps(df: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text: str
                          F.crc32(F.coalesce(text, F.lit(""))).alias("k2"), F.explode(F.array(row)).alias("d"))
         docs = docs.select("doc_id", "k1", "k2", F.col("d.w").alias("w"), F.posexplode("d.seeds").alias("run", "seed"))
         hit = docs.join(seeds.where(F.col("n_item") >= SPAN if span == SPAN else F.col("n_item") == span), "seed")
-        runs = F.size("w") - (span - 1)
-        at = F.col("run") % runs
-        start = F.greatest(F.lit(0), at - F.col("off"))
-        skip = start - (at - F.col("off"))
-        laid = F.struct(F.slice("w", start + 1, F.size("ctx") - skip).alias("mine"), F.slice("ctx", skip + 1, F.size("ctx")).alias("theirs"))
+        hit = hit.join(items, "item").withColumnRenamed("at", "off")
+        at, off = F.col("run") % (F.size("w") - (span - 1)), F.col("off")
+        # what both have before and after the run
+        left = F.least(at, off)
+        right = F.least(F.size("w") - at, F.col("n_item") - off) - span
+        cut = lambda start, n: (F.slice("w", at + start + 1, n), F.slice("words", off + start + 1, n))  # noqa: E731, B023
+        laid = F.struct(F.reverse(_scored(*cut(-left, left))).alias("before"), _scored(*cut(F.lit(0), F.lit(span))).alias("run"), _scored(*cut(F.lit(span), right)).alias("after"))
         # again a one-row explode: the comparison must not move into the join, where each probe would carry the document's words
-        hit = hit.select("doc_id", "k1", "k2", "item_id", "n_item", start.alias("start"), F.explode(F.array(laid)).alias("v"))
-        compared = F.least(F.size("v.mine"), F.size("v.theirs"))
-        same = F.aggregate(F.zip_with("v.mine", "v.theirs", lambda a, b: a.eqNullSafe(b) & a.isNotNull()), F.lit(0), lambda s, e: s + e.cast("int"))
-        hit = hit.select("doc_id", "k1", "k2", "item_id", "n_item", "start", compared.alias("compared"), same.alias("matched"))
-        hit = hit.where((F.col("matched") >= IDENTITY * F.col("compared")) & (F.col("compared") >= F.least("n_item", F.lit(OVERLAP))))
+        hit = hit.select("doc_id", "k1", "k2", "item_id", "n_item", at.alias("at"), F.explode(F.array(laid)).alias("v"))
+        run = F.aggregate("v.run", F.lit(0).cast("long"), lambda s, x: s + x)
+        hit = hit.select("doc_id", "k1", "k2", "item_id", "at", (F.least("n_item", F.lit(OVERLAP)) - span).alias("more"),
+                         F.explode(F.array(F.struct(_best_from(F.col("v.before")).alias("before"), run.alias("run"), _best_from(F.col("v.after")).alias("after")))).alias("v"))
+        sides = [(F.get("v.before", F.lit(t)), F.get("v.after", F.col("more") - t)) for t in range(OVERLAP - SPAN + 1)]
+        best = F.array_max(F.array(*[F.struct((b + F.col("v.run") + a).alias("all"), b.alias("before")) for b, a in sides]))
+        hit = hit.select("doc_id", "k1", "k2", "item_id", "at", F.explode(F.array(best)).alias("v")).where("v.all >= 0")
+        words = _length(F.col("v.all"))
+        hit = hit.select("doc_id", "k1", "k2", "item_id", (F.col("at") - _length(F.col("v.before"))).alias("start"), words.alias("compared"),
+                         F.expr(f"(shiftright(v.all, 32) + {PENALTY} * (v.all & {ONE - 1}L)) div {PENALTY + 1}").alias("matched"))
         found = hit if found is None else found.unionByName(hit)
     return (found.groupBy("doc_id", "k1", "k2", "item_id")
             .agg(F.min("start").cast("long").alias("first_word"), F.max(F.col("start") + F.col("compared")).cast("long").alias("end_word"),
