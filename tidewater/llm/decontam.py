@@ -29,8 +29,9 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.common import SPACE, let, staged
 
-#: Fixed masks of one span: 1 is compared, 0 ignored.
-MASKS = ("1101100101", "1010011011")
+#: Fixed masks of one span: 1 is compared, 0 ignored.  The third leaves out two residues modulo 5, the first and the last
+#: position; together they ignore every position, so an item of ten words is found whichever one of them is replaced.
+MASKS = ("1101100101", "1010011011", "0111001110", "0101111010")
 SPAN = len(MASKS[0])
 OVERLAP, IDENTITY = 13, 0.8
 #: Equal words that make up for a different one.
@@ -99,7 +100,7 @@ def overlaps(df: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text: str
 
     ``k1``, ``k2`` are hashes of the text; ``first_word`` to ``end_word`` spans
     all verified stretches of the item in the document; ``matched`` of
-    ``compared`` words were equal in the best of them.
+    ``compared`` words were equal in the best of them (most equal words, then shortest).
     """
     bench = bench.select("item_id", "text").where("text IS NOT NULL")
     short = bench.select(F.size(_hashes(F.col("text"))).alias("n")).where(f"n > 0 AND n < {SPAN}").distinct().collect()     # at most nine lengths
@@ -138,7 +139,7 @@ def overlaps(df: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text: str
         found = hit if found is None else found.unionByName(hit)
     return (found.groupBy("doc_id", "k1", "k2", "item_id")
             .agg(F.min("start").cast("long").alias("first_word"), F.max(F.col("start") + F.col("compared")).cast("long").alias("end_word"),
-                 F.count(F.lit(1)).alias("hits"), F.max(F.struct("matched", "compared")).alias("best"))
+                 F.count(F.lit(1)).alias("hits"), F.max(F.struct("matched", (-F.col("compared")).alias("short"), "compared")).alias("best"))
             .select("doc_id", "k1", "k2", "item_id", "first_word", "end_word", "hits",
                     F.col("best.matched").cast("long").alias("matched"), F.col("best.compared").cast("long").alias("compared")))
 
