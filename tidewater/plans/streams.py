@@ -72,8 +72,8 @@ def stream_upsert(spark, sf_dir):
 
 @register("stream_dedup", "SELECT event_id, ts, user_id, event_type, value FROM events")
 def stream_dedup(spark, sf_dir):
-    """Every delivery is sent twice (a retry in the next file); the watermark
-    dedup emits each event once and keeps state only for the 10-day watermark delay."""
+    """Every delivery is sent twice (a retry in the next file); the dedup
+    emits each event once, however late its first delivery comes."""
     ev = Tables(spark, sf_dir).events
     root = _root(spark, "stream-dedup")
     parts = _deliveries(ev)

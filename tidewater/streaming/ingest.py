@@ -6,8 +6,9 @@
 * :func:`upsert_stream` - ``foreachBatch``: dedup the micro-batch to the
   latest row per key, upsert into the published target and record the batch
   id *in the same commit*, so a replayed batch after a crash is skipped.
-* :func:`dedup_stream` - repeated deliveries: event-time watermark +
-  ``dropDuplicatesWithinWatermark`` keeps state bounded by the delay.
+* :func:`dedup_stream` - repeated deliveries: ``foreachBatch``: each key once,
+  by anti-join with the keys of the sink, so a first delivery counts however
+  late it comes and no state is held; a replayed batch finds its own rows.
 """
 
 from __future__ import annotations
@@ -75,21 +76,31 @@ def upsert_stream(spark: SparkSession, landing: str, schema, catalog: Catalog, d
 def dedup_stream(spark: SparkSession, landing: str, schema, id_cols: list[str], ts_col: str, delay: str,
                  sink: str, checkpoint: str, files_per_trigger: int | None = None,
                  state_partitions: int | None = None) -> None:
-    """``state_partitions`` fixes the number of state-store partitions (kept in
-    the checkpoint for all later runs); by default it is sized from the landed
-    bytes, ~256 MB each, instead of inheriting the session's shuffle setting."""
+    """Each batch reads the sink's ``id_cols`` once.  ``ts_col`` and ``delay`` no
+    longer bound anything: a watermark would drop first deliveries behind it.
+    ``state_partitions`` fixes the partitions of that join; by default they are
+    sized from the landed bytes, ~256 MB each, instead of inheriting the
+    session's shuffle setting.  A sink or checkpoint of the former watermark
+    query cannot be continued."""
     if state_partitions is None:
         state_partitions = max(2, cluster_shuffle_partitions(_FS(spark).size(landing)))
-    s = _reader(spark, landing, schema, files_per_trigger)
-    # event-time watermarks need a zoned TIMESTAMP; the data's wall-clock
-    # TIMESTAMP_NTZ is read in the session zone for the watermark only
-    d = (s.withColumn("__event_time", F.col(ts_col).cast("timestamp"))
-          .withWatermark("__event_time", delay).dropDuplicatesWithinWatermark(id_cols).drop("__event_time"))
+    if _FS(spark).exists(f"{sink}/_spark_metadata"):
+        raise ValueError(f"{sink} was written by a file sink, whose log would hide new rows")
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        have = batch.sparkSession.read.schema(schema).parquet(sink).select(*[F.col(c).alias(f"__{c}") for c in id_cols])
+        same = F.lit(True)
+        for c in id_cols:
+            same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+        # rows that a failed attempt has left in the sink stay, so a replay adds only what is missing
+        batch.dropDuplicates(id_cols).join(have, same, "left_anti").write.mode("append").parquet(sink)
+
+    spark.createDataFrame([], schema).write.mode("append").parquet(sink)     # a sink to compare the first batch with
     prev = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     try:   # the stream clones the session configuration when it starts
-        q = (d.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
-             .outputMode("append").trigger(availableNow=True).start())
+        q = (_reader(spark, landing, schema, files_per_trigger).writeStream.foreachBatch(apply)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", prev)
     q.awaitTermination()
