@@ -287,6 +287,14 @@ def test_shards_interleave_sources(spark, docs, odd):
     assert sharding.shard_rows(odd.limit(0), 4).count() == 0
 
 
+def test_shards_do_not_depend_on_row_order(spark, docs):
+    """Rows that repeat an id, or have none, are told apart by their texts."""
+    df = docs([(i % 3 or None, f"text {i}", "en", f"s{i % 2}") for i in range(90)])
+    got = [{r["text"]: (r["shard"], r["slot"]) for r in sharding.shard_rows(d, 4).collect()}
+           for d in (df.coalesce(1).sortWithinPartitions("text"), df.coalesce(1).sortWithinPartitions(F.desc("text")))]
+    assert got[0] == got[1] and len(set(got[0].values())) == 90
+
+
 def water(children, given):
     """children: {name: (weight, capacity)} -> shares, by repeated filling."""
     got, open_ = {}, dict(children)

@@ -55,12 +55,17 @@ def _numbered(df: DataFrame, key: list[str], bucket: str, order: list, out: str)
 
 def shard_rows(df: DataFrame, shards: int, source: str = "source", doc_id: str = "doc_id",
                text_digest: Column | None = None, seed: int = 9) -> DataFrame:
-    """Add ``shard`` (0 to shards - 1) and ``slot`` (gapless from 0 in each shard)."""
+    """Add ``shard`` (0 to shards - 1) and ``slot`` (gapless from 0 in each shard).
+
+    ``text_digest`` breaks ties of the id; by default it is that of the column ``text``, if there is one.
+    """
+    if text_digest is None:
+        text_digest = F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))) if "text" in df.columns else F.lit("")
     keep = [c for c in df.columns if c.lower() not in ("shard", "slot")]
     df = df.select(*[F.col(f"`{c}`") for c in keep],
                    F.col(source).alias("__src"),
                    shuffle_digest(seed, F.col(doc_id)).alias("__dig"),
-                   (text_digest if text_digest is not None else F.lit("")).alias("__txt"))
+                   text_digest.alias("__txt"))
     df = df.withColumn("__bkt", digest_bucket(F.col("__dig")))
     sizes = df.groupBy("__src").agg(F.count(F.lit(1)).alias("__size"))
     sizes = staged(sizes, "sizes")          # a row per source
