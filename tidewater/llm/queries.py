@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm import (chat, decontam, langid, mixing, order_minhash, pu_quality, quality_rules, sharding,
-                           token_counts, token_files)
+                           suffix_dedup, token_counts, token_files)
 from tidewater.llm.common import documents, read_table, staged
-from tidewater.llm.registry import register
+from tidewater.llm.registry import QUERIES, register  # noqa: F401
 
 #: Domains of the corpus's sources (the number in a source's name) and the mixture's weights.
 DOMAINS = ("web", "news", "books", "forum")
@@ -91,3 +91,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_token_files")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.checksums(token_files.round_trip(documents(spark, sf_dir, "doc_id", "text")))
+
+
+@register("op13_suffix_dedup")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.dedup_substrings(documents(spark, sf_dir, "doc_id", "text")))
