@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import (chat, decontam, langid, mixing, order_minhash, pu_quality, quality_rules, sharding,
-                           suffix_dedup, token_counts, token_files)
+from tidewater.llm import (chat, conversation_repair, decontam, hard_negatives, langid, mixing, order_minhash, pu_quality,
+                           quality_rules, sharding, suffix_dedup, token_counts, token_files)
 from tidewater.llm.common import documents, read_table, staged
 from tidewater.llm.registry import QUERIES, register  # noqa: F401
 
@@ -93,6 +93,17 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.checksums(token_files.round_trip(documents(spark, sf_dir, "doc_id", "text")))
 
 
+@register("op11_conversation_repair")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.damage_and_repair(read_table(spark, sf_dir, "conversations"))
+
+
+@register("op12_hard_negatives", hard_negatives.ORACLE)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(read_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label=moved)
+
+
 @register("op13_suffix_dedup")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(suffix_dedup.dedup_substrings(documents(spark, sf_dir, "doc_id", "text")))
