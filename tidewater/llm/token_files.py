@@ -2,11 +2,12 @@
 
 File format (little-endian), one file per range of ids:
 
-    magic    8 bytes  b"TWRANK01"
+    magic    8 bytes  b"TWRANK02"
     blocks   control bytes, then data bytes, of about BLOCK ids each
+    names    the document ids, as an Arrow stream of one column
     index    uint64 per document: length in ids; uint64 per block: documents,
              ids, control bytes, data bytes, offset in the file
-    footer   uint64 documents, blocks, offset of the index; the magic again
+    footer   uint64 documents, blocks, offsets of names and index; the magic again
 
 An id is stored as its rank by falling frequency in the corpus (ties by id),
 so frequent ids take one byte.  A control byte holds four 2-bit lengths less
@@ -17,9 +18,11 @@ Decoding looks four lengths up per control byte in a table, turns them into
 offsets by one cumulative sum, and gathers the bytes: no loop over ids.
 
 Documents are laid out in ascending (id, digest of the text), null ids first:
-a range shuffle of already encoded ids, sorted inside each range.  Tasks write
-under a name of their own attempt and return it, so a task that ran twice
-leaves an orphan that no manifest names.
+a range shuffle of already encoded ids, sorted inside each range, so files are
+ordered by the number of their range also where one id fills several.  Tasks
+write under a name of their own attempt and return it, so a task that ran twice
+leaves an orphan that no manifest names.  The manifest has a small row per
+file; document ids are read back from the files.
 
 Defined results: null text is encoded as an empty one (it has the end id
 only); repeated rows are documents of their own; an empty table gives no files
@@ -33,13 +36,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import stage_path, staged
 from tidewater.llm.tokens import END, blocks, default_path, encoder
 
-MAGIC = b"TWRANK01"
+MAGIC = b"TWRANK02"
 BLOCK = 1 << 18
 #: Lengths of the four values of each control byte.
 LENGTHS = np.array([[(c >> 2 * k & 3) + 1 for k in range(4)] for c in range(256)], np.uint8)
@@ -127,7 +131,7 @@ def _write_task(out: str, table: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = np.frombuffer(table, "<u4")
         fs = stream = name = None
-        docs, blocks, first, last, waiting, held = [], [], None, None, [], 0
+        docs, blocks, first, waiting, held = [], [], None, [], 0
         at = 0
 
         def flush():
@@ -156,16 +160,22 @@ def _write_task(out: str, table: bytes):
             return
         if waiting:
             flush()
+        names_at = at
+        column = pa.array([d for d, _ in docs], b.schema.field("id").type)
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, pa.schema([("doc_id", column.type)])) as names:
+            names.write_batch(pa.RecordBatch.from_arrays([column], ["doc_id"]))
+        names = sink.getvalue()
+        stream.write(names)
+        at += len(names)
         stream.write(np.array([n for _, n in docs], "<u8").tobytes())
         stream.write(np.array(blocks, "<u8").tobytes())
-        stream.write(np.array([len(docs), len(blocks), at], "<u8").tobytes() + MAGIC)
+        stream.write(np.array([len(docs), len(blocks), names_at, at], "<u8").tobytes() + MAGIC)
         stream.close()
-        ids = pa.array([d for d, _ in docs], b.schema.field("id").type)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([name]), pa.array([first], ids.type), pa.array([len(docs)], pa.int64()),
-             pa.array([sum(n for _, n in docs)], pa.int64()), pa.array([at], pa.int64()),
-             pa.ListArray.from_arrays(pa.array([0, len(docs)], pa.int32()), ids)],
-            ["file", "first", "docs", "ids", "index_at", "doc_ids"])
+            [pa.array([name]), pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([first], column.type),
+             pa.array([len(docs)], pa.int64()), pa.array([sum(n for _, n in docs)], pa.int64())],
+            ["file", "part", "first", "docs", "ids"])
     return run
 
 
@@ -173,7 +183,7 @@ def write(df: DataFrame, out: str, doc_id: str = "doc_id", text: str = "text", p
           files: int | None = None) -> tuple[DataFrame, bytes]:
     """Write the frame's ids under ``out`` (a folder that all executors share).
 
-    Returns the manifest (file, first id, docs, ids, doc_ids; a row per file)
+    Returns the manifest (file, part: its place, first id, docs, ids; a row per file)
     and the table rank -> token id as little-endian 32-bit integers.  ``files``
     is the number of ranges (default: the session's shuffle partitions).
     """
@@ -191,7 +201,7 @@ def write(df: DataFrame, out: str, doc_id: str = "doc_id", text: str = "text", p
     manifest = staged(
         encoded.repartitionByRange(files, F.col("id").asc_nulls_first(), F.col("digest"))
         .sortWithinPartitions(F.col("id").asc_nulls_first(), "digest").select("id", "width", "ids")
-        .mapInArrow(_write_task(out, rank.tobytes()), f"file string, first {kind}, docs bigint, ids bigint, index_at bigint, doc_ids array<{kind}>"),
+        .mapInArrow(_write_task(out, rank.tobytes()), f"file string, part int, first {kind}, docs bigint, ids bigint"),
         "manifest")
     return manifest, tokens.tobytes()
 
@@ -201,21 +211,22 @@ def read(manifest: DataFrame, out: str, table: bytes) -> DataFrame:
     spark = manifest.sparkSession
     kind = dict(manifest.dtypes)["first"]
     # a row per file: the ids in all files before it
-    order = W.orderBy(F.col("first").asc_nulls_first(), "file")
-    placed = (manifest.withColumn("start", F.coalesce(F.sum("ids").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    before = W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    placed = (manifest.select("file", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("start"))
               .repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = np.frombuffer(table, "<u4")
         fs, root = _filesystem(out)
         for b in batches:
-            for name, start, index_at, doc_ids in zip(b.column("file"), b.column("start"), b.column("index_at"), b.column("doc_ids")):
+            for name, start in zip(b.column("file"), b.column("start")):
                 with fs.open_input_file(f"{root}/{name.as_py()}") as f:
                     size = f.size()
-                    foot = f.read_at(24 + len(MAGIC), size - 24 - len(MAGIC))
-                    if foot[24:] != MAGIC or f.read_at(len(MAGIC), 0) != MAGIC:
+                    foot = f.read_at(32 + len(MAGIC), size - 32 - len(MAGIC))
+                    if foot[32:] != MAGIC or f.read_at(len(MAGIC), 0) != MAGIC:
                         raise ValueError(f"{name} is not a whole token file")
-                    n, m, at = np.frombuffer(foot[:24], "<u8").tolist()
+                    n, m, names_at, at = np.frombuffer(foot[:32], "<u8").tolist()
+                    doc_ids = pa.ipc.open_stream(f.read_at(at - names_at, names_at)).read_all().column(0).combine_chunks()
                     lengths = np.frombuffer(f.read_at(8 * n, at), "<u8").astype(np.int64)
                     blocks = np.frombuffer(f.read_at(40 * m, at + 8 * n), "<u8").reshape(-1, 5).tolist()
                     done, before = 0, start.as_py()
@@ -226,11 +237,11 @@ def read(manifest: DataFrame, out: str, table: bytes) -> DataFrame:
                         ends = np.cumsum(own)
                         chunks = [values[e - k:e].tobytes() for e, k in zip(ends.tolist(), own.tolist())]
                         yield pa.RecordBatch.from_arrays(
-                            [doc_ids.values.slice(done, docs), pa.array(before + ends - own, pa.int64()), pa.array(own, pa.int64()), pa.array(chunks, pa.binary())],
+                            [doc_ids.slice(done, docs), pa.array(before + ends - own, pa.int64()), pa.array(own, pa.int64()), pa.array(chunks, pa.binary())],
                             ["doc_id", "start", "n_tokens", "ids"])
                         done, before = done + docs, before + ids
 
-    return placed.select("file", "start", "index_at", "doc_ids").mapInArrow(run, f"doc_id {kind}, start bigint, n_tokens bigint, ids binary")
+    return placed.mapInArrow(run, f"doc_id {kind}, start bigint, n_tokens bigint, ids binary")
 
 
 def checksums(documents: DataFrame) -> DataFrame:
