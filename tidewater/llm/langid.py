@@ -31,11 +31,17 @@ from pyspark.sql import functions as F
 SAMPLE, LANDMARKS, DIM, RIDGE = 2_000, 160, 1 << 13, 1e-2
 BATCH = 64
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+#: Letters and some numbers that are no digits; ``str.isalpha`` tells them apart.
+_WORDLIKE = re.compile(r"[^\W\d_]")
 _TO_SPACE = np.arange(256, dtype=np.uint8)
 _TO_SPACE[[9, 10, 11, 12, 13]] = 32
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character of a Unicode letter category occurs."""
+    return any(m.group().isalpha() for m in _WORDLIKE.finditer(text))
+
+
 def positions(text: str) -> np.ndarray:
     """Hashed positions of the text's n-grams, each once."""
     b = np.frombuffer(text.lower().encode(), np.uint8)
@@ -138,7 +144,7 @@ def predict(df: DataFrame, model: Model | None, text: str = "text", keep: tuple[
 
             for i, t in enumerate(b.column("__text")):
                 t = t.as_py()
-                if m is not None and t and _LETTER.search(t):
+                if m is not None and t and has_letter(t):
                     texts.append(t)
                     at.append(i)
                     if len(texts) == BATCH:
