@@ -135,7 +135,10 @@ def learn(df: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     # the label side is bounded by ``positives``
     pos = docs.join(F.broadcast(_least(known.where("good"), positives, n["p"])), "id")
     unl = docs.join(F.broadcast(_least(docs.select("id").where("id IS NOT NULL").distinct(), unlabelled, docs.count())), "id").withColumn("good", F.lit(False))
-    rows = _featurised(pos.select("good", "text").unionByName(unl.select("good", "text"))).collect()
+    # one row of each id, so that repeated ids keep the bound
+    one = pos.select("good", "id", "text").unionByName(unl.select("good", "id", "text")).groupBy("good", "id").agg(
+        F.min(F.struct(F.md5(F.coalesce("text", F.lit(""))).alias("digest"), "text")).alias("row")).select("good", "row.text")
+    rows = _featurised(one).collect()
     of = lambda good: np.array([np.frombuffer(r["x"], np.float32) for r in rows if r["good"] == good], np.float32).reshape(-1, DIM)
     order = lambda x: x[np.lexsort(x[:, :40].T)] if len(x) else x  # noqa: E731  the same order whatever the task order was
     return fit(order(of(True)), order(of(False)), float(min(max(share, 0.01), 0.99)))
