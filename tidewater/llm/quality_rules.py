@@ -186,7 +186,7 @@ def learn(df: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
                       .join(F.broadcast(sample), "__id"), "__text")
     rows = staged(rows.where(~_base_failed()).select(
         "bad", (F.pmod(F.crc32(F.col("__id").cast("string")), F.lit(3)) == 0).alias("prune"),
-        *[_ratio(s).alias(s) for s in RATIOS]).coalesce(4), "labelled")
+        *[_ratio(s).alias(s) for s in RATIOS]).repartition(4), "labelled")
     at = [(i + 1) / (n_cuts + 1) for i in range(n_cuts)]
     # cuts at quantiles of the bad rows and of the good ones, so that rare kinds of junk get cuts too
     quantiles = rows.groupBy("bad").agg(*[F.percentile_approx(s, at, 10_000).alias(s) for s in RATIOS]).collect()
