@@ -379,3 +379,10 @@ def test_pipeline_chains_stages(spark):
     assert sizes[0] > sizes[1] > sizes[2] > sizes[3] > 0
     end = corpus_pipeline.run(spark, SF).collect()
     assert len(end) == sizes[-1] and {r["shard"] for r in end} == set(range(24))
+
+
+def test_near_dedup_keeps_odd_column_names(docs):
+    rng = random.Random(31)
+    text = " ".join(words(rng, 40))
+    df = docs([(1, text, "en", "s"), (2, text, "en", "s"), (3, " ".join(words(rng, 40)), "en", "s")]).withColumn("a.b", F.lit(7)).withColumn("node", F.lit("x"))
+    assert sorted((r["doc_id"], r["a.b"], r["node"]) for r in omh.keep_first(df).collect()) == [(1, 7, "x"), (3, 7, "x")]

@@ -1,6 +1,7 @@
 """Quality rules, classifiers, counts and token files against brute force."""
 
 import random
+import tempfile
 import re
 import zlib
 from collections import Counter
@@ -162,3 +163,48 @@ def test_histogram_answers_every_limit(spark, odd):
     for q in (0.01, 0.5, 0.99, 1.0):
         assert spark.range(1).select(token_counts.quantile(hist, q)).first()[0] == n[int(np.ceil(q * len(n))) - 1]
     assert token_counts.histogram(df.limit(0)).count() == 0
+
+
+def test_token_files_of_one_id_keep_the_order(spark, docs):
+    """One id, and none, over several files: start follows (id, digest), the same on every run."""
+    rng = random.Random(12)
+    rows = [(5, f"five {i} " * rng.randint(0, 3)) for i in range(900)] + [(None, f"none {i}") for i in range(700)] + [(i, f"id {i}") for i in range(6, 250)]
+    rng.shuffle(rows)
+    df = docs([(i, t, "en", "s") for i, t in rows]).repartition(5)
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, zlib.crc32(r[1].encode())))
+    start, want = 0, []
+    for (i, _), ids in zip(ordered, reference_ids([t for _, t in ordered])):
+        raw = np.append(ids, tokens.END).astype("<u4").tobytes()
+        want.append((i, start, len(raw) // 4, zlib.crc32(raw)))
+        start += len(raw) // 4
+    for _ in range(2):
+        out = tempfile.mkdtemp(prefix="tw-ids-") + "/files"
+        manifest, table = token_files.write(df, out, files=8)
+        assert manifest.count() >= 7 and "doc_ids" not in manifest.columns
+        got = token_files.checksums(token_files.read(manifest, out, table)).collect()
+        assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_language_needs_a_letter(spark, docs):
+    learn = docs([(i, w, g, "s") for i, (w, g) in enumerate([("the cat and the dog", "en"), ("le chat et le chien", "fr")] * 5)])
+    texts = ["½ ²", "½ a", "123 _ ٣", "日", "ª", "!?", "Ⅷ"]
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(docs([(i, t, None, "s") for i, t in enumerate(texts)]), learn).collect()}
+    assert [got[i] != "und" for i in range(7)] == [False, True, False, True, True, False, False]
+
+
+def test_classifier_reads_one_row_of_a_repeated_id(spark, docs, monkeypatch):
+    sizes = []
+    fit = pu_quality.fit
+    monkeypatch.setattr(pu_quality, "fit", lambda pos, unl, prior: sizes.append((len(pos), len(unl))) or fit(pos, unl, prior, epochs=1))
+    df = docs([(1, f"text {i}", "en", "s") for i in range(500)] + [(i, f"good text {i}.", "en", "s") for i in range(2, 40)])
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(1, 40)], "doc_id long, quality int, toxic int")
+    pu_quality.learn(df, labels)
+    assert sizes == [(20, 39)]
+
+
+def test_rule_learning_reads_in_all_tasks(spark, docs, monkeypatch):
+    seen = []
+    staged = quality_rules.staged
+    monkeypatch.setattr(quality_rules, "staged", lambda df, name: seen.append(df._jdf.queryExecution().toString()) or staged(df, name))
+    quality_rules.learn(docs([(i, "a b c " * 30, "en", "s") for i in range(40)]), spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int"))
+    assert seen and "Coalesce" not in seen[0] and "Repartition 4, true" in seen[0]

@@ -419,6 +419,7 @@ def keep_first(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     first = classes.where("is_first").groupBy(F.col("id").alias("__id"), F.col("node").alias("__node")).agg(F.count(F.lit(1)).alias("__rows"))
     rows = df.withColumn("__text_node", F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))))
     kept = rows.join(first, (F.col("__text_node") == F.col("__node")) & F.col(doc_id).eqNullSafe(F.col("__id")))
-    once = kept.where("__rows = 1").select(*df.columns)
-    again = kept.where("__rows > 1").dropDuplicates(["__node", "__id"]).select(*df.columns)
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    once = kept.where("__rows = 1").select(*columns)
+    again = kept.where("__rows > 1").dropDuplicates(["__node", "__id"]).select(*columns)
     return once.unionByName(again)
