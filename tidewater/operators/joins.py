@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.operators.sequence import carry_last
+
 
 def preagg_join(parent: DataFrame, parent_key: str, children: dict, fill: dict | None = None) -> DataFrame:
     """Aggregate every many-side to the parent key *before* joining.
@@ -47,17 +49,36 @@ def pit_filter(versions: DataFrame, as_of, valid_from: str = "valid_from", valid
 
 
 def pit_join(facts: DataFrame, fact_key: str, fact_ts: str, versions: DataFrame, version_key: str,
-             valid_from: str = "valid_from", valid_to: str = "valid_to", how: str = "left") -> DataFrame:
+             valid_from: str = "valid_from", valid_to: str = "valid_to", how: str = "left",
+             num_partitions: int | None = None) -> DataFrame:
     """As-of join: each fact meets the version of its key valid at the fact time.
 
-    Equi-join on the key with the half-open interval as a residual predicate;
-    never a join on the range alone.  Versions per key are few (one per
-    change), so the per-key candidate set stays small.
+    A sorted merge: facts and versions are one stream of rows by (key, time),
+    range-partitioned, and each fact takes the last version before it
+    (:func:`carry_last`).  No pair of a fact and a version is ever formed, and
+    a key with a third of all facts, or with a long history, fills several
+    ranges.  A version that starts at the fact's time counts; one that has
+    ended by then does not.  Versions of one key must not overlap (gaps may
+    be); of several with one start the last to end counts.  Rows without key
+    or time match nothing.
     """
-    v = versions.withColumnRenamed(version_key, "__vkey")
-    cond = ((facts[fact_key] == v["__vkey"]) & (facts[fact_ts] >= v[valid_from])
-            & (v[valid_to].isNull() | (facts[fact_ts] < v[valid_to])))
-    return facts.join(v, cond, how).drop("__vkey")
+    if how not in ("left", "inner"):
+        raise ValueError(how)
+    mine = [c for c in versions.columns if c != version_key]
+    v = versions.where(F.col(version_key).isNotNull() & F.col(valid_from).isNotNull()).select(
+        F.col(version_key).alias("__key"), F.col(valid_from).alias("__at"), F.lit(0).alias("__kind"), F.col(valid_to).alias("__to"),
+        F.struct(*[F.col(c) for c in mine]).alias("__version"))
+    f = facts.select(F.col(fact_key).alias("__key"), F.col(fact_ts).alias("__at"), F.lit(1).alias("__kind"),
+                     F.struct(*[F.col(c) for c in facts.columns]).alias("__fact"))
+    rows = v.unionByName(f, allowMissingColumns=True)
+    order = [F.col("__at").asc_nulls_first(), "__kind", F.col("__to").asc_nulls_last()]
+    met = carry_last(rows, ["__key"], order, "__version", "__last", num_partitions).where("__kind = 1")
+    live = F.col("__last").isNotNull() & F.col("__key").isNotNull() & (
+        F.col(f"__last.{valid_to}").isNull() | (F.col("__at") < F.col(f"__last.{valid_to}")))
+    met = met.withColumn("__last", F.when(live, F.col("__last")))
+    if how == "inner":
+        met = met.where(F.col("__last").isNotNull())
+    return met.select(*[F.col(f"__fact.{c}").alias(c) for c in facts.columns], *[F.col(f"__last.{c}").alias(c) for c in mine])
 
 
 def date_spine(bounds: DataFrame, start: str = "start", end: str = "end", name: str = "d") -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.operators.loads import any_differs
-from tidewater.operators.sequence import WINDOW_GROUP_LIMIT, assign_sk, lead_within
+from tidewater.operators.sequence import assign_sk, lead_within
 
 SCD_COLS = ["valid_from", "valid_to", "is_current"]
 
@@ -92,15 +92,14 @@ def check_one_current(dim: DataFrame, key: str) -> DataFrame:
     return per.agg(F.count_if(F.col("n_current") != 1).cast("bigint").alias("violations"))
 
 
-def check_contiguous(dim: DataFrame, key: str, group_limit: int = WINDOW_GROUP_LIMIT) -> DataFrame:
+def check_contiguous(dim: DataFrame, key: str, num_partitions: int | None = None) -> DataFrame:
     """Q10: a version's valid_to must equal the next version's valid_from, and
     only the last version may be open.
 
-    The next version comes from :func:`lead_within`: a per-key window while
-    every entity's history is below ``group_limit`` versions, else a
-    range-numbered LEAD that splits a very long history over many tasks."""
+    The next version comes from :func:`lead_within`, which splits a very long
+    history over many tasks."""
     x = lead_within(dim.select(key, "sk", "valid_from", "valid_to"), [key], ["valid_from", "sk"],
-                    ["valid_from"], prefix="__next_", group_limit=group_limit)
+                    ["valid_from"], prefix="__next_", num_partitions=num_partitions)
     nxt = F.col("__next_valid_from")
     bad = (nxt.isNull() & F.col("valid_to").isNotNull()) | (nxt.isNotNull() & ~F.col("valid_to").eqNullSafe(nxt)) \
         | (F.col("valid_to") <= F.col("valid_from"))

@@ -1,103 +1,78 @@
-"""Distributed numbering: global row number, NTILE, skew-safe LAG and
-surrogate keys.
-
-A window without PARTITION BY moves every row into one task, and a window
-partitioned by a hot key moves a third of the table into one task.  These
-operators first check the size of the largest group (the whole frame for a
-global order); up to ``WINDOW_GROUP_LIMIT`` rows they use the plain window,
-above it the range-numbered form:
-
-1. range-partition on the full (total) sort order, so even one hot key is
-   split across many partitions by the sampled range bounds;
-2. sort within each partition and checkpoint, so the numbering is stable on
-   recomputation after an executor loss;
-3. count rows per partition (one row per partition), prefix-sum the counts
-   and broadcast them: a row's global number is its partition's offset plus
-   its position inside the partition.
+"""Distributed numbering and neighbours: global row number, NTILE, LAG / LEAD,
+carried values and surrogate keys, by one plan at every size.
+
+Rows are range-partitioned on a total sort order, so sampled bounds split even
+one hot key over many tasks, sorted inside each range and written to the checkpoint
+folder, so that a lost executor cannot move a row to another range.  What a range must know of
+the ones before it is one small row per range: its count (numbers), its last
+rows (LAG / LEAD) or its last state (carried values), handed on by a scan over
+one row per range.  No task gets more rows than a range holds; the number of
+ranges is the session's ``spark.sql.shuffle.partitions`` (fewer where AQE
+merges small ones) or the argument.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import uuid
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.session import cluster_shuffle_partitions, ensure_checkpoint_dir
+from tidewater.session import ensure_checkpoint_dir
 
+RANGE, PLACE = "__range", "__place"
 
-# Estimates above this are join-statistics blow-ups (row counts multiplied
-# through joins without column stats), not sizes; they are treated as unknown.
-_CREDIBLE_ESTIMATE = 1 << 50          # 1 PiB
-_MAX_RANGE_PARTITIONS = 1 << 19       # ~512k: 100 TB at 256 MB each fits below it
-# A per-key window holds all rows of one key in one task.  It is used only
-# when the largest key is at most this many rows (checked first with one
-# aggregate); beyond it the range-numbered form is used.
-WINDOW_GROUP_LIMIT = 1_000_000
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage: write the rows once as a table in the shared checkpoint folder and read it back.
 
-def _num_partitions(df: DataFrame) -> int:
-    """Range partitions of ~256 MB from the optimizer's size estimate (an
-    over-estimate at worst, which only adds partitions); the session's shuffle
-    setting when no credible estimate is available."""
+    The folder goes when the session's JVM ends.
+    """
     spark = df.sparkSession
-    fallback = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    try:
-        est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001  (no JVM access, e.g. Spark Connect)
-        return fallback
-    if est >= _CREDIBLE_ESTIMATE:
-        return fallback
-    return min(cluster_shuffle_partitions(est), _MAX_RANGE_PARTITIONS)
+    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    if getattr(spark, "_jvm", None) is not None:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def in_ranges(df: DataFrame, order_cols: list, num_partitions: int | None = None) -> DataFrame:
+    """The rows with ``__range`` (rising along the order) and ``__place`` (rising inside a range)."""
+    ranged = df.repartitionByRange(num_partitions, *order_cols) if num_partitions else df.repartitionByRange(*order_cols)
+    return materialize(ranged.sortWithinPartitions(*order_cols).withColumn(RANGE, F.spark_partition_id())
+                       .withColumn(PLACE, F.monotonically_increasing_id()))
 
 
-def rows_at_most(df: DataFrame, limit: int) -> bool:
-    """True when ``df`` has at most ``limit`` rows: at most ``limit + 1``
-    rows are counted (a task of the last stage stops there), and one number
-    reaches the driver."""
-    return df.limit(limit + 1).count() <= limit
+def _numbered(ranged: DataFrame, name: str) -> DataFrame:
+    """Add the 1-based number along the order to rows of :func:`in_ranges`."""
+    counts = ranged.groupBy(RANGE).agg(F.count(F.lit(1)).alias("__n"), F.min(PLACE).alias("__first"))
+    # one row per range
+    before = Window.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(RANGE, (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first") + 1).alias("__shift"))
+    return (ranged.join(F.broadcast(offsets), RANGE)
+            .withColumn(name, F.col(PLACE) + F.col("__shift")).drop("__shift"))
 
 
 def global_row_number(df: DataFrame, order_cols: list, name: str = "rn",
-                      num_partitions: int | None = None,
-                      group_limit: int = WINDOW_GROUP_LIMIT) -> DataFrame:
-    """Add a 1-based row number in ``order_cols`` order; one task only up to ``group_limit`` rows.
+                      num_partitions: int | None = None) -> DataFrame:
+    """Add a 1-based row number in ``order_cols`` order.
 
     ``order_cols`` must define a total order (end with a unique key), as for
     any deterministic ROW_NUMBER.  Entries may be column names or sort
-    expressions (e.g. ``F.col("x").desc()``).  Up to ``group_limit`` rows the
-    plain window is used (one task, deterministic under a total order).
+    expressions (e.g. ``F.col("x").desc()``).
     """
-    if num_partitions is None and group_limit > 0 and rows_at_most(df, group_limit):
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*order_cols)).cast("bigint"))
-    n = num_partitions or _num_partitions(df)
-    ranged = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-                .withColumn("__pid", F.spark_partition_id())
-                .withColumn("__mid", F.monotonically_increasing_id()))
-    ranged = materialize(ranged)
-    counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__first"))
-    # one row per partition: this window is bounded by the partition count
-    w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(w), F.lit(0)))
-    out = ranged.join(F.broadcast(offsets.select("__pid", "__first", "__off")), "__pid")
-    return (out.withColumn(name, F.col("__mid") - F.col("__first") + F.col("__off") + 1)
-               .drop("__pid", "__mid", "__first", "__off"))
+    return _numbered(in_ranges(df, order_cols, num_partitions), name).drop(RANGE, PLACE)
 
 
 def ntile(df: DataFrame, buckets: int, order_cols: list, name: str = "ntile",
-          group_limit: int = WINDOW_GROUP_LIMIT) -> DataFrame:
+          num_partitions: int | None = None) -> DataFrame:
     """SQL NTILE(buckets) over ``order_cols`` computed from the global row number.
 
     With N rows, q = N div k and r = N mod k: the first r buckets hold q + 1 rows.
-    Up to ``group_limit`` rows the plain window is used.
     """
-    if group_limit > 0 and rows_at_most(df, group_limit):
-        return df.withColumn(name, F.ntile(buckets).over(Window.orderBy(*order_cols)).cast("bigint"))
-    numbered = global_row_number(df, order_cols, name="__rn", group_limit=0)
+    numbered = _numbered(in_ranges(df, order_cols, num_partitions), "__rn")
     total = numbered.agg(F.count(F.lit(1))).scalar()
     x = numbered.withColumn("__total", total)
     k = F.lit(buckets)
@@ -107,48 +82,68 @@ def ntile(df: DataFrame, buckets: int, order_cols: list, name: str = "ntile",
     big = r * (q + 1)
     bucket = F.when(rn <= big, F.floor((rn - 1) / (q + 1)) + 1).otherwise(
         r + F.floor((rn - big - 1) / F.greatest(q, F.lit(1))) + 1)
-    return x.withColumn(name, bucket.cast("bigint")).drop("__rn", "__total")
+    return x.withColumn(name, bucket.cast("bigint")).drop("__rn", "__total", RANGE, PLACE)
 
 
-def largest_group(df: DataFrame, key_cols: list) -> int:
-    """Rows of the largest key: one aggregate, combined map-side; one value to the driver."""
-    n = df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("__n")).agg(F.max("__n")).first()[0]
-    return n or 0
+def _same(keys: list[str], left: str, right: str) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(f"{left}{k}").eqNullSafe(F.col(f"{right}{k}")) for k in keys], F.lit(True))
 
 
 def lag_within(df: DataFrame, key_cols: list, order_cols: list, value_cols: list,
-               prefix: str = "prev_", offset: int = 1,
-               group_limit: int = WINDOW_GROUP_LIMIT) -> DataFrame:
-    """LAG(value, offset) OVER (PARTITION BY key ORDER BY order), safe for hot keys.
-
-    When no key has more than ``group_limit`` rows, this is the plain window
-    (one shuffle on the key).  Otherwise rows are numbered along (key, order)
-    by range partitions, which split a hot key over many tasks; the row
-    ``offset`` places before is found by an equi-join on ``rn - offset`` (a
-    unique key, so no join skew) and kept only when it belongs to the same
-    key.  A negative ``offset`` is LEAD.
+               prefix: str = "prev_", offset: int = 1, num_partitions: int | None = None) -> DataFrame:
+    """LAG(value, offset) OVER (PARTITION BY key ORDER BY order), safe for hot keys; a negative ``offset`` is LEAD.
+
+    The neighbour is looked up inside the range; for the ``offset`` rows at a
+    range's edge it is one of the last (LEAD: first) ``offset`` rows of the
+    ranges beyond it, a table of ``offset`` rows per range, found by number.
     """
-    if group_limit > 0 and largest_group(df, key_cols) <= group_limit:
-        w = Window.partitionBy(*key_cols).orderBy(*order_cols)
-        shift = (lambda c: F.lag(c, offset)) if offset > 0 else (lambda c: F.lead(c, -offset))
-        return df.select("*", *[shift(v).over(w).alias(f"{prefix}{v}") for v in value_cols])
-    numbered = global_row_number(df, list(key_cols) + list(order_cols), name="__rn", group_limit=0)
-    prev = numbered.select((F.col("__rn") + offset).alias("__rn"),
-                           *[F.col(k).alias(f"__pk_{k}") for k in key_cols],
-                           *[F.col(v).alias(f"{prefix}{v}") for v in value_cols])
-    j = numbered.join(prev, "__rn", "left")
-    same = F.lit(True)
-    for k in key_cols:
-        same = same & F.col(f"__pk_{k}").eqNullSafe(F.col(k))
+    n = abs(offset)
+    rows = _numbered(in_ranges(df, [*key_cols, *order_cols], num_partitions), "__rn")
+    inside = Window.partitionBy(RANGE, *key_cols).orderBy("__rn")
+    shift = F.lag if offset > 0 else F.lead
+    rows = rows.select("*", *[shift(v, n).over(inside).alias(f"{prefix}{v}") for v in value_cols],
+                       shift("__rn", n).over(inside).isNotNull().alias("__found"))
+    # the rows next to a range's edge, with the number of the row that looks for them
+    edge = Window.partitionBy(RANGE).orderBy(F.col("__rn").desc() if offset > 0 else F.col("__rn"))
+    border = (rows.select(RANGE, "__rn", *key_cols, *value_cols).withColumn("__nth", F.row_number().over(edge)).where(F.col("__nth") <= n)
+              .select((F.col("__rn") + offset).alias("__rn"), *[F.col(k).alias(f"__k_{k}") for k in key_cols],
+                      *[F.col(v).alias(f"__v_{v}") for v in value_cols]))
+    out = rows.join(F.broadcast(border), "__rn", "left")
+    beyond = ~F.col("__found") & _same(key_cols, "", "__k_")
     for v in value_cols:
-        j = j.withColumn(f"{prefix}{v}", F.when(same, F.col(f"{prefix}{v}")))
-    return j.drop("__rn", *[f"__pk_{k}" for k in key_cols])
+        out = out.withColumn(f"{prefix}{v}", F.when(beyond, F.col(f"__v_{v}")).otherwise(F.col(f"{prefix}{v}")))
+    return out.select(*df.columns, *[f"{prefix}{v}" for v in value_cols])
 
 
 def lead_within(df: DataFrame, key_cols: list, order_cols: list, value_cols: list,
-                prefix: str = "next_", group_limit: int = WINDOW_GROUP_LIMIT) -> DataFrame:
+                prefix: str = "next_", num_partitions: int | None = None) -> DataFrame:
     """LEAD(value) OVER (PARTITION BY key ORDER BY order), skew-safe like :func:`lag_within`."""
-    return lag_within(df, key_cols, order_cols, value_cols, prefix=prefix, offset=-1, group_limit=group_limit)
+    return lag_within(df, key_cols, order_cols, value_cols, prefix=prefix, offset=-1, num_partitions=num_partitions)
+
+
+def carry_last(df: DataFrame, key_cols: list[str], order_cols: list, value: str, name: str,
+               num_partitions: int | None = None) -> DataFrame:
+    """Add ``name``: the last non-null ``value`` up to the row, within its key.
+
+    Inside a range this is a running window; a range's last state, one row of
+    key and value, is handed on over ranges, so a key that fills many ranges
+    is known to all of them.
+    """
+    rows = in_ranges(df, [*key_cols, *order_cols], num_partitions)
+    upto = Window.partitionBy(RANGE, *key_cols).orderBy(PLACE).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn(name, F.last(value, ignorenulls=True).over(upto))
+    # the key at a range's end, its last value there, and whether the range begins with another key
+    ends = rows.groupBy(RANGE).agg(F.max_by(F.struct(*key_cols, F.col(name).alias("__value")), PLACE).alias("last"),
+                                   F.min_by(F.struct(*key_cols), PLACE).alias("first"))
+    key = F.struct(*[F.col(f"last.{k}") for k in key_cols])
+    # ranges that end in one key stand side by side: the last of them that has a value knows it
+    run = Window.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)          # one row per range
+    known = F.when(F.col("last.__value").isNotNull(), F.struct(key.alias("k"), F.col("last.__value").alias("v")))
+    given = ends.select(RANGE, F.last(known, ignorenulls=True).over(run).alias("__given"), F.col("first").alias("__first"))
+    out = rows.join(F.broadcast(given.select(RANGE, "__given")), RANGE, "left")
+    same = reduce(lambda a, b: a & b, [F.col(f"__given.k.{k}").eqNullSafe(F.col(k)) for k in key_cols], F.col("__given").isNotNull())
+    return (out.withColumn(name, F.coalesce(F.col(name), F.when(same, F.col("__given.v"))))
+            .select(*df.columns, name))
 
 
 def assign_sk(existing: DataFrame | None, new_rows: DataFrame, order_cols: list, sk: str = "sk",
