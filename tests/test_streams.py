@@ -14,7 +14,7 @@ def test_dedup_keeps_late_first_deliveries(spark, scratch):
                   [(3, day(1), 30), (3, day(1), 30), (1, day(0), 10), (None, day(20), 0)],      # 3 comes first 24 days behind
                   [(3, day(1), 30), (5, day(2), 50)]]
     frames = [spark.createDataFrame(d, SCHEMA) for d in deliveries]
-    args = (["event_id"], "ts", "10 days", f"{scratch}/sink", f"{scratch}/ckpt")
+    args = (["event_id"], f"{scratch}/sink", f"{scratch}/ckpt")
     want = {(1, 10), (2, 20), (3, 30), (4, 40), (None, 0)}
 
     def rows():

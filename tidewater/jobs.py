@@ -8,7 +8,8 @@ re-run finds nothing new and logs 0 / 0.
 
 Targets of upserting jobs are stored in hash buckets of the key (one
 partition per bucket): a run reads and rewrites only the buckets its delta
-touches and carries the others over by reference.
+touches and carries the others over by reference.  The number of buckets grows
+with the table's bytes, so that the rewritten share falls as a table grows.
 """
 
 from __future__ import annotations
@@ -18,80 +19,120 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.operators.loads import change_counts, latest_per_key, slice_lower, upsert, watermark_slice
-from tidewater.operators.scd2 import changed_keys, empty_dimension, scd2_merge
+from tidewater.operators.loads import change_counts, latest_per_key, slice_lower, upsert
+from tidewater.operators.scd2 import changed_keys, empty_dimension, scd2_merge, splice, states, unknown_states
+from tidewater.operators.sequence import written
+from tidewater.sources.buckets import TARGET_BYTES, BucketDirectory
 from tidewater.sources.publish import Catalog
 
 EPOCH = "1970-01-01 00:00:00"
 LOG_SCHEMA = ("load_id bigint, table_name string, wm_from timestamp_ntz, wm_to timestamp_ntz, "
               "rows_new bigint, rows_changed bigint, run_id string")
 WM_SCHEMA = "table_name string, watermark_value timestamp_ntz"
+#: Buckets that a load splits beyond those its own rows call for, when it brings less than the table holds.
+MOST_SPLITS = 64
 
 
-def bucket_of(key_col: str, n_buckets: int):
-    return F.pmod(F.xxhash64(F.col(key_col)), F.lit(n_buckets)).cast("int")
+class _Bucketed:
+    """A target in hash buckets of its key, whose directory grows with its bytes (``sources.buckets``).
 
+    ``n_buckets`` is the number to begin with.
+    """
+
+    def _open(self, spark: SparkSession, root: str, table: str, key: str, n_buckets: int, target_bytes: int) -> None:
+        self.spark, self.catalog = spark, Catalog(spark, root)
+        self.table, self.key, self.n_buckets, self.target_bytes = table, key, n_buckets, target_bytes
+
+    def _directory(self, snap: dict | None) -> BucketDirectory:
+        return BucketDirectory((snap or {}).get("meta", {}).get("buckets", self.n_buckets))
+
+    def _grow(self, snap: dict | None, rows: str, coming: int) -> tuple[BucketDirectory, BucketDirectory, set[int]]:
+        """The directory of the last commit, the one to write by, and the buckets that it splits."""
+        now = self._directory(snap)
+        held = sum(snap["tables"][rows].get("bytes", {}).values()) if snap and rows in snap["tables"] else 0
+        then, split = now.for_bytes(held, coming, self.target_bytes, None if coming >= held else MOST_SPLITS)
+        return now, then, split
+
+    def _hit(self, df: DataFrame, directory: BucketDirectory) -> set[int]:
+        """The buckets that the rows fall into: at most as many numbers as the table has buckets."""
+        return {r[0] for r in df.select(directory.bucket(self.key).alias("b")).distinct().collect()}
 
-class WatermarkLoad:
+    def _read(self, table: str, snap: dict | None, buckets: set[int] | None = None) -> DataFrame | None:
+        df = self.catalog.read(self.table, table, snap, partitions=buckets) if snap else None
+        return df.drop("__bucket") if df is not None else None
+
+    def _write(self, tx, table: str, df: DataFrame, now: BucketDirectory, then: BucketDirectory, touched: set[int]) -> None:
+        replaced = touched | set(range(now.n, then.n))
+        tx.write_partitions(table, df.withColumn("__bucket", then.bucket(self.key)), "__bucket", replace=set(map(str, replaced)))
+
+
+class WatermarkLoad(_Bucketed):
     """``(wm_from - lookback, wm_to]`` slice of a mutable source, upserted.
 
-    ``wm_to`` is the source maximum frozen before the load starts (rows that
-    land during the load belong to the next run).  ``rows_changed`` counts
-    only rows whose values differ from the target, so a lookback that re-reads
-    loaded rows reports 0.
+    The slice is read once and written aside, which freezes it: ``wm_to`` is
+    its maximum, so rows that land during the load belong to the next run.
+    ``rows_changed`` counts only rows whose values differ from the target, so
+    a lookback that re-reads loaded rows reports 0.
     """
 
     def __init__(self, spark: SparkSession, root: str, table: str, key: str, ts_col: str,
-                 update_cols: list[str], lookback: str | None = None, n_buckets: int = 16):
-        self.spark = spark
-        self.catalog = Catalog(spark, root)
-        self.table, self.key, self.ts_col = table, key, ts_col
-        self.update_cols = update_cols
-        self.lookback = lookback
-        self.n_buckets = n_buckets
+                 update_cols: list[str], lookback: str | None = None, n_buckets: int = 1,
+                 target_bytes: int = TARGET_BYTES):
+        self._open(spark, root, table, key, n_buckets, target_bytes)
+        self.ts_col, self.update_cols, self.lookback = ts_col, update_cols, lookback
 
-    def run(self, source: DataFrame) -> dict:
-        tx = self.catalog.begin(self.table)
-        snap = tx.base
-        wm = self.catalog.read(self.table, "watermark", snap)
-        wm_from = wm.first()["watermark_value"] if wm is not None else dt.datetime(1970, 1, 1)
-        # one scan gives the frozen upper bound (the source maximum) and the
-        # buckets the slice touches (a set of at most n_buckets values)
-        in_slice = F.col(self.ts_col) > slice_lower(wm_from, self.lookback)
-        stats = source.agg(F.max(self.ts_col).alias("wm_to"),
-                           F.collect_set(F.when(in_slice, bucket_of(self.key, self.n_buckets))).alias("b")).first()
-        wm_to = stats["wm_to"]
-        if wm_to is None:                                             # empty source: keep the mark
-            return {"skipped": True}
-        touched = sorted(stats["b"])
-        delta = watermark_slice(source, self.ts_col, wm_from, wm_to, self.lookback)
+    def prepare(self, source: DataFrame, tx) -> dict | None:
+        """Write the load's result into ``tx``; None if the source is empty."""
+        snap = tx.base if tx.base and self.table in tx.base["meta"].get("loads", {}) else None
+        done = snap["meta"]["loads"][self.table] if snap else {"load_id": 0, "watermark": EPOCH}
+        wm_from = dt.datetime.fromisoformat(done["watermark"])
         # several versions of one key in the slice: keep the latest (an upsert
         # with duplicate keys would be order-dependent); combined map-side
-        delta = latest_per_key(delta, self.key, [self.ts_col])
-        delta = delta.withColumn("__bucket", bucket_of(self.key, self.n_buckets))
-        target = self.catalog.read(self.table, "rows", snap)
-        if target is None:
-            target = self.spark.createDataFrame([], delta.schema)
-        old = self.catalog.read(self.table, "rows", snap, partitions=touched) if snap else target
+        part = source.where(F.col(self.ts_col) > slice_lower(wm_from, self.lookback))
+        delta, path = written(latest_per_key(part, self.key, [self.ts_col]))
+        now, then, split = self._grow(snap, self._rows, self.catalog.fs.size(path))
+        stats = delta.agg(F.max(self.ts_col).alias("wm_to"), F.collect_set(now.bucket(self.key)).alias("b")).first()
+        wm_to, touched = stats["wm_to"], set(stats["b"])
+        if wm_to is None:                              # nothing in the slice: is there anything at all?
+            wm_to = source.agg(F.max(self.ts_col)).first()[0]
+            if wm_to is None:
+                return None
+            then, split = now, set()
+        touched |= split
+        old = self._read(self._rows, snap, touched)
+        if old is None:
+            old = self.spark.createDataFrame([], delta.schema)
         counts = change_counts(old, delta, self.key, self.update_cols).first()
-        merged = upsert(old.select(*delta.columns), delta, self.key, self.update_cols)
-        log_old = self.catalog.read(self.table, "log", snap)
-        load_id = (snap["meta"].get("load_id", 0) if snap else 0) + 1
-        row = [(load_id, self.table, wm_from, wm_to, counts["rows_new"], counts["rows_changed"], tx.run_id)]
-        log_new = self.spark.createDataFrame(row, LOG_SCHEMA)
-        log = log_new if log_old is None else log_old.unionByName(log_new)
-        tx.write_partitions("rows", merged, "__bucket", replace=set(map(str, touched)))
-        tx.write("log", log)
-        tx.write("watermark", self.spark.createDataFrame([(self.table, wm_to)], WM_SCHEMA))
-        tx.commit({"op": "watermark_load", "load_id": load_id})
-        return {"load_id": load_id, "wm_from": wm_from, "wm_to": wm_to,
-                "rows_new": counts["rows_new"], "rows_changed": counts["rows_changed"]}
-
-    def target(self) -> DataFrame:
-        return self.catalog.read(self.table, "rows").drop("__bucket")
-
-    def log(self) -> DataFrame:
-        return self.catalog.read(self.table, "log")
+        if touched:
+            self._write(tx, self._rows, upsert(old.select(*delta.columns), delta, self.key, self.update_cols), now, then, touched)
+        run = {"load_id": done["load_id"] + 1, "wm_from": wm_from, "wm_to": wm_to,
+               "rows_new": counts["rows_new"], "rows_changed": counts["rows_changed"]}
+        row = [(run["load_id"], self.table, wm_from, wm_to, run["rows_new"], run["rows_changed"], tx.run_id)]
+        tx.append(self._log, self.spark.createDataFrame(row, LOG_SCHEMA))
+        tx.meta = tx.meta | {"buckets": then.n, "loads": tx.meta.get("loads", {}) | {
+            self.table: {"load_id": run["load_id"], "watermark": wm_to.isoformat(sep=" ")}}}
+        return run
+
+    _rows, _log = "rows", "log"
+
+    def run(self, source: DataFrame) -> dict:
+        tx = self.catalog.begin(self.table)
+        run = self.prepare(source, tx)
+        if run is None:                                # empty source: keep the mark
+            return {"skipped": True}
+        tx.commit({"op": "watermark_load"})
+        return run
+
+    def target(self, snapshot: dict | None = None) -> DataFrame:
+        return self.catalog.read(self.table, self._rows, snapshot).drop("__bucket")
+
+    def log(self, snapshot: dict | None = None) -> DataFrame:
+        return self.catalog.read(self.table, self._log, snapshot)
+
+    def watermark(self) -> DataFrame:
+        """One row (table_name, watermark_value)."""
+        mark = self.catalog.current(self.table)["meta"]["loads"][self.table]["watermark"]
+        return self.spark.createDataFrame([(self.table, dt.datetime.fromisoformat(mark))], WM_SCHEMA)
 
 
 class RangeReload:
@@ -154,53 +195,95 @@ class RangeReload:
         return self.catalog.read(self.table, "rows").drop("__grain")
 
 
-class Scd2Load:
+class Scd2Load(_Bucketed):
     """P9/P10 as a published job.
 
-    The dimension is stored in hash buckets of the key.  A load first compares
-    only the current versions (key + tracked columns) with the snapshot to
-    find the buckets holding new or changed keys, then merges and rewrites
-    just those buckets; surrogate keys continue from the maximum kept in the
-    commit.  A re-run that changes nothing writes nothing.
+    By source time (``change_time_col``) the dataset holds the dimension and
+    the states seen, both in hash buckets of the key.  A load first compares
+    only the latest known state of each key with the snapshot; states that are
+    not known so are spliced in, and the buckets of their keys rewritten.
+    States may come in any order, also several of one key.
+
+    By load time, snapshots must come in order and have one row per key.
+
+    Surrogate keys continue from the maximum kept in the commit.  A run that
+    changes nothing writes nothing.
     """
 
     def __init__(self, spark: SparkSession, root: str, table: str, key: str, tracked: list[str],
                  attrs: list[str] | None = None, change_time_col: str | None = None,
-                 first_time_col: str | None = None, n_buckets: int = 16):
-        self.spark = spark
-        self.catalog = Catalog(spark, root)
-        self.table, self.key, self.tracked = table, key, tracked
-        self.attrs = attrs or tracked
+                 first_time_col: str | None = None, n_buckets: int = 1, target_bytes: int = TARGET_BYTES):
+        self._open(spark, root, table, key, n_buckets, target_bytes)
+        self.tracked, self.attrs = tracked, attrs or tracked
         self.change_time_col, self.first_time_col = change_time_col, first_time_col
-        self.n_buckets = n_buckets
 
-    def run(self, snapshot: DataFrame, load_time=None) -> dict:
+    _dim, _seen = "dim", "seen"
+
+    def run(self, snapshot: DataFrame, load_time=None, meta: dict | None = None) -> dict:
         tx = self.catalog.begin(self.table)
+        changed = self.prepare(snapshot, tx, load_time)
+        if not changed and not meta:
+            return {"changed_buckets": 0}
+        return tx.commit({"op": "scd2", "load_time": str(load_time), "changed_buckets": changed} | (meta or {}))
+
+    def prepare(self, snapshot: DataFrame, tx, load_time=None) -> int:
+        """Write the load's result into ``tx``; the number of buckets rewritten."""
+        return self._by_source_time(snapshot, tx) if self.change_time_col else self._by_load_time(snapshot, tx, load_time)
+
+    def _by_source_time(self, snapshot: DataFrame, tx) -> int:
+        base, columns = tx.base, [self.key, *self.attrs, "seen_at", "first_at"]
+        news = states(snapshot, self.key, self.attrs, self.change_time_col, self.first_time_col)
+        dim = self._read(self._dim, base)
+        if dim is not None:
+            news = unknown_states(dim, news, self.key, self.attrs)
+        news, path = written(news.select(*columns))
+        now, then, split = self._grow(base, self._seen, self.catalog.fs.size(path))
+        touched = self._hit(news, now)
+        if not touched:
+            return 0
+        touched |= split
+        part, seen = self._read(self._dim, base, touched), self._read(self._seen, base, touched)
+        if part is None:
+            kinds = {f.name: f.dataType.simpleString() for f in news.schema}
+            part = self.spark.createDataFrame([], ", ".join(
+                ["sk bigint", *[f"`{c}` {kinds[c]}" for c in [self.key, *self.attrs]], "opened_at timestamp_ntz", "valid_from timestamp_ntz",
+                 "valid_to timestamp_ntz", "is_current boolean", "last_seen timestamp_ntz"]))
+            seen = self.spark.createDataFrame([], news.schema)
+        sk_start = base["meta"].get("max_sk", 0) if base else 0
+        dim, seen = splice(part, seen, news, self.key, self.tracked, self.attrs, sk_start=sk_start)
+        self._write(tx, self._dim, dim, now, then, touched)
+        self._write(tx, self._seen, seen, now, then, touched)
+        self._note(tx, base, then, touched)
+        return len(touched)
+
+    def _by_load_time(self, snapshot: DataFrame, tx, load_time) -> int:
         base = tx.base
-        dim = self.catalog.read(self.table, "dim", base)
+        last = base["meta"].get("last_load_time") if base else None
+        if last is not None and str(load_time) < last:
+            raise ValueError(f"load time {load_time} is before that of the last load, {last}")
+        now = then = self._directory(base)
+        dim = self._read(self._dim, base)
         if dim is None:
             dim = empty_dimension(self.spark, snapshot, self.key, self.attrs, "sk")
-        else:
-            dim = dim.drop("__bucket")
-        snap = snapshot.withColumn("__bucket", bucket_of(self.key, self.n_buckets))
-        hits = changed_keys(dim, snap, self.key, self.tracked)
-        touched = [r[0] for r in hits.select("__bucket").distinct().collect()]   # <= n_buckets values
+        hits, path = written(changed_keys(dim, snapshot, self.key, self.tracked))
+        touched = self._hit(hits, now)
         if not touched:
-            return {"changed_buckets": 0}
-        part = self.catalog.read(self.table, "dim", base, partitions=touched)
-        part = part.drop("__bucket") if part is not None else dim
-        sk_start = base["meta"].get("max_sk", 0) if base else 0
-        new = scd2_merge(part, snap.filter(F.col("__bucket").isin(touched)).drop("__bucket"),
-                         self.key, self.tracked, sk="sk", attrs=self.attrs,
-                         load_time=load_time if self.change_time_col is None else None,
-                         change_time_col=self.change_time_col, first_time_col=self.first_time_col,
-                         sk_start=sk_start)
-        tx.write_partitions("dim", new.withColumn("__bucket", bucket_of(self.key, self.n_buckets)),
-                            "__bucket", replace=set(map(str, touched)))
-        written = self.catalog.read(self.table, "dim", {"tables": tx.tables}, partitions=touched)
-        max_sk = max(sk_start, written.agg(F.max("sk")).first()[0] or 0)
-        return tx.commit({"op": "scd2", "load_time": str(load_time), "max_sk": max_sk,
-                          "changed_buckets": len(touched)})
+            return 0
+        now, then, split = self._grow(base, self._dim, self.catalog.fs.size(path))
+        touched |= split
+        part = self._read(self._dim, base, touched)
+        new = scd2_merge(dim if part is None else part, hits, self.key, self.tracked, sk="sk", attrs=self.attrs, load_time=load_time,
+                         sk_start=base["meta"].get("max_sk", 0) if base else 0)
+        self._write(tx, self._dim, new, now, then, touched)
+        self._note(tx, base, then, touched)
+        tx.meta = tx.meta | {"last_load_time": str(load_time)}
+        return len(touched)
 
-    def read(self) -> DataFrame:
-        return self.catalog.read(self.table, "dim").drop("__bucket")
+    def _note(self, tx, base, then: BucketDirectory, touched: set[int]) -> None:
+        rewritten = self.catalog.read(self.table, self._dim, {"tables": tx.tables}, partitions=touched | set(range(self._directory(base).n, then.n)))
+        before = base["meta"].get("max_sk", 0) if base else 0
+        tx.meta = tx.meta | {"buckets": then.n, "max_sk": max(before, rewritten.agg(F.max("sk")).first()[0] or 0)}
+
+    def read(self, snapshot: dict | None = None) -> DataFrame:
+        dim = self.catalog.read(self.table, self._dim, snapshot)
+        return dim.select("sk", self.key, *self.attrs, "valid_from", "valid_to", "is_current")

@@ -44,17 +44,31 @@ def any_differs(cols: list[str], left: str = "t", right: str = "s") -> Column:
                   [~F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in cols], F.lit(False))
 
 
+def one_per_key(df: DataFrame, key: str | list[str], what: str = "source") -> DataFrame:
+    """The rows, or a failing job if two of them share a key.
+
+    Counted by an aggregate on the key, which is combined map-side and whose
+    partitioning the join after it uses; the check runs with the plan.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    rest = [c for c in df.columns if c not in keys]
+    told = F.concat(F.lit(f"duplicate key in {what}: "), F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]))
+    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *[F.first(c).alias(c) for c in rest])
+    return g.where(F.assert_true(F.col("__n") == 1, told).isNull()).select(*df.columns)
+
+
 def upsert(target: DataFrame, source: DataFrame, key: str | list[str], update_cols: list[str]) -> DataFrame:
     """INSERT ... ON DUPLICATE KEY UPDATE as a DataFrame rewrite.
 
     Columns in ``update_cols`` take the source value when the key is in the
     source; every other column keeps its *first* value (the target's).  The
-    source must be unique on the key (run :func:`latest_per_key` first).
+    source must be unique on the key (run :func:`latest_per_key` first); if it
+    is not, the job fails instead of multiplying target rows.
     """
     keys = [key] if isinstance(key, str) else list(key)
     cols = target.columns
     t = target.alias("t")
-    s = source.alias("s")
+    s = one_per_key(source, keys).alias("s")
     cond = reduce(lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys])
     j = t.join(s, cond, "full_outer")
     in_src = reduce(lambda a, b: a & b, [F.col(f"s.{k}").isNotNull() for k in keys])

@@ -1,10 +1,17 @@
 """Slowly changing dimension type 2 (P9, P10) and its checks (Q9-Q11).
 
-One load = current versions joined to the source snapshot on the key:
-changed keys get their current version closed and a new one opened, new
-keys get a first version, everything else is carried over untouched.  The
-join is one-to-one (one current version and one source row per key), so no
-key can be hot; re-running with the same snapshot changes nothing.
+Two ways to load.  :func:`scd2_merge` takes snapshots in order: current
+versions are joined to the snapshot on the key (one-to-one, a second row of a
+key fails the job), changed keys get their current version closed and a new
+one opened, new keys a first version; re-running with the same snapshot
+changes nothing, and a change older than the version it would close fails.
+
+:func:`splice` takes states of the source in any order.  It works on the set
+of states seen of the touched keys: a state opens a version where it differs
+from the one before it in source time, so a late state is spliced into the
+closed intervals, splits one, or moves a version's start.  As the versions are
+a function of that set, any order of arrival gives the same dimension, but for
+the numbers of the surrogate keys, which follow arrival.
 """
 
 from __future__ import annotations
@@ -12,8 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.operators.loads import any_differs
-from tidewater.operators.sequence import assign_sk, lead_within
+from tidewater.operators.loads import any_differs, one_per_key
+from tidewater.operators.sequence import assign_sk, lag_within, lead_within, materialize
 
 SCD_COLS = ["valid_from", "valid_to", "is_current"]
 
@@ -42,7 +49,7 @@ def scd2_merge(dim: DataFrame, snapshot: DataFrame, key: str, tracked: list[str]
         raise ValueError("give exactly one of load_time and change_time_col")
     cols = [sk, key, *attrs, *SCD_COLS]
     cur = dim.filter("is_current").alias("t")
-    src = snapshot.alias("s")
+    src = one_per_key(snapshot, key, "snapshot").alias("s")
     j = cur.join(src, F.col(f"t.{key}") == F.col(f"s.{key}"), "full_outer")
     in_t, in_s = F.col(f"t.{key}").isNotNull(), F.col(f"s.{key}").isNotNull()
     changed = in_t & in_s & any_differs(tracked)
@@ -54,6 +61,8 @@ def scd2_merge(dim: DataFrame, snapshot: DataFrame, key: str, tracked: list[str]
         t_first = F.col(f"s.{first_time_col or change_time_col}").cast("timestamp_ntz")
     j = j.withColumn("__changed", changed).withColumn("__new", is_new).withColumn("__tc", t_change) \
          .withColumn("__tf", t_first)
+    late = F.col("__changed") & (F.col("__tc") <= F.col("t.valid_from"))
+    j = j.where(F.assert_true(~F.coalesce(late, F.lit(False)), F.lit("a change is older than the version it would close; use splice")).isNull())
 
     closed = (j.filter("__changed")
                .select(F.col(f"t.{sk}").alias(sk), F.col(f"t.{key}").alias(key),
@@ -72,6 +81,66 @@ def scd2_merge(dim: DataFrame, snapshot: DataFrame, key: str, tracked: list[str]
             .unionByName(opened.select(*cols)))
 
 
+def states(snapshot: DataFrame, key: str, attrs: list[str], change_time_col: str, first_time_col: str | None = None) -> DataFrame:
+    """(key, attributes, ``seen_at``, ``first_at``): what a snapshot or a change feed tells of each key; rows without key or time tell nothing."""
+    at = F.col(change_time_col).cast("timestamp_ntz")
+    first = F.col(first_time_col).cast("timestamp_ntz") if first_time_col else at
+    return (snapshot.select(key, *attrs, at.alias("seen_at"), F.coalesce(F.least(first, at), at).alias("first_at"))
+            .where(F.col(key).isNotNull() & F.col("seen_at").isNotNull()).distinct())
+
+
+def versions_of(seen: DataFrame, key: str, tracked: list[str], attrs: list[str]) -> DataFrame:
+    """The versions that a set of states makes: (key, attributes, opened_at, valid_from, valid_to, is_current, last_seen).
+
+    Of several states of one key at one time the greatest counts.  A version
+    takes its attributes from the state that opens it; a key's first version
+    begins at that state's ``first_at``.
+    """
+    one = (seen.groupBy(key, "seen_at").agg(F.max(F.struct(*attrs, "first_at")).alias("__s"))
+           .select(key, "seen_at", *[F.col(f"__s.{c}").alias(c) for c in [*attrs, "first_at"]], F.lit(True).alias("__any")))
+    before = lag_within(one, [key], ["seen_at"], ["__any", *tracked], prefix="__prev_")
+    same = F.col("__prev___any").isNotNull()
+    for c in tracked:
+        same = same & F.col(c).eqNullSafe(F.col(f"__prev_{c}"))
+    opens = before.where(~same).select(
+        key, *attrs, F.col("seen_at").alias("opened_at"),
+        F.when(F.col("__prev___any").isNull(), F.col("first_at")).otherwise(F.col("seen_at")).alias("valid_from"))
+    closed = lead_within(opens, [key], ["opened_at"], ["opened_at"], prefix="__next_")
+    last = one.groupBy(F.col(key).alias("__k")).agg(F.max("seen_at").alias("last_seen"))
+    return (closed.join(last, F.col(key) == F.col("__k"))
+            .select(key, *attrs, "opened_at", "valid_from", F.col("__next_opened_at").alias("valid_to"),
+                    F.col("__next_opened_at").isNull().alias("is_current"), "last_seen"))
+
+
+def unknown_states(dim: DataFrame, news: DataFrame, key: str, attrs: list[str]) -> DataFrame:
+    """The states that are not just the latest one known of their key."""
+    cur = dim.where("is_current").select(F.col(key).alias("__k"), "last_seen", *[F.col(a).alias(f"__{a}") for a in attrs])
+    same = F.col("seen_at") == F.col("last_seen")
+    for a in attrs:
+        same = same & F.col(a).eqNullSafe(F.col(f"__{a}"))
+    return news.join(cur, F.col(key) == F.col("__k"), "left").where(~F.coalesce(same, F.lit(False))).select(*news.columns)
+
+
+def splice(dim: DataFrame, seen: DataFrame, news: DataFrame, key: str, tracked: list[str], attrs: list[str],
+           sk: str = "sk", sk_start: int = 0) -> tuple[DataFrame, DataFrame]:
+    """The dimension and the states seen, after ``news`` (all as parts that hold whole keys).
+
+    Only keys with news are rebuilt; versions opened by the same state keep
+    their surrogate key, others are numbered from ``sk_start`` on.
+    """
+    touched = materialize(news.select(F.col(key).alias("__touched")).distinct())
+    on = F.col(key) == F.col("__touched")
+    all_seen = seen.select(*news.columns).unionByName(news).distinct()
+    fresh = versions_of(all_seen.join(touched, on, "left_semi"), key, tracked, attrs)
+    old = dim.join(touched, on, "left_semi").select(F.col(key).alias("__k"), F.col("opened_at").alias("__o"), F.col(sk).alias("__sk"))
+    fresh = materialize(fresh.join(old, (F.col(key) == F.col("__k")) & (F.col("opened_at") == F.col("__o")), "left").drop("__k", "__o"))
+    known = fresh.where(F.col("__sk").isNotNull()).withColumnRenamed("__sk", sk)
+    new = assign_sk(None, fresh.where(F.col("__sk").isNull()).drop("__sk"), [key, "opened_at"], sk=sk, start=sk_start)
+    cols = [sk, key, *attrs, "opened_at", *SCD_COLS, "last_seen"]
+    kept = dim.join(touched, on, "left_anti")
+    return kept.select(*cols).unionByName(known.select(*cols)).unionByName(new.select(*cols)), all_seen
+
+
 def changed_keys(dim: DataFrame, snapshot: DataFrame, key: str, tracked: list[str]) -> DataFrame:
     """Snapshot rows that would open a version: new keys or a tracked change."""
     cur = dim.filter("is_current").select(key, *tracked).alias("t")

@@ -24,8 +24,8 @@ from tidewater.session import ensure_checkpoint_dir
 RANGE, PLACE = "__range", "__place"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage: write the rows once as a table in the shared checkpoint folder and read it back.
+def written(df: DataFrame) -> tuple[DataFrame, str]:
+    """Write the rows once as a table in the shared checkpoint folder: the table, and its folder.
 
     The folder goes when the session's JVM ends.
     """
@@ -35,7 +35,12 @@ def materialize(df: DataFrame) -> DataFrame:
         folder = spark._jvm.org.apache.hadoop.fs.Path(path)
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage: the rows from a table written once (:func:`written`)."""
+    return written(df)[0]
 
 
 def in_ranges(df: DataFrame, order_cols: list, num_partitions: int | None = None) -> DataFrame:

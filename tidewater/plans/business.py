@@ -214,7 +214,7 @@ def incremental_scd2_job(spark, sf_dir):
     ev = Tables(spark, sf_dir).events
     root = f"{scratch_root(spark)}/job-{uuid.uuid4().hex[:10]}"
     part_a = WatermarkLoad(spark, root, "stg_users", key="user_id", ts_col="src_updated_at",
-                           update_cols=UPDATE_COLS, lookback="1 HOUR", n_buckets=8)
+                           update_cols=UPDATE_COLS, lookback="1 HOUR")
     part_b = Scd2Load(spark, root, "dim_customer_scd2", "user_id", ["tier"],
                       change_time_col="updated_at", first_time_col="registered_at")
     dq = Catalog(spark, root)

@@ -9,11 +9,13 @@ import uuid
 from pyspark.sql import functions as F
 
 from tidewater.functions import money
+from tidewater.jobs import Scd2Load
+from tidewater.plans.loads import SCD2_EVENTS_SQL
 from tidewater.plans.registry import register
 from tidewater.session import scratch_root
 from tidewater.sources import Tables
 from tidewater.sources.publish import Catalog
-from tidewater.streaming import append_stream, dedup_stream, upsert_stream, write_landing
+from tidewater.streaming import append_stream, dedup_stream, scd2_stream, upsert_stream, write_landing
 
 # Delivery boundaries (event time) of the landed files.
 CUTS = ("2024-01-08 00:00:00", "2024-01-16 00:00:00", "2024-01-24 00:00:00")
@@ -79,6 +81,22 @@ def stream_dedup(spark, sf_dir):
     parts = _deliveries(ev)
     resent = [parts[0]] + [p.unionByName(q) for p, q in zip(parts[1:], parts[:-1])] + [parts[-1]]
     write_landing(resent, f"{root}/landing")
-    dedup_stream(spark, f"{root}/landing", parts[0].schema, ["event_id"], "ts", "10 days",
-                 f"{root}/sink", f"{root}/ckpt", files_per_trigger=1)
+    dedup_stream(spark, f"{root}/landing", parts[0].schema, ["event_id"], f"{root}/sink",
+                 f"{root}/ckpt", files_per_trigger=1)
     return spark.read.schema(parts[0].schema).parquet(f"{root}/sink")
+
+
+@register("stream_scd2", SCD2_EVENTS_SQL)
+def stream_scd2(spark, sf_dir):
+    """Every event is a state of its user; they come shuffled, some twice, and the
+    dimension is the one that the events in source order give."""
+    ev = Tables(spark, sf_dir).events.select("user_id", "event_id", "ts", "event_type")
+    states = ev.withColumn("tier", F.col("event_type")).drop("event_type")
+    root = _root(spark, "stream-scd2")
+    shuffled = F.pmod(F.xxhash64("event_id"), F.lit(3))
+    parts = [states.where(shuffled == k) for k in (2, 0, 1)]
+    resent = parts[1].unionByName(parts[0].where(F.col("event_id") % 5 == 0))
+    write_landing([parts[0], resent, parts[2]], f"{root}/landing")
+    job = Scd2Load(spark, f"{root}/warehouse", "dim_user", "user_id", ["tier"], change_time_col="ts")
+    scd2_stream(spark, f"{root}/landing", parts[0].schema, job, f"{root}/ckpt", files_per_trigger=1)
+    return job.read().drop("sk")

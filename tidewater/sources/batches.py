@@ -11,12 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.operators.loads import upsert
-from tidewater.sources.publish import Catalog, _FS
-
-
-def _bucket(key: str, n: int):
-    return F.pmod(F.xxhash64(F.col(key)), F.lit(n)).cast("int")
+from tidewater.jobs import _Bucketed
+from tidewater.operators.loads import one_per_key, upsert
+from tidewater.operators.sequence import written
+from tidewater.sources.buckets import TARGET_BYTES
+from tidewater.sources.publish import _FS
 
 LEDGER_SCHEMA = "step int, n_rows bigint, run_id string"
 
@@ -30,25 +29,24 @@ class StepGap(RuntimeError):
     """The next step is missing while later ones are there."""
 
 
-class BatchLedger:
+class BatchLedger(_Bucketed):
+    """A table in hash buckets of its key, and the ledger of the steps applied to it."""
+
     def __init__(self, spark: SparkSession, warehouse: str, deltas_root: str, dataset: str, key: str,
-                 update_cols: list[str] | None = None, n_buckets: int = 16):
-        self.spark = spark
-        self.catalog = Catalog(spark, warehouse)
+                 update_cols: list[str] | None = None, n_buckets: int = 1, target_bytes: int = TARGET_BYTES):
+        self._open(spark, warehouse, dataset, key, n_buckets, target_bytes)
         self.deltas = deltas_root.rstrip("/")
         self.dataset = dataset
-        self.key = key
         self.update_cols = update_cols
-        self.n_buckets = n_buckets
 
     def initialise(self, base: DataFrame) -> dict:
         """Publish the base table in hash buckets of the key, with an empty ledger."""
-        rows = base.withColumn("applied_step", F.lit(0).cast("int")) \
-                   .withColumn("__bucket", _bucket(self.key, self.n_buckets))
+        rows, path = written(one_per_key(base, self.key, "base table").withColumn("applied_step", F.lit(0).cast("int")))
         tx = self.catalog.begin(self.dataset)
-        tx.write_partitions("rows", rows, "__bucket", replace=lambda v: True)
+        now, then, _ = self._grow(None, "rows", self.catalog.fs.size(path))
+        self._write(tx, "rows", rows, now, then, set(range(then.n)))
         tx.write("ledger", self.spark.createDataFrame([], LEDGER_SCHEMA))
-        return tx.commit({"op": "initialise"})
+        return tx.commit({"op": "initialise", "buckets": then.n})
 
     def available(self) -> list[int]:
         names = _FS(self.spark).children(self.deltas)
@@ -61,7 +59,10 @@ class BatchLedger:
         return last + 1, [s for s in self.available() if s > last]
 
     def apply_next(self) -> int | None:
-        """Apply the step after the last one; a step that is missing must not be jumped."""
+        """Apply the step after the last one; a step that is missing must not be jumped.
+
+        A step with two rows of one key fails and changes nothing.
+        """
         tx = self.catalog.begin(self.dataset)
         snap = tx.base
         step, waiting = self.status(snap)
@@ -69,20 +70,18 @@ class BatchLedger:
             return None
         if waiting[0] != step:
             raise StepGap(f"step {step} is next but not there; {waiting} wait")
-        batch = self.spark.read.parquet(f"{self.deltas}/step={step:02d}")
-        batch = (batch.withColumn("applied_step", F.lit(step).cast("int"))
-                      .withColumn("__bucket", _bucket(self.key, self.n_buckets)))
-        # only the buckets this batch touches are read and rewritten
-        touched = [r[0] for r in batch.select("__bucket").distinct().collect()]   # <= n_buckets values
-        rows = self.catalog.read(self.dataset, "rows", snap, partitions=touched)
-        upd = self.update_cols or [c for c in rows.columns if c not in (self.key, "__bucket")]
-        merged = upsert(rows, batch.select(*rows.columns), self.key, upd)
-        n = batch.count()
-        ledger = self.catalog.read(self.dataset, "ledger", snap).unionByName(
-            self.spark.createDataFrame([(step, n, tx.run_id)], LEDGER_SCHEMA))
-        tx.write_partitions("rows", merged, "__bucket", replace=set(map(str, touched)))
-        tx.write("ledger", ledger)
-        tx.commit({"op": "apply_batch", "step": step})
+        folder = f"{self.deltas}/step={step:02d}"
+        batch = self.spark.read.parquet(folder).withColumn("applied_step", F.lit(step).cast("int"))
+        # only the buckets this batch touches, and those its bytes split, are read and rewritten
+        now, then, split = self._grow(snap, "rows", self.catalog.fs.size(folder))
+        stats = batch.agg(F.count(F.lit(1)).alias("n"), F.collect_set(now.bucket(self.key)).alias("b")).first()
+        touched = set(stats["b"]) | split
+        if touched:
+            rows = self._read("rows", snap, touched)
+            upd = self.update_cols or [c for c in rows.columns if c != self.key]
+            self._write(tx, "rows", upsert(rows, batch.select(*rows.columns), self.key, upd), now, then, touched)
+        tx.append("ledger", self.spark.createDataFrame([(step, stats["n"], tx.run_id)], LEDGER_SCHEMA))
+        tx.commit({"op": "apply_batch", "step": step, "buckets": then.n})
         return step
 
     def read(self) -> DataFrame:

@@ -2,10 +2,10 @@
 
 A *dataset* is a folder holding one or more tables.  Data is always written to
 a fresh run folder that no reader uses; the new state becomes visible by
-creating one small commit file ``_commits/<seq>.json`` that lists, for every
-table of the dataset, the folders that make up its current version.  Creating
-a file that must not exist is atomic on HDFS, local disks and object stores,
-so:
+linking in one small commit file ``_commits/<seq>.json`` that lists, for every
+table of the dataset, the folders that make up its current version.  The file is
+written aside and put under its name only if that is free, whole or not at
+all, so:
 
 * readers resolve a dataset once (the highest commit) and never see a half
   load, and all tables of one commit (e.g. target + load log + watermark)
@@ -39,12 +39,29 @@ class CommitConflict(RuntimeError):
     pass
 
 
+def _link_new(path: str, text: str) -> None:
+    """A whole local file under a name that must be free: written aside, then linked (atomic, never over another)."""
+    aside = f"{path}.{uuid.uuid4().hex}.tmp"
+    with open(aside, "w", encoding="utf-8") as f:
+        f.write(text)
+        f.flush()
+        os.fsync(f.fileno())
+    try:
+        os.link(aside, path)
+    except FileExistsError as e:
+        raise CommitConflict(f"{path} already exists") from e
+    finally:
+        os.remove(aside)
+
+
 class _LocalFS:
     """Fallback for sessions without a JVM gateway (Spark Connect clients):
     plain local paths only."""
 
     @staticmethod
     def _path(path: str) -> str:
+        if "://" in path and not path.startswith("file://"):
+            raise ValueError(f"{path}: without a JVM only local files can be reached")
         return path[len("file:"):] if path.startswith("file:") else path
 
     def exists(self, path: str) -> bool:
@@ -53,12 +70,7 @@ class _LocalFS:
     def create_new(self, path: str, text: str) -> None:
         p = self._path(path)
         os.makedirs(os.path.dirname(p), exist_ok=True)
-        try:
-            fd = os.open(p, os.O_CREAT | os.O_EXCL | os.O_WRONLY)
-        except FileExistsError as e:
-            raise CommitConflict(f"{path} already exists") from e
-        with os.fdopen(fd, "w", encoding="utf-8") as f:
-            f.write(text)
+        _link_new(p, text)
 
     def read_text(self, path: str) -> str:
         with open(self._path(path), encoding="utf-8") as f:
@@ -68,6 +80,9 @@ class _LocalFS:
         p = self._path(path)
         return sorted(os.listdir(p)) if os.path.isdir(p) else []
 
+    def modified(self, path: str) -> float:
+        return os.path.getmtime(self._path(path))
+
     def size(self, path: str) -> int:
         p = self._path(path)
         if os.path.isfile(p):
@@ -104,15 +119,25 @@ class _FS:
         return fs.exists(p)
 
     def create_new(self, path: str, text: str) -> None:
+        """Written aside, then renamed without overwriting: readers never see a part of it."""
         fs, p = self._p(path)
-        try:
-            out = fs.create(p, False)
-        except Exception as e:  # noqa: BLE001  (FileAlreadyExistsException via py4j)
-            raise CommitConflict(f"{path} already exists") from e
+        fs.mkdirs(p.getParent())
+        if fs.getUri().getScheme() == "file":
+            _link_new(p.toUri().getPath(), text)
+            return
+        aside = self.jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+        out = fs.create(aside, False)
         try:
             out.write(bytearray(text.encode("utf-8")))
         finally:
             out.close()
+        keep = self.spark.sparkContext._gateway.new_array(self.jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        keep[0] = self.jvm.org.apache.hadoop.fs.Options.Rename.NONE
+        try:
+            self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self.conf).rename(aside, p, keep)
+        except Exception as e:  # noqa: BLE001  (FileAlreadyExistsException via py4j)
+            fs.delete(aside, False)
+            raise CommitConflict(f"{path} already exists") from e
 
     def read_text(self, path: str) -> str:
         fs, p = self._p(path)
@@ -133,6 +158,11 @@ class _FS:
         if fs.exists(p):
             fs.delete(p, True)
 
+    def modified(self, path: str) -> float:
+        """Seconds since the epoch at which ``path`` itself last changed."""
+        fs, p = self._p(path)
+        return fs.getFileStatus(p).getModificationTime() / 1000
+
     def size(self, path: str) -> int:
         """Bytes under ``path`` (metadata only)."""
         fs, p = self._p(path)
@@ -153,6 +183,7 @@ class Transaction:
         self.base = catalog.current(name)
         self.base_seq = self.base["seq"] if self.base else 0
         self.tables = dict(self.base["tables"]) if self.base else {}
+        self.meta = dict(self.base["meta"]) if self.base else {}      # carried on from commit to commit
         used = {json.dumps(self.base.get("run_id"))} if self.base else set()
         if json.dumps(run_id) in used:
             raise CommitConflict(f"run {run_id} is already the current version of {name}")
@@ -160,6 +191,13 @@ class Transaction:
     def _run_dir(self, table: str) -> str:
         return f"{self.catalog.root}/{self.name}/{table}/run={self.run_id}"
 
+    def append(self, table: str, df: DataFrame) -> None:
+        """Add rows to a whole table; its files stay, by reference."""
+        old = self.tables.get(table)
+        self.write(table, df)
+        if old:
+            self.tables[table] = dict(self.tables[table], paths=[*old["paths"], *self.tables[table]["paths"]])
+
     def write(self, table: str, df: DataFrame) -> None:
         """Replace the whole table."""
         path = self._run_dir(table)
@@ -177,23 +215,27 @@ class Transaction:
         # hot day) over several tasks and merge small ones, without sampling
         clustered = df.withColumn("__part", F.col(part_col).cast("string")).hint("rebalance", "__part")
         clustered.write.mode("overwrite").partitionBy("__part").parquet(path)
-        written = {}
+        written, sizes = {}, {}
         for child in self.catalog.fs.children(path):
             if child.startswith("__part="):
-                written[urllib.parse.unquote(child[len("__part="):])] = f"{path}/{child}"
+                value = urllib.parse.unquote(child[len("__part="):])
+                written[value] = f"{path}/{child}"
+                sizes[value] = self.catalog.fs.size(written[value])
         old = self.tables.get(table, {}).get("partitions", {})
+        bytes_ = {v: n for v, n in self.tables.get(table, {}).get("bytes", {}).items() if v in old}
         hit = replace if callable(replace) else (lambda v, s=set(map(str, replace)): v in s)
         parts = {v: p for v, p in old.items() if not hit(v)}
         stray = [v for v in written if not hit(v)]
         if stray:
             raise ValueError(f"rows outside the replaced partitions: {stray[:5]}")
         parts.update(written)
+        bytes_ = {v: n for v, n in bytes_.items() if v in parts} | sizes
         self.tables[table] = {"kind": "partitioned", "partition_col": part_col,
-                              "partitions": dict(sorted(parts.items())), "schema": df.schema.json()}
+                              "partitions": dict(sorted(parts.items())), "bytes": bytes_, "schema": df.schema.json()}
 
     def commit(self, meta: dict | None = None) -> dict:
         doc = {"seq": self.base_seq + 1, "run_id": self.run_id, "committed_at": time.time(),
-               "tables": self.tables, "meta": meta or {}}
+               "tables": self.tables, "meta": self.meta | (meta or {})}
         path = f"{self.catalog.root}/{self.name}/{COMMITS}/{doc['seq']:012d}.json"
         self.catalog.fs.create_new(path, json.dumps(doc))
         return doc
@@ -249,8 +291,13 @@ class Catalog:
             tx.write(t, df)
         return tx.commit(meta)
 
-    def vacuum(self, name: str, keep: int = 2) -> list[str]:
-        """Drop run folders not referenced by the last ``keep`` commits."""
+    def vacuum(self, name: str, keep: int = 2, older_than: float = 0.0) -> list[str]:
+        """Drop run folders not referenced by the last ``keep`` commits.
+
+        ``older_than`` (seconds) spares younger folders: those of a load that
+        is still running are in no commit yet.
+        """
+        born = time.time() - older_than
         live = set()
         for doc in self.history(name)[-keep:]:
             for t in doc["tables"].values():
@@ -262,7 +309,7 @@ class Catalog:
                 continue
             for run in self.fs.children(f"{self.root}/{name}/{table}"):
                 path = f"{self.root}/{name}/{table}/{run}"
-                if run.startswith("run=") and path not in live:
+                if run.startswith("run=") and path not in live and (not older_than or self.fs.modified(path) <= born):
                     self.fs.delete(path)
                     dropped.append(path)
         return dropped

@@ -1,2 +1,2 @@
-from tidewater.streaming.ingest import (append_stream, dedup_stream, upsert_stream,  # noqa: F401
-                                        write_landing)
+from tidewater.streaming.ingest import (append_stream, dedup_stream, read_target, scd2_stream,  # noqa: F401
+                                        upsert_stream, write_landing)
