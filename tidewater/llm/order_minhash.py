@@ -16,12 +16,15 @@ and above hardly ever (README: recall by length and similarity).
 Classes are the connected components of the verified links.
 
 Large groups.  Equal texts are one node (a digest), so copies are never
-compared.  A bucket (sketch value, length bin) compares its members with
-``PIVOTS`` of them, then classes are formed, and buckets that still span
-several classes do so again with other pivots, across classes only, while at
-least one pair in a hundred is a link: near copies fall into one class in a
-few linear turns.  What then still lies in one bucket but in two classes is
-compared in full, so no candidate is dropped.  That last join emits only pairs
+compared.  Candidates are drawn in turns.  In each, a bucket (sketch value,
+length bin) proposes its pivot with one member of every other class in it, and
+of the pairs between two classes one is compared; then classes are formed
+anew.  The first turns draw from few sketches only (``WAVES``), so near copies
+of one text fall into few classes at about a pair a text, and later sketches
+only propose what these have left apart.  Turns go on while at least one pair
+in a hundred is a link.  What then still lies in one bucket, of any sketch, but
+in two classes is compared in full, so no candidate is dropped.  The links
+returned connect each class; further links inside a class are not drawn.  That last join emits only pairs
 that can reach the threshold, by a bound that loses none: a text's words, each
 labelled with how often it occurred before, are hashed to ``PARITIES`` bits that
 tell whether an odd number of them fell there; two texts differ in at most
@@ -65,8 +68,8 @@ PARITIES = 4096
 FOLDED = 1024
 #: Members of a bucket for each salt of the last comparison, up to ``SALTS`` salts.
 PER_SALT = 256
-#: Members of a bucket that the others are compared with, per turn.
-PIVOTS = 2
+#: Sketches of each kind that the turns draw from; the last number holds for all further turns.
+WAVES = (2, 8, SKETCHES)
 #: Turns go on while at least this share of the compared pairs are links.
 LEAST_YIELD = 0.01
 _SEEDS = np.random.default_rng(7).integers(1, 1 << 63, size=(SKETCHES + SHORT_SKETCHES, 2), dtype=np.uint64) | np.uint64(1)
@@ -300,7 +303,7 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 
 def _buckets(nodes: DataFrame) -> DataFrame:
-    """(key of a sketch value and a length bin, node): a node lies in its length bin and the next one.
+    """(key of a sketch value and a length bin, node, wave: the sketch's place in its kind): a node lies in its length bin and the next one.
 
     A value is one of its sketch's seed, so that values of different sketches differ.
 
@@ -309,21 +312,23 @@ def _buckets(nodes: DataFrame) -> DataFrame:
     low = F.floor(F.log(BIN, F.greatest(F.col("n_words"), F.lit(1)).cast("double")))
     # bin b: counts from BIN^b to BIN^(b + 2); every pair within the factor BIN shares one
     return (nodes.where("n_words > 0")
-            .select("node", "n_words", F.explode("sketch").alias("value"), low.alias("low"))
-            .select("node", "n_words", F.explode(F.array(F.col("low"), F.col("low") - 1)).alias("bin"), "value")
-            .select(F.xxhash64("value", "bin").alias("key"), "node", "n_words"))
+            .select("node", F.posexplode("sketch").alias("wave", "value"), low.alias("low"))
+            .select("node", (F.col("wave") % SKETCHES).alias("wave"), F.explode(F.array(F.col("low"), F.col("low") - 1)).alias("bin"), "value")
+            .select(F.xxhash64("value", "bin").alias("key"), "node", "wave"))
 
 
 def _to_pivots(members: DataFrame, root: DataFrame, turn: int) -> DataFrame:
-    """Pairs (a, b) to verify: members of buckets that span classes, with this turn's pivots in other classes."""
-    placed = staged(members.join(root, "node"), "placed")
-    order = [F.min(F.struct(F.xxhash64(F.lit(turn * PIVOTS + i), "node").alias("o"), F.col("node").alias("node"), F.col("root").alias("root"))).alias(f"p{i}")
-             for i in range(PIVOTS)]
-    mixed = staged(placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), *order).where("lo <> hi")
-                   .select("key", F.explode(F.array(*[f"p{i}" for i in range(PIVOTS)])).alias("p"))
-                   .select("key", F.col("p.node").alias("pivot"), F.col("p.root").alias("pivot_root")).distinct(), "pivots")
-    return (placed.withColumn("salt", _salt("node")).join(_salted(mixed), ["key", "salt"]).where("root <> pivot_root")
-            .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct())
+    """Pairs (a, b) to verify: of each bucket its pivot with one member of each other class, one pair for two classes."""
+    drawn = members.where(F.col("wave") < WAVES[min(turn, len(WAVES) - 1)]).select("key", "node")
+    first = lambda name: F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("o"), F.col("node").alias("node"))).alias(name)
+    per_class = staged(drawn.join(root, "node").groupBy("key", "root").agg(first("own")), "per-class")
+    pivots = (per_class.groupBy("key").agg(F.min(F.struct("own", "root")).alias("p"), F.count(F.lit(1)).alias("classes")).where("classes > 1")
+              .select("key", F.col("p.own.node").alias("pivot"), F.col("p.root").alias("pivot_root")))
+    pairs = per_class.join(staged(pivots, "pivots"), "key").where("root <> pivot_root").select(
+        F.least("root", "pivot_root").alias("ra"), F.greatest("root", "pivot_root").alias("rb"),
+        F.least("own.node", "pivot").alias("a"), F.greatest("own.node", "pivot").alias("b"))
+    chosen = F.min(F.struct(F.xxhash64(F.lit(turn), "a", "b").alias("o"), "a", "b")).alias("p")
+    return pairs.groupBy("ra", "rb").agg(chosen).select("p.a", "p.b").distinct()
 
 
 def _reach(na: str, nb: str, fa: str, fb: str) -> tuple[Column, Column]:
@@ -343,7 +348,7 @@ def _reachable(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def _rest(members: DataFrame, nodes: DataFrame, root: DataFrame) -> DataFrame:
     """Every pair (a, b) of one bucket and two classes that can be similar."""
-    placed = staged(members.join(root, "node"), "placed")
+    placed = staged(members.select("key", "node").join(root, "node"), "placed")
     per_class = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
     open_keys = per_class.groupBy("key").agg(F.max(F.struct("n", "root")).alias("top"), F.count(F.lit(1)).alias("classes"), F.sum("n").alias("size")).where("classes > 1")
     salts = F.least(F.lit(SALTS), F.ceil(F.col("size") / PER_SALT)).cast("int").alias("salts")
@@ -379,9 +384,10 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     """Classes (id, node, n_copies, class_id, class_size, similarity links) of the frame's rows.
 
     Returns (classes, links): classes has a row per distinct (id, text) with
-    ``node`` (digest of the text), ``class_id``, ``class_size`` (distinct texts)
-    and ``is_first`` (it is the class's one row to stay); links are the verified
-    pairs of different texts with their similarity.
+    ``node`` (digest of the text), ``class_id``, ``class_size`` (distinct texts),
+    ``class_links`` (links drawn in it, which connect it) and ``is_first`` (it
+    is the class's one row to stay); links are verified pairs of different
+    texts with their similarity, a set that connects every class.
     """
     texts = df.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     docs = staged(texts.mapInArrow(_sketch_batches, f"id {dict(texts.dtypes)['id']}, node binary, n_words bigint, sketch array<bigint>, odd array<bigint>, fold array<bigint>"), "sketches")
@@ -389,27 +395,30 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
                                             F.max("sketch").alias("sketch"), F.max("odd").alias("odd"), F.max("fold").alias("fold")), "nodes")
     buckets = _buckets(nodes)
     shared = staged(buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("key"), "shared")
-    members = staged(buckets.withColumn("salt", _salt("node")).join(_salted(shared), ["key", "salt"]).select("key", "node"), "members")
+    members = staged(buckets.withColumn("salt", _salt("node")).join(_salted(shared), ["key", "salt"]).select("key", "node", "wave"), "members")
     root, links, tested = nodes.select("node", F.col("node").alias("root")), None, None
     for turn in count():
         pairs, root, new = _turn(_to_pivots(members, root, turn), tested, texts, nodes, root)
         tested = pairs if tested is None else tested.unionByName(pairs)
         links = new if links is None else links.unionByName(new)
-        if new.count() <= LEAST_YIELD * pairs.count():
+        if turn >= len(WAVES) - 1 and new.count() <= LEAST_YIELD * pairs.count():
             break
     _, root, new = _turn(_rest(members, nodes, root), tested, texts, nodes, root)
     links = links.unionByName(new)
 
     named = nodes.join(root, "node")
+    drawn = links.join(root.withColumnRenamed("node", "a"), "a").groupBy("root").agg(F.count(F.lit(1)).alias("class_links"))
     heads = named.groupBy("root").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("class_size"), F.sum("copies").alias("class_rows"),
                                       F.min(F.struct(F.col("id").isNull().alias("n"), F.col("id").alias("i"), F.col("node").alias("d"))).alias("first"))
+    # both sides shuffled for the join alone, so that a class with a third of all texts is split
+    heads = staged(heads.join(drawn, "root", "left").withColumn("class_links", F.coalesce("class_links", F.lit(0))), "heads")
     named = staged(named.select("node", "root", "copies").join(heads, "root")
-                   .select("node", "copies", "class_id", "class_size", "class_rows", F.col("first.d").alias("first_node"), F.col("first.i").alias("first_id")), "named")
+                   .select("node", "copies", "class_id", "class_size", "class_rows", "class_links", F.col("first.d").alias("first_node"), F.col("first.i").alias("first_id")), "named")
     # documents find their node by salted join where the text has copies; others are alone with it
     single = docs.select("id", "node").withColumn("salt", _salt("id"))
     classes = (single.join(_salted(named), ["node", "salt"])
                .withColumn("is_first", (F.col("node") == F.col("first_node")) & F.col("id").eqNullSafe(F.col("first_id")))
-               .select("id", "node", "copies", "class_id", "class_size", "class_rows", "is_first"))
+               .select("id", "node", "copies", "class_id", "class_size", "class_rows", "class_links", "is_first"))
     return classes, links
 
 

@@ -70,7 +70,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op7_order_minhash")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes, _ = order_minhash.near_duplicates(documents(spark, sf_dir, "doc_id", "text"))
-    return classes.select(F.col("id").alias("doc_id"), "class_id", "class_size", "class_rows", "is_first")
+    return classes.select(F.col("id").alias("doc_id"), "class_id", "class_size", "class_rows", "is_first", "class_links")
 
 
 @register("op8_language_id")
