@@ -43,7 +43,7 @@ def test_small_increment_rewrites_few_bytes(spark, scratch):
     job.run(rows(spark, 0, 20_000, 1, "a"))
     before = job.catalog.current("t")["tables"]["rows"]
     # keys of forty buckets
-    near = spark.range(20_000).where(job._directory(job.catalog.current("t")).bucket("id") < 40).limit(100)
+    near = spark.range(20_000).where(job._directory(job.catalog.current("t"), "rows").bucket("id") < 40).limit(100)
     job.run(rows(spark, 0, 20_000, 2, "b").join(near, "id", "left_semi"))
     after = job.catalog.current("t")["tables"]["rows"]
     fresh = [b for b, p in after["partitions"].items() if before["partitions"][b] != p]
@@ -57,7 +57,7 @@ def test_directory_grows_with_the_table(spark, scratch):
     for day, (lo, hi) in enumerate([(0, 500), (300, 6000), (5000, 20_000), (0, 10)], start=1):
         job.run(rows(spark, lo, hi, day, f"d{day}-"))
         doc = job.catalog.current("t")
-        n.append(doc["meta"]["buckets"])
+        n.append(doc["meta"]["buckets"]["rows"])
         assert {int(b) for b in doc["tables"]["rows"]["partitions"]} <= set(range(n[-1]))
         assert max(doc["tables"]["rows"]["bytes"].values()) < 4 * 100_000
     assert n[0] < n[1] < n[2] <= n[3]

@@ -20,8 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.operators.loads import change_counts, latest_per_key, slice_lower, upsert
+from tidewater.operators.quality import gate, suite
 from tidewater.operators.scd2 import changed_keys, empty_dimension, scd2_merge, splice, states, unknown_states
-from tidewater.operators.sequence import written
+from tidewater.operators.sequence import materialize, written
 from tidewater.sources.buckets import TARGET_BYTES, BucketDirectory
 from tidewater.sources.publish import Catalog
 
@@ -39,16 +40,16 @@ class _Bucketed:
     ``n_buckets`` is the number to begin with.
     """
 
-    def _open(self, spark: SparkSession, root: str, table: str, key: str, n_buckets: int, target_bytes: int) -> None:
+    def _open(self, spark: SparkSession, root: str, dataset: str, key: str, n_buckets: int, target_bytes: int) -> None:
         self.spark, self.catalog = spark, Catalog(spark, root)
-        self.table, self.key, self.n_buckets, self.target_bytes = table, key, n_buckets, target_bytes
+        self.dataset, self.key, self.n_buckets, self.target_bytes = dataset, key, n_buckets, target_bytes
 
-    def _directory(self, snap: dict | None) -> BucketDirectory:
-        return BucketDirectory((snap or {}).get("meta", {}).get("buckets", self.n_buckets))
+    def _directory(self, snap: dict | None, table: str) -> BucketDirectory:
+        return BucketDirectory((snap or {}).get("meta", {}).get("buckets", {}).get(table, self.n_buckets))
 
     def _grow(self, snap: dict | None, rows: str, coming: int) -> tuple[BucketDirectory, BucketDirectory, set[int]]:
         """The directory of the last commit, the one to write by, and the buckets that it splits."""
-        now = self._directory(snap)
+        now = self._directory(snap, rows)
         held = sum(snap["tables"][rows].get("bytes", {}).values()) if snap and rows in snap["tables"] else 0
         then, split = now.for_bytes(held, coming, self.target_bytes, None if coming >= held else MOST_SPLITS)
         return now, then, split
@@ -58,12 +59,13 @@ class _Bucketed:
         return {r[0] for r in df.select(directory.bucket(self.key).alias("b")).distinct().collect()}
 
     def _read(self, table: str, snap: dict | None, buckets: set[int] | None = None) -> DataFrame | None:
-        df = self.catalog.read(self.table, table, snap, partitions=buckets) if snap else None
+        df = self.catalog.read(self.dataset, table, snap, partitions=buckets) if snap else None
         return df.drop("__bucket") if df is not None else None
 
     def _write(self, tx, table: str, df: DataFrame, now: BucketDirectory, then: BucketDirectory, touched: set[int]) -> None:
         replaced = touched | set(range(now.n, then.n))
         tx.write_partitions(table, df.withColumn("__bucket", then.bucket(self.key)), "__bucket", replace=set(map(str, replaced)))
+        tx.meta = tx.meta | {"buckets": tx.meta.get("buckets", {}) | {table: then.n}}
 
 
 class WatermarkLoad(_Bucketed):
@@ -77,9 +79,11 @@ class WatermarkLoad(_Bucketed):
 
     def __init__(self, spark: SparkSession, root: str, table: str, key: str, ts_col: str,
                  update_cols: list[str], lookback: str | None = None, n_buckets: int = 1,
-                 target_bytes: int = TARGET_BYTES):
-        self._open(spark, root, table, key, n_buckets, target_bytes)
-        self.ts_col, self.update_cols, self.lookback = ts_col, update_cols, lookback
+                 target_bytes: int = TARGET_BYTES, dataset: str | None = None):
+        """``dataset``: a dataset shared with other loads, in which the tables bear the load's name."""
+        self._open(spark, root, dataset or table, key, n_buckets, target_bytes)
+        self.table, self.ts_col, self.update_cols, self.lookback = table, ts_col, update_cols, lookback
+        self._rows, self._log = (table, f"{table}_log") if dataset else ("rows", "log")
 
     def prepare(self, source: DataFrame, tx) -> dict | None:
         """Write the load's result into ``tx``; None if the source is empty."""
@@ -109,14 +113,12 @@ class WatermarkLoad(_Bucketed):
                "rows_new": counts["rows_new"], "rows_changed": counts["rows_changed"]}
         row = [(run["load_id"], self.table, wm_from, wm_to, run["rows_new"], run["rows_changed"], tx.run_id)]
         tx.append(self._log, self.spark.createDataFrame(row, LOG_SCHEMA))
-        tx.meta = tx.meta | {"buckets": then.n, "loads": tx.meta.get("loads", {}) | {
+        tx.meta = tx.meta | {"loads": tx.meta.get("loads", {}) | {
             self.table: {"load_id": run["load_id"], "watermark": wm_to.isoformat(sep=" ")}}}
         return run
 
-    _rows, _log = "rows", "log"
-
     def run(self, source: DataFrame) -> dict:
-        tx = self.catalog.begin(self.table)
+        tx = self.catalog.begin(self.dataset)
         run = self.prepare(source, tx)
         if run is None:                                # empty source: keep the mark
             return {"skipped": True}
@@ -124,14 +126,14 @@ class WatermarkLoad(_Bucketed):
         return run
 
     def target(self, snapshot: dict | None = None) -> DataFrame:
-        return self.catalog.read(self.table, self._rows, snapshot).drop("__bucket")
+        return self.catalog.read(self.dataset, self._rows, snapshot).drop("__bucket")
 
     def log(self, snapshot: dict | None = None) -> DataFrame:
-        return self.catalog.read(self.table, self._log, snapshot)
+        return self.catalog.read(self.dataset, self._log, snapshot)
 
     def watermark(self) -> DataFrame:
         """One row (table_name, watermark_value)."""
-        mark = self.catalog.current(self.table)["meta"]["loads"][self.table]["watermark"]
+        mark = self.catalog.current(self.dataset)["meta"]["loads"][self.table]["watermark"]
         return self.spark.createDataFrame([(self.table, dt.datetime.fromisoformat(mark))], WM_SCHEMA)
 
 
@@ -212,19 +214,21 @@ class Scd2Load(_Bucketed):
 
     def __init__(self, spark: SparkSession, root: str, table: str, key: str, tracked: list[str],
                  attrs: list[str] | None = None, change_time_col: str | None = None,
-                 first_time_col: str | None = None, n_buckets: int = 1, target_bytes: int = TARGET_BYTES):
-        self._open(spark, root, table, key, n_buckets, target_bytes)
+                 first_time_col: str | None = None, n_buckets: int = 1, target_bytes: int = TARGET_BYTES,
+                 dataset: str | None = None):
+        """``dataset``: a dataset shared with other loads, in which the tables bear the load's name."""
+        self._open(spark, root, dataset or table, key, n_buckets, target_bytes)
+        self.table = table
+        self._dim, self._seen = (table, f"{table}_seen") if dataset else ("dim", "seen")
         self.tracked, self.attrs = tracked, attrs or tracked
         self.change_time_col, self.first_time_col = change_time_col, first_time_col
 
-    _dim, _seen = "dim", "seen"
-
-    def run(self, snapshot: DataFrame, load_time=None, meta: dict | None = None) -> dict:
-        tx = self.catalog.begin(self.table)
+    def run(self, snapshot: DataFrame, load_time=None) -> dict:
+        tx = self.catalog.begin(self.dataset)
         changed = self.prepare(snapshot, tx, load_time)
-        if not changed and not meta:
+        if not changed:
             return {"changed_buckets": 0}
-        return tx.commit({"op": "scd2", "load_time": str(load_time), "changed_buckets": changed} | (meta or {}))
+        return tx.commit({"op": "scd2", "load_time": str(load_time), "changed_buckets": changed})
 
     def prepare(self, snapshot: DataFrame, tx, load_time=None) -> int:
         """Write the load's result into ``tx``; the number of buckets rewritten."""
@@ -237,6 +241,7 @@ class Scd2Load(_Bucketed):
         if dim is not None:
             news = unknown_states(dim, news, self.key, self.attrs)
         news, path = written(news.select(*columns))
+        # both tables are dealt by one directory, the one of the states seen: it is the larger table
         now, then, split = self._grow(base, self._seen, self.catalog.fs.size(path))
         touched = self._hit(news, now)
         if not touched:
@@ -249,7 +254,7 @@ class Scd2Load(_Bucketed):
                 ["sk bigint", *[f"`{c}` {kinds[c]}" for c in [self.key, *self.attrs]], "opened_at timestamp_ntz", "valid_from timestamp_ntz",
                  "valid_to timestamp_ntz", "is_current boolean", "last_seen timestamp_ntz"]))
             seen = self.spark.createDataFrame([], news.schema)
-        sk_start = base["meta"].get("max_sk", 0) if base else 0
+        sk_start = self._last_sk(base)
         dim, seen = splice(part, seen, news, self.key, self.tracked, self.attrs, sk_start=sk_start)
         self._write(tx, self._dim, dim, now, then, touched)
         self._write(tx, self._seen, seen, now, then, touched)
@@ -261,7 +266,7 @@ class Scd2Load(_Bucketed):
         last = base["meta"].get("last_load_time") if base else None
         if last is not None and str(load_time) < last:
             raise ValueError(f"load time {load_time} is before that of the last load, {last}")
-        now = then = self._directory(base)
+        now = self._directory(base, self._dim)
         dim = self._read(self._dim, base)
         if dim is None:
             dim = empty_dimension(self.spark, snapshot, self.key, self.attrs, "sk")
@@ -273,17 +278,49 @@ class Scd2Load(_Bucketed):
         touched |= split
         part = self._read(self._dim, base, touched)
         new = scd2_merge(dim if part is None else part, hits, self.key, self.tracked, sk="sk", attrs=self.attrs, load_time=load_time,
-                         sk_start=base["meta"].get("max_sk", 0) if base else 0)
+                         sk_start=self._last_sk(base))
         self._write(tx, self._dim, new, now, then, touched)
         self._note(tx, base, then, touched)
         tx.meta = tx.meta | {"last_load_time": str(load_time)}
         return len(touched)
 
+    def _last_sk(self, base: dict | None) -> int:
+        return (base or {}).get("meta", {}).get("max_sk", {}).get(self._dim, 0)
+
     def _note(self, tx, base, then: BucketDirectory, touched: set[int]) -> None:
-        rewritten = self.catalog.read(self.table, self._dim, {"tables": tx.tables}, partitions=touched | set(range(self._directory(base).n, then.n)))
-        before = base["meta"].get("max_sk", 0) if base else 0
-        tx.meta = tx.meta | {"buckets": then.n, "max_sk": max(before, rewritten.agg(F.max("sk")).first()[0] or 0)}
+        rewritten = touched | set(range(self._directory(base, self._dim).n, then.n))
+        top = self.catalog.read(self.dataset, self._dim, {"tables": tx.tables}, partitions=rewritten).agg(F.max("sk")).first()[0] or 0
+        tx.meta = tx.meta | {"max_sk": tx.meta.get("max_sk", {}) | {self._dim: max(self._last_sk(base), top)}}
 
     def read(self, snapshot: dict | None = None) -> DataFrame:
-        dim = self.catalog.read(self.table, self._dim, snapshot)
+        dim = self.catalog.read(self.dataset, self._dim, snapshot)
         return dim.select("sk", self.key, *self.attrs, "valid_from", "valid_to", "is_current")
+
+
+class GatedJob:
+    """Several loads and their checks, published together or not at all.
+
+    The loads write their new tables aside; the checks run on these candidates;
+    only when all pass do the tables, the load log and the check results become
+    visible, in one commit of one dataset.  When a check fails,
+    :class:`QualityGateFailed` is raised and the last version stays current.
+    """
+
+    def __init__(self, catalog: Catalog, dataset: str, results: str = "dq_results"):
+        self.catalog, self.dataset, self.results = catalog, dataset, results
+
+    def run(self, parts: list, checks, run_at) -> list:
+        """``parts``: (load, its arguments); ``checks(candidate)`` returns check frames on a snapshot document."""
+        tx = self.catalog.begin(self.dataset)
+        for load, *args in parts:
+            if load.dataset != self.dataset:
+                raise ValueError(f"{load.table} does not belong to {self.dataset}")
+            load.prepare(args[0], tx, *args[1:])
+        found = materialize(suite(checks({"tables": tx.tables}), run_at))       # a row per check
+        gate(found)
+        tx.append(self.results, found)
+        tx.commit({"op": "gated", "run_at": str(run_at)})
+        return found.collect()
+
+    def read(self, table: str) -> DataFrame:
+        return self.catalog.read(self.dataset, table)

@@ -8,16 +8,18 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidewater.functions import CANCELLED, line_total, money, month_key, pct
-from tidewater.jobs import Scd2Load, WatermarkLoad
+from tidewater.jobs import GatedJob, Scd2Load, WatermarkLoad
 from tidewater.operators import quality as Q
-from tidewater.operators.scd2 import check_contiguous, check_matches_source, check_one_current
 from tidewater.operators.sequence import materialize
-from tidewater.plans.loads import ROUNDS, UPDATE_COLS, _stg_source, user_state
-from tidewater.plans.quality import _SUITE_SQL, staging_checks
+from tidewater.plans.loads import (_M1, _M2, _M3, FINAL_TARGET_SQL, ROUNDS, SCD2_SOURCE_SQL, SNAPS_SQL, UPDATE_COLS, _log_round,
+                                   user_state)
+from tidewater.plans.quality import (STAGING_RULES, VERSION_RULES, check_name, plant_faults, staging_checks,
+                                     version_checks)
 from tidewater.plans.registry import register
 from tidewater.session import scratch_root
 from tidewater.sources import Tables
-from tidewater.sources.publish import Catalog
+
+ALL_CHECK_NAMES = [check_name(rule, column) for rule, column, _ in [*STAGING_RULES.values(), *VERSION_RULES.values()]]
 
 LT = "CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,2))"
 
@@ -203,45 +205,57 @@ def discount_nonmember(spark, sf_dir):
              .join(members, F.col("o_custkey") == F.col("user_id"), "left_anti"))
 
 
-@register("incremental_scd2_job", f"""
-SELECT check_name, violations, violations = 0 AS passed FROM ({_SUITE_SQL}) u
-""")
+_JOB_SQL = f"""
+WITH {SNAPS_SQL},
+target AS ({FINAL_TARGET_SQL.replace(f"WITH {SNAPS_SQL}", "")}),
+dim AS ({SCD2_SOURCE_SQL.replace(f"WITH {SNAPS_SQL},", "WITH")}),
+log AS ({_log_round(1, 's1', None, "TIMESTAMP '1970-01-01 00:00:00'", _M1)}
+        UNION ALL {_log_round(2, 's1', 's1', _M1, _M1)}
+        UNION ALL {_log_round(3, 's2', 's1', _M1, _M2)}
+        UNION ALL {_log_round(4, 's3', 's2', _M2, _M3)})
+SELECT 'target' AS part, user_id AS id, tier AS name, src_updated_at AS from_time, first_seen_ts AS to_time, CAST(NULL AS BIGINT) AS n1, CAST(NULL AS BIGINT) AS n2 FROM target
+UNION ALL SELECT 'version', user_id, tier, valid_from, valid_to, sk, CAST(is_current AS BIGINT) FROM dim
+UNION ALL SELECT 'log', load_id, NULL, wm_from, wm_to, rows_new, rows_changed FROM log
+UNION ALL SELECT 'check', run, check_name, NULL, NULL, 0, 1 FROM (VALUES {", ".join(f"('{c}')" for c in ALL_CHECK_NAMES)}) c(check_name), (VALUES (0), (1), (2), (3)) r(run)
+"""
+
+
+@register("incremental_scd2_job", _JOB_SQL)
 def incremental_scd2_job(spark, sf_dir):
     """Part A watermark load with lookback, part B SCD2 by source time,
-    part C the DQ suite with a gate and stored results.  Runs: initial,
-    immediate re-run (no change), then two advances of the source.  Each part
-    keeps its own published state, so a restart after any part is safe."""
-    ev = Tables(spark, sf_dir).events
+    part C the DQ suite on what both have written, then one commit of target,
+    dimension, log and results.  Runs: initial, immediate re-run (no change),
+    two advances of the source, and one whose target is damaged before the
+    checks: the gate stops it, and nothing of it is visible."""
+    t = Tables(spark, sf_dir)
     root = f"{scratch_root(spark)}/job-{uuid.uuid4().hex[:10]}"
     part_a = WatermarkLoad(spark, root, "stg_users", key="user_id", ts_col="src_updated_at",
-                           update_cols=UPDATE_COLS, lookback="1 HOUR")
-    part_b = Scd2Load(spark, root, "dim_customer_scd2", "user_id", ["tier"],
-                      change_time_col="updated_at", first_time_col="registered_at")
-    dq = Catalog(spark, root)
-    schedule = [ROUNDS[0], ROUNDS[0], ROUNDS[1], ROUNDS[2]]
-    results = None
-    for i, bound in enumerate(schedule):
-        part_a.run(_stg_source(ev, bound))
-        # one snapshot per round: the SCD2 load and every check read the same rows
-        snap = materialize(user_state(ev, bound))
-        part_b.run(snap)
-        stg = part_a.target()
-        dim = part_b.read()
-        wm = stg.agg(F.max("src_updated_at")).scalar()
-        src_upto = snap.filter(F.col("updated_at") <= wm)
-        checks = staging_checks(stg, snap, src_upto, Tables(spark, sf_dir).customer) + [
-            check_one_current(dim, "user_id").select(F.lit("scd2_one_current").alias("check_name"), "violations"),
-            check_contiguous(dim, "user_id").select(F.lit("scd2_contiguous").alias("check_name"), "violations"),
-            check_matches_source(dim, snap, "user_id", ["tier"]).select(
-                F.lit("scd2_matches_source").alias("check_name"), "violations"),
-        ]
-        # a few rows (one per check), computed once: stored and gated from the same checkpoint
-        results = materialize(Q.suite(checks, f"2024-02-01 0{i}:00:00"))
-        tx = dq.begin("dq_results")
-        prev = dq.read("dq_results", "rows")
-        stored = results if prev is None else prev.unionByName(results)
-        tx.write("rows", stored)
-        tx.commit({"op": "dq", "run": i})
-        Q.gate(results)
-    return dq.read("dq_results", "rows").filter(F.col("run_at") == F.lit("2024-02-01 03:00:00").cast("timestamp_ntz")) \
-             .select("check_name", "violations", "passed")
+                           update_cols=UPDATE_COLS, lookback="1 HOUR", dataset="warehouse")
+    part_b = Scd2Load(spark, root, "dim_user", "user_id", ["tier"],
+                      change_time_col="updated_at", first_time_col="registered_at", dataset="warehouse")
+    job = GatedJob(part_a.catalog, "warehouse")
+
+    def run(i, bound, damage=lambda stg: stg):
+        # one snapshot per round: both loads and every check read the same rows
+        snap = materialize(user_state(t.events, bound))
+        stg = snap.select("user_id", "tier", "amount", F.col("updated_at").alias("src_updated_at"), F.col("updated_at").alias("first_seen_ts"))
+        job.run([(part_a, stg), (part_b, snap)],
+                lambda doc: staging_checks(damage(part_a.target(doc)), snap, t.customer) + version_checks(part_b.read(doc), snap),
+                f"2024-02-01 0{i}:00:00")
+
+    for i, bound in enumerate([ROUNDS[0], ROUNDS[0], ROUNDS[1], ROUNDS[2]]):
+        run(i, bound)
+    try:
+        run(4, ROUNDS[2], plant_faults)
+    except Q.QualityGateFailed:
+        pass
+    else:
+        raise AssertionError("the gate must stop a damaged target")
+    none = F.lit(None)
+    shape = lambda df, part, *c: df.select(F.lit(part).alias("part"), *[x.cast(k).alias(n) for x, k, n in zip(
+        c, ("bigint", "string", "timestamp_ntz", "timestamp_ntz", "bigint", "bigint"), ("id", "name", "from_time", "to_time", "n1", "n2"))])
+    col = F.col
+    return (shape(part_a.target(), "target", col("user_id"), col("tier"), col("src_updated_at"), col("first_seen_ts"), none, none)
+            .unionByName(shape(part_b.read(), "version", col("user_id"), col("tier"), col("valid_from"), col("valid_to"), col("sk"), col("is_current").cast("int")))
+            .unionByName(shape(part_a.log(), "log", col("load_id"), none, col("wm_from"), col("wm_to"), col("rows_new"), col("rows_changed")))
+            .unionByName(shape(job.read("dq_results"), "check", F.hour("run_at"), col("check_name"), none, none, col("violations"), col("passed").cast("int"))))

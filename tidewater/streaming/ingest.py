@@ -100,7 +100,7 @@ def upsert_stream(spark: SparkSession, landing: str, schema, catalog: Catalog, d
                       .where(F.col("__have").isNull() | (F.struct(*order_cols) > F.col("__have"))).select(*cur.columns))
         if touched:
             target._write(tx, "rows", latest if cur is None else upsert(cur, latest, key, update_cols), now, then, touched)
-        tx.commit({"op": "stream_upsert", "buckets": then.n} | note)
+        tx.commit({"op": "stream_upsert"} | note)
 
     _run_batches(spark, landing, schema, checkpoint, files_per_trigger, apply)
 
@@ -113,7 +113,7 @@ def scd2_stream(spark: SparkSession, landing: str, schema, job: Scd2Load, checkp
     stream = checkpoint.rstrip("/")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        tx = job.catalog.begin(job.table)
+        tx = job.catalog.begin(job.dataset)
         note = _noted(tx, stream, batch_id)
         if note is None:
             return
