@@ -89,26 +89,23 @@ def test_landing_dedup_by_source_time(spark):
     assert {r.order_id: r.status for r in wrong.collect()}[1003] == "shipped"
 
 
-def test_scd2_member_rounds(spark):
-    cols = "member_code string, name string, tier string, province string"
-    src1 = spark.createDataFrame([("MEM-0001", "A", "bronze", "Bangkok"), ("MEM-0002", "B", "silver", "Chiang Mai"),
-                                  ("MEM-0003", "C", "bronze", "Khon Kaen"), ("MEM-0004", "D", "gold", "Phuket")], cols)
-    src2 = spark.createDataFrame([("MEM-0001", "A", "silver", "Bangkok"), ("MEM-0002", "B", "silver", "Chiang Mai"),
-                                  ("MEM-0003", "C", "bronze", "Chonburi"), ("MEM-0004", "D", "gold", "Phuket"),
-                                  ("MEM-0005", "E", "bronze", "Rayong")], cols)
-    tracked = ["name", "tier", "province"]
-    dim = empty_dimension(spark, src1, "member_code", tracked, "member_sk")
-    dim = scd2_merge(dim, src1, "member_code", tracked, sk="member_sk", load_time="2026-01-01 00:00:00").checkpoint()
-    assert dim.count() == 4
-    dim = scd2_merge(dim, src2, "member_code", tracked, sk="member_sk", load_time="2026-03-01 00:00:00").checkpoint()
-    assert dim.count() == 7
-    again = scd2_merge(dim, src2, "member_code", tracked, sk="member_sk", load_time="2026-03-01 00:00:00")
-    assert again.count() == 7                      # idempotent: no spurious 8th version
-    assert dim.filter("is_current").count() == 5
-    assert sorted(r.member_sk for r in dim.collect()) == list(range(1, 8))
-    pit = as_of(dim, "2026-02-15 00:00:00").collect()
-    assert len(pit) == 4
-    assert all(r.valid_from == dt.datetime(2026, 1, 1) for r in pit)
+def test_scd2_rounds_of_machines(spark):
+    """Own rows: a machine that moves, one that is refitted, one that stays, one that comes later."""
+    cols = "serial string, site string, refit int"
+    load = lambda rows: spark.createDataFrame(rows, cols)
+    spring, autumn = load([("p7", "north", 0), ("q1", "south", 2), ("x9", "north", 5)]), load([("p7", "quay", 0), ("q1", "south", 3), ("x9", "north", 5), ("z2", "quay", 0)])
+    tracked = ["site", "refit"]
+    merge = lambda dim, rows, at: scd2_merge(dim, rows, "serial", tracked, sk="machine_sk", load_time=at).checkpoint()
+    dim = merge(empty_dimension(spark, spring, "serial", tracked, "machine_sk"), spring, "2025-04-01 00:00:00")
+    dim = merge(dim, autumn, "2025-10-01 00:00:00")
+    versions = sorted((r.serial, r.site, r.refit, r.is_current) for r in dim.collect())
+    assert versions == [("p7", "north", 0, False), ("p7", "quay", 0, True), ("q1", "south", 2, False), ("q1", "south", 3, True),
+                        ("x9", "north", 5, True), ("z2", "quay", 0, True)]
+    assert sorted(r.machine_sk for r in dim.collect()) == [1, 2, 3, 4, 5, 6]
+    assert merge(dim, autumn, "2025-10-01 00:00:00").count() == 6          # the same load again opens nothing
+    summer = as_of(dim, "2025-07-01 00:00:00").collect()
+    assert {r.serial: r.site for r in summer} == {"p7": "north", "q1": "south", "x9": "north"}
+    assert {r.valid_from for r in summer} == {dt.datetime(2025, 4, 1)}
 
 
 def test_decimal_vs_double(spark):

@@ -19,12 +19,13 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.operators.loads import change_counts, latest_per_key, slice_lower, upsert
+from tidewater.operators.loads import change_counts, latest_per_key, one_per_key, slice_lower, upsert
 from tidewater.operators.quality import gate, suite
+from tidewater.operators.rewrite import apply_deltas, validate_transfer
 from tidewater.operators.scd2 import changed_keys, empty_dimension, scd2_merge, splice, states, unknown_states
 from tidewater.operators.sequence import materialize, written
 from tidewater.sources.buckets import TARGET_BYTES, BucketDirectory
-from tidewater.sources.publish import Catalog
+from tidewater.sources.publish import Catalog, CommitConflict
 
 EPOCH = "1970-01-01 00:00:00"
 LOG_SCHEMA = ("load_id bigint, table_name string, wm_from timestamp_ntz, wm_to timestamp_ntz, "
@@ -324,3 +325,49 @@ class GatedJob:
 
     def read(self, table: str) -> DataFrame:
         return self.catalog.read(self.dataset, table)
+
+
+class BalanceTable(_Bucketed):
+    """A published table of balances, changed by whole transfers only.
+
+    A transfer (signed changes per key) is checked against the version it will
+    replace: every key is there, the changes sum to zero, no balance falls
+    below ``floor``.  Otherwise :class:`TransferRejected` is raised and nothing
+    is published.  If another writer commits first, the transfer is checked and
+    applied again on that writer's version, so both take effect.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, dataset: str, key: str, col: str, floor=None,
+                 n_buckets: int = 1, target_bytes: int = TARGET_BYTES):
+        self._open(spark, root, dataset, key, n_buckets, target_bytes)
+        self.col, self.floor = col, floor
+
+    def initialise(self, df: DataFrame) -> dict:
+        rows, path = written(one_per_key(df, self.key, "balances"))
+        tx = self.catalog.begin(self.dataset)
+        now, then, _ = self._grow(None, "rows", self.catalog.fs.size(path))
+        self._write(tx, "rows", rows, now, then, set(range(then.n)))
+        return tx.commit({"op": "initialise"})
+
+    def transfer(self, deltas: DataFrame, attempts: int = 5, before_commit=lambda: None) -> dict:
+        moves = materialize(deltas.groupBy(self.key).agg(F.sum("delta").alias("delta")))
+        for last in range(attempts - 1, -1, -1):
+            tx = self.catalog.begin(self.dataset)
+            now = self._directory(tx.base, "rows")
+            touched = self._hit(moves, now)
+            if not touched:
+                return {"moved": 0}
+            rows = self._read("rows", tx.base, touched)
+            after = apply_deltas(rows, self.key, self.col, moves)
+            report = validate_transfer(rows, after, self.key, self.col, moves, self.floor)
+            self._write(tx, "rows", after, now, now, touched)
+            before_commit()
+            try:
+                tx.commit({"op": "transfer"})
+                return report
+            except CommitConflict:
+                if not last:
+                    raise
+
+    def read(self) -> DataFrame:
+        return self.catalog.read(self.dataset, "rows").drop("__bucket")

@@ -154,6 +154,35 @@ def detect_deletes(target: DataFrame, source_keys: DataFrame, key: str) -> DataF
     return target.join(keys, F.col(key) == F.col("__k"), "left_anti")
 
 
+def key_digests(keys: DataFrame, key: str, bucket: Column) -> DataFrame:
+    """(bucket, n, x, s) per bucket of keys: count, xor and sum of key hashes, whatever their order."""
+    h = F.xxhash64(key)
+    return keys.groupBy(bucket.alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor(h).alias("x"), F.sum(F.xxhash64(F.lit(1), F.col(key)).cast("decimal(38,0)")).alias("s"))
+
+
+def differing_buckets(target: DataFrame, source: DataFrame) -> set[int]:
+    """Buckets whose digests differ, of those the target has: at most one number per bucket."""
+    s = source.select(F.col("bucket").alias("__b"), *[F.col(c).alias(f"__{c}") for c in ("n", "x", "s")])
+    same = (F.col("n") == F.col("__n")) & (F.col("x") == F.col("__x")) & (F.col("s") == F.col("__s"))
+    j = target.join(s, F.col("bucket") == F.col("__b"), "left").where(~F.coalesce(same, F.lit(False)))
+    return {r[0] for r in j.select("bucket").collect()}
+
+
+def detect_deletes_in_buckets(read_target, source_keys: DataFrame, key: str, bucket: Column) -> tuple[DataFrame, set[int]]:
+    """Vanished target keys, found bucket by bucket: (the rows, the buckets compared in full).
+
+    Both sides are reduced to a digest per bucket first; only the target's
+    buckets whose digest differs are read again (``read_target(buckets)``
+    reads those partitions alone) and met with the source's keys of the same
+    buckets.  Source keys that repeat, or are new, make a bucket differ, which
+    costs its comparison and changes nothing.
+    """
+    source = source_keys.select(F.col(key))
+    found = differing_buckets(key_digests(read_target(None).select(key), key, bucket), key_digests(source, key, bucket))
+    return detect_deletes(read_target(found), source.where(bucket.isin(found) if found else F.lit(False)), key), found
+
+
 def replace_range(current: DataFrame, fresh: DataFrame, date_col: str, date_from: str, date_to: str) -> DataFrame:
     """DELETE the closed date range, INSERT the recomputed rows: one new frame.
 

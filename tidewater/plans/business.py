@@ -73,19 +73,16 @@ SELECT l_orderkey, 'returned', l_shipdate, 'line returned', l_linenumber FROM li
 def entity_timeline(spark, sf_dir):
     """One order's life spread over several tables, as one event stream."""
     t = Tables(spark, sf_dir)
-    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_shipdate", "l_returnflag")
-    a = t.orders.select("o_orderkey", F.lit("ordered").alias("step"), F.col("o_orderdate").alias("at_time"),
-                        F.col("o_orderstatus").alias("detail"), F.lit(0).alias("line"))
-    b = li.select(F.col("l_orderkey").alias("o_orderkey"), F.lit("shipped").alias("step"),
-                  F.col("l_shipdate").alias("at_time"),
-                  F.concat(F.col("l_quantity").cast("bigint").cast("string"), F.lit(" x part "),
-                           F.col("l_partkey").cast("string")).alias("detail"),
-                  F.col("l_linenumber").alias("line"))
-    c = (li.filter(F.col("l_returnflag") == "R")
-           .select(F.col("l_orderkey").alias("o_orderkey"), F.lit("returned").alias("step"),
-                   F.col("l_shipdate").alias("at_time"), F.lit("line returned").alias("detail"),
-                   F.col("l_linenumber").alias("line")))
-    return a.unionByName(b).unionByName(c)
+    placed = t.orders.select("o_orderkey", F.lit("ordered").alias("step"), F.col("o_orderdate").alias("at_time"),
+                             F.col("o_orderstatus").alias("detail"), F.lit(0).alias("line"))
+    # one scan of the lines: a line has one step, or two if it came back
+    what = F.concat(F.col("l_quantity").cast("bigint").cast("string"), F.lit(" x part "), F.col("l_partkey").cast("string"))
+    shipped = F.struct(F.lit("shipped").alias("step"), what.alias("detail"))
+    returned = F.struct(F.lit("returned").alias("step"), F.lit("line returned").alias("detail"))
+    steps = F.when(F.col("l_returnflag") == "R", F.array(shipped, returned)).otherwise(F.array(shipped))
+    moved = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_shipdate").alias("at_time"), F.col("l_linenumber").alias("line"),
+                              F.explode(steps).alias("s"))
+    return placed.unionByName(moved.select("o_orderkey", "s.step", "at_time", "s.detail", "line"))
 
 
 @register("top_regions_share", f"""
@@ -259,3 +256,43 @@ def incremental_scd2_job(spark, sf_dir):
             .unionByName(shape(part_b.read(), "version", col("user_id"), col("tier"), col("valid_from"), col("valid_to"), col("sk"), col("is_current").cast("int")))
             .unionByName(shape(part_a.log(), "log", col("load_id"), none, col("wm_from"), col("wm_to"), col("rows_new"), col("rows_changed")))
             .unionByName(shape(job.read("dq_results"), "check", F.hour("run_at"), col("check_name"), none, none, col("violations"), col("passed").cast("int"))))
+
+
+SOLD_OUT_RANK = 100
+
+
+@register("soldout_bestsellers", f"""
+WITH sold AS (SELECT l_partkey, CAST(sum(l_quantity) AS BIGINT) AS units FROM lineitem GROUP BY 1),
+best AS (SELECT *, rank() OVER (ORDER BY units DESC) AS place FROM sold QUALIFY place <= {SOLD_OUT_RANK}),
+back AS (SELECT DISTINCT l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_shipdate >= (SELECT max(l_shipdate) FROM lineitem) - INTERVAL 180 DAY)
+SELECT CAST(place AS BIGINT) AS place, p_partkey, p_name, units FROM best JOIN part ON p_partkey = l_partkey
+WHERE l_partkey NOT IN (SELECT l_partkey FROM back)
+""")
+def soldout_bestsellers(spark, sf_dir):
+    """Of the best sellers (rank by units, ties share a place) those with
+    nothing left: no unit came back to any supplier in the last 180 days."""
+    t = Tables(spark, sf_dir)
+    li = t.lineitem.select("l_partkey", "l_quantity", "l_returnflag", "l_shipdate")
+    last = li.agg(F.max("l_shipdate")).scalar()
+    recent = (F.col("l_returnflag") == "R") & (F.col("l_shipdate") >= last - F.expr("INTERVAL 180 DAYS"))
+    per_part = li.groupBy("l_partkey").agg(F.sum("l_quantity").cast("bigint").alias("units"), F.max(recent).alias("back"))
+    # the units of the last place: a top-k; then the few rows from there up are ranked
+    least = per_part.select("units").orderBy(F.col("units").desc()).limit(SOLD_OUT_RANK).agg(F.min("units")).scalar()
+    best = per_part.where(F.col("units") >= least).withColumn("place", F.rank().over(Window.orderBy(F.col("units").desc())).cast("bigint"))
+    names = t.part.select("p_partkey", "p_name")
+    return (best.where(~F.coalesce("back", F.lit(False))).join(names, F.col("l_partkey") == F.col("p_partkey"))
+            .select("place", "p_partkey", "p_name", "units"))
+
+
+@register("argmax_per_group", """
+WITH sold AS (SELECT p_type, p_partkey, CAST(sum(l_quantity) AS BIGINT) AS units FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1, 2)
+SELECT p_type AS category, p_partkey, units FROM sold s WHERE units = (SELECT max(units) FROM sold x WHERE x.p_type = s.p_type)
+""")
+def argmax_per_group(spark, sf_dir):
+    """G14 per group: the best-selling part of each category, ties kept.  The
+    maximum per category is an aggregate, met again by an equi-join."""
+    t = Tables(spark, sf_dir)
+    units = t.lineitem.groupBy("l_partkey").agg(F.sum("l_quantity").cast("bigint").alias("units"))
+    sold = units.join(t.part.select("p_partkey", F.col("p_type").alias("category")), F.col("l_partkey") == F.col("p_partkey"))
+    top = sold.groupBy("category").agg(F.max("units").alias("units"))
+    return sold.join(top, ["category", "units"]).select("category", "p_partkey", "units")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidewater.functions import CANCELLED, money
 from tidewater.jobs import RangeReload, Scd2Load, WatermarkLoad
 from tidewater.operators.joins import pit_join
-from tidewater.operators.loads import (append_new, daily_category_sales, detect_deletes,
+from tidewater.operators.loads import (append_new, daily_category_sales, detect_deletes_in_buckets,
                                        latest_per_key, upsert as upsert_op)
 from tidewater.operators.scd2 import as_of, empty_dimension, scd2_merge
 from tidewater.operators.sequence import materialize
@@ -24,6 +24,7 @@ from tidewater.operators.rewrite import soft_delete
 from tidewater.plans.registry import register
 from tidewater.session import scratch_root
 from tidewater.sources import Tables
+from tidewater.sources.buckets import BucketDirectory
 from tidewater.sources.publish import Catalog
 
 # The load rounds over the January 2024 events.
@@ -313,14 +314,19 @@ SELECT o_orderkey, CASE WHEN o_orderstatus = '{CANCELLED}' THEN TIMESTAMP '{T_EN
 FROM orders
 """)
 def detect_deletes_q(spark, sf_dir):
-    """Hard deletes are invisible to ``updated_at``: compare the full source key
-    set with the target and soft-delete what vanished (cancelled orders were
-    purged from the source)."""
+    """Hard deletes are invisible to ``updated_at``: digests of target and source
+    keys are compared bucket by bucket, only buckets that differ are read again
+    and compared in full, and what vanished is soft-deleted (cancelled orders
+    were purged from the source)."""
     o = Tables(spark, sf_dir).orders
-    target = o.select("o_orderkey")
+    cat, directory = Catalog(spark, _root(spark, "deletes")), BucketDirectory(64)
+    tx = cat.begin("orders")
+    tx.write_partitions("rows", o.select("o_orderkey").withColumn("__bucket", directory.bucket("o_orderkey")), "__bucket", replace=lambda v: True)
+    tx.commit()
+    target = lambda buckets: cat.read("orders", "rows", partitions=buckets).drop("__bucket")
     source_keys = o.filter(F.col("o_orderstatus") != CANCELLED).select("o_orderkey")
-    gone = detect_deletes(target, source_keys, "o_orderkey").withColumn("__gone", F.lit(True))
-    marked = target.join(gone, "o_orderkey", "left")
+    gone, _ = detect_deletes_in_buckets(target, source_keys, "o_orderkey", directory.bucket("o_orderkey"))
+    marked = target(None).join(gone.withColumn("__gone", F.lit(True)), "o_orderkey", "left")
     return soft_delete(marked, F.col("__gone"), T_END_LOAD).select("o_orderkey", "deleted_at")
 
 

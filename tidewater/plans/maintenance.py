@@ -6,16 +6,19 @@ assignment, constraint enforcement) is a rewrite old -> new of a driver table.
 
 from __future__ import annotations
 
+import uuid
 from decimal import Decimal
 
 from pyspark.sql import functions as F
 
 from tidewater.functions import CANCELLED, COMPLETED, money
+from tidewater.jobs import BalanceTable
 from tidewater.operators.contracts import Col, Contract, ForeignKey, conform, evolve, quarantine
-from tidewater.operators.rewrite import (apply_deltas, cascade_delete, delete_where, soft_delete,
+from tidewater.operators.rewrite import (Reference, RestrictViolation, TransferRejected, delete_where, delete_with_references, soft_delete,
                                          touch_changed, update_where)
 from tidewater.operators.sequence import assign_sk
 from tidewater.plans.registry import register
+from tidewater.session import scratch_root
 from tidewater.sources import Tables
 
 RUN_AT = "2024-02-01 00:00:00"      # the explicit run time of these rewrites
@@ -84,28 +87,34 @@ def soft_delete_q(spark, sf_dir):
     return marked.select("c_custkey", "deleted_at", F.col("deleted_at").isNull().alias("is_active"))
 
 
-@register("cascade_delete", f"""
-SELECT (SELECT count(*) FROM orders WHERE o_orderstatus = '{CANCELLED}') AS orders_removed,
-       (SELECT count(*) FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
-        WHERE o.o_orderstatus = '{CANCELLED}') AS lines_removed,
-       (SELECT count(*) FROM orders WHERE o_orderstatus <> '{CANCELLED}') AS orders_left,
-       (SELECT count(*) FROM lineitem l WHERE NOT EXISTS (
-           SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey AND o.o_orderstatus = '{CANCELLED}')) AS lines_left
+@register("cascade_delete", """
+WITH gone AS (SELECT c_custkey FROM customer WHERE c_acctbal < 0),
+gone_orders AS (SELECT o_orderkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM gone))
+SELECT 'customer' AS level, c_custkey AS id, CAST(NULL AS INT) AS line FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM gone)
+UNION ALL
+SELECT 'orders', o_orderkey, NULL FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM gone)
+UNION ALL
+SELECT 'lineitem', l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM gone_orders)
 """)
 def cascade_delete_q(spark, sf_dir):
+    """Customers in debt are deleted; their orders and those orders' lines go with
+    them.  Without the cascade the same delete is refused."""
     t = Tables(spark, sf_dir)
-    o = t.orders.select("o_orderkey", "o_orderstatus")
-    li = t.lineitem.select("l_orderkey", "l_linenumber")
-    kept_o, kept = cascade_delete(o, "o_orderkey", F.col("o_orderstatus") == CANCELLED,
-                                  {"lineitem": (li, "l_orderkey")})
-    # one row of four counts: each is a scalar subquery (one aggregate job each, reused)
-    def n(df):
-        return df.agg(F.count(F.lit(1))).scalar()
-    orders_left, lines_left = n(kept_o), n(kept["lineitem"])
-    return o.agg(F.count(F.lit(1)).alias("o_all")).select(
-        (F.col("o_all") - orders_left).alias("orders_removed"),
-        (n(li) - lines_left).alias("lines_removed"),
-        orders_left.alias("orders_left"), lines_left.alias("lines_left"))
+    tables = {"customer": t.customer.select("c_custkey", "c_acctbal"), "orders": t.orders.select("o_orderkey", "o_custkey"),
+              "lineitem": t.lineitem.select("l_orderkey", "l_linenumber")}
+    keys = {"customer": "c_custkey", "orders": "o_orderkey"}
+    debt = F.col("c_acctbal") < 0
+    try:
+        delete_with_references(tables, keys, [Reference("orders", "o_custkey", "customer")], "customer", debt)
+        raise AssertionError("orders that stay must refuse the delete")
+    except RestrictViolation:
+        pass
+    kept = delete_with_references(tables, keys, [Reference("orders", "o_custkey", "customer", "cascade"),
+                                                 Reference("lineitem", "l_orderkey", "orders", "cascade")], "customer", debt)
+    none = F.lit(None).cast("int")
+    return (kept["customer"].select(F.lit("customer").alias("level"), F.col("c_custkey").alias("id"), none.alias("line"))
+            .unionByName(kept["orders"].select(F.lit("orders").alias("level"), F.col("o_orderkey").alias("id"), none.alias("line")))
+            .unionByName(kept["lineitem"].select(F.lit("lineitem").alias("level"), F.col("l_orderkey").alias("id"), F.col("l_linenumber").cast("int").alias("line"))))
 
 
 @register("apply_deltas", """
@@ -118,10 +127,22 @@ SELECT c_custkey,
 FROM src
 """)
 def apply_deltas_q(spark, sf_dir):
+    """A transfer from the richest to the poorest customer as one publish; one to
+    an unknown customer, and one that makes money, are refused."""
     c = _customers(Tables(spark, sf_dir)).select("c_custkey", "c_acctbal")
+    table = BalanceTable(spark, f"{scratch_root(spark)}/balances-{uuid.uuid4().hex[:10]}", "accounts", "c_custkey", "c_acctbal")
+    table.initialise(c)
     rich = c.orderBy(F.col("c_acctbal").desc(), "c_custkey").limit(1).select("c_custkey", F.lit(-100).alias("delta"))
     poor = c.orderBy(F.col("c_acctbal").asc(), "c_custkey").limit(1).select("c_custkey", F.lit(100).alias("delta"))
-    return apply_deltas(c, "c_custkey", "c_acctbal", rich.unionByName(poor))
+    unknown = spark.createDataFrame([(-1, 100)], "c_custkey long, delta int")
+    for bad in (rich.unionByName(unknown), poor):
+        try:
+            table.transfer(bad)
+            raise AssertionError("an unbalanced or unknown transfer must be refused")
+        except TransferRejected:
+            pass
+    table.transfer(rich.unionByName(poor))
+    return table.read()
 
 
 @register("assign_sk", """

@@ -367,7 +367,7 @@ def semi_in(spark, sf_dir):
 
 
 @register("semi_exists", f"""
-SELECT count(*) AS recovered_orders FROM orders o
+SELECT count(*) AS orders_after_failure FROM orders o
 WHERE o.o_orderstatus = '{COMPLETED}'
   AND EXISTS (SELECT 1 FROM events e WHERE e.user_id = o.o_custkey AND e.event_type = 'error')
 """)
@@ -376,7 +376,7 @@ def semi_exists(spark, sf_dir):
     failed = t.events.filter(F.col("event_type") == "error").select("user_id").distinct()
     return (t.orders.filter(F.col("o_orderstatus") == COMPLETED).select("o_custkey")
              .join(failed, F.col("o_custkey") == F.col("user_id"), "left_semi")
-             .agg(F.count(F.lit(1)).alias("recovered_orders")))
+             .agg(F.count(F.lit(1)).alias("orders_after_failure")))
 
 
 @register("category_revenue", f"""
@@ -435,15 +435,15 @@ LEFT JOIN failed f ON f.user_id = c.c_custkey
 """)
 def preagg_join_q(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    ev = t.events.select("user_id", "event_type", "value")
+    good, bad = F.col("event_type") == "purchase", F.col("event_type") == "error"
+    payments = t.events.filter(good | bad).select("user_id", "event_type", "value")
     return preagg_join(
         t.customer.select("c_custkey"), "c_custkey",
         {
             "items": (t.orders, "o_custkey", [_total(money("o_totalprice")).alias("items_total")], "inner"),
-            "paid": (ev.filter(F.col("event_type") == "purchase"), "user_id",
-                     [_total(money("value")).alias("paid_total")], "left"),
-            "failed": (ev.filter(F.col("event_type") == "error"), "user_id",
-                       [F.count(F.lit(1)).alias("failed_attempts")], "left"),
+            # one scan gives both sides of the payments
+            "payments": (payments, "user_id", [_total(F.when(good, money("value"))).alias("paid_total"),
+                                               F.count_if(bad).alias("failed_attempts")], "left"),
         },
         fill={"paid_total": F.lit(0).cast("decimal(38,2)"), "failed_attempts": F.lit(0).cast("bigint")})
 
@@ -546,12 +546,10 @@ def group_many(spark, sf_dir):
 
 def daypart(ts):
     h = F.hour(ts)
-    return (F.when(h < 11, "1 morning").when(h < 14, "2 midday").when(h < 18, "3 afternoon")
-             .otherwise("4 evening"))
+    return F.concat(F.lpad((F.floor(h / 6) * 6).cast("string"), 2, "0"), F.lit("h"))
 
 
-DAYPART_SQL = """CASE WHEN hour(ts) < 11 THEN '1 morning' WHEN hour(ts) < 14 THEN '2 midday'
-                      WHEN hour(ts) < 18 THEN '3 afternoon' ELSE '4 evening' END"""
+DAYPART_SQL = "lpad(CAST(hour(ts) // 6 * 6 AS VARCHAR), 2, '0') || 'h'"       # quarters of the day, by their first hour
 
 
 @register("group_daypart", f"""

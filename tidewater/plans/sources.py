@@ -19,7 +19,7 @@ from tidewater.sources import Tables
 from tidewater.sources.batches import BatchLedger, write_batches
 from tidewater.sources.publish import Catalog
 from tidewater.sources.tables import TABLES
-from tidewater.sources.verified import build_manifest, verified_load
+from tidewater.sources.verified import DigestMismatch, verified_load, write_with_manifest
 
 
 def _catalog(spark, tag: str) -> Catalog:
@@ -76,15 +76,23 @@ def full_overwrite(spark, sf_dir):
     return cat.read("dim_product", "rows")
 
 
-@register("verified_load", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@register("verified_load", "SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(18,2)) AS total_amount, o_orderdate FROM orders")
 def verified_load_q(spark, sf_dir):
-    """Digest check then load: the manifest is written by the publisher of the
-    files; the loader recomputes every digest and loads only if all match."""
+    """The writer makes the manifest from its rows and the files beside it; the
+    loader computes every block's digest from the files and loads if all agree.
+    The same files with one price changed are refused."""
     cat = _catalog(spark, "verified")
-    manifest_path = f"{cat.root}/manifest"
-    build_manifest(spark, [f"{sf_dir}/nation.parquet"], manifest_path)
-    df, report = verified_load(spark, f"{sf_dir}/nation.parquet", manifest_path)
-    return df.select("n_nationkey", "n_name", "n_regionkey")
+    rows = Tables(spark, sf_dir).orders.select("o_orderkey", "o_custkey", "o_orderstatus", money("o_totalprice").alias("total_amount"), "o_orderdate")
+    root = write_with_manifest(rows, f"{cat.root}/orders", f"{cat.root}/manifest")
+    first = rows.agg(F.min("o_orderkey")).scalar()
+    tampered = F.when(F.col("o_orderkey") == first, F.col("total_amount") + 1).otherwise(F.col("total_amount")).cast("decimal(18,2)")
+    rows.withColumn("total_amount", tampered).write.parquet(f"{cat.root}/tampered")
+    try:
+        verified_load(spark, f"{cat.root}/tampered", f"{cat.root}/manifest", root)
+    except DigestMismatch:
+        df, _ = verified_load(spark, f"{cat.root}/orders", f"{cat.root}/manifest", root)
+        return df
+    raise AssertionError("a changed price must be refused")
 
 
 @register("apply_next_batch", """
@@ -116,26 +124,20 @@ def apply_next_batch(spark, sf_dir):
 
 
 @register("v_order_summary", f"""
-SELECT c.c_mktsegment AS membership_tier, count(*) AS orders,
-       CAST(sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS gmv
-FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
-WHERE o.o_orderstatus = '{COMPLETED}'
-GROUP BY 1
+WITH paid AS (SELECT o_custkey, CAST(o_totalprice AS DECIMAL(18,2)) AS price FROM orders WHERE o_orderstatus = '{COMPLETED}')
+SELECT c_mktsegment AS segment, count(price) AS orders, CAST(sum(price) AS DECIMAL(38,2)) AS sales
+FROM customer JOIN paid ON o_custkey = c_custkey GROUP BY c_mktsegment
 """)
 def v_order_summary(spark, sf_dir):
-    """A named view, recomputed on every read."""
+    """A view under a name: the plan is stored, not the rows, so the summary over
+    it reads the tables again each time, and the price filter of a query reaches
+    their scans."""
     t = Tables(spark, sf_dir)
-    t.orders.createOrReplaceTempView("orders")
-    t.customer.createOrReplaceTempView("customer")
-    spark.sql("""
-        CREATE OR REPLACE TEMP VIEW v_order_summary AS
-        SELECT o.o_orderkey AS order_id, o.o_orderdate AS ordered_at, o.o_orderstatus AS status,
-               CAST(o.o_totalprice AS DECIMAL(18,2)) AS total_amount,
-               c.c_name AS customer_code, c.c_mktsegment AS membership_tier
-        FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey""")
-    return spark.sql(f"""
-        SELECT membership_tier, count(*) AS orders, CAST(sum(total_amount) AS DECIMAL(38,2)) AS gmv
-        FROM v_order_summary WHERE status = '{COMPLETED}' GROUP BY membership_tier""")
+    who = t.customer.select(F.col("c_custkey").alias("buyer"), F.col("c_mktsegment").alias("segment"))
+    sale = t.orders.select(F.col("o_custkey").alias("buyer"), F.col("o_orderstatus").alias("state"), money("o_totalprice").alias("price"))
+    sale.join(who, "buyer").createOrReplaceTempView("v_order_summary")
+    return (spark.table("v_order_summary").where(F.col("state") == COMPLETED).groupBy("segment")
+            .agg(F.count("price").alias("orders"), F.sum("price").cast("decimal(38,2)").alias("sales")))
 
 
 @register("table_inventory", "\nUNION ALL\n".join(
