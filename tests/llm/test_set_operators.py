@@ -386,3 +386,41 @@ def test_near_dedup_keeps_odd_column_names(docs):
     text = " ".join(words(rng, 40))
     df = docs([(1, text, "en", "s"), (2, text, "en", "s"), (3, " ".join(words(rng, 40)), "en", "s")]).withColumn("a.b", F.lit(7)).withColumn("node", F.lit("x"))
     assert sorted((r["doc_id"], r["a.b"], r["node"]) for r in omh.keep_first(df).collect()) == [(1, 7, "x"), (3, 7, "x")]
+
+
+def exchanged(df):
+    """Names of the columns that shuffles carry."""
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "Exchange":
+            found.append({node.output().apply(i).name() for i in range(node.output().size())})
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def test_many_seeds_shuffle_no_word_lists(spark, docs, monkeypatch):
+    """Beyond the broadcast's bound: the same overlaps, and no document's words in an exchange."""
+    rng = random.Random(37)
+    items = [words(rng, n) for n in (3, 5, 9, 10, 12, 25, 60, 60)] + [["short", "item"]]
+    bench = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(items)] + [(99, None), (98, "")], "item_id long, text string")
+    rows = []
+    for i in range(150):
+        t = list(rng.choice(items))
+        for _ in range(rng.randint(0, max(0, len(t) // 6))):
+            t[rng.randrange(len(t))] = "changed"
+        rows.append((i, " ".join(words(rng, rng.randint(0, 30)) + t + words(rng, rng.randint(0, 30))) if i % 10 else None, "en", "s"))
+    rows += [(i + 1000, t, g, s) for i, t, g, s in rows[:20]] + [(None, " ".join(items[5]), "en", "s"), (5000, "short item", "en", "s")]
+    whole = sorted(map(str, decontam.overlaps(docs(rows), bench).collect()))
+    monkeypatch.setattr(decontam, "BROADCAST_SEEDS", 0)
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = decontam.overlaps(docs(rows), bench)
+        assert all("w" not in names and "d" not in names for names in exchanged(out)) and len(exchanged(out)) > 2
+        assert sorted(map(str, out.collect())) == whole and len(whole) > 80
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -10,10 +10,12 @@ and spans ``OVERLAP`` words or the whole item.  Equal words score 1 and others
 -``PENALTY``, so such a stretch is one of score 0 or more; the best of each
 least length on either side is found in one pass.
 
-The document side never shuffles: runs are hashed inside the row and probed
-against the benchmark's seeds, which are broadcast with the items' words while
-the seeds number at most ``BROADCAST_SEEDS`` (the words are fewer); beyond that
-the same joins are left to the planner.  Only verified overlaps are grouped.
+The document side does not shuffle while the benchmark's seeds number at most
+``BROADCAST_SEEDS``: runs are hashed inside the row and probed against the
+seeds, which are broadcast with the items' words (fewer still).  Beyond that
+bound only (text key, run, seed) is shuffled to the seeds, and the words next
+to the hits to the items.  Only verified overlaps are grouped.  Items shorter
+than a run add masks of their lengths; all runs come from one scan.
 
 Defined results: words are lower-cased runs of anything but ASCII white space;
 null and blank texts match nothing; an item of fewer than ten words must occur
@@ -95,6 +97,54 @@ def _length(stretch: Column) -> Column:
     return stretch.bitwiseAND(F.lit(ONE - 1))
 
 
+def _place(run: Column, n: Column, masks: tuple[str, ...]) -> tuple[Column, Column]:
+    """Where a run starts and how many words it spans, from its place among the runs of all masks."""
+    if len(masks) == len(MASKS):
+        return run % (n - (SPAN - 1)), F.lit(SPAN)
+    at, span, before = F.lit(0), F.lit(0), F.lit(0)
+    ends = []
+    for m in masks:
+        size = F.greatest(n - (len(m) - 1), F.lit(0))
+        ends.append((before, before + size, len(m)))
+        before = before + size
+    for lo, hi, length in reversed(ends):
+        at, span = F.when(run < hi, run - lo).otherwise(at), F.when(run < hi, F.lit(length)).otherwise(span)
+    return at, span
+
+
+def _reach(at: Column, span: Column) -> tuple[Column, Column]:
+    """Words that document and item both have before and after the run."""
+    return F.least(at, F.col("off")), F.least(F.col("n") - at, F.col("n_item") - F.col("off")) - span
+
+
+def _laid(hit: DataFrame, at: Column, span: Column, left: Column, right: Column, mine, theirs) -> DataFrame:
+    """(doc_id, k1, k2, item_id, n_item, at, span, v): the compared words before, in and after the run."""
+    both = lambda start, n: _scored(mine(start, n), theirs(start, n))
+    laid = F.struct(F.reverse(both(-left, left)).alias("before"), both(F.lit(0), span).alias("run"), both(span, right).alias("after"))
+    return hit.select("doc_id", "k1", "k2", "item_id", "n_item", at.alias("at"), span.alias("span"), F.explode(F.array(laid)).alias("v"))
+
+
+def _laid_apart(docs: DataFrame, texts: DataFrame, seeds: DataFrame, items: DataFrame, masks: tuple[str, ...]) -> DataFrame:
+    """The same where the seeds are too many to broadcast.
+
+    Only (text key, run, seed) meets the seeds; hits are collected per text,
+    texts with hits are fetched once, and of each only the words next to a hit,
+    at most as many as the item has, travel to the item.
+    """
+    hits = staged(docs.select("k1", "k2", "n", "run", "seed").distinct().join(seeds, "seed")
+                  .select("k1", "k2", "n", "run", "item", "n_item", F.col("at").alias("off")), "hits")
+    per_text = hits.groupBy("k1", "k2").agg(F.collect_list(F.struct("n", "run", "item", "n_item", "off")).alias("hits"))
+    fetched = (texts.join(per_text, ["k1", "k2"]).select("doc_id", "k1", "k2", F.explode(F.array(F.struct(_hashes(F.col("text")).alias("w"), "hits"))).alias("d"))
+               .select("doc_id", "k1", "k2", F.col("d.w").alias("w"), F.explode("d.hits").alias("h")).select("doc_id", "k1", "k2", "w", "h.*"))
+    at, span = _place(F.col("run"), F.col("n"), masks)
+    left, right = _reach(at, span)
+    near = fetched.select("doc_id", "k1", "k2", "item", "n_item", "off", at.alias("at"), span.alias("span"), left.alias("left"), right.alias("right"),
+                          F.slice("w", at - left + 1, left + span + right).alias("near"))
+    left = F.col("left")
+    mine, theirs = (lambda start, n: F.slice("near", left + start + 1, n)), (lambda start, n: F.slice("words", F.col("off") + start + 1, n))
+    return _laid(near.join(items, "item"), F.col("at"), F.col("span"), left, F.col("right"), mine, theirs)
+
+
 def overlaps(df: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Verified overlaps: (doc_id, k1, k2, item_id, first_word, end_word, hits, matched, compared).
 
@@ -104,39 +154,35 @@ def overlaps(df: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text: str
     """
     bench = bench.select("item_id", "text").where("text IS NOT NULL")
     short = bench.select(F.size(_hashes(F.col("text"))).alias("n")).where(f"n > 0 AND n < {SPAN}").distinct().collect()     # at most nine lengths
+    masks = MASKS + tuple("1" * r["n"] for r in sorted(short))
     items = staged(item_words(bench), "items")
-    seeds = staged(item_seeds(items, MASKS + tuple("1" * r["n"] for r in sorted(short))), "seeds")
+    seeds = staged(item_seeds(items, masks), "seeds")
     items = items.select("item", "item_id", "words")
+    texts = df.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("k1"), F.crc32(F.coalesce(text, F.lit(""))).alias("k2"),
+                      F.col(text).alias("text"))
+    row = let(_hashes(F.col("text")), lambda w: F.struct(w.alias("w"), F.concat(*[_seeds(w, m) for m in masks]).alias("seeds")))
+    # one-row explode: the arrays are made once, before the runs are unrolled
+    docs = (texts.select("doc_id", "k1", "k2", F.explode(F.array(row)).alias("d"))
+            .select("doc_id", "k1", "k2", F.col("d.w").alias("w"), F.size("d.w").alias("n"), F.posexplode("d.seeds").alias("run", "seed")))
     if seeds.count() <= BROADCAST_SEEDS:
-        seeds, items = F.broadcast(seeds), F.broadcast(items.join(seeds.select("item").distinct(), "item", "left_semi"))
-    found = None
-    for masks in [MASKS, *[("1" * r["n"],) for r in sorted(short)]]:
-        span = len(masks[0])
-        row = let(_hashes(F.col(text)), lambda w: F.struct(w.alias("w"), F.concat(*[_seeds(w, m) for m in masks]).alias("seeds")))  # noqa: B023
-        # one-row explode: the arrays are made once, before the runs are unrolled
-        docs = df.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("k1"),
-                         F.crc32(F.coalesce(text, F.lit(""))).alias("k2"), F.explode(F.array(row)).alias("d"))
-        docs = docs.select("doc_id", "k1", "k2", F.col("d.w").alias("w"), F.posexplode("d.seeds").alias("run", "seed"))
-        hit = docs.join(seeds.where(F.col("n_item") >= SPAN if span == SPAN else F.col("n_item") == span), "seed")
-        hit = hit.join(items, "item").withColumnRenamed("at", "off")
-        at, off = F.col("run") % (F.size("w") - (span - 1)), F.col("off")
-        # what both have before and after the run
-        left = F.least(at, off)
-        right = F.least(F.size("w") - at, F.col("n_item") - off) - span
-        cut = lambda start, n: (F.slice("w", at + start + 1, n), F.slice("words", off + start + 1, n))  # noqa: E731, B023
-        laid = F.struct(F.reverse(_scored(*cut(-left, left))).alias("before"), _scored(*cut(F.lit(0), F.lit(span))).alias("run"), _scored(*cut(F.lit(span), right)).alias("after"))
-        # again a one-row explode: the comparison must not move into the join, where each probe would carry the document's words
-        hit = hit.select("doc_id", "k1", "k2", "item_id", "n_item", at.alias("at"), F.explode(F.array(laid)).alias("v"))
-        run = F.aggregate("v.run", F.lit(0).cast("long"), lambda s, x: s + x)
-        hit = hit.select("doc_id", "k1", "k2", "item_id", "at", (F.least("n_item", F.lit(OVERLAP)) - span).alias("more"),
-                         F.explode(F.array(F.struct(_best_from(F.col("v.before")).alias("before"), run.alias("run"), _best_from(F.col("v.after")).alias("after")))).alias("v"))
-        sides = [(F.get("v.before", F.lit(t)), F.get("v.after", F.col("more") - t)) for t in range(OVERLAP - SPAN + 1)]
-        best = F.array_max(F.array(*[F.struct((b + F.col("v.run") + a).alias("all"), b.alias("before")) for b, a in sides]))
-        hit = hit.select("doc_id", "k1", "k2", "item_id", "at", F.explode(F.array(best)).alias("v")).where("v.all >= 0")
-        words = _length(F.col("v.all"))
-        hit = hit.select("doc_id", "k1", "k2", "item_id", (F.col("at") - _length(F.col("v.before"))).alias("start"), words.alias("compared"),
-                         F.expr(f"(shiftright(v.all, 32) + {PENALTY} * (v.all & {ONE - 1}L)) div {PENALTY + 1}").alias("matched"))
-        found = hit if found is None else found.unionByName(hit)
+        hit = docs.join(F.broadcast(seeds), "seed").withColumnRenamed("at", "off")
+        hit = hit.join(F.broadcast(items.join(seeds.select("item").distinct(), "item", "left_semi")), "item")
+        at, span = _place(F.col("run"), F.col("n"), masks)
+        left, right = _reach(at, span)
+        mine, theirs = (lambda start, n: F.slice("w", at + start + 1, n)), (lambda start, n: F.slice("words", F.col("off") + start + 1, n))
+        hit = _laid(hit, at, span, left, right, mine, theirs)
+    else:
+        hit = _laid_apart(docs, texts, seeds, items, masks)
+    # again a one-row explode: the comparison must not move into the join, where each probe would carry the document's words
+    run = F.aggregate("v.run", F.lit(0).cast("long"), lambda s, x: s + x)
+    hit = hit.select("doc_id", "k1", "k2", "item_id", "at", (F.least("n_item", F.lit(OVERLAP)) - F.col("span")).alias("more"),
+                     F.explode(F.array(F.struct(_best_from(F.col("v.before")).alias("before"), run.alias("run"), _best_from(F.col("v.after")).alias("after")))).alias("v"))
+    sides = [(F.get("v.before", F.lit(t)), F.get("v.after", F.col("more") - t)) for t in range(OVERLAP - SPAN + 1)]
+    best = F.array_max(F.array(*[F.struct((b + F.col("v.run") + a).alias("all"), b.alias("before")) for b, a in sides]))
+    hit = hit.select("doc_id", "k1", "k2", "item_id", "at", F.explode(F.array(best)).alias("v")).where("v.all >= 0")
+    words = _length(F.col("v.all"))
+    found = hit.select("doc_id", "k1", "k2", "item_id", (F.col("at") - _length(F.col("v.before"))).alias("start"), words.alias("compared"),
+                       F.expr(f"(shiftright(v.all, 32) + {PENALTY} * (v.all & {ONE - 1}L)) div {PENALTY + 1}").alias("matched"))
     return (found.groupBy("doc_id", "k1", "k2", "item_id")
             .agg(F.min("start").cast("long").alias("first_word"), F.max(F.col("start") + F.col("compared")).cast("long").alias("end_word"),
                  F.count(F.lit(1)).alias("hits"), F.max(F.struct("matched", (-F.col("compared")).alias("short"), "compared")).alias("best"))
