@@ -373,10 +373,11 @@ def _joined(root: DataFrame, links: DataFrame) -> DataFrame:
     return staged(root.join(up, "root", "left").select("node", F.coalesce("top", "root").alias("root")), "root")
 
 
-def _turn(pairs: DataFrame, tested: DataFrame | None, texts: DataFrame, nodes: DataFrame, root: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The pairs not tested before, the classes after their links, and these links."""
+def _turn(pairs: DataFrame, tested: DataFrame | None, texts: DataFrame, nodes: DataFrame, root: DataFrame, bound: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The pairs not tested before, the classes after their links, and these links; ``bound``: test their parities first."""
     pairs = staged(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-    new = staged(_verified(_reachable(pairs, nodes), texts, nodes), "links")
+    # staged, as texts are looked up for both ends of each pair
+    new = staged(_verified(staged(_reachable(pairs, nodes), "reachable") if bound else pairs, texts, nodes), "links")
     return pairs, root if new.isEmpty() else _joined(root, new), new
 
 
@@ -403,7 +404,7 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         links = new if links is None else links.unionByName(new)
         if turn >= len(WAVES) - 1 and new.count() <= LEAST_YIELD * pairs.count():
             break
-    _, root, new = _turn(_rest(members, nodes, root), tested, texts, nodes, root)
+    _, root, new = _turn(_rest(members, nodes, root), tested, texts, nodes, root, bound=False)
     links = links.unionByName(new)
 
     named = nodes.join(root, "node")
