@@ -4,11 +4,18 @@ Each stage takes the documents that the stage before it kept and returns
 documents again (the last one with their shard and slot); ``run`` writes every
 stage's result as Parquet in the shared folder and reads it back, so a lost
 executor costs a task, not the chain.
+
+Defined results: a null or empty text fails the quality rules and goes in the
+first stage; of rows that repeat an id and a text one stays after near-dedup;
+ties are broken by digests of id and text, so no stage depends on row order;
+an empty table gives no rows at any stage; further columns, whatever their
+names, pass through all stages (``shard`` and ``slot`` win a clash).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewater.llm import decontam, order_minhash, quality_rules, sharding
 from tidewater.llm.common import read_table, staged
@@ -16,10 +23,14 @@ from tidewater.llm.queries import SHARDS, mixed
 from tidewater.llm.registry import register
 
 
+def _own(docs: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base rule nor a learned rule rejects."""
     rules = quality_rules.learn(docs, read_table(spark, sf_dir, "labels"))
-    return quality_rules.apply_rules(docs, rules).where("kept").select(*docs.columns)
+    return quality_rules.apply_rules(docs, rules).where(F.col("kept")).select(*_own(docs))
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +45,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn to the target weights; those of several epochs come several times."""
-    return mixed(docs).select(*docs.columns)
+    return mixed(docs).select(*_own(docs))
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
