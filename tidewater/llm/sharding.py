@@ -50,7 +50,7 @@ def _numbered(df: DataFrame, key: list[str], bucket: str, order: list, out: str)
     inside = F.row_number().over(W.partitionBy(*key, bucket).orderBy(*order)) - 1
     return (df.withColumn("__inside", inside).join(offsets, cond, "inner")
             .withColumn(out, F.col("__before") + F.col("__inside"))
-            .select(*df.columns, out))
+            .select(*[F.col(f"`{c}`") for c in df.columns], out))
 
 
 def shard_rows(df: DataFrame, shards: int, source: str = "source", doc_id: str = "doc_id",
