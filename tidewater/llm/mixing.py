@@ -160,3 +160,31 @@ def mix(df: DataFrame, domain: Column, weights: dict[str, dict[str, int]], budge
     epochs = F.sequence(F.lit(0), F.col("whole").cast("int") - 1 + F.col("__part").cast("int"))
     return (drawn.withColumn("epoch", F.explode(epochs))
             .select(*[F.col(f"`{c}`") for c in keep], F.col("__d").alias("domain"), "n_tokens", "epoch"))
+
+
+def oracle(domain: str, weights: dict[str, dict[str, int]], budget_pct: int, max_epochs: int, seed: int = 6) -> str:
+    """SQL for the drawn rows of ``documents``: (doc_id, lang, source, domain, n_tokens, epoch)."""
+    parts = [f"""r AS (SELECT doc_id, lang, source, {domain} AS domain, md5(coalesce(text, '')) AS digest,
+  CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS n_tokens FROM documents)""",
+             "leaf AS (SELECT domain, lang, source, sum(n_tokens) AS tokens FROM r GROUP BY ALL)"]
+    for depth, level in enumerate(LEVELS):
+        path, parent = ", ".join(LEVELS[:depth + 1]), LEVELS[:depth]
+        own = " ".join(f"WHEN '{k}' THEN {v}" for k, v in weights.get(level, {}).items())
+        weight = f"CASE {level} {own} ELSE 1 END" if own else "1"
+        given = (f"JOIN g{depth - 1} ON " + " AND ".join(f"g{depth - 1}.{p} IS NOT DISTINCT FROM n.{p}" for p in parent)) if depth else ""
+        budget = f"g{depth - 1}.got" if depth else f"(SELECT sum(tokens) * {budget_pct} // 100 FROM leaf)"
+        by = (f"PARTITION BY {', '.join(parent)} " if parent else "") + f"ORDER BY CAST(cap AS DOUBLE) / w, {level} NULLS FIRST"
+        parts += [f"""n{depth} AS (SELECT n.*, {budget} AS given FROM (SELECT {path}, sum(tokens) * {max_epochs} AS cap, {weight} AS w FROM leaf GROUP BY {path}) n {given})""",
+                  f"""l{depth} AS (SELECT *, given - coalesce(sum(cap) OVER (b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS room,
+  sum(w) OVER (b ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS ws FROM n{depth} WINDOW b AS ({by}))""",
+                  f"""o{depth} AS (SELECT *, first_value(CASE WHEN cap * ws > w * room THEN room END IGNORE NULLS) OVER u AS at_room,
+  first_value(CASE WHEN cap * ws > w * room THEN ws END IGNORE NULLS) OVER u AS at_ws FROM l{depth} WINDOW u AS ({by} ROWS UNBOUNDED PRECEDING))""",
+                  f"g{depth} AS (SELECT {path}, CASE WHEN at_ws IS NULL THEN cap ELSE w * at_room // at_ws END AS got FROM o{depth})"]
+    same = " AND ".join(f"{{0}}.{c} IS NOT DISTINCT FROM leaf.{c}" for c in LEVELS)
+    return "WITH " + ",\n".join([*parts, f"""plan AS (SELECT leaf.*, CASE WHEN tokens > 0 THEN got // tokens ELSE 0 END AS whole, CASE WHEN tokens > 0 THEN got % tokens ELSE 0 END AS rest
+  FROM leaf JOIN g2 ON {same.format('g2')})""", f"""placed AS (
+  SELECT r.*, whole, rest, sum(n_tokens) OVER (PARTITION BY r.domain, r.lang, r.source
+    ORDER BY md5(concat_ws(':', '{seed}', CAST(whole AS VARCHAR), coalesce(CAST(doc_id AS VARCHAR), ''), digest)) ROWS UNBOUNDED PRECEDING) AS upto
+  FROM r JOIN plan leaf ON {same.format('r')})"""]) + """
+SELECT doc_id, lang, source, domain, n_tokens, CAST(unnest(range(0, CAST(whole + CAST(rest > 0 AND upto <= rest AS INT) AS BIGINT))) AS INTEGER) AS epoch
+FROM placed"""

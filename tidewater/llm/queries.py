@@ -59,7 +59,12 @@ def mixed(df: DataFrame, **columns) -> DataFrame:
     return mixing.mix(df, domain_of(), WEIGHTS, BUDGET_PCT, MAX_EPOCHS, **columns)
 
 
-@register("op6_mixing")
+_NUMBER_SQL = "regexp_extract(source, '(\\d+)$', 1)"
+DOMAIN_SQL = (f"[{', '.join(repr(d) for d in DOMAINS)}][1 + CASE WHEN length({_NUMBER_SQL}) BETWEEN 1 AND 9 "
+              f"THEN CAST({_NUMBER_SQL} AS BIGINT) ELSE 0 END % {len(DOMAINS)}]")
+
+
+@register("op6_mixing", mixing.oracle(DOMAIN_SQL, WEIGHTS, BUDGET_PCT, MAX_EPOCHS))
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = documents(spark, sf_dir, "doc_id", "text", "lang", "source")
     slim = staged(df.select("doc_id", "lang", "source", mixing.token_count(F.col("text")).alias("tokens"),
@@ -104,6 +109,6 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(read_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label=moved)
 
 
-@register("op13_suffix_dedup")
+@register("op13_suffix_dedup", suffix_dedup.ORACLE)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(suffix_dedup.dedup_substrings(documents(spark, sf_dir, "doc_id", "text")))

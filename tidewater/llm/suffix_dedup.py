@@ -370,3 +370,23 @@ def digest(result: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of ``dedup_substrings``."""
     return result.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
                          F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: The digest's rows in SQL: all strings of a document as hexadecimal digits.
+ORACLE = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+string AS (SELECT r, doc_id, p, substr(h, CAST(2 * p + 1 AS BIGINT), {2 * WIDTH}) AS s
+           FROM (SELECT *, unnest(range(0, greatest(length(h) // 2 - {WIDTH - 1}, 0))) AS p FROM d WHERE doc_id IS NOT NULL) x),
+least_id AS (SELECT s, min(doc_id) AS m FROM string GROUP BY s),
+hit AS (SELECT r, p, coalesce(p > {WIDTH} + lag(p) OVER (PARTITION BY r ORDER BY p), true) AS apart
+        FROM string JOIN least_id USING (s) WHERE doc_id > m),
+span AS (SELECT r, min(p) AS a, max(p) + {WIDTH} AS b
+         FROM (SELECT r, p, sum(CAST(apart AS INT)) OVER (PARTITION BY r ORDER BY p) AS k FROM hit) x GROUP BY r, k),
+piece AS (SELECT r, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS x, a AS y FROM span
+          UNION ALL SELECT r, max(b), 1000000000000 FROM span GROUP BY r),
+kept AS (SELECT r, string_agg(substr(h, CAST(2 * x + 1 AS BIGINT), CAST(2 * least(y - x, length(h)) AS BIGINT)), '' ORDER BY x) AS h FROM piece JOIN d USING (r) GROUP BY r),
+lost AS (SELECT r, count(*) AS n, sum(b - a) AS bytes FROM span GROUP BY r)
+SELECT doc_id, length(d.h) // 2 AS n_bytes, CAST(coalesce(bytes, 0) AS BIGINT) AS n_removed, coalesce(n, 0) AS n_spans,
+       sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (r) LEFT JOIN lost USING (r)
+"""
