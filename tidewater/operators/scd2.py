@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.operators.loads import any_differs, one_per_key
-from tidewater.operators.sequence import assign_sk, lag_within, lead_within, materialize
+from tidewater.operators.sequence import PLACE, RANGE, assign_sk, in_ranges, lead_within, materialize, neighbour
 
 SCD_COLS = ["valid_from", "valid_to", "is_current"]
 
@@ -98,15 +98,16 @@ def versions_of(seen: DataFrame, key: str, tracked: list[str], attrs: list[str])
     """
     one = (seen.groupBy(key, "seen_at").agg(F.max(F.struct(*attrs, "first_at")).alias("__s"))
            .select(key, "seen_at", *[F.col(f"__s.{c}").alias(c) for c in [*attrs, "first_at"]], F.lit(True).alias("__any")))
-    before = lag_within(one, [key], ["seen_at"], ["__any", *tracked], prefix="__prev_")
+    ranged = in_ranges(one, [key, "seen_at"])                  # once, for the state before and the next opening
+    before = neighbour(ranged, [key], ["__any", *tracked], "__prev_")
     same = F.col("__prev___any").isNotNull()
     for c in tracked:
         same = same & F.col(c).eqNullSafe(F.col(f"__prev_{c}"))
     opens = before.where(~same).select(
-        key, *attrs, F.col("seen_at").alias("opened_at"),
+        key, *attrs, RANGE, PLACE, F.col("seen_at").alias("opened_at"),
         F.when(F.col("__prev___any").isNull(), F.col("first_at")).otherwise(F.col("seen_at")).alias("valid_from"))
-    closed = lead_within(opens, [key], ["opened_at"], ["opened_at"], prefix="__next_")
-    last = one.groupBy(F.col(key).alias("__k")).agg(F.max("seen_at").alias("last_seen"))
+    closed = neighbour(opens, [key], ["opened_at"], "__next_", ahead=True)
+    last = ranged.groupBy(F.col(key).alias("__k")).agg(F.max("seen_at").alias("last_seen"))
     return (closed.join(last, F.col(key) == F.col("__k"))
             .select(key, *attrs, "opened_at", "valid_from", F.col("__next_opened_at").alias("valid_to"),
                     F.col("__next_opened_at").isNull().alias("is_current"), "last_seen"))
@@ -128,7 +129,7 @@ def splice(dim: DataFrame, seen: DataFrame, news: DataFrame, key: str, tracked:
     Only keys with news are rebuilt; versions opened by the same state keep
     their surrogate key, others are numbered from ``sk_start`` on.
     """
-    touched = materialize(news.select(F.col(key).alias("__touched")).distinct())
+    touched = news.select(F.col(key).alias("__touched")).distinct()
     on = F.col(key) == F.col("__touched")
     all_seen = seen.select(*news.columns).unionByName(news).distinct()
     fresh = versions_of(all_seen.join(touched, on, "left_semi"), key, tracked, attrs)

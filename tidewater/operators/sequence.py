@@ -94,6 +94,25 @@ def _same(keys: list[str], left: str, right: str) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"{left}{k}").eqNullSafe(F.col(f"{right}{k}")) for k in keys], F.lit(True))
 
 
+def neighbour(ranged: DataFrame, key_cols: list[str], value_cols: list[str], prefix: str, ahead: bool = False) -> DataFrame:
+    """Add the values of the row before (``ahead``: after) each row within its key, to rows of :func:`in_ranges`.
+
+    The rows may be some of those ranged; ``__range`` and ``__place`` stay, so
+    that further neighbours are found without ranging again.  A range's edge
+    row is the neighbour of the next range's first (or last) row.
+    """
+    pick, shift = (F.min_by, F.lead) if ahead else (F.max_by, F.lag)
+    inside = Window.partitionBy(RANGE, *key_cols).orderBy(PLACE)
+    rows = ranged.select("*", *[shift(v).over(inside).alias(f"{prefix}{v}") for v in value_cols],
+                         shift(PLACE).over(inside).isNotNull().alias("__found"))
+    edge = ranged.groupBy(RANGE).agg(pick(F.struct(*[F.col(k).alias(f"k_{k}") for k in key_cols], *[F.col(v).alias(f"v_{v}") for v in value_cols]), PLACE).alias("__edge"))
+    # one row per range
+    beyond = edge.select(RANGE, shift("__edge").over(Window.orderBy(RANGE)).alias("__edge"))
+    out = rows.join(F.broadcast(beyond), RANGE)
+    same = reduce(lambda a, b: a & b, [F.col(f"__edge.k_{k}").eqNullSafe(F.col(k)) for k in key_cols], ~F.col("__found") & F.col("__edge").isNotNull())
+    return out.select(*ranged.columns, *[F.when(same, F.col(f"__edge.v_{v}")).otherwise(F.col(f"{prefix}{v}")).alias(f"{prefix}{v}") for v in value_cols])
+
+
 def lag_within(df: DataFrame, key_cols: list, order_cols: list, value_cols: list,
                prefix: str = "prev_", offset: int = 1, num_partitions: int | None = None) -> DataFrame:
     """LAG(value, offset) OVER (PARTITION BY key ORDER BY order), safe for hot keys; a negative ``offset`` is LEAD.
@@ -103,7 +122,10 @@ def lag_within(df: DataFrame, key_cols: list, order_cols: list, value_cols: list
     ranges beyond it, a table of ``offset`` rows per range, found by number.
     """
     n = abs(offset)
-    rows = _numbered(in_ranges(df, [*key_cols, *order_cols], num_partitions), "__rn")
+    ranged = in_ranges(df, [*key_cols, *order_cols], num_partitions)
+    if n == 1:
+        return neighbour(ranged, key_cols, value_cols, prefix, ahead=offset < 0).drop(RANGE, PLACE)
+    rows = _numbered(ranged, "__rn")
     inside = Window.partitionBy(RANGE, *key_cols).orderBy("__rn")
     shift = F.lag if offset > 0 else F.lead
     rows = rows.select("*", *[shift(v, n).over(inside).alias(f"{prefix}{v}") for v in value_cols],
