@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 __all__ = [
     "money", "line_total", "unit_price", "pct", "safe_div", "day_name", "byte_length",
-    "month_key", "as_ntz", "null_safe_differs", "COMPLETED", "OPEN", "CANCELLED",
+    "month_key", "as_ntz", "null_safe_differs", "COMPLETED", "OPEN", "CANCELLED", "loosely",
 ]
 
 # How the driver's order statuses map onto the shop's vocabulary.
@@ -74,3 +74,8 @@ def as_ntz(c) -> Column:
 def null_safe_differs(a, b) -> Column:
     """True when a and b differ, NULL transitions included: NOT (a <=> b)."""
     return ~_c(a).eqNullSafe(_c(b))
+
+
+def loosely(x) -> Column:
+    """Text that compares, sorts and groups without case and accents (an option; plain columns compare by bytes)."""
+    return F.collate(_c(x), "UNICODE_CI_AI")

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from tidewater.functions import (CANCELLED, COMPLETED, byte_length, day_name, line_total,
+from tidewater.functions import (CANCELLED, COMPLETED, byte_length, day_name, line_total, loosely,
                                  money, month_key, pct)
 from tidewater.operators.joins import fanout_report, preagg_join
 from tidewater.plans.registry import register
@@ -883,3 +883,15 @@ def decimal_vs_float(spark, sf_dir):
                   F.bool_and(dec(F.lit(0.1)) + dec(F.lit(0.2)) == dec(F.lit(0.3))).alias("decimal_sum_equal"),
                   F.bool_and(F.lit(0.1).cast("double") + F.lit(0.2).cast("double") == F.lit(0.3).cast("double"))
                    .alias("double_sum_equal"))
+
+
+@register("filter_loosely", """
+SELECT lower(strip_accents(c_mktsegment)) AS segment, count(*) AS customers
+FROM customer WHERE lower(strip_accents(c_mktsegment)) IN ('building', 'machinery') GROUP BY 1
+""")
+def filter_loosely(spark, sf_dir):
+    """Comparison without case and accents, by option; the group takes its name in lower case."""
+    c = Tables(spark, sf_dir).customer.select("c_mktsegment")
+    wanted = (loosely("c_mktsegment") == F.lit("B\u00fcilding")) | (loosely("c_mktsegment") == F.lit("machin\u00c9ry"))
+    return (c.filter(wanted).groupBy(loosely("c_mktsegment").alias("s")).agg(F.count(F.lit(1)).alias("customers"))
+            .select(F.lower(F.col("s")).cast("string").alias("segment"), "customers"))
