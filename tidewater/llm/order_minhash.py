@@ -307,12 +307,6 @@ def _low() -> Column:
     return F.floor(F.log(BIN, F.greatest(F.col("n_words"), F.lit(1)).cast("double")))
 
 
-def _keys() -> Column:
-    """All bucket keys of a text, as ``_buckets`` makes them."""
-    both = lambda v: F.array(F.xxhash64(v, _low()), F.xxhash64(v, _low() - 1))
-    return F.flatten(F.transform("sketch", both))
-
-
 def _buckets(nodes: DataFrame) -> DataFrame:
     """(key of a sketch value and a length bin, node, wave: the sketch's place in its kind): a node lies in its length bin and the next one.
 
@@ -364,14 +358,14 @@ def _rest(members: DataFrame, nodes: DataFrame, root: DataFrame) -> DataFrame:
     salts = F.least(F.lit(SALTS), F.ceil(F.col("size") / PER_SALT)).cast("int").alias("salts")
     left = staged(placed.withColumn("salt", _salt("node")).join(_salted(open_keys.select("key", F.col("top.root").alias("largest"), salts)), ["key", "salt"])
                   .select("key", "node", "root", "salts", (F.col("root") != F.col("largest")).alias("minor"))
-                  .join(nodes.select("node", "n_words", "odd", "fold", _keys().alias("keys")), "node"), "rest")
+                  .join(nodes.select("node", "n_words", "odd", "fold", "sketch", _low().alias("low")), "node"), "rest")
     # one side is without the bucket's largest class, so that its members do not meet each other
-    a = left.select("key", F.pmod(F.xxhash64("node"), "salts").cast("int").alias("salt"), F.col("node").alias("a"), F.col("root").alias("ra"), F.col("n_words").alias("na"), F.col("odd").alias("oa"), F.col("fold").alias("fa"), F.col("keys").alias("ka"), "minor")
-    b = left.where("minor").select("key", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("node").alias("b"), F.col("root").alias("rb"), F.col("n_words").alias("nb"), F.col("odd").alias("ob"), F.col("fold").alias("fb"), F.col("keys").alias("kb"))
+    a = left.select("key", F.pmod(F.xxhash64("node"), "salts").cast("int").alias("salt"), F.col("node").alias("a"), F.col("root").alias("ra"), F.col("n_words").alias("na"), F.col("odd").alias("oa"), F.col("fold").alias("fa"), F.col("sketch").alias("sa"), F.col("low").alias("la"), "minor")
+    b = left.where("minor").select("key", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("node").alias("b"), F.col("root").alias("rb"), F.col("n_words").alias("nb"), F.col("odd").alias("ob"), F.col("fold").alias("fb"), F.col("sketch").alias("sb"), F.col("low").alias("lb"))
     near, most = _reach("na", "nb", "fa", "fb")
     differ = F.aggregate(F.zip_with("oa", "ob", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, x: total + x)
-    # a pair lies in every bucket that both texts share: it comes out of the one with the least key
-    once = F.col("key") == F.array_min(F.array_intersect("ka", "kb"))
+    # a pair lies in every bucket that both texts share: it comes out of that of their least common sketch value
+    once = F.col("key") == F.xxhash64(F.array_min(F.array_intersect("sa", "sb")), F.least("la", "lb"))
     # merged, so that a hot bucket is dealt out by salt however small its rows are
     return (a.join(b.hint("merge"), ["key", "salt"]).where((~F.col("minor") | (F.col("a") < F.col("b"))) & (F.col("ra") != F.col("rb")) & near & (differ <= most) & once)
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
