@@ -11,7 +11,6 @@ top category; ``events`` with ``user_id = c_custkey`` are payments
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from tidewater.functions import (CANCELLED, COMPLETED, byte_length, day_name, line_total, loosely,
                                  money, month_key, pct)
