@@ -543,12 +543,17 @@ def group_many(spark, sf_dir):
                    _total(line_total()).alias("revenue")))
 
 
+# The hours at which a part of the day begins.
+DAYPART_STARTS = (0, 11, 14, 18)
+_PARTS = [(lo, hi, f"{lo:02d}-{hi - 1:02d}") for lo, hi in zip(DAYPART_STARTS, (*DAYPART_STARTS[1:], 24))]
+
+
 def daypart(ts):
-    h = F.hour(ts)
-    return F.concat(F.lpad((F.floor(h / 6) * 6).cast("string"), 2, "0"), F.lit("h"))
+    """The part of the day, named by its first and last hour."""
+    return F.coalesce(*[F.when(F.hour(ts).between(lo, hi - 1), F.lit(name)) for lo, hi, name in _PARTS])
 
 
-DAYPART_SQL = "lpad(CAST(hour(ts) // 6 * 6 AS VARCHAR), 2, '0') || 'h'"       # quarters of the day, by their first hour
+DAYPART_SQL = "CASE " + " ".join(f"WHEN hour(ts) >= {lo} AND hour(ts) < {hi} THEN '{name}'" for lo, hi, name in _PARTS) + " END"
 
 
 @register("group_daypart", f"""
