@@ -6,7 +6,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from tidewater.jobs import RangeReload, WatermarkLoad
-from tidewater.operators.loads import append_new, change_counts, upsert
+from tidewater.operators.loads import append_new, change_counts, daily_category_sales, upsert
 
 SCHEMA = "id long, status string, amount decimal(12,2), updated_at timestamp_ntz, first_seen timestamp_ntz"
 
@@ -83,3 +83,28 @@ def test_watermark_load_keeps_latest_of_duplicate_keys(spark, scratch):
     r = job.run(src(spark, rows))
     assert r["rows_new"] == 1
     assert [x.status for x in job.target().collect()] == ["paid"]
+
+
+def test_daily_fact_holds_few_lines_a_task(spark):
+    """The shuffles of the lines grow with the lines, not only with the session's number; repeated and null keys count as in SQL"""
+    import re
+
+    day = lambda d: dt.datetime(2026, 1, d)
+    orders = spark.createDataFrame([(k, "P" if k % 9 == 0 else "F", day(1 + k % 3)) for k in range(400)] + [(5, "F", day(3)), (5, "O", day(3)), (7, "F", day(2)), (None, "F", day(1))],
+                                   "o_orderkey long, o_orderstatus string, o_orderdate timestamp_ntz")
+    lines = spark.createDataFrame([(k % 401 if k % 50 else None, k % 23, float(k % 6), 10.0 + k % 7, (k % 5) / 100) for k in range(2000)],
+                                  "l_orderkey long, l_partkey long, l_quantity double, l_extendedprice double, l_discount double")
+    part = spark.createDataFrame([(k, f"t{k % 4}") for k in range(23)] + [(3, "t1"), (4, None)], "p_partkey long, p_type string")
+    orders.createOrReplaceTempView("df_o"), lines.createOrReplaceTempView("df_l"), part.createOrReplaceTempView("df_p")
+    want = spark.sql("""SELECT CAST(o_orderdate AS DATE) AS sales_date, p_type AS top_category, count(DISTINCT o_orderkey) AS orders, CAST(sum(l_quantity) AS BIGINT) AS units,
+        CAST(sum(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS revenue
+        FROM df_o JOIN df_l ON l_orderkey = o_orderkey JOIN df_p ON p_partkey = l_partkey WHERE o_orderstatus <> 'P' GROUP BY 1, 2""")
+    key = lambda r: (str(r.sales_date), str(r.top_category))
+    rows = sorted(want.collect(), key=key)
+    for few in (10**6, 100):
+        got = daily_category_sales(orders, lines, part, task_rows=few)
+        assert got.schema.simpleString() == want.schema.simpleString() and sorted(got.collect(), key=key) == rows
+        week = daily_category_sales(orders, lines, part, "2026-01-02", "2026-01-03", task_rows=few)
+        assert sorted(week.collect(), key=key) == [r for r in rows if r.sales_date >= dt.date(2026, 1, 2)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert {"20"} <= set(re.findall(r"l_orderkey#\d+L?, (\d+)\), REPARTITION_BY_NUM", plan)) and re.search(r"l_partkey#\d+L?, 20\), REPARTITION_BY_NUM", plan)

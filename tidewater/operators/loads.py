@@ -15,13 +15,28 @@ from pyspark.sql import functions as F
 from tidewater.functions import CANCELLED, line_total
 
 
+#: Rows that one task of a large join is to hold; its sorts and aggregates take some 1 kB a row.
+TASK_ROWS = 250_000
+
+
+def dealt(df: DataFrame, key: str, rows: int, task_rows: int = TASK_ROWS) -> DataFrame:
+    """The frame by hash of ``key``, over as many partitions as its ``rows`` call for.
+
+    As it is where the session's shuffle partitions suffice: the planner then deals (or broadcasts) as it sees fit.
+    """
+    n = -(-rows // task_rows)
+    return df.repartition(n, key) if n > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
+
+
 def daily_category_sales(orders: DataFrame, lineitem: DataFrame, part: DataFrame,
                          date_from: str | None = None, date_to: str | None = None,
-                         excluded_status=(CANCELLED,)) -> DataFrame:
+                         excluded_status=(CANCELLED,), task_rows: int = TASK_ROWS) -> DataFrame:
     """Fact: (sales_date, top_category) -> orders, units, revenue.
 
     The date range is applied to the bare ``o_orderdate`` column as a
-    half-open range, so it reaches the Parquet reader of ``orders``.
+    half-open range, so it reaches the Parquet reader of ``orders``.  The
+    shuffles of the lines have one partition per ``task_rows`` of them, if the
+    session has fewer, so that a task's memory does not grow with the table.
     """
     o = orders.filter(~F.col("o_orderstatus").isin(*excluded_status))
     if date_from is not None:
@@ -31,10 +46,18 @@ def daily_category_sales(orders: DataFrame, lineitem: DataFrame, part: DataFrame
     o = o.select("o_orderkey", F.col("o_orderdate").cast("date").alias("sales_date"))
     li = lineitem.select("l_orderkey", "l_partkey", "l_quantity", line_total().alias("amt"))
     p = part.select("p_partkey", F.col("p_type").alias("top_category"))
-    j = (li.join(o, li.l_orderkey == o.o_orderkey).join(p, F.col("l_partkey") == F.col("p_partkey")))
-    return (j.groupBy("sales_date", "top_category")
-             .agg(F.countDistinct("o_orderkey").alias("orders"),
-                  F.sum("l_quantity").cast("bigint").alias("units"),
+    rows = lineitem.count()                             # from the Parquet footers
+    with_part = lambda x: dealt(x, "l_partkey", rows, task_rows).join(p, F.col("l_partkey") == F.col("p_partkey"))
+    with_order = lambda x: dealt(x, "l_orderkey", rows, task_rows).join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    if date_from is None and date_to is None:
+        j = with_order(with_part(li))
+    else:                                               # the range leaves few lines for the second join
+        j = dealt(with_part(with_order(li)), "l_orderkey", rows, task_rows)
+    # an order's lines lie together: it is counted once per day and category before the fact's groups are formed
+    per_order = j.groupBy("l_orderkey", "sales_date", "top_category").agg(F.sum("l_quantity").alias("units"), F.sum("amt").alias("amt"))
+    return (per_order.groupBy("sales_date", "top_category")
+             .agg(F.count("l_orderkey").alias("orders"),
+                  F.sum("units").cast("bigint").alias("units"),
                   F.sum("amt").cast("decimal(38,2)").alias("revenue")))
 
 
