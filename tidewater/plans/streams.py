@@ -39,17 +39,24 @@ def _root(spark, tag):
     return f"{scratch_root(spark)}/{tag}-{uuid.uuid4().hex[:10]}"
 
 
+def _each_landed(parts, landing, run, start=0):
+    """Land one delivery after another and run the stream on each: a batch is a delivery, in however many files it comes.
+
+    With a batch per file the number of batches grows with the table, and each meets the whole target again.
+    """
+    for k, part in enumerate(parts, start=start):
+        write_landing([part], landing, start=k)
+        run()
+
+
 @register("stream_append", "SELECT event_id, ts, user_id, event_type, value FROM events")
 def stream_append(spark, sf_dir):
-    """Each landed row once: two runs with new files, a third with none runs no batch."""
+    """Each landed row once: a run for each delivery, and a last one without new files, which runs no batch."""
     ev = Tables(spark, sf_dir).events
     root = _root(spark, "stream-append")
     parts = _deliveries(ev)
     schema = parts[0].schema
-    write_landing(parts[:2], f"{root}/landing")
-    append_stream(spark, f"{root}/landing", schema, f"{root}/sink", f"{root}/ckpt", files_per_trigger=1)
-    write_landing(parts[2:], f"{root}/landing", start=2)
-    append_stream(spark, f"{root}/landing", schema, f"{root}/sink", f"{root}/ckpt", files_per_trigger=1)
+    _each_landed(parts, f"{root}/landing", lambda: append_stream(spark, f"{root}/landing", schema, f"{root}/sink", f"{root}/ckpt"))
     idle = append_stream(spark, f"{root}/landing", schema, f"{root}/sink", f"{root}/ckpt")
     assert idle == 0, "a run without new files must not process rows"
     return spark.read.schema(schema).parquet(f"{root}/sink")
@@ -65,10 +72,10 @@ def stream_upsert(spark, sf_dir):
     ev = Tables(spark, sf_dir).events
     root = _root(spark, "stream-upsert")
     parts = [p.select("user_id", "event_id", "ts", "event_type", money("value").alias("amount")) for p in _deliveries(ev)]
-    write_landing(parts, f"{root}/landing")
     cat = Catalog(spark, f"{root}/warehouse")
-    upsert_stream(spark, f"{root}/landing", parts[0].schema, cat, "users", "user_id", ["ts", "event_id"],
-                  ["event_id", "ts", "event_type", "amount"], f"{root}/ckpt", files_per_trigger=1)
+    _each_landed(parts, f"{root}/landing", lambda: upsert_stream(
+        spark, f"{root}/landing", parts[0].schema, cat, "users", "user_id", ["ts", "event_id"],
+        ["event_id", "ts", "event_type", "amount"], f"{root}/ckpt"))
     return cat.read("users", "rows").select("user_id", "event_type", "ts", "amount")
 
 
@@ -80,9 +87,8 @@ def stream_dedup(spark, sf_dir):
     root = _root(spark, "stream-dedup")
     parts = _deliveries(ev)
     resent = [parts[0]] + [p.unionByName(q) for p, q in zip(parts[1:], parts[:-1])] + [parts[-1]]
-    write_landing(resent, f"{root}/landing")
-    dedup_stream(spark, f"{root}/landing", parts[0].schema, ["event_id"], f"{root}/sink",
-                 f"{root}/ckpt", files_per_trigger=1)
+    _each_landed(resent, f"{root}/landing", lambda: dedup_stream(
+        spark, f"{root}/landing", parts[0].schema, ["event_id"], f"{root}/sink", f"{root}/ckpt"))
     return spark.read.schema(parts[0].schema).parquet(f"{root}/sink")
 
 
@@ -96,7 +102,7 @@ def stream_scd2(spark, sf_dir):
     shuffled = F.pmod(F.xxhash64("event_id"), F.lit(3))
     parts = [states.where(shuffled == k) for k in (2, 0, 1)]
     resent = parts[1].unionByName(parts[0].where(F.col("event_id") % 5 == 0))
-    write_landing([parts[0], resent, parts[2]], f"{root}/landing")
     job = Scd2Load(spark, f"{root}/warehouse", "dim_user", "user_id", ["tier"], change_time_col="ts")
-    scd2_stream(spark, f"{root}/landing", parts[0].schema, job, f"{root}/ckpt", files_per_trigger=1)
+    _each_landed([parts[0], resent, parts[2]], f"{root}/landing", lambda: scd2_stream(
+        spark, f"{root}/landing", parts[0].schema, job, f"{root}/ckpt"))
     return job.read().drop("sk")
