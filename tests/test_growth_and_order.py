@@ -132,6 +132,40 @@ def test_stream_of_states_in_any_order(spark, scratch):
     assert job.catalog.current("dim")["seq"] == seq and dimension(job) == versions_by_hand(seen)
 
 
+def test_states_sent_again_write_nothing(spark, scratch):
+    """Old states, not just the latest of a key, are known: a run of them alone commits nothing, beside new ones they touch no bucket"""
+    at = lambda h: dt.datetime(2026, 1, 1) + dt.timedelta(hours=h)
+    seen = [(k, at(h), t, at(0)) for k in range(5) for h, t in [(1, "a"), (2, "b"), (3, None), (4, "a")]]
+    job = Scd2Load(spark, scratch, "dim", "k", ["tier"], change_time_col="ts", first_time_col="born", n_buckets=16)
+    job.run(spark.createDataFrame(seen, STATE))
+    before = job.catalog.current("dim")
+    assert job.run(spark.createDataFrame(seen[:3] + seen[5:15], STATE)) == {"changed_buckets": 0}
+    assert job.catalog.current("dim") == before
+    news = [(3, at(1), "z", at(0)), (3, at(9), None, at(0))]
+    assert job.run(spark.createDataFrame(seen + news, STATE))["meta"]["changed_buckets"] == 1
+    assert dimension(job) == versions_by_hand(seen + news)
+    states_seen = job.catalog.read("dim", "seen")
+    assert states_seen.count() == states_seen.distinct().count() == len(seen + news)
+
+
+def test_a_stream_batch_is_a_delivery_in_many_files(spark, scratch, monkeypatch):
+    """The queries' streams run as many batches as there are deliveries, in however many files each comes"""
+    from tidewater.plans import streams
+
+    runs = []
+    land = streams.write_landing
+    monkeypatch.setattr(streams, "write_landing", lambda parts, *a, **kw: land([p.repartition(5) for p in parts], *a, **kw))
+    monkeypatch.setattr(streams, "_root", lambda spark, tag: runs.append(f"{scratch}/{tag}") or runs[-1])
+    e = spark.range(300).select(F.col("id").alias("event_id"), F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(id % 31, 0, 0, id)").alias("ts"),
+                                (F.col("id") % 7).alias("user_id"), F.expr("element_at(array('a', 'b', 'c'), cast(id % 3 as int) + 1)").alias("event_type"),
+                                F.col("id").cast("double").alias("value"))
+    e.write.parquet(f"{scratch}/in/events.parquet")
+    for query, batches, n in [(streams.stream_append, 4, 300), (streams.stream_upsert, 4, 7), (streams.stream_dedup, 5, 300), (streams.stream_scd2, 3, None)]:
+        got = query(spark, f"{scratch}/in")
+        assert len([f for f in os.listdir(f"{runs[-1]}/ckpt/commits") if f.isdigit()]) == batches
+        assert n is None or got.count() == n
+
+
 def test_snapshots_out_of_order_are_refused(spark, scratch):
     at = lambda d: dt.datetime(2026, 1, d)
     dim = spark.createDataFrame([(1, 1, "a", at(5), None, True)], "sk long, k long, tier string, valid_from timestamp_ntz, valid_to timestamp_ntz, is_current boolean")

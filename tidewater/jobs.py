@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tidewater.operators.loads import change_counts, latest_per_key, one_per_key, slice_lower, upsert
 from tidewater.operators.quality import gate, suite
 from tidewater.operators.rewrite import apply_deltas, validate_transfer
-from tidewater.operators.scd2 import changed_keys, empty_dimension, scd2_merge, splice, states, unknown_states
+from tidewater.operators.scd2 import changed_keys, empty_dimension, scd2_merge, splice, states, unknown_states, unseen_states
 from tidewater.operators.sequence import materialize, written
 from tidewater.sources.buckets import TARGET_BYTES, BucketDirectory
 from tidewater.sources.publish import Catalog, CommitConflict
@@ -203,8 +203,9 @@ class Scd2Load(_Bucketed):
 
     By source time (``change_time_col``) the dataset holds the dimension and
     the states seen, both in hash buckets of the key.  A load first compares
-    only the latest known state of each key with the snapshot; states that are
-    not known so are spliced in, and the buckets of their keys rewritten.
+    only the latest known state of each key with the snapshot; what is not known
+    so is met with the states seen, in the buckets it falls into.  States not
+    seen yet are spliced in, and the buckets of their keys rewritten.
     States may come in any order, also several of one key.
 
     By load time, snapshots must come in order and have one row per key.
@@ -242,6 +243,9 @@ class Scd2Load(_Bucketed):
         if dim is not None:
             news = unknown_states(dim, news, self.key, self.attrs)
         news, path = written(news.select(*columns))
+        seen = self._read(self._seen, base, self._hit(news, self._directory(base, self._seen))) if base else None
+        if seen is not None:                               # a state sent again, older than the latest: nothing to splice
+            news, path = written(unseen_states(seen.select(*columns), news))
         # both tables are dealt by one directory, the one of the states seen: it is the larger table
         now, then, split = self._grow(base, self._seen, self.catalog.fs.size(path))
         touched = self._hit(news, now)

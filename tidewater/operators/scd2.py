@@ -122,16 +122,24 @@ def unknown_states(dim: DataFrame, news: DataFrame, key: str, attrs: list[str])
     return news.join(cur, F.col(key) == F.col("__k"), "left").where(~F.coalesce(same, F.lit(False))).select(*news.columns)
 
 
+def unseen_states(seen: DataFrame, news: DataFrame) -> DataFrame:
+    """The states that are not in ``seen`` yet, nulls compared as values."""
+    same = F.lit(True)
+    for c in news.columns:
+        same = same & F.col(f"n.{c}").eqNullSafe(F.col(f"s.{c}"))
+    return news.alias("n").join(seen.alias("s"), same, "left_anti")
+
+
 def splice(dim: DataFrame, seen: DataFrame, news: DataFrame, key: str, tracked: list[str], attrs: list[str],
            sk: str = "sk", sk_start: int = 0) -> tuple[DataFrame, DataFrame]:
     """The dimension and the states seen, after ``news`` (all as parts that hold whole keys).
 
-    Only keys with news are rebuilt; versions opened by the same state keep
+    ``news`` are distinct states not in ``seen`` (:func:`unseen_states`).  Only keys with news are rebuilt; versions opened by the same state keep
     their surrogate key, others are numbered from ``sk_start`` on.
     """
     touched = news.select(F.col(key).alias("__touched")).distinct()
     on = F.col(key) == F.col("__touched")
-    all_seen = seen.select(*news.columns).unionByName(news).distinct()
+    all_seen = seen.select(*news.columns).unionByName(news)
     fresh = versions_of(all_seen.join(touched, on, "left_semi"), key, tracked, attrs)
     old = dim.join(touched, on, "left_semi").select(F.col(key).alias("__k"), F.col("opened_at").alias("__o"), F.col(sk).alias("__sk"))
     fresh = materialize(fresh.join(old, (F.col(key) == F.col("__k")) & (F.col("opened_at") == F.col("__o")), "left").drop("__k", "__o"))
