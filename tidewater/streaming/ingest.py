@@ -153,7 +153,8 @@ def dedup_stream(spark: SparkSession, landing: str, schema, id_cols: list[str],
     filters; only slices of which a key passes are read, and only their key
     columns, for the exact anti-join.  Resent keys lie in few slices and new
     keys pass few filters by chance, so a batch's cost follows its own size
-    and the filters' (about a byte a key), not the sink's.
+    and the filters' (about a byte a key), not the sink's.  Keys and filters
+    are shuffled, never broadcast.
 
     Files without a filter (of an attempt that failed, or of an older sink)
     are always read, so a replayed batch finds its own rows and adds only
@@ -179,7 +180,8 @@ def dedup_stream(spark: SparkSession, landing: str, schema, id_cols: list[str],
             same = F.lit(True)
             for c in id_cols:
                 same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
-            rows = materialize(rows.join(have, same, "left_anti"))
+            # keys and filters grow with the sink, and files look smaller than their rows: neither goes through the driver
+            rows = materialize(rows.join(have.hint("merge"), same, "left_anti"))
         n = rows.count()
         if n:
             rows.write.mode("append").parquet(sink)
@@ -201,7 +203,7 @@ def _suspect_slices(spark: SparkSession, sink: str, slices: dict, rows: DataFram
             "word", "mask", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2).alias("slice"))
         at = (keys.select("__row", F.posexplode(_bits_of(id_cols, bits)).alias("nth", "at"))
               .select("__row", F.expr("at div 64").alias("word"), F.expr("shiftleft(1L, cast(at % 64 as int))").alias("bit")))
-        hit = at.join(own, "word").where(F.col("mask").bitwiseAND(F.col("bit")) != 0)
+        hit = at.join(own.hint("merge"), "word").where(F.col("mask").bitwiseAND(F.col("bit")) != 0)
         passed = hit.groupBy("__row", "slice").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == _PROBES).select("slice").distinct()
         found = passed if found is None else found.unionByName(passed)
     return {r[0] for r in found.distinct().collect()} if found is not None else set()
