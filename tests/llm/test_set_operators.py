@@ -424,3 +424,37 @@ def test_many_seeds_shuffle_no_word_lists(spark, docs, monkeypatch):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def nodes_of(plan):
+    """The plan's nodes, each with those above it; the final plan where it is adaptive."""
+    todo = [(plan, ())]
+    while todo:
+        node, above = todo.pop()
+        yield node, above
+        todo += [(node.children().apply(i), (*above, node)) for i in range(node.children().size())]
+
+
+def test_hits_carry_no_word_lists(spark, docs, monkeypatch):
+    """Rows made by the join with the seeds are held in memory, of a repeated item as many as the text has runs: of the text they carry only the words next to the hit."""
+    rng = random.Random(41)
+    items = [words(rng, n) for n in (4, 10, 14, 33)]
+    bench = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(items)], "item_id long, text string")
+    rows = [(0, None, "en", "s"), (1, "", "en", "s")]
+    for i in range(2, 30):
+        t = [w for _ in range(rng.randint(1, 12)) for w in rng.choice(items) + words(rng, rng.randint(0, 2))]
+        rows.append((i, " ".join(t), "en", "s"))
+    found = []
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for block in (1 << 30, decontam.BLOCK, 7):
+            monkeypatch.setattr(decontam, "BLOCK", block)
+            out = decontam.overlaps(docs(rows), bench)
+            above, = [above for node, above in nodes_of(out._jdf.queryExecution().executedPlan()) if node.nodeName() == "BroadcastHashJoin" and "seed" in node.simpleString(100)]
+            carried = {n.output().apply(i).name() for n in above if n.nodeName() in ("Generate", "BroadcastHashJoin") for i in range(n.output().size())}
+            assert "near" in carried and "w" not in carried
+            found.append(sorted(map(str, out.collect())))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert len(found[0]) > 40 and found[0] == found[1] == found[2]

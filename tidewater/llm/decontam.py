@@ -11,11 +11,12 @@ and spans ``OVERLAP`` words or the whole item.  Equal words score 1 and others
 least length on either side is found in one pass.
 
 The document side does not shuffle while the benchmark's seeds number at most
-``BROADCAST_SEEDS``: runs are hashed inside the row and probed against the
-seeds, which are broadcast with the items' words (fewer still).  Beyond that
-bound only (text key, run, seed) is shuffled to the seeds, and the words next
-to the hits to the items.  Only verified overlaps are grouped.  Items shorter
-than a run add masks of their lengths; all runs come from one scan.
+``BROADCAST_SEEDS``: runs are hashed inside the row and probed, a block of them
+at a time, against the seeds, which are broadcast with the items' words (fewer
+still).  Beyond that bound only (text key, run, seed) is shuffled to the seeds,
+and the words next to the hits to the items.  Only verified overlaps are
+grouped.  Items shorter than a run add masks of their lengths; all runs come
+from one scan.
 
 Defined results: words are lower-cased runs of anything but ASCII white space;
 null and blank texts match nothing; an item of fewer than ten words must occur
@@ -42,6 +43,9 @@ PENALTY = round(IDENTITY / (1 - IDENTITY))
 ONE = 1 << 32
 #: Bound of the broadcast: about 100 bytes a seed.
 BROADCAST_SEEDS = 200_000
+#: Runs of a document that are probed at once.  Spark holds all rows that a joined row makes until they are read, so what is
+#: held are the hits of so many runs, each with the words next to it, and not those of a document, each with all its words.
+BLOCK = 1 << 10
 
 
 def _hashes(text: Column) -> Column:
@@ -117,15 +121,24 @@ def _reach(at: Column, span: Column) -> tuple[Column, Column]:
     return F.least(at, F.col("off")), F.least(F.col("n") - at, F.col("n_item") - F.col("off")) - span
 
 
-def _laid(hit: DataFrame, at: Column, span: Column, left: Column, right: Column, mine, theirs) -> DataFrame:
+def _near(hit: DataFrame, masks: tuple[str, ...]) -> DataFrame:
+    """The hits with ``at``, ``span``, ``left`` and ``right``; of the document's words only ``near``, those that lie beside the item's."""
+    at, span = _place(F.col("run"), F.col("n"), masks)
+    left, right = _reach(at, span)
+    return hit.select("doc_id", "k1", "k2", "item", "n_item", "off", at.alias("at"), span.alias("span"), left.alias("left"), right.alias("right"),
+                      F.slice("w", at - left + 1, left + span + right).alias("near"))
+
+
+def _laid(hit: DataFrame) -> DataFrame:
     """(doc_id, k1, k2, item_id, n_item, at, span, v): the compared words before, in and after the run."""
-    both = lambda start, n: _scored(mine(start, n), theirs(start, n))
+    left, span, right = F.col("left"), F.col("span"), F.col("right")
+    both = lambda start, n: _scored(F.slice("near", left + start + 1, n), F.slice("words", F.col("off") + start + 1, n))
     laid = F.struct(F.reverse(both(-left, left)).alias("before"), both(F.lit(0), span).alias("run"), both(span, right).alias("after"))
-    return hit.select("doc_id", "k1", "k2", "item_id", "n_item", at.alias("at"), span.alias("span"), F.explode(F.array(laid)).alias("v"))
+    return hit.select("doc_id", "k1", "k2", "item_id", "n_item", "at", "span", F.explode(F.array(laid)).alias("v"))
 
 
-def _laid_apart(docs: DataFrame, texts: DataFrame, seeds: DataFrame, items: DataFrame, masks: tuple[str, ...]) -> DataFrame:
-    """The same where the seeds are too many to broadcast.
+def _near_apart(docs: DataFrame, texts: DataFrame, seeds: DataFrame, masks: tuple[str, ...]) -> DataFrame:
+    """The hits and the words next to them where the seeds are too many to broadcast.
 
     Only (text key, run, seed) meets the seeds; hits are collected per text,
     texts with hits are fetched once, and of each only the words next to a hit,
@@ -136,13 +149,13 @@ def _laid_apart(docs: DataFrame, texts: DataFrame, seeds: DataFrame, items: Data
     per_text = hits.groupBy("k1", "k2").agg(F.collect_list(F.struct("n", "run", "item", "n_item", "off")).alias("hits"))
     fetched = (texts.join(per_text, ["k1", "k2"]).select("doc_id", "k1", "k2", F.explode(F.array(F.struct(_hashes(F.col("text")).alias("w"), "hits"))).alias("d"))
                .select("doc_id", "k1", "k2", F.col("d.w").alias("w"), F.explode("d.hits").alias("h")).select("doc_id", "k1", "k2", "w", "h.*"))
-    at, span = _place(F.col("run"), F.col("n"), masks)
-    left, right = _reach(at, span)
-    near = fetched.select("doc_id", "k1", "k2", "item", "n_item", "off", at.alias("at"), span.alias("span"), left.alias("left"), right.alias("right"),
-                          F.slice("w", at - left + 1, left + span + right).alias("near"))
-    left = F.col("left")
-    mine, theirs = (lambda start, n: F.slice("near", left + start + 1, n)), (lambda start, n: F.slice("words", F.col("off") + start + 1, n))
-    return _laid(near.join(items, "item"), F.col("at"), F.col("span"), left, F.col("right"), mine, theirs)
+    return _near(fetched, masks)
+
+
+def _in_blocks(seeds: Column) -> Column:
+    """The seeds of a document cut into blocks of ``BLOCK`` runs: (first, seeds)."""
+    return F.transform(F.sequence(F.lit(0), F.floor(F.greatest(F.size(seeds) - 1, F.lit(0)) / BLOCK).cast("int")),
+                       lambda i: F.struct((i * BLOCK).alias("first"), F.slice(seeds, i * BLOCK + 1, F.lit(BLOCK)).alias("seeds")))
 
 
 def overlaps(df: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -163,16 +176,15 @@ def overlaps(df: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text: str
     row = let(_hashes(F.col("text")), lambda w: F.struct(w.alias("w"), F.concat(*[_seeds(w, m) for m in masks]).alias("seeds")))
     # one-row explode: the arrays are made once, before the runs are unrolled
     docs = (texts.select("doc_id", "k1", "k2", F.explode(F.array(row)).alias("d"))
-            .select("doc_id", "k1", "k2", F.col("d.w").alias("w"), F.size("d.w").alias("n"), F.posexplode("d.seeds").alias("run", "seed")))
+            .select("doc_id", "k1", "k2", F.col("d.w").alias("w"), F.size("d.w").alias("n"), F.explode(_in_blocks(F.col("d.seeds"))).alias("b"))
+            .select("doc_id", "k1", "k2", "w", "n", F.col("b.first").alias("first"), F.posexplode("b.seeds").alias("run", "seed"))
+            .withColumn("run", F.col("first") + F.col("run")))
     if seeds.count() <= BROADCAST_SEEDS:
-        hit = docs.join(F.broadcast(seeds), "seed").withColumnRenamed("at", "off")
-        hit = hit.join(F.broadcast(items.join(seeds.select("item").distinct(), "item", "left_semi")), "item")
-        at, span = _place(F.col("run"), F.col("n"), masks)
-        left, right = _reach(at, span)
-        mine, theirs = (lambda start, n: F.slice("w", at + start + 1, n)), (lambda start, n: F.slice("words", F.col("off") + start + 1, n))
-        hit = _laid(hit, at, span, left, right, mine, theirs)
+        near = _near(docs.join(F.broadcast(seeds), "seed").withColumnRenamed("at", "off"), masks)
+        items = F.broadcast(items.join(seeds.select("item").distinct(), "item", "left_semi"))
     else:
-        hit = _laid_apart(docs, texts, seeds, items, masks)
+        near = _near_apart(docs, texts, seeds, masks)
+    hit = _laid(near.join(items, "item"))
     # again a one-row explode: the comparison must not move into the join, where each probe would carry the document's words
     run = F.aggregate("v.run", F.lit(0).cast("long"), lambda s, x: s + x)
     hit = hit.select("doc_id", "k1", "k2", "item_id", "at", (F.least("n_item", F.lit(OVERLAP)) - F.col("span")).alias("more"),
