@@ -458,3 +458,33 @@ def test_hits_carry_no_word_lists(spark, docs, monkeypatch):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
     assert len(found[0]) > 40 and found[0] == found[1] == found[2]
+
+
+def test_near_dedup_broadcasts_no_copies_per_salt(spark, docs, monkeypatch):
+    """The planner's sizes leave out the copies that an explode makes and what files compress: tables this small would be broadcast"""
+    rng = random.Random(43)
+    base = words(rng, 60)
+    near = lambda: " ".join(w if rng.random() > 0.03 else "changed" for w in base)
+    rows = [(i, near() if i % 3 else " ".join(words(rng, rng.randint(3, 70))), "en", "s") for i in range(60)]
+    plans, staged = {}, omh.staged
+
+    def noted(df, name):
+        plans.setdefault(name, []).append(df._jdf.queryExecution().executedPlan())
+        return staged(df, name)
+
+    monkeypatch.setattr(omh, "staged", noted)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        classes, links = omh.near_duplicates(docs(rows))
+        plans["classes"] = [classes._jdf.queryExecution().executedPlan()]
+        sizes = Counter(r["class_id"] for r in classes.collect())
+        assert sizes[1] == 40 and links.count() >= 39
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    joins = {name: [n.nodeName() for p in found for n, _ in nodes_of(p) if n.nodeName().endswith("Join")] for name, found in plans.items()}
+    for name in ("members", "per-class", "root", "named", "classes"):
+        assert set(joins[name]) == {"SortMergeJoin"}, name
+    assert "BroadcastHashJoin" not in joins["edges"] + joins["hop"] + joins["label"] + joins["heads"]
+    texts = [n.output().toString() for p in plans["links"] for n, _ in nodes_of(p) if n.nodeName() == "BroadcastExchange"]
+    assert not any("text" in t for t in texts)

@@ -31,7 +31,8 @@ tell whether an odd number of them fell there; two texts differ in at most
 2 d - (difference of their lengths) bits, d being their edit distance; the bits
 folded to ``FOLDED`` are tested first, and on the turns' pairs too.  Members
 of a bucket's largest class do not meet each other; in a bucket of m singletons
-the bound is still tested m^2 / 2 times.  Buckets join by salted key.
+the bound is still tested m^2 / 2 times.  Buckets join by salted key; what holds
+a row per salt, class, text or pair is shuffled, never broadcast.
 
 Defined results: a null text is a text of no words; texts without words are
 copies of each other only if equal.  The class id is the least non-null id in the class (null
@@ -250,9 +251,14 @@ def _verify_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary()), pa.array(sims, pa.float64())], ["a", "b", "similarity"])
 
 
+def _shuffled(side: DataFrame) -> DataFrame:
+    """A side that grows with the documents and whose rows may be far larger than its files tell: never broadcast."""
+    return side.hint("merge")
+
+
 def _salted(side: DataFrame) -> DataFrame:
-    """The small side of a join by a key that may be hot: a copy per salt."""
-    return side.withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
+    """The smaller side of a join by a key that may be hot: a copy per salt, which the planner's sizes leave out."""
+    return _shuffled(side.withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)]))))
 
 
 def _salt(*cols: str) -> Column:
@@ -273,8 +279,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, nodes: DataFrame) -> DataFrame
     t = _node_texts(texts, nodes, pairs)
     # aligning costs far more than a pair's bytes tell: deal pairs out evenly, also where their files are few
     dealt = pairs.repartition(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a", "b")
-    both = (dealt.join(t.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-            .join(t.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"))
+    both = (dealt.join(_shuffled(t.select(F.col("node").alias("a"), F.col("text").alias("text_a"))), "a")
+            .join(_shuffled(t.select(F.col("node").alias("b"), F.col("text").alias("text_b"))), "b"))
     return both.select("a", "b", "text_a", "text_b").mapInArrow(_verify_batches, "a binary, b binary, similarity double")
 
 
@@ -290,12 +296,12 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     for _ in range(max_rounds):
         both = edges.select(F.col("a").alias("node"), F.col("b").alias("other")).union(edges.select("b", "a"))
         step = staged(both.groupBy("node").agg(F.min("other").alias("near")).select("node", F.least("node", "near").alias("up")), "step")
-        hop = staged(step.join(step.toDF("up", "top"), "up").select("node", "top"), "hop")
+        hop = staged(step.join(_shuffled(step.toDF("up", "top")), "up").select("node", "top"), "hop")
         if label is None:
             label = hop.toDF("node", "root")
         else:
-            label = staged(label.join(hop.toDF("root", "top"), "root", "left").select("node", F.coalesce("top", "root").alias("root")), "label")
-        edges = staged(edges.join(hop.toDF("a", "ta"), "a").join(hop.toDF("b", "tb"), "b").where("ta <> tb")
+            label = staged(label.join(_shuffled(hop.toDF("root", "top")), "root", "left").select("node", F.coalesce("top", "root").alias("root")), "label")
+        edges = staged(edges.join(_shuffled(hop.toDF("a", "ta")), "a").join(_shuffled(hop.toDF("b", "tb")), "b").where("ta <> tb")
                        .select(F.least("ta", "tb").alias("a"), F.greatest("ta", "tb").alias("b")).distinct(), "edges")
         if edges.isEmpty():
             return label
@@ -325,10 +331,10 @@ def _to_pivots(members: DataFrame, root: DataFrame, turn: int) -> DataFrame:
     """Pairs (a, b) to verify: of each bucket its pivot with one member of each other class, one pair for two classes."""
     drawn = members.where(F.col("wave") < WAVES[min(turn, len(WAVES) - 1)]).select("key", "node")
     first = lambda name: F.min(F.struct(F.xxhash64(F.lit(turn), "node").alias("o"), F.col("node").alias("node"))).alias(name)
-    per_class = staged(drawn.join(root, "node").groupBy("key", "root").agg(first("own")), "per-class")
+    per_class = staged(drawn.join(_shuffled(root), "node").groupBy("key", "root").agg(first("own")), "per-class")
     pivots = (per_class.groupBy("key").agg(F.min(F.struct("own", "root")).alias("p"), F.count(F.lit(1)).alias("classes")).where("classes > 1")
               .select("key", F.col("p.own.node").alias("pivot"), F.col("p.root").alias("pivot_root")))
-    pairs = per_class.join(staged(pivots, "pivots"), "key").where("root <> pivot_root").select(
+    pairs = per_class.join(_shuffled(staged(pivots, "pivots")), "key").where("root <> pivot_root").select(
         F.least("root", "pivot_root").alias("ra"), F.greatest("root", "pivot_root").alias("rb"),
         F.least("own.node", "pivot").alias("a"), F.greatest("own.node", "pivot").alias("b"))
     chosen = F.min(F.struct(F.xxhash64(F.lit(turn), "a", "b").alias("o"), "a", "b")).alias("p")
@@ -352,7 +358,7 @@ def _reachable(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def _rest(members: DataFrame, nodes: DataFrame, root: DataFrame) -> DataFrame:
     """Every pair (a, b) of one bucket and two classes that can be similar."""
-    placed = staged(members.select("key", "node").join(root, "node"), "placed")
+    placed = staged(members.select("key", "node").join(_shuffled(root), "node"), "placed")
     per_class = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
     open_keys = per_class.groupBy("key").agg(F.max(F.struct("n", "root")).alias("top"), F.count(F.lit(1)).alias("classes"), F.sum("n").alias("size")).where("classes > 1")
     salts = F.least(F.lit(SALTS), F.ceil(F.col("size") / PER_SALT)).cast("int").alias("salts")
@@ -374,14 +380,14 @@ def _rest(members: DataFrame, nodes: DataFrame, root: DataFrame) -> DataFrame:
 def _joined(root: DataFrame, links: DataFrame) -> DataFrame:
     """The classes after ``links``: components of the links between the present roots."""
     a, b = root.toDF("a", "ra"), root.toDF("b", "rb")
-    between = links.select("a", "b").join(a, "a").join(b, "b").select(F.col("ra").alias("a"), F.col("rb").alias("b")).where("a <> b")
+    between = links.select("a", "b").join(_shuffled(a), "a").join(_shuffled(b), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b")).where("a <> b")
     up = components(between).toDF("root", "top")
-    return staged(root.join(up, "root", "left").select("node", F.coalesce("top", "root").alias("root")), "root")
+    return staged(root.join(_shuffled(up), "root", "left").select("node", F.coalesce("top", "root").alias("root")), "root")
 
 
 def _turn(pairs: DataFrame, tested: DataFrame | None, texts: DataFrame, nodes: DataFrame, root: DataFrame, bound: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The pairs not tested before, the classes after their links, and these links; ``bound``: test their parities first."""
-    pairs = staged(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+    pairs = staged(pairs if tested is None else pairs.join(_shuffled(tested), ["a", "b"], "left_anti"), "pairs")
     # staged, as texts are looked up for both ends of each pair
     new = staged(_verified(staged(_reachable(pairs, nodes), "reachable") if bound else pairs, texts, nodes), "links")
     return pairs, root if new.isEmpty() else _joined(root, new), new
@@ -413,13 +419,13 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     _, root, new = _turn(_rest(members, nodes, root), tested, texts, nodes, root, bound=False)
     links = links.unionByName(new)
 
-    named = nodes.join(root, "node")
-    drawn = links.join(root.withColumnRenamed("node", "a"), "a").groupBy("root").agg(F.count(F.lit(1)).alias("class_links"))
+    named = nodes.join(_shuffled(root), "node")
+    drawn = links.join(_shuffled(root.withColumnRenamed("node", "a")), "a").groupBy("root").agg(F.count(F.lit(1)).alias("class_links"))
     heads = named.groupBy("root").agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("class_size"), F.sum("copies").alias("class_rows"),
                                       F.min(F.struct(F.col("id").isNull().alias("n"), F.col("id").alias("i"), F.col("node").alias("d"))).alias("first"))
     # both sides shuffled for the join alone, so that a class with a third of all texts is split
-    heads = staged(heads.join(drawn, "root", "left").withColumn("class_links", F.coalesce("class_links", F.lit(0))), "heads")
-    named = staged(named.select("node", "root", "copies").join(heads, "root")
+    heads = staged(heads.join(_shuffled(drawn), "root", "left").withColumn("class_links", F.coalesce("class_links", F.lit(0))), "heads")
+    named = staged(named.select("node", "root", "copies").join(_shuffled(heads), "root")
                    .select("node", "copies", "class_id", "class_size", "class_rows", "class_links", F.col("first.d").alias("first_node"), F.col("first.i").alias("first_id")), "named")
     # documents find their node by salted join where the text has copies; others are alone with it
     single = docs.select("id", "node").withColumn("salt", _salt("id"))
