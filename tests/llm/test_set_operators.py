@@ -488,3 +488,25 @@ def test_near_dedup_broadcasts_no_copies_per_salt(spark, docs, monkeypatch):
     assert "BroadcastHashJoin" not in joins["edges"] + joins["hop"] + joins["label"] + joins["heads"]
     texts = [n.output().toString() for p in plans["links"] for n, _ in nodes_of(p) if n.nodeName() == "BroadcastExchange"]
     assert not any("text" in t for t in texts)
+
+
+def test_mixing_broadcasts_no_buckets(spark, docs, monkeypatch):
+    """The table of digest buckets grows with the documents, and its files look small: this one would be broadcast"""
+    rng = random.Random(47)
+    df = docs([(i, " ".join(words(rng, rng.randint(0, 30))), rng.choice(["en", "fr", None]), rng.choice(["src1", "src2", None])) for i in range(200)])
+    plans, staged = {}, mixing.staged
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan()
+        return staged(df, name)
+
+    monkeypatch.setattr(mixing, "staged", noted)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert mixing.mix(df, queries.domain_of(), queries.WEIGHTS).count() > 50
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    sent = [n.output().toString() for n, _ in nodes_of(plans["ends"]) if n.nodeName() == "BroadcastExchange"]
+    assert not any("__f#" in s for s in sent)
+    assert any(n.nodeName() == "SortMergeJoin" and "cut_c" in n.simpleString(100) for n, _ in nodes_of(plans["ends"]))

@@ -144,7 +144,8 @@ def mix(df: DataFrame, domain: Column, weights: dict[str, dict[str, int]], budge
 
     coarse = fine.groupBy(*leaf, "rest", "__c").agg(F.sum("t").alias("t")).withColumn("start", F.lit(0).cast("long"))
     coarse = cut(coarse, "__c").withColumnRenamed("cut", "cut_c")
-    inner = at_leaf(fine, coarse, "__h").where("__c = cut_c")
+    # a row per document or bucket, in files that look far smaller: never broadcast
+    inner = at_leaf(fine.hint("merge"), coarse, "__h").where("__c = cut_c")
     ends = cut(inner.drop("__h0", "__h1", "__h2"), "__f").withColumnRenamed("cut", "cut_f")
     ends = at_leaf(ends.select(*[F.col(f"__h{i}").alias(c) for i, c in enumerate(leaf)], "cut_f", "start"),
                    coarse.select("__h0", "__h1", "__h2", "cut_c"), "__h").drop("__h0", "__h1", "__h2")
